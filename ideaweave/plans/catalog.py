@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLE, QUERIES
 
-_MODULES = ["q_vectorize", "q_ingest"]
+_MODULES = ["q_vectorize", "q_ingest", "q_cluster"]
 
 for _m in _MODULES:
     importlib.import_module(f"{__package__}.{_m}")
