@@ -82,3 +82,52 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("value") * 1000).cast("bigint").alias("input_tokens"),
         F.floor(F.col("value") * 100).cast("bigint").alias("output_tokens"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Reply texts derived from `part` (one reply per part row). The same SQL text runs in
+# Spark (selectExpr) and in the DuckDB oracle, so both engines read identical replies.
+# Variants: no JSON, malformed JSON, empty list, missing key, two constellations with
+# scores below/at/above the minimum and actionability as number, string, 0, 14, x.5.
+# ---------------------------------------------------------------------------
+_C1 = ("'{\"type\": \"' || CASE p_partkey % 5 WHEN 0 THEN 'triangulation' WHEN 1 THEN 'spectrum' "
+       "WHEN 2 THEN 'chain' WHEN 3 THEN 'convergence' ELSE 'absence' END || '\", \"idea_ids\": [' "
+       "|| CAST(p_partkey AS STRING) || ', ' || CAST(p_partkey + 1 AS STRING) || ', ' || CAST(p_partkey + 2 AS STRING) "
+       "|| '], \"title\": \"' || p_name || '\", \"explanation\": \"' || p_brand || ' ' || p_type || '\", \"score\": ' "
+       "|| CAST(p_size % 10 + 1 AS STRING) || CASE p_partkey % 4 "
+       "WHEN 0 THEN ', \"actionability\": ' || CAST(p_size % 16 - 1 AS STRING) "
+       "WHEN 1 THEN ', \"actionability\": \"' || CAST(p_size % 10 AS STRING) || '\"' "
+       "WHEN 2 THEN ', \"actionability\": ' || CAST(p_size % 5 AS STRING) || '.5' ELSE '' END || '}'")
+_C2 = ("'{\"type\": \"absence\", \"idea_ids\": [' || CAST(p_partkey AS STRING) || '], \"title\": \"gap ' "
+       "|| CAST(p_partkey AS STRING) || '\", \"explanation\": \"none\", \"score\": ' || CAST(p_size % 7 + 4 AS STRING) "
+       "|| ', \"actionability\": ' || CAST(p_size % 16 - 1 AS STRING) || '}'")
+REPLY_TEXT_SQL = (
+    "CASE p_partkey % 8 WHEN 0 THEN 'Nothing stands out in this group.' "
+    "WHEN 1 THEN 'Result:' || chr(10) || '{\"constellations\": [{\"type\": \"chain\" \"score\": 7}]}' "
+    "WHEN 2 THEN '{\"constellations\": []}' "
+    "WHEN 3 THEN 'Sure.' || chr(10) || '{\"summary\": \"none\"}' "
+    f"ELSE 'Here is what I found:' || chr(10) || '{{\"constellations\": [' || {_C1} || ', ' || {_C2} "
+    "|| ']}' || chr(10) || 'Hope this helps.' END")
+_P1 = ("'{\"name\": \"' || p_type || ' ' || p_brand || '\", \"idea_ids\": [' || CAST(p_partkey AS STRING) || ', ' "
+       "|| CAST(p_partkey + 7 AS STRING) || '], \"explanation\": \"' || p_name || '\"}'")
+_P2 = "'{\"name\": \"theme ' || CAST(p_partkey % 13 AS STRING) || '\", \"explanation\": \"no ids\"}'"
+PATTERN_TEXT_SQL = (
+    "CASE p_partkey % 6 WHEN 0 THEN 'no json here' "
+    f"WHEN 1 THEN '{{\"patterns\": [' || {_P1} || ' \"oops\"]}}' "
+    "WHEN 2 THEN '{\"patterns\": []}' "
+    f"ELSE 'Patterns:' || chr(10) || '{{\"patterns\": [' || {_P1} || ', ' || {_P2} || ']}}' END")
+REPLY_HASH_SQL = "sha2('part:' || CAST(p_partkey AS STRING), 256)"
+REPLY_HASH_DUCK = "sha256('part:' || CAST(p_partkey AS STRING))"
+
+
+def replies(spark: SparkSession, sf_dir: str, kind: str = "constellations") -> DataFrame:
+    """part rows as stored responder replies (RESPONSE_SCHEMA)."""
+    from ..config import DEFAULT_CONFIG, DISCOVERY_PROMPT_VERSION, PATTERNS_PROMPT_VERSION
+    text = REPLY_TEXT_SQL if kind == "constellations" else PATTERN_TEXT_SQL
+    model = DEFAULT_CONFIG.discovery_model if kind == "constellations" else DEFAULT_CONFIG.patterns_model
+    version = DISCOVERY_PROMPT_VERSION if kind == "constellations" else PATTERNS_PROMPT_VERSION
+    p = table(spark, sf_dir, "part")
+    return p.selectExpr(f"{REPLY_HASH_SQL} AS group_hash", f"'{version}' AS prompt_version", f"'{model}' AS model",
+                        f"'{kind}' AS stage", f"{text} AS text", "CAST(length(p_name) * 40 AS BIGINT) AS input_tokens",
+                        "CAST(p_size * 10 AS BIGINT) AS output_tokens", "'ok' AS status",
+                        "CAST(NULL AS STRING) AS error")
