@@ -267,13 +267,14 @@ def parse_patterns(responses: DataFrame) -> Parsed:
 # Merge with cache, counters
 # ---------------------------------------------------------------------------
 
-def merge_cached_constellations(cached_hits: DataFrame, fresh: DataFrame, model: str) -> DataFrame:
+def merge_cached_constellations(cached_hits: DataFrame, fresh: DataFrame, model: str,
+                                extra: list | None = None) -> DataFrame:
     """Cached rows (minus ``__ERROR__`` placeholders) relabelled with the current model, plus fresh rows.
 
     Cached rows are not re-filtered by the minimum score.
     """
     cols = ["neighborhood_hash", "constellation_type", "idea_ids", "title", "explanation", "score",
-            "actionability", "model", "prompt_version"]
+            "actionability", "model", "prompt_version"] + list(extra or [])
     c = cached_hits.where(F.col("title") != ERROR_TITLE).withColumn("model", F.lit(model)).select(*cols)
     return c.unionByName(fresh.select(*cols))
 

@@ -61,13 +61,14 @@ def cluster_prompt(spark, d):
     return disc.cluster_prompts(a, td.ideas(spark, d), DEFAULT_CONFIG)
 
 
-_PARSE_SQL = f"""WITH rep AS (SELECT {td.REPLY_HASH_DUCK} AS group_hash, {td.REPLY_TEXT_SQL} AS text FROM part),
-j AS (SELECT group_hash, regexp_extract(text, '(?s)\\{{.*\\}}', 0) AS jt FROM rep),
-ok AS (SELECT group_hash, jt FROM j WHERE jt <> '' AND CASE WHEN json_valid(jt) THEN json_type(jt) = 'OBJECT' ELSE false END),
-items AS (SELECT group_hash, unnest(json_extract(jt, '$.constellations[*]')) AS e,
+_PARSE_SQL = f"""WITH rep AS (SELECT {td.REPLY_HASH_DUCK} AS group_hash, {td.REPLY_TEXT_SQL} AS text, p_size FROM part),
+j AS (SELECT group_hash, p_size, regexp_extract(text, '(?s)\\{{.*\\}}', 0) AS jt FROM rep),
+ok AS (SELECT group_hash, p_size, jt FROM j WHERE jt <> '' AND CASE WHEN json_valid(jt) THEN json_type(jt) = 'OBJECT' ELSE false END),
+items AS (SELECT group_hash, p_size, unnest(json_extract(jt, '$.constellations[*]')) AS e,
                  unnest(range(len(json_extract(jt, '$.constellations[*]'))))::INT AS item_ord FROM ok),
-typed AS (SELECT group_hash AS neighborhood_hash, item_ord, json_extract_string(e, '$.type') AS constellation_type,
+typed AS (SELECT group_hash AS neighborhood_hash, p_size, item_ord, json_extract_string(e, '$.type') AS constellation_type,
                  array_to_string(CAST(json_extract(e, '$.idea_ids') AS BIGINT[]), ',') AS idea_ids,
+                 CAST(json_extract(e, '$.idea_ids') AS BIGINT[]) AS ids_arr,
                  json_extract_string(e, '$.title') AS title, json_extract_string(e, '$.explanation') AS explanation,
                  CASE WHEN json_type(e, '$.score') IN ('BIGINT', 'UBIGINT', 'DOUBLE')
                       THEN CAST(json_extract(e, '$.score') AS DOUBLE) END AS score,

@@ -120,7 +120,7 @@ REPLY_HASH_SQL = "sha2('part:' || CAST(p_partkey AS STRING), 256)"
 REPLY_HASH_DUCK = "sha256('part:' || CAST(p_partkey AS STRING))"
 
 
-def replies(spark: SparkSession, sf_dir: str, kind: str = "constellations") -> DataFrame:
+def replies(spark: SparkSession, sf_dir: str, kind: str = "constellations", extra: bool = False) -> DataFrame:
     """part rows as stored responder replies (RESPONSE_SCHEMA)."""
     from ..config import DEFAULT_CONFIG, DISCOVERY_PROMPT_VERSION, PATTERNS_PROMPT_VERSION
     text = REPLY_TEXT_SQL if kind == "constellations" else PATTERN_TEXT_SQL
@@ -130,4 +130,4 @@ def replies(spark: SparkSession, sf_dir: str, kind: str = "constellations") -> D
     return p.selectExpr(f"{REPLY_HASH_SQL} AS group_hash", f"'{version}' AS prompt_version", f"'{model}' AS model",
                         f"'{kind}' AS stage", f"{text} AS text", "CAST(length(p_name) * 40 AS BIGINT) AS input_tokens",
                         "CAST(p_size * 10 AS BIGINT) AS output_tokens", "'ok' AS status",
-                        "CAST(NULL AS STRING) AS error")
+                        "CAST(NULL AS STRING) AS error", *(["p_size"] if extra else []))
