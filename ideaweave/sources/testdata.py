@@ -15,7 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as pre-ingest items: url is the text's SHA-256, so copies collide."""
-    d = table(spark, sf_dir, "documents")
+    return raw_from_documents(table(spark, sf_dir, "documents"))
+
+
+def raw_from_documents(d: DataFrame) -> DataFrame:
+    """The raw-item projection of documents (also applied to each streamed micro-batch)."""
     return d.select(
         F.substring("text", 1, 60).alias("title"),
         F.col("text").alias("description"),
@@ -70,7 +74,11 @@ LEDGER_MODEL_BY_EVENT = (
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as a token ledger ``(ts, model, stage, input_tokens, output_tokens)``."""
-    ev = table(spark, sf_dir, "events")
+    return ledger_from_events(table(spark, sf_dir, "events"))
+
+
+def ledger_from_events(ev: DataFrame) -> DataFrame:
+    """The ledger projection (also applied to a stream of events)."""
     model = F.lit(None).cast("string")
     for et, m in reversed(LEDGER_MODEL_BY_EVENT):
         model = F.when(F.col("event_type") == et, F.lit(m)).otherwise(model)
