@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,8 +45,13 @@ def tokens(docs: DataFrame, id_col: str = "idea_id", text_col: str = "doc") -> D
 
 
 def term_frequencies(toks: DataFrame) -> DataFrame:
-    """(idea_id, n_tokens, term, tf); n_tokens rides along as a functionally dependent key."""
-    return (toks.select("idea_id", F.size("tokens").alias("n_tokens"), F.explode("tokens").alias("term"))
+    """(idea_id, n_tokens, term, tf); n_tokens rides along as a functionally dependent key.
+
+    ``explode_outer`` + a null filter instead of ``explode``: with ``explode`` Catalyst infers a
+    ``size(tokens) > 0`` filter below the projection and runs the tokenizer twice per document.
+    """
+    return (toks.select("idea_id", F.size("tokens").alias("n_tokens"), F.explode_outer("tokens").alias("term"))
+            .where(F.col("term").isNotNull())
             .groupBy("idea_id", "n_tokens", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -80,7 +86,9 @@ def tfidf(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, n_docs: int |
     toks = tokens(docs)
     if n_docs is None:
         n_docs = docs.count()
-    tf = term_frequencies(toks)
+    # The term-frequency table feeds both the document frequencies and the weights; keeping it
+    # avoids scanning and tokenising the text a second time (and a third for the size check).
+    tf = term_frequencies(toks).persist(StorageLevel.MEMORY_AND_DISK)
     vocab = vocabulary(document_frequencies(tf), n_docs)
     raw = _join_vocab(tf, vocab, cfg).select(
         "idea_id", "term", (F.col("tf").cast("double") / F.col("n_tokens") * F.col("idf")).alias("raw"))

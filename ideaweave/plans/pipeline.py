@@ -21,7 +21,7 @@ def stage1(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None
     """Embed the loadable ideas (TF-IDF by default) and cluster them with k-means."""
     ideas = ingest.loadable(ideas)
     vecs = tf.tfidf(ideas, cfg) if embedder is None else embedder.fit_transform(ideas)
-    res = km.kmeans_sparse(vecs.weights, vecs.docs, cfg.num_clusters, cfg.kmeans_max_iter, cfg.kmeans_seed,
-                           cfg.kmeans_init, cfg.kmeans_empty, cfg.broadcast_max_rows, cfg.salt_buckets,
-                           n=vecs.n_docs)
+    res = km.kmeans_tfidf(vecs.weights, vecs.docs, vecs.vocab, cfg.num_clusters, cfg.kmeans_max_iter,
+                          cfg.kmeans_seed, cfg.kmeans_init, cfg.kmeans_empty, cfg.broadcast_max_rows,
+                          cfg.salt_buckets, n=vecs.n_docs)
     return Stage1(res.assignments, vecs, res.k, res.iterations)
