@@ -1,13 +1,28 @@
-"""The whole run as a composition of DataFrame operators (stages 1-4 + result bundle)."""
+"""The whole run as a composition of DataFrame operators (stages 1-4 + result bundle).
+
+    ideas -> [1] TF-IDF + k-means -> assignments
+          -> [2] neighbourhoods (bounded groups) -> [3] discovery prompts -> responder -> constellations
+          -> [4] cluster theme prompts -> responder -> patterns
+          -> ledger, metadata, JSON / Parquet sinks
+
+Stages 3 and 4 only read stage 1-2 outputs, so they are independent Spark jobs. The driver
+only ever holds k-sized values (sizes, centroids within the broadcast bound, counters).
+"""
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from typing import Callable, NamedTuple
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..config import DEFAULT_CONFIG, PipelineConfig
-from ..operators import ingest, kmeans as km, tfidf as tf
+from ..config import (DEFAULT_CONFIG, DISCOVERY_PROMPT_VERSION, PATTERNS_PROMPT_VERSION, PipelineConfig)
+from ..operators import discovery as disc
+from ..operators import ingest, kmeans as km, ledger as led, neighborhoods as nbh, report, store as st
+from ..operators import tfidf as tf
+from ..session import cut_lineage
 
 
 class Stage1(NamedTuple):
@@ -15,13 +30,157 @@ class Stage1(NamedTuple):
     vectors: tf.Vectors
     k: int
     iterations: int
+    centroids: object  # k x dim matrix (CSR/dense path) or centroid-term table (relational path)
+    rows: DataFrame | None  # CSR rows (idea_id, idx, w) when the matrix path was used
 
 
 def stage1(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None) -> Stage1:
     """Embed the loadable ideas (TF-IDF by default) and cluster them with k-means."""
     ideas = ingest.loadable(ideas)
     vecs = tf.tfidf(ideas, cfg) if embedder is None else embedder.fit_transform(ideas)
-    res = km.kmeans_tfidf(vecs.weights, vecs.docs, vecs.vocab, cfg.num_clusters, cfg.kmeans_max_iter,
-                          cfg.kmeans_seed, cfg.kmeans_init, cfg.kmeans_empty, cfg.broadcast_max_rows,
-                          cfg.salt_buckets, n=vecs.n_docs)
-    return Stage1(res.assignments, vecs, res.k, res.iterations)
+    n = vecs.n_docs
+    k = km.effective_k(n, cfg.num_clusters)
+    dim = vecs.vocab.count()
+    if k * max(dim, 1) * 8 <= km.MAX_BROADCAST_CENTROID_BYTES:
+        rows, dim = km.csr_rows(vecs.weights, vecs.docs, vecs.vocab)
+        rows = cut_lineage(rows)
+        res = km.kmeans_dense(rows, cfg.num_clusters, cfg.kmeans_max_iter, cfg.kmeans_seed, cfg.kmeans_init,
+                              cfg.kmeans_empty, ("idx", "w"), n=n, dim=dim)
+        return Stage1(cut_lineage(res.assignments), vecs, res.k, res.iterations, res.centroids, rows)
+    res = km.kmeans_sparse(vecs.weights, vecs.docs, cfg.num_clusters, cfg.kmeans_max_iter, cfg.kmeans_seed,
+                           cfg.kmeans_init, cfg.kmeans_empty, cfg.broadcast_max_rows, cfg.salt_buckets, n=n)
+    return Stage1(res.assignments, vecs, res.k, res.iterations, res.centroids, None)
+
+
+def _member_distance(rows: DataFrame, assign: DataFrame, C: np.ndarray) -> DataFrame:
+    """(idea_id, cluster_id, d): distance of each member to its own cluster's mean (CSR rows)."""
+    bc = rows.sparkSession.sparkContext.broadcast(np.asarray(C, dtype=np.float64))
+
+    def fn(it):
+        Cm = bc.value
+        c2 = np.einsum("ij,ij->i", Cm, Cm)
+        for pdf in it:
+            if pdf.empty:
+                continue
+            X = km._batch(pdf, ("idx", "w"))
+            lab = pdf["cluster_id"].to_numpy().astype(np.int64)
+            x2 = np.bincount(X.rows, weights=X.w * X.w, minlength=X.m) if len(X.rows) else np.zeros(X.m)
+            dot = np.bincount(X.rows, weights=X.w * Cm[lab[X.rows], X.idx], minlength=X.m) if len(X.rows) \
+                else np.zeros(X.m)
+            d = np.sqrt(np.maximum(x2 - 2 * dot + c2[lab], 0.0))
+            yield pd.DataFrame({"idea_id": pdf["idea_id"].to_numpy(), "cluster_id": lab.astype("int32"), "d": d})
+
+    return rows.join(assign, "idea_id").select("idea_id", "cluster_id", "idx", "w") \
+        .mapInPandas(fn, "idea_id long, cluster_id int, d double")
+
+
+def stage2(s1: Stage1, cfg: PipelineConfig = DEFAULT_CONFIG) -> nbh.Neighborhoods:
+    """Neighbourhoods over the stage-1 clusters (centroids = means of the final members)."""
+    spark = s1.assignments.sparkSession
+    if s1.rows is None:
+        raise NotImplementedError("stage 2 over the relational k-means path needs a dense centroid bound")
+    counts, sums, _ = km._lloyd_partials(s1.rows, s1.centroids, None, ("idx", "w"))
+    means = np.zeros_like(sums)
+    nz = counts > 0
+    means[nz] = sums[nz] / counts[nz][:, None]
+    # k rows; each centroid is within the broadcast bound already checked in stage 1
+    cents = spark.createDataFrame([(int(c), means[c].tolist(), int(counts[c])) for c in np.flatnonzero(nz)],
+                                  "cluster_id int, centroid array<double>, n long")
+    dist = _member_distance(s1.rows, s1.assignments, means)
+    return nbh.neighborhoods(s1.assignments, cfg, cents=cents, distances=dist)
+
+
+class Result(NamedTuple):
+    constellations: DataFrame
+    patterns: DataFrame
+    ideas: DataFrame
+    metadata: DataFrame
+    responses: DataFrame
+    neighborhoods: DataFrame
+
+
+def stage3(members: DataFrame, ideas: DataFrame, responder: Callable, cfg: PipelineConfig,
+           store: st.SnapshotStore | None = None, force: bool = False):
+    prompts = disc.neighborhood_prompts(members, ideas)
+    cached = store.read("constellations") if store is not None else None
+    if cached is not None and not force:
+        keys = cached.where(F.col("prompt_version") == DISCOVERY_PROMPT_VERSION).select(
+            F.col("neighborhood_hash").alias("group_hash")).distinct()
+        hits, todo = st.cache_split(prompts, keys, ["group_hash"])
+    else:
+        hits, todo = prompts.limit(0), prompts
+    responses = cut_lineage(disc.respond(todo, responder, cfg.discovery_model, "constellations",
+                                         DISCOVERY_PROMPT_VERSION, disc.DISCOVERY_SYSTEM, cfg.discovery_concurrency))
+    fresh = disc.parse_constellations(responses, cfg.min_constellation_score).rows
+    if cached is not None and not force:
+        hit_rows = cached.join(hits.select(F.col("group_hash").alias("neighborhood_hash")), "neighborhood_hash",
+                               "left_semi")
+        out = disc.merge_cached_constellations(hit_rows, fresh, cfg.discovery_model, extra=["item_ord"])
+    else:
+        out = fresh
+    if store is not None:
+        store.write("constellations", fresh if cached is None else cached.unionByName(fresh, allowMissingColumns=True))
+    return out, responses, hits
+
+
+def stage4(assign: DataFrame, ideas: DataFrame, responder: Callable, cfg: PipelineConfig,
+           store: st.SnapshotStore | None = None, force: bool = False):
+    prompts = disc.cluster_prompts(assign, ideas, cfg)
+    cached = store.read("patterns") if store is not None else None
+    if cached is not None and not force:
+        keys = cached.select(F.col("cluster_hash").alias("group_hash")).distinct()
+        hits, todo = st.cache_split(prompts, keys, ["group_hash"])
+    else:
+        hits, todo = prompts.limit(0), prompts
+    responses = cut_lineage(disc.respond(todo, responder, cfg.patterns_model, "patterns", PATTERNS_PROMPT_VERSION,
+                                         disc.PATTERNS_SYSTEM, cfg.discovery_concurrency))
+    fresh = disc.parse_patterns(responses).rows
+    if cached is not None and not force:
+        hit_rows = cached.join(hits.select(F.col("group_hash").alias("cluster_hash")), "cluster_hash", "left_semi") \
+            .withColumn("model", F.lit(cfg.patterns_model))
+        out = hit_rows.unionByName(fresh, allowMissingColumns=True)
+    else:
+        out = fresh
+    if store is not None:
+        seq = (store.latest("patterns") or 0) + 1
+        new = fresh.withColumn("write_seq", F.lit(seq))
+        allp = new if cached is None else cached.unionByName(new, allowMissingColumns=True)
+        store.write("patterns", st.upsert_latest(allp, ["cluster_hash", "pattern_title", "prompt_version"]))
+    return out, responses, hits
+
+
+def run(ideas: DataFrame, responder: Callable, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None,
+        store: st.SnapshotStore | None = None, force: bool = False) -> Result:
+    """End-to-end run; returns DataFrames (nothing is collected but k-sized counters)."""
+    loadable = ingest.loadable(ideas)
+    total = report.require_min_ideas(loadable, 3) and loadable.count()
+    s1 = stage1(loadable, cfg, embedder)
+    s2 = stage2(s1, cfg)
+    members = cut_lineage(s2.members)
+    constellations, r3, h3 = stage3(members, loadable, responder, cfg, store, force)
+    patterns, r4, h4 = stage4(s1.assignments, loadable, responder, cfg, store, force)
+    responses = r3.unionByName(r4)
+    ledger = led.ledger_from_responses(responses)
+    spark = ideas.sparkSession
+    c3 = disc.call_counters(r3, h3.select("group_hash"))
+    c4 = disc.call_counters(r4, h4.select("group_hash"))
+    cost = led.cost_total(ledger)
+    bytype = report.by_type_map(constellations)
+    n_const = constellations.agg(F.count(F.lit(1)).cast("bigint").alias("constellations_found"))
+    meta = (spark.createDataFrame([(int(total), s2.intra_count, s2.cross_count, s2.total)],
+                                  "total_ideas long, neighborhoods_intra int, neighborhoods_cross int, "
+                                  "neighborhoods_total int")
+            .crossJoin(n_const).crossJoin(bytype)
+            .crossJoin(c3.select(F.col("cache_hits").alias("constellation_cache_hits"),
+                                 F.col("api_calls").alias("constellation_api_calls")))
+            .crossJoin(c4.select(F.col("cache_hits").alias("pattern_cache_hits"),
+                                 F.col("api_calls").alias("pattern_api_calls")))
+            .crossJoin(cost.select(F.col("total_cost").alias("estimated_cost_usd")))
+            .withColumn("over_budget", F.col("estimated_cost_usd") > F.lit(cfg.cost_budget_usd)))
+    return Result(constellations, patterns, report.ideas_lookup(loadable), meta, responses, members)
+
+
+def write_result(result: Result, path: str, fmt: str = "json") -> None:
+    """Sink: the four result datasets side by side (``constellations/ patterns/ ideas/ metadata/``)."""
+    for name in ("constellations", "patterns", "ideas", "metadata"):
+        getattr(result, name).write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/{name}")
