@@ -28,7 +28,7 @@ class PipelineConfig:
     kmeans_empty: str = "origin"  # empty cluster centroid: "origin" or "keep"
     # neighbourhoods
     cross_seed: int = 777
-    cross_sampling: str = "hash"  # "hash" (partition independent) or "lcg" (exact draws)
+    cross_sampling: str = "lcg"  # "lcg" (exact sequential draws) or "hash" (SHA-256 top-n per side)
     # scale knobs
     broadcast_max_rows: int = 2_000_000
     salt_buckets: int = 32
