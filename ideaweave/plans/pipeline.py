@@ -22,6 +22,7 @@ from ..config import (DEFAULT_CONFIG, DISCOVERY_PROMPT_VERSION, PATTERNS_PROMPT_
 from ..operators import discovery as disc
 from ..operators import ingest, kmeans as km, ledger as led, neighborhoods as nbh, report, store as st
 from ..operators import tfidf as tf
+from ..operators.embedders import DenseVectors
 from ..session import cut_lineage
 
 
@@ -32,12 +33,18 @@ class Stage1(NamedTuple):
     iterations: int
     centroids: object  # k x dim matrix (CSR/dense path) or centroid-term table (relational path)
     rows: DataFrame | None  # CSR rows (idea_id, idx, w) when the matrix path was used
+    dense: DataFrame | None = None  # (idea_id, vec) when a dense embedder was used
 
 
 def stage1(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None) -> Stage1:
     """Embed the loadable ideas (TF-IDF by default) and cluster them with k-means."""
     ideas = ingest.loadable(ideas)
     vecs = tf.tfidf(ideas, cfg) if embedder is None else embedder.fit_transform(ideas)
+    if isinstance(vecs, DenseVectors):
+        dense = cut_lineage(vecs.vectors)
+        res = km.kmeans_dense(dense, cfg.num_clusters, cfg.kmeans_max_iter, cfg.kmeans_seed, cfg.kmeans_init,
+                              cfg.kmeans_empty)
+        return Stage1(cut_lineage(res.assignments), vecs, res.k, res.iterations, res.centroids, None, dense)
     n = vecs.n_docs
     k = km.effective_k(n, cfg.num_clusters)
     dim = vecs.vocab.count()
@@ -77,6 +84,8 @@ def _member_distance(rows: DataFrame, assign: DataFrame, C: np.ndarray) -> DataF
 def stage2(s1: Stage1, cfg: PipelineConfig = DEFAULT_CONFIG) -> nbh.Neighborhoods:
     """Neighbourhoods over the stage-1 clusters (centroids = means of the final members)."""
     spark = s1.assignments.sparkSession
+    if s1.dense is not None:
+        return nbh.neighborhoods(s1.assignments.join(s1.dense, "idea_id"), cfg)
     if s1.rows is None:
         raise NotImplementedError("stage 2 over the relational k-means path needs a dense centroid bound")
     counts, sums, _ = km._lloyd_partials(s1.rows, s1.centroids, None, ("idx", "w"))

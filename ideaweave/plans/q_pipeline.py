@@ -42,3 +42,18 @@ def pipeline_neighborhoods(spark, d):
     """Stage 2 over the stage-1 clusters of the documents corpus."""
     s1 = pl.stage1(td.ideas(spark, d), DEFAULT_CONFIG)
     return pl.stage2(s1, DEFAULT_CONFIG).members
+
+
+@query("cluster_ideas_dense")
+def cluster_ideas_dense(spark, d):
+    """Stage 1 with a dense per-document embedder (pandas UDF) instead of TF-IDF."""
+    from ..operators.embedders import create_embedder
+    return pl.stage1(td.ideas(spark, d), DEFAULT_CONFIG, create_embedder("hashing")).assignments
+
+
+@query("neighborhoods_dense")
+def neighborhoods_dense(spark, d):
+    """Stage 2 over the dense-embedder clusters."""
+    from ..operators.embedders import create_embedder
+    s1 = pl.stage1(td.ideas(spark, d), DEFAULT_CONFIG, create_embedder("hashing"))
+    return pl.stage2(s1, DEFAULT_CONFIG).members
