@@ -8,7 +8,6 @@ Caches are joined in bulk (semi/anti joins), never probed row by row.
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,19 +17,27 @@ from pyspark.sql import types as T
 from ..config import ERROR_TITLE
 
 
+def hadoop_fs(spark: SparkSession, path: str):
+    """(FileSystem, Path) for any Hadoop-supported URI (file:, hdfs:, s3a:, abfs:, ...)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
     def _versions(self, table: str) -> list[int]:
-        d = f"{self.root}/{table}"
-        if not os.path.isdir(d):
+        fs, d = hadoop_fs(self.spark, f"{self.root}/{table}")
+        if not fs.exists(d):
             return []
         out = []
-        for name in os.listdir(d):
+        for st in fs.listStatus(d):
+            name = st.getPath().getName()
             m = re.fullmatch(r"v=(\d+)", name)
-            if m and os.path.exists(f"{d}/{name}/_SUCCESS"):
+            if m and fs.exists(st.getPath().suffix("/_SUCCESS")):
                 out.append(int(m.group(1)))
         return sorted(out)
 

@@ -219,11 +219,8 @@ UNION ALL SELECT 'embeddings', 0::BIGINT UNION ALL SELECT 'constellations', 0::B
 UNION ALL SELECT 'patterns', 0::BIGINT""")
 def clear_derived(spark, d):
     """Clearing derived tables keeps the ideas: counts after publishing empty versions."""
-    import tempfile
-    from ..session import ensure_checkpointing
-    ensure_checkpointing(spark)
-    root = tempfile.mkdtemp(prefix="store-", dir=spark.sparkContext.getCheckpointDir().replace("file:", ""))
-    st = store.SnapshotStore(spark, root)
+    from ..streaming.jobs import scratch
+    st = store.SnapshotStore(spark, scratch(spark, "store"))
     st.write("embeddings", td.vectors(spark, d).select("idea_id", "vec"))
     st.write("constellations", _kept(spark, d).select("neighborhood_hash", "title"))
     st.write("patterns", disc.parse_patterns(td.replies(spark, d, "patterns")).rows.select("cluster_hash", "pattern_title"))

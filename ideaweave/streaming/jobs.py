@@ -16,7 +16,6 @@ Checkpoints and tables live under the shared folder named by ``spark.checkpoint.
 
 from __future__ import annotations
 
-import os
 import uuid
 from typing import Callable
 
@@ -30,12 +29,9 @@ from ..session import ensure_checkpointing
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
+    """A fresh (not yet existing) path under the shared checkpoint folder; writers create it."""
     ensure_checkpointing(spark)
-    base = spark.sparkContext.getCheckpointDir().replace("file:", "")
-    d = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-    os.makedirs(d, exist_ok=True)
-    return d
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def _done_batches(store: SnapshotStore, run_key: str) -> set:
