@@ -68,11 +68,15 @@ class IngestResult(NamedTuple):
     report: DataFrame  # source, fetched, new, duplicates, rejected
 
 
-def first_wins(raw: DataFrame, existing_urls: DataFrame | None) -> DataFrame:
+def first_wins(raw: DataFrame, existing_urls: DataFrame | None, broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """Rows that a url-unique insert would accept, in a batch applied in ``ingest_ord`` order.
 
     Non-empty urls: the first row per url wins, and urls already stored lose. Empty urls never
     collide and skip the aggregation entirely -- they would otherwise be one giant key.
+
+    Against a large stored table, a batch whose url count is within ``broadcast_max_rows``
+    probes the stored urls with a broadcast of its own urls (the stored table is scanned,
+    never shuffled), and only the few colliding urls are anti-joined back.
     """
     ok = raw.where(~F.col("rejected"))
     keyed = ok.where(F.col("url") != "")
@@ -81,7 +85,13 @@ def first_wins(raw: DataFrame, existing_urls: DataFrame | None) -> DataFrame:
                                                  F.col("ingest_ord")).alias("w"))
                .select("url", "w.*"))
     if existing_urls is not None:
-        winners = winners.join(existing_urls.select("url").where(F.col("url") != "").distinct(), "url", "left_anti")
+        stored = existing_urls.select("url").where(F.col("url") != "")
+        batch_urls = winners.select("url")
+        if batch_urls.count() <= broadcast_max_rows:
+            dups = stored.join(F.broadcast(batch_urls), "url").distinct()
+            winners = winners.join(F.broadcast(dups), "url", "left_anti")
+        else:
+            winners = winners.join(stored.distinct(), "url", "left_anti")
     return winners.unionByName(blank)
 
 

@@ -59,6 +59,17 @@ class SnapshotStore:
         w.parquet(f"{self.root}/{table}/v={v}")
         return v
 
+    def append(self, table: str, df: DataFrame, seq: int) -> None:
+        """Append-only table: each call writes one ``seq=<n>`` part; nothing already stored is rewritten."""
+        df.write.mode("errorifexists").parquet(f"{self.root}/{table}/seq={int(seq)}")
+
+    def read_parts(self, table: str) -> DataFrame | None:
+        """All committed parts of an append-only table (failed writes leave only hidden temp files)."""
+        fs, d = hadoop_fs(self.spark, f"{self.root}/{table}")
+        if not fs.exists(d) or not any(st.getPath().getName().startswith("seq=") for st in fs.listStatus(d)):
+            return None
+        return self.spark.read.parquet(f"{self.root}/{table}")
+
     def clear(self, table: str, schema) -> int:
         """Publish an empty version (the old versions stay readable for time travel)."""
         return self.write(table, self.spark.createDataFrame([], schema))

@@ -25,7 +25,7 @@ SELECT row_number() OVER (ORDER BY ingest_ord)::BIGINT AS idea_id, url, source,
 def stream_ingest(spark, d):
     root = jobs.scratch(spark, "store")
     _ingest_once(spark, d, root)
-    return SnapshotStore(spark, root).read("ideas").select("idea_id", "url", "source", "ingest_ord")
+    return SnapshotStore(spark, root).read_parts("ideas").select("idea_id", "url", "source", "ingest_ord")
 
 
 @query("stream_refresh", """
@@ -37,7 +37,7 @@ def stream_refresh(spark, d):
     seen = []
     _ingest_once(spark, d, root, on_new=lambda new, bid: seen.append(bid))
     _ingest_once(spark, d, root, on_new=lambda new, bid: seen.append(bid))
-    log = SnapshotStore(spark, root).read("batch_log")
+    log = SnapshotStore(spark, root).read_parts("batch_log")
     return log.select(F.col("seq").cast("int").alias("run"), "new_rows", "refreshed")
 
 

@@ -35,7 +35,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def _done_batches(store: SnapshotStore, run_key: str) -> set:
-    log = store.read("batch_log")
+    log = store.read_parts("batch_log")
     if log is None:
         return set()
     return {r[0] for r in log.where(F.col("run_key") == run_key).select("batch_id").collect()}
@@ -43,35 +43,36 @@ def _done_batches(store: SnapshotStore, run_key: str) -> set:
 
 def ingest_batch(store: SnapshotStore, raw: DataFrame, batch_id: int, on_new: Callable | None = None,
                  transform: Callable | None = None, run_key: str = "") -> int:
-    """Insert one micro-batch (idempotent per batch id); returns the number of new ideas.
+    """Insert one micro-batch (idempotent per stream and batch id); returns the number of new ideas.
 
+    The ideas table is append-only: a batch writes only its new rows as one part, so the work per
+    batch is the batch plus one scan of the stored urls (probed with the batch's urls).
     ``run_key`` names the stream (its checkpoint), since batch ids restart with a new checkpoint.
-    A replayed batch id is skipped via the batch log; if a failure hit between the table
-    write and the log write, the replay finds every url already stored and inserts nothing
-    (empty-url rows excepted).
+    A replayed batch id is skipped via the batch log; if a failure hit between the part write and
+    the log write, the replay finds every url already stored and inserts nothing (empty-url rows
+    excepted).
     """
     if batch_id in _done_batches(store, run_key):
         return 0
     if transform is not None:
         raw = transform(raw)
-    existing = store.read("ideas")
+    existing = store.read_parts("ideas")
     max_id = 0 if existing is None else (existing.agg(F.max("idea_id")).first()[0] or 0)
     res = ing.ingest(raw, existing.select("url") if existing is not None else None, max_existing_id=max_id)
     new = res.new_ideas.cache()
     n = new.count()
-    merged = new if existing is None else existing.unionByName(new)
-    if n or existing is None:
-        store.write("ideas", merged)
+    log = store.read_parts("batch_log")
+    seq = 1 if log is None else log.count() + 1
+    if n:
+        store.append("ideas", new, seq)
     refreshed = False
     if n and on_new is not None:
         on_new(new, batch_id)
         refreshed = True
     spark = raw.sparkSession
-    old = store.read("batch_log")
-    seq = 1 if old is None else old.count() + 1
-    log = spark.createDataFrame([(seq, run_key, int(batch_id), int(n), refreshed)],
-                                "seq long, run_key string, batch_id long, new_rows long, refreshed boolean")
-    store.write("batch_log", log if old is None else old.unionByName(log))
+    entry = spark.createDataFrame([(seq, run_key, int(batch_id), int(n), refreshed)],
+                                  "seq long, run_key string, batch_id long, new_rows long, refreshed boolean")
+    store.append("batch_log", entry.drop("seq"), seq)
     new.unpersist()
     return n
 

@@ -18,13 +18,13 @@ def test_ingest_stream_is_idempotent(spark, tmpdir_path):
     ck = os.path.join(tmpdir_path, "ck")
     jobs.start_ingest(spark, src + "/batch1", spark.read.parquet(src + "/batch1").schema, root, ck).awaitTermination()
     jobs.start_ingest(spark, src + "/batch1", spark.read.parquet(src + "/batch1").schema, root, ck).awaitTermination()
-    ideas = SnapshotStore(spark, root).read("ideas")
+    ideas = SnapshotStore(spark, root).read_parts("ideas")
     assert sorted((r["idea_id"], r["title"]) for r in ideas.collect()) == [(1, "a"), (2, "c")]
     # the same files landing again under a new stream add nothing
     jobs.start_ingest(spark, src + "/batch1", spark.read.parquet(src + "/batch1").schema, root,
                       os.path.join(tmpdir_path, "ck2")).awaitTermination()
-    assert SnapshotStore(spark, root).read("ideas").count() == 2
-    log = SnapshotStore(spark, root).read("batch_log")
+    assert SnapshotStore(spark, root).read_parts("ideas").count() == 2
+    log = SnapshotStore(spark, root).read_parts("batch_log")
     assert sorted((r["seq"], r["new_rows"], r["refreshed"]) for r in log.collect()) == [(1, 2, False), (2, 0, False)]
 
 
