@@ -31,6 +31,7 @@ class PipelineConfig:
     cross_sampling: str = "lcg"  # "lcg" (exact sequential draws) or "hash" (SHA-256 top-n per side)
     # scale knobs
     broadcast_max_rows: int = 2_000_000
+    centroid_broadcast_bytes: int = 256 << 20  # above: relational k-means / stage 2
     salt_buckets: int = 32
     max_hash_members: int = 100_000
     max_prompt_ideas: int = 200

@@ -222,25 +222,45 @@ def intra_members(assign_vec: DataFrame, plan: Plan, keep_nb: set | None, vec_co
     return out
 
 
-def far_pairs(cents: DataFrame, plan: Plan, max_cross: int) -> list:
-    """Top ``max_cross`` eligible cluster pairs (farthest first; ties in visiting order).
+def pair_table(plan: Plan, spark: SparkSession) -> DataFrame:
+    """(cluster_id, ord, size) for the k clusters."""
+    return spark.createDataFrame([(int(c), i, int(plan.sizes[c])) for i, c in enumerate(plan.order)],
+                                 "cluster_id int, ord int, size long")
+
+
+def top_pairs(pairs: DataFrame, max_cross: int) -> list:
+    """Top ``max_cross`` eligible pairs from ``(ca, cb, oa, ob, na, nb, d)`` (oa < ob).
 
-    k centroid rows on both sides: the theta self-join is bounded by k^2; the eligibility
-    filter runs before the top-n so skipped pairs never use the limit.
+    The eligibility filter runs before the top-n, so skipped pairs never use the limit; the
+    sort is a TakeOrdered over at most k^2/2 rows.
     """
-    spark = cents.sparkSession
-    ordmap = spark.createDataFrame([(int(c), i, int(plan.sizes[c])) for i, c in enumerate(plan.order)],
-                                   "cluster_id int, ord int, size long")
-    c = cents.join(ordmap, "cluster_id")
+    top = (pairs.where(F.least(F.lit(CROSS_SAMPLE_PER_SIDE), "na", "nb") >= MIN_CLUSTER_SIZE)
+           .orderBy(F.desc("d"), "oa", "ob").limit(max_cross))
+    return [(r["ca"], r["cb"], r["d"]) for r in top.collect()]
+
+
+def far_pairs(cents: DataFrame, plan: Plan, max_cross: int) -> list:
+    """Farthest eligible cluster pairs for dense centroids (a theta self-join over k rows)."""
+    c = cents.join(pair_table(plan, cents.sparkSession), "cluster_id")
     a = c.select(F.col("cluster_id").alias("ca"), F.col("ord").alias("oa"), F.col("size").alias("na"),
                  F.col("centroid").alias("va"))
     b = c.select(F.col("cluster_id").alias("cb"), F.col("ord").alias("ob"), F.col("size").alias("nb"),
                  F.col("centroid").alias("vb"))
     pairs = (a.join(F.broadcast(b), F.col("oa") < F.col("ob"))
-             .where(F.least(F.lit(CROSS_SAMPLE_PER_SIDE), "na", "nb") >= MIN_CLUSTER_SIZE)
-             .select("ca", "cb", "oa", "ob", F.round(vdist("va", "vb"), 9).alias("d"))
-             .orderBy(F.desc("d"), "oa", "ob").limit(max_cross))
-    return [(r["ca"], r["cb"], r["d"]) for r in pairs.collect()]
+             .select("ca", "cb", "oa", "ob", "na", "nb", F.round(vdist("va", "vb"), 9).alias("d")))
+    return top_pairs(pairs, max_cross)
+
+
+def gram_pairs(gram, plan: Plan, spark: SparkSession) -> DataFrame:
+    """Pair distances from a k x k Gram matrix of the centroids: d^2 = G_aa + G_bb - 2 G_ab."""
+    rows = []
+    for i, a in enumerate(plan.order):
+        for j in range(i + 1, len(plan.order)):
+            b = plan.order[j]
+            d2 = gram[a][a] + gram[b][b] - 2 * gram[a][b]
+            rows.append((int(a), int(b), i, j, int(plan.sizes[a]), int(plan.sizes[b]),
+                         round(math.sqrt(max(d2, 0.0)), 9)))
+    return spark.createDataFrame(rows, "ca int, cb int, oa int, ob int, na long, nb long, d double")
 
 
 def cross_members(assign: DataFrame, pairs: list, plan: Plan, cfg: PipelineConfig, first_id: int) -> DataFrame:
@@ -280,13 +300,21 @@ def cross_members(assign: DataFrame, pairs: list, plan: Plan, cfg: PipelineConfi
 
 
 def neighborhoods(assign_vec: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, vec_col: str = "vec",
-                  cents: DataFrame | None = None, distances: DataFrame | None = None) -> Neighborhoods:
-    """Stage 2 over ``(idea_id, cluster_id, vec)``; returns long-form members and counts."""
+                  cents: DataFrame | None = None, distances: DataFrame | None = None,
+                  pair_fn=None) -> Neighborhoods:
+    """Stage 2 over ``(idea_id, cluster_id, vec)``; returns long-form members and counts.
+
+    ``distances`` (member -> own centroid) and ``pair_fn(plan) -> pair DataFrame`` let other
+    vector layouts (sparse) supply their own geometry.
+    """
     spark = assign_vec.sparkSession
     plan = plan_intra(cluster_sizes(assign_vec), cfg)
-    if cents is None:
-        cents = centroids_dense(assign_vec, vec_col)
-    pairs = far_pairs(cents, plan, cfg.max_cross_cluster_neighborhoods)
+    if pair_fn is not None:
+        pairs = top_pairs(pair_fn(plan), cfg.max_cross_cluster_neighborhoods)
+    else:
+        if cents is None:
+            cents = centroids_dense(assign_vec, vec_col)
+        pairs = far_pairs(cents, plan, cfg.max_cross_cluster_neighborhoods)
     n_cross = len(pairs)
     kept = cap_plan(plan.intra_total, n_cross, cfg.max_total_neighborhoods)
     remap = {old: new for new, old in enumerate(kept)}

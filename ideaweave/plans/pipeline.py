@@ -48,7 +48,7 @@ def stage1(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None
     n = vecs.n_docs
     k = km.effective_k(n, cfg.num_clusters)
     dim = vecs.vocab.count()
-    if k * max(dim, 1) * 8 <= km.MAX_BROADCAST_CENTROID_BYTES:
+    if k * max(dim, 1) * 8 <= min(cfg.centroid_broadcast_bytes, km.MAX_BROADCAST_CENTROID_BYTES):
         rows, dim = km.csr_rows(vecs.weights, vecs.docs, vecs.vocab)
         rows = cut_lineage(rows)
         res = km.kmeans_dense(rows, cfg.num_clusters, cfg.kmeans_max_iter, cfg.kmeans_seed, cfg.kmeans_init,
@@ -87,7 +87,7 @@ def stage2(s1: Stage1, cfg: PipelineConfig = DEFAULT_CONFIG) -> nbh.Neighborhood
     if s1.dense is not None:
         return nbh.neighborhoods(s1.assignments.join(s1.dense, "idea_id"), cfg)
     if s1.rows is None:
-        raise NotImplementedError("stage 2 over the relational k-means path needs a dense centroid bound")
+        return _stage2_relational(s1, cfg)
     counts, sums, _ = km._lloyd_partials(s1.rows, s1.centroids, None, ("idx", "w"))
     means = np.zeros_like(sums)
     nz = counts > 0
@@ -99,6 +99,38 @@ def stage2(s1: Stage1, cfg: PipelineConfig = DEFAULT_CONFIG) -> nbh.Neighborhood
     return nbh.neighborhoods(s1.assignments, cfg, cents=cents, distances=dist)
 
 
+def _stage2_relational(s1: Stage1, cfg: PipelineConfig) -> nbh.Neighborhoods:
+    """Stage 2 when the centroid matrix is too large to broadcast: everything stays long-form.
+
+    Centroids are a ``(cluster, term, cw)`` table; member distances join each member's weights
+    with its own cluster's centroid terms (a hot term is spread by the salted join); pair
+    distances come from the per-partition Gram matrix.
+    """
+    spark = s1.assignments.sparkSession
+    W = s1.vectors.weights
+    cent, sizes = km.centroids_sparse(W, s1.assignments)
+    cent = cut_lineage(cent)
+    k = max(sizes) + 1 if sizes else 0
+    c2 = km._c2(cent, k)
+    c2_map = F.create_map(*[x for c, v in c2.items() for x in (F.lit(int(c)), F.lit(float(v)))])
+    # Per-member sums are folded in term order (a member's terms are bounded by its document),
+    # so identical vectors always get bit-identical distances and tie-break by id.
+    def fold(col):
+        return F.aggregate(F.transform(F.array_sort(F.collect_list(F.struct("term", col.alias("v")))),
+                                       lambda x: x["v"]), F.lit(0.0), lambda acc, v: acc + v)
+
+    per = (W.join(s1.assignments, "idea_id").join(cent, ["cluster_id", "term"], "left")
+           .groupBy("idea_id").agg(fold(F.col("weight") * F.col("weight")).alias("x2"),
+                                   fold(F.coalesce(F.col("weight") * F.col("cw"), F.lit(0.0))).alias("dot")))
+    dist = (s1.assignments.join(per, "idea_id", "left")
+            .select("idea_id", "cluster_id",
+                    F.sqrt(F.greatest(F.lit(0.0), F.coalesce("x2", F.lit(0.0)) - 2 * F.coalesce("dot", F.lit(0.0))
+                                      + F.element_at(c2_map, F.col("cluster_id")))).alias("d")))
+    G = km.centroid_gram(cent, k)
+    return nbh.neighborhoods(s1.assignments, cfg, distances=dist,
+                             pair_fn=lambda plan: nbh.gram_pairs(G, plan, spark))
+
+
 class Result(NamedTuple):
     constellations: DataFrame
     patterns: DataFrame

@@ -57,3 +57,11 @@ def neighborhoods_dense(spark, d):
     from ..operators.embedders import create_embedder
     s1 = pl.stage1(td.ideas(spark, d), DEFAULT_CONFIG, create_embedder("hashing"))
     return pl.stage2(s1, DEFAULT_CONFIG).members
+
+
+@query("pipeline_neighborhoods_relational")
+def pipeline_neighborhoods_relational(spark, d):
+    """Stages 1-2 forced onto the relational path (as for a vocabulary too large to broadcast)."""
+    cfg = DEFAULT_CONFIG.replace(centroid_broadcast_bytes=0)
+    s1 = pl.stage1(td.ideas(spark, d), cfg)
+    return pl.stage2(s1, cfg).members

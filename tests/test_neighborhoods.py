@@ -60,3 +60,22 @@ def test_rank_within_spreads_a_hot_group(spark):
     n_hot = df.where(F.col("g") == 0).count()
     assert hot.agg(F.min("rank"), F.max("rank"), F.countDistinct("rank")).first() == (1, n_hot, n_hot)
     assert r.where(F.col("g") == 0).select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_relational_stage2_matches_matrix_path(spark, monkeypatch):
+    from ideaweave.operators import kmeans as km
+    from ideaweave.plans import pipeline as pl
+    topics = ["vector search engine", "garden tomato soil", "rust async runtime", "budget mobile app"]
+    rows = [(i, f"{topics[i % 4]} {i % 7}", f"notes on {topics[i % 4]} and {topics[(i * 3) % 4]} v{i % 5}",
+             "s", f"u{i}", "", "") for i in range(130)]
+    ideas = spark.createDataFrame(rows, "idea_id long, title string, description string, source string, url string, "
+                                        "category string, stack string")
+    cfg = DEFAULT_CONFIG.replace(num_clusters=5)
+    a = pl.stage2(pl.stage1(ideas, cfg), cfg)
+    rel = cfg.replace(centroid_broadcast_bytes=0)
+    s1 = pl.stage1(ideas, rel)
+    assert s1.rows is None  # relational path taken
+    b = pl.stage2(s1, rel)
+    key = lambda r: (r["neighborhood_id"], r["ordinal"], r["idea_id"])
+    assert sorted(map(key, a.members.collect())) == sorted(map(key, b.members.collect()))
+    assert (a.intra_count, a.cross_count) == (b.intra_count, b.cross_count)
