@@ -82,6 +82,11 @@ PH_HTML_SPARK = ("'<html><script>window.__NEXT_DATA__ = {\"props\": [' || regexp
                  "'{\"name\":\"$2\",\"tagline\":\"about $2\",\"url\":\"/posts/$1\"},') || ']}</script></html>'")
 
 
+PH_HTML_DUCK = ("'<html><script>window.__NEXT_DATA__ = {\"props\": [' || regexp_replace(regexp_extract(html, "
+                "'<ul>(.*?)</ul>', 1), '<li><a href=\"/([^\"]*)\">([^<]*)</a></li>', "
+                "'{\"name\":\"\\2\",\"tagline\":\"about \\2\",\"url\":\"/posts/\\1\"},', 'g') || ']}</script></html>'")
+
+
 def _payloads(df: DataFrame, source: str, payload: str, fetch_key: str, ord_expr: str) -> DataFrame:
     return df.selectExpr(f"'{source}' AS source", f"CAST({fetch_key} AS STRING) AS fetch_key",
                          f"{payload} AS payload", f"CAST({ord_expr} AS BIGINT) AS ord")
