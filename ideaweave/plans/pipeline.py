@@ -34,12 +34,39 @@ class Stage1(NamedTuple):
     centroids: object  # k x dim matrix (CSR/dense path) or centroid-term table (relational path)
     rows: DataFrame | None  # CSR rows (idea_id, idx, w) when the matrix path was used
     dense: DataFrame | None = None  # (idea_id, vec) when a dense embedder was used
+    reused: bool = False  # vectors came from the embedding cache
 
 
-def stage1(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None) -> Stage1:
-    """Embed the loadable ideas (TF-IDF by default) and cluster them with k-means."""
+def cached_tfidf(ideas: DataFrame, cfg: PipelineConfig, store: st.SnapshotStore | None, force: bool = False):
+    """TF-IDF vectors, reused from the store when every loadable idea has a cached vector.
+
+    The rule is all-or-nothing (IDF depends on N): one uncached idea re-embeds the corpus and
+    overwrites the cached tables. Returns (vectors, reused).
+    """
+    model = tf.TFIDF_MODEL
+    if store is not None and not force:
+        docs = store.read("tfidf_docs")
+        if docs is not None and not st.needs_full_reembed(ideas, docs.withColumn("model", F.lit(model)), model):
+            w, v = store.read("tfidf_weights"), store.read("tfidf_vocab")
+            n = docs.count()
+            return tf.Vectors(w.select("idea_id", "term", "weight"), docs.select("idea_id", "n_tokens"), v, n), True
+    vecs = tf.tfidf(ideas, cfg)
+    if store is not None:
+        store.write("tfidf_weights", vecs.weights.withColumn("model", F.lit(model)))
+        store.write("tfidf_docs", vecs.docs)
+        store.write("tfidf_vocab", vecs.vocab)
+    return vecs, False
+
+
+def stage1(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None,
+           store: st.SnapshotStore | None = None, force: bool = False) -> Stage1:
+    """Embed the loadable ideas (TF-IDF by default, cached in ``store``) and cluster them with k-means."""
     ideas = ingest.loadable(ideas)
-    vecs = tf.tfidf(ideas, cfg) if embedder is None else embedder.fit_transform(ideas)
+    reused = False
+    if embedder is None:
+        vecs, reused = cached_tfidf(ideas, cfg, store, force)
+    else:
+        vecs = embedder.fit_transform(ideas)
     if isinstance(vecs, DenseVectors):
         dense = cut_lineage(vecs.vectors)
         res = km.kmeans_dense(dense, cfg.num_clusters, cfg.kmeans_max_iter, cfg.kmeans_seed, cfg.kmeans_init,
@@ -53,10 +80,11 @@ def stage1(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None
         rows = cut_lineage(rows)
         res = km.kmeans_dense(rows, cfg.num_clusters, cfg.kmeans_max_iter, cfg.kmeans_seed, cfg.kmeans_init,
                               cfg.kmeans_empty, ("idx", "w"), n=n, dim=dim)
-        return Stage1(cut_lineage(res.assignments), vecs, res.k, res.iterations, res.centroids, rows)
+        return Stage1(cut_lineage(res.assignments), vecs, res.k, res.iterations, res.centroids, rows,
+                      reused=reused)
     res = km.kmeans_sparse(vecs.weights, vecs.docs, cfg.num_clusters, cfg.kmeans_max_iter, cfg.kmeans_seed,
                            cfg.kmeans_init, cfg.kmeans_empty, cfg.broadcast_max_rows, cfg.salt_buckets, n=n)
-    return Stage1(res.assignments, vecs, res.k, res.iterations, res.centroids, None)
+    return Stage1(res.assignments, vecs, res.k, res.iterations, res.centroids, None, reused=reused)
 
 
 def _member_distance(rows: DataFrame, assign: DataFrame, C: np.ndarray) -> DataFrame:
@@ -195,7 +223,7 @@ def run(ideas: DataFrame, responder: Callable, cfg: PipelineConfig = DEFAULT_CON
     """End-to-end run; returns DataFrames (nothing is collected but k-sized counters)."""
     loadable = ingest.loadable(ideas)
     total = report.require_min_ideas(loadable, 3) and loadable.count()
-    s1 = stage1(loadable, cfg, embedder)
+    s1 = stage1(loadable, cfg, embedder, store, force)
     s2 = stage2(s1, cfg)
     members = cut_lineage(s2.members)
     constellations, r3, h3 = stage3(members, loadable, responder, cfg, store, force)

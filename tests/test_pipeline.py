@@ -34,6 +34,11 @@ def test_run_and_cache_reuse(spark, tmpdir_path):
     assert m2["constellation_api_calls"] == m1["neighborhoods_total"] - groups_with_rows
     assert r2.constellations.count() == n1
     assert m2["pattern_api_calls"] == 0 or m2["pattern_cache_hits"] > 0
+    # the second run reused the cached vectors and found the same clusters
+    a1 = {r[0]: r[1] for r in pl.stage1(_ideas(spark), cfg, store=store).assignments.collect()}
+    s1b = pl.stage1(_ideas(spark), cfg, store=store)
+    assert s1b.reused and {r[0]: r[1] for r in s1b.assignments.collect()} == a1
+    assert len(set(a1.values())) <= 6 and set(a1) == set(range(1, 49))
     # every constellation id list names ideas from the corpus
     ids = {r[0] for r in r2.constellations.select(F.explode("idea_ids")).collect()}
     assert ids <= set(range(1, 49))
