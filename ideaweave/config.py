@@ -35,7 +35,8 @@ class PipelineConfig:
     salt_buckets: int = 32
     max_hash_members: int = 100_000
     max_prompt_ideas: int = 200
-    enforce_budget: bool = False
+    enforce_budget: bool = False  # skip the theme stage once discovery alone exceeds the budget
+    validate_replies: bool = False  # type in the enum, 3..6 ids, ids from the group
 
     def replace(self, **changes) -> "PipelineConfig":
         return dataclasses.replace(self, **changes)

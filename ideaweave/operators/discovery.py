@@ -281,9 +281,10 @@ def merge_cached_constellations(cached_hits: DataFrame, fresh: DataFrame, model:
 
 def call_counters(responses: DataFrame, hits: DataFrame | None = None, key: str = "group_hash") -> DataFrame:
     """cache_hits, api_calls, input/output tokens -- aggregates over the tables, not accumulators."""
-    calls = responses.agg(F.sum(F.when(F.col("status") == "ok", 1).otherwise(0)).cast("bigint").alias("api_calls"),
-                          F.sum("input_tokens").cast("bigint").alias("input_tokens"),
-                          F.sum("output_tokens").cast("bigint").alias("output_tokens"))
+    calls = responses.agg(
+        F.coalesce(F.sum(F.when(F.col("status") == "ok", 1).otherwise(0)), F.lit(0)).cast("bigint").alias("api_calls"),
+        F.coalesce(F.sum("input_tokens"), F.lit(0)).cast("bigint").alias("input_tokens"),
+        F.coalesce(F.sum("output_tokens"), F.lit(0)).cast("bigint").alias("output_tokens"))
     if hits is None:
         return calls.select(F.lit(0).cast("bigint").alias("cache_hits"), "*")
     h = hits.agg(F.countDistinct(key).cast("bigint").alias("cache_hits"))

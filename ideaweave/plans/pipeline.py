@@ -170,17 +170,28 @@ class Result(NamedTuple):
 
 def stage3(members: DataFrame, ideas: DataFrame, responder: Callable, cfg: PipelineConfig,
            store: st.SnapshotStore | None = None, force: bool = False):
+    """Discovery over neighbourhoods with the constellation cache.
+
+    The cache is append-only and tagged with ``run_id``; hits read the latest run per
+    (hash, prompt version), so a forced re-run adds a run instead of duplicating rows.
+    """
     prompts = disc.neighborhood_prompts(members, ideas)
-    cached = store.read("constellations") if store is not None else None
+    stored = store.read("constellations") if store is not None else None
+    cached = None if stored is None else st.latest_run(
+        stored.where(F.col("prompt_version") == DISCOVERY_PROMPT_VERSION), ["neighborhood_hash", "prompt_version"])
     if cached is not None and not force:
-        keys = cached.where(F.col("prompt_version") == DISCOVERY_PROMPT_VERSION).select(
-            F.col("neighborhood_hash").alias("group_hash")).distinct()
+        keys = cached.select(F.col("neighborhood_hash").alias("group_hash")).distinct()
         hits, todo = st.cache_split(prompts, keys, ["group_hash"])
     else:
         hits, todo = prompts.limit(0), prompts
     responses = cut_lineage(disc.respond(todo, responder, cfg.discovery_model, "constellations",
                                          DISCOVERY_PROMPT_VERSION, disc.DISCOVERY_SYSTEM, cfg.discovery_concurrency))
-    fresh = disc.parse_constellations(responses, cfg.min_constellation_score).rows
+    group_members = None
+    if cfg.validate_replies:
+        group_members = members.join(prompts.select("neighborhood_id", "group_hash"), "neighborhood_id") \
+            .select("group_hash", "idea_id")
+    fresh = disc.parse_constellations(responses, cfg.min_constellation_score, cfg.validate_replies,
+                                      group_members).rows
     if cached is not None and not force:
         hit_rows = cached.join(hits.select(F.col("group_hash").alias("neighborhood_hash")), "neighborhood_hash",
                                "left_semi")
@@ -188,7 +199,8 @@ def stage3(members: DataFrame, ideas: DataFrame, responder: Callable, cfg: Pipel
     else:
         out = fresh
     if store is not None:
-        store.write("constellations", fresh if cached is None else cached.unionByName(fresh, allowMissingColumns=True))
+        run_id = (store.latest("constellations") or 0) + 1
+        store.write("constellations", st.append_run(stored, fresh, run_id))
     return out, responses, hits
 
 
@@ -227,7 +239,13 @@ def run(ideas: DataFrame, responder: Callable, cfg: PipelineConfig = DEFAULT_CON
     s2 = stage2(s1, cfg)
     members = cut_lineage(s2.members)
     constellations, r3, h3 = stage3(members, loadable, responder, cfg, store, force)
-    patterns, r4, h4 = stage4(s1.assignments, loadable, responder, cfg, store, force)
+    if cfg.enforce_budget and led.cost_total(led.ledger_from_responses(r3)).first()[0] > cfg.cost_budget_usd:
+        no_prompts = disc.cluster_prompts(s1.assignments, loadable, cfg).limit(0)
+        r4 = disc.respond(no_prompts, responder, cfg.patterns_model, "patterns", PATTERNS_PROMPT_VERSION,
+                          disc.PATTERNS_SYSTEM, 1)
+        patterns, h4 = disc.parse_patterns(r4).rows, no_prompts
+    else:
+        patterns, r4, h4 = stage4(s1.assignments, loadable, responder, cfg, store, force)
     responses = r3.unionByName(r4)
     ledger = led.ledger_from_responses(responses)
     spark = ideas.sparkSession

@@ -49,3 +49,17 @@ def test_minimum_ideas(spark):
     few = _ideas(spark).limit(2)
     with pytest.raises(ValueError):
         pl.run(few, disc.fake_responder, DEFAULT_CONFIG)
+
+
+def test_forced_rerun_does_not_duplicate_and_budget(spark, tmpdir_path):
+    cfg = DEFAULT_CONFIG.replace(num_clusters=6, validate_replies=True)
+    store = SnapshotStore(spark, tmpdir_path)
+    r1 = pl.run(_ideas(spark), disc.fake_responder, cfg, store=store)
+    n1 = r1.constellations.count()
+    r2 = pl.run(_ideas(spark), disc.fake_responder, cfg, store=store, force=True)
+    assert r2.constellations.count() == n1
+    r3 = pl.run(_ideas(spark), disc.fake_responder, cfg, store=store)
+    assert r3.constellations.count() == n1 and r3.metadata.first()["constellation_cache_hits"] > 0
+    tight = cfg.replace(enforce_budget=True, cost_budget_usd=0.0)
+    m = pl.run(_ideas(spark), disc.fake_responder, tight).metadata.first()
+    assert m["pattern_api_calls"] == 0 and m["over_budget"]
