@@ -48,7 +48,7 @@ pr AS (SELECT l.ts, l.stage, l.input_tokens, l.output_tokens,
        FROM ledger_v l JOIN pricing_v p USING (model)),
 g AS (SELECT date_trunc('day', ts) AS ws, stage, sum(cost) AS cost, sum(input_tokens) AS input_tokens,
              sum(output_tokens) AS output_tokens FROM pr GROUP BY date_trunc('day', ts), stage)
-SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, stage, round(cost, 6) AS cost,
+SELECT CAST(epoch(ws) AS BIGINT) AS window_start, stage, round(cost, 6) AS cost,
        input_tokens::BIGINT AS input_tokens, output_tokens::BIGINT AS output_tokens
 FROM g WHERE ws + INTERVAL 1 DAY <= (SELECT max(ts) FROM pr) - INTERVAL 1 HOUR""")
 def stream_cost_windows(spark, d):
@@ -57,6 +57,6 @@ def stream_cost_windows(spark, d):
     out = jobs.scratch(spark, "cost-windows")
     jobs.run_to_table(jobs.cost_windows(td.ledger_from_events(ev)), jobs.scratch(spark, "ckpt-cost"), out)
     r = spark.read.parquet(out)
-    return r.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "stage",
+    return r.select(F.unix_seconds("w.start").alias("window_start"), "stage",
                     F.round("cost", 6).alias("cost"), F.col("input_tokens").cast("bigint"),
                     F.col("output_tokens").cast("bigint"))

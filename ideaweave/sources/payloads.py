@@ -30,7 +30,7 @@ HN_COMMON = ("'{\"id\": ' || CAST(event_id AS STRING) || ', \"url\": \"https://n
              "|| CAST(user_id AS STRING) || ', \"time\": ' || CAST({epoch} AS STRING) || ', \"type\": \"' "
              "|| CASE WHEN event_type = 'error' THEN 'comment' ELSE 'story' END || '\"' "
              "|| CASE WHEN event_type = 'purchase' AND user_id % 3 = 0 THEN ', \"dead\": true' ELSE '' END || '}'")
-HN_SPARK = HN_COMMON.replace("{epoch}", "unix_timestamp(CAST(ts AS TIMESTAMP))")
+HN_SPARK = HN_COMMON.replace("{epoch}", "timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)")
 HN_DUCK = HN_COMMON.replace("{epoch}", "CAST(epoch(ts) AS BIGINT)")
 
 # ---- betalist: pages with h2 titles, a tagline paragraph and a startup link inside the article

@@ -94,7 +94,10 @@ def start_ingest(spark: SparkSession, source_dir: str, schema, store_root: str,
 
 def cost_windows(ledger_stream: DataFrame, window: str = "1 day", delay: str = "1 hour") -> DataFrame:
     """Windowed cost and tokens per stage from a streaming ledger ``(ts, model, stage, tokens)``."""
-    ts = ledger_stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    # a timestamp_ntz wall time is taken as UTC, whatever the session time zone
+    ts = ledger_stream.withColumn(
+        "ts", F.col("ts") if dict(ledger_stream.dtypes)["ts"] == "timestamp"
+        else F.timestamp_micros(F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)")))
     priced = ts.join(F.broadcast(led.pricing(ledger_stream.sparkSession)), "model").withColumn("cost", led.cost_col())
     return (priced.withWatermark("ts", delay).groupBy(F.window("ts", window).alias("w"), "stage")
             .agg(F.sum("cost").alias("cost"), F.sum("input_tokens").alias("input_tokens"),
