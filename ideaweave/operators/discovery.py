@@ -19,9 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import (CONSTELLATION_TYPES, DEFAULT_CONFIG, DISCOVERY_DESCRIPTION_CHARS, DISCOVERY_PROMPT_VERSION,
-                      ERROR_TITLE, PATTERNS_DESCRIPTION_CHARS, PATTERNS_PROMPT_VERSION, RETRY_BASE_MS, RETRY_MAX,
-                      RETRY_MAX_MS, RETRY_STATUS, PipelineConfig)
+from ..config import (CONSTELLATION_TYPES, DEFAULT_CONFIG, DISCOVERY_DESCRIPTION_CHARS, ERROR_TITLE,
+                      PATTERNS_DESCRIPTION_CHARS, RETRY_BASE_MS, RETRY_MAX, RETRY_MAX_MS, RETRY_STATUS,
+                      PipelineConfig)
+from ..config import DISCOVERY_PROMPT_VERSION, PATTERNS_PROMPT_VERSION  # noqa: F401  (re-exported)
 from ..functions.text import item_line, outer_json_object, round_clamp_1_10, set_hash
 
 # ---------------------------------------------------------------------------

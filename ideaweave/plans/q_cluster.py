@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG
 from ..operators import kmeans as km
-from ..operators import tfidf as tf
 from ..sources import testdata as td
 from . import oracle_views as ov
 from .registry import query

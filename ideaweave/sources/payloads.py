@@ -9,7 +9,6 @@ expressions in DuckDB syntax for the oracle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .testdata import table
 

@@ -1,7 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
-
 from ideaweave.operators import discovery as disc
 
 CFG_MIN = 6

@@ -1,7 +1,5 @@
 import hashlib
 
-from pyspark.sql import functions as F
-
 from ideaweave.functions import text as tx
 
 

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from ideaweave.operators import ledger as led
 from ideaweave.operators import store as st

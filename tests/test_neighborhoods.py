@@ -63,7 +63,6 @@ def test_rank_within_spreads_a_hot_group(spark):
 
 
 def test_relational_stage2_matches_matrix_path(spark, monkeypatch):
-    from ideaweave.operators import kmeans as km
     from ideaweave.plans import pipeline as pl
     topics = ["vector search engine", "garden tomato soil", "rust async runtime", "budget mobile app"]
     rows = [(i, f"{topics[i % 4]} {i % 7}", f"notes on {topics[i % 4]} and {topics[(i * 3) % 4]} v{i % 5}",

@@ -1,7 +1,6 @@
 """queries() vs oracle_sql() on the smallest tables (the driver runs the same at sf0.01)."""
 
 import math
-import os
 
 import duckdb
 import pytest

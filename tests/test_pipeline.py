@@ -5,8 +5,6 @@ from ideaweave.operators import discovery as disc
 from ideaweave.operators.store import SnapshotStore
 from ideaweave.plans import pipeline as pl
 
-from .conftest import SF001
-
 
 def _ideas(spark):
     topics = ["vector database search", "static site generator", "rust async runtime", "llm agent framework",

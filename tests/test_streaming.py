@@ -5,8 +5,6 @@ from pyspark.sql import functions as F
 from ideaweave.operators.store import SnapshotStore
 from ideaweave.streaming import jobs
 
-from .conftest import SF001
-
 SCHEMA = "title string, description string, url string, source string, category string, stack string, ingest_ord long"
 
 
