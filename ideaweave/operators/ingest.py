@@ -87,7 +87,8 @@ def first_wins(raw: DataFrame, existing_urls: DataFrame | None, broadcast_max_ro
     if existing_urls is not None:
         stored = existing_urls.select("url").where(F.col("url") != "")
         batch_urls = winners.select("url")
-        if batch_urls.count() <= broadcast_max_rows:
+        # the batch's row count bounds its distinct urls and needs no shuffle to compute
+        if keyed.count() <= broadcast_max_rows:
             dups = stored.join(F.broadcast(batch_urls), "url").distinct()
             winners = winners.join(F.broadcast(dups), "url", "left_anti")
         else:
