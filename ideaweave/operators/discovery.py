@@ -286,7 +286,5 @@ def call_counters(responses: DataFrame, hits: DataFrame | None = None, key: str
         F.coalesce(F.sum(F.when(F.col("status") == "ok", 1).otherwise(0)), F.lit(0)).cast("bigint").alias("api_calls"),
         F.coalesce(F.sum("input_tokens"), F.lit(0)).cast("bigint").alias("input_tokens"),
         F.coalesce(F.sum("output_tokens"), F.lit(0)).cast("bigint").alias("output_tokens"))
-    if hits is None:
-        return calls.select(F.lit(0).cast("bigint").alias("cache_hits"), "*")
-    h = hits.agg(F.countDistinct(key).cast("bigint").alias("cache_hits"))
-    return h.crossJoin(calls)
+    n_hits = 0 if hits is None else hits.select(key).distinct().count()
+    return calls.select(F.lit(n_hits).cast("bigint").alias("cache_hits"), "*")

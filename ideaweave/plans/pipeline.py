@@ -249,21 +249,19 @@ def run(ideas: DataFrame, responder: Callable, cfg: PipelineConfig = DEFAULT_CON
     responses = r3.unionByName(r4)
     ledger = led.ledger_from_responses(responses)
     spark = ideas.sparkSession
-    c3 = disc.call_counters(r3, h3.select("group_hash"))
-    c4 = disc.call_counters(r4, h4.select("group_hash"))
-    cost = led.cost_total(ledger)
-    bytype = report.by_type_map(constellations)
-    n_const = constellations.agg(F.count(F.lit(1)).cast("bigint").alias("constellations_found"))
-    meta = (spark.createDataFrame([(int(total), s2.intra_count, s2.cross_count, s2.total)],
-                                  "total_ideas long, neighborhoods_intra int, neighborhoods_cross int, "
-                                  "neighborhoods_total int")
-            .crossJoin(n_const).crossJoin(bytype)
-            .crossJoin(c3.select(F.col("cache_hits").alias("constellation_cache_hits"),
-                                 F.col("api_calls").alias("constellation_api_calls")))
-            .crossJoin(c4.select(F.col("cache_hits").alias("pattern_cache_hits"),
-                                 F.col("api_calls").alias("pattern_api_calls")))
-            .crossJoin(cost.select(F.col("total_cost").alias("estimated_cost_usd")))
-            .withColumn("over_budget", F.col("estimated_cost_usd") > F.lit(cfg.cost_budget_usd)))
+    # the metadata row is built from scalars (each a small aggregate), not by joining one-row frames
+    c3 = disc.call_counters(r3, h3.select("group_hash")).first()
+    c4 = disc.call_counters(r4, h4.select("group_hash")).first()
+    cost = led.cost_total(ledger).first()[0]
+    bytype = {r[0]: r[1] for r in report.by_type(constellations).collect()}  # at most the distinct types
+    meta = spark.createDataFrame(
+        [(int(total), s2.intra_count, s2.cross_count, s2.total, sum(bytype.values()), bytype,
+          c3["cache_hits"], c3["api_calls"], c4["cache_hits"], c4["api_calls"], float(cost),
+          float(cost) > cfg.cost_budget_usd)],
+        "total_ideas long, neighborhoods_intra int, neighborhoods_cross int, neighborhoods_total int, "
+        "constellations_found long, constellations_by_type map<string,bigint>, constellation_cache_hits long, "
+        "constellation_api_calls long, pattern_cache_hits long, pattern_api_calls long, "
+        "estimated_cost_usd double, over_budget boolean")
     return Result(constellations, patterns, report.ideas_lookup(loadable), meta, responses, members)
 
 

@@ -68,10 +68,9 @@ SELECT (SELECT count(*) FROM documents)::BIGINT AS n_docs,
 """)
 def vocab_size(spark, d):
     v = tf.tfidf(td.ideas(spark, d))
-    dims = v.vocab.agg(F.count(F.lit(1)).alias("dimensions"))
-    nnz = v.weights.agg(F.count(F.lit(1)).alias("nnz"))
-    return dims.crossJoin(nnz).select(F.lit(v.n_docs).cast("bigint").alias("n_docs"),
-                                      F.col("dimensions").cast("bigint"), F.col("nnz").cast("bigint"))
+    # three scalars (counts) assembled into one row
+    return spark.createDataFrame([(v.n_docs, v.vocab.count(), v.weights.count())],
+                                 "n_docs bigint, dimensions bigint, nnz bigint")
 
 
 @query("tfidf_weights", f"""
