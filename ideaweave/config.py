@@ -37,6 +37,7 @@ class PipelineConfig:
     max_prompt_ideas: int = 200
     enforce_budget: bool = False  # skip the theme stage once discovery alone exceeds the budget
     validate_replies: bool = False  # type in the enum, 3..6 ids, ids from the group
+    cache_empty: bool = False  # cache a hidden sentinel for groups that produced nothing
 
     def replace(self, **changes) -> "PipelineConfig":
         return dataclasses.replace(self, **changes)
@@ -62,6 +63,7 @@ ARXIV_SUMMARY_CHARS = 400
 TOP_EXPLANATION_CHARS = 120
 RECENT_DAYS = 7
 ERROR_TITLE = "__ERROR__"
+EMPTY_TITLE = "__EMPTY__"  # our sentinel for a cached group without constellations (cache_empty)
 EXPORT_PROMPT_VERSION = "constellation_v3_sonnet"
 CONSTELLATION_TYPES = ("triangulation", "spectrum", "chain", "convergence", "absence")
 LCG_MULTIPLIER = 1664525

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import (CONSTELLATION_TYPES, DEFAULT_CONFIG, DISCOVERY_DESCRIPTION_CHARS, ERROR_TITLE,
+from ..config import (CONSTELLATION_TYPES, DEFAULT_CONFIG, DISCOVERY_DESCRIPTION_CHARS, EMPTY_TITLE, ERROR_TITLE,
                       PATTERNS_DESCRIPTION_CHARS, RETRY_BASE_MS, RETRY_MAX, RETRY_MAX_MS, RETRY_STATUS,
                       PipelineConfig)
 from ..config import DISCOVERY_PROMPT_VERSION, PATTERNS_PROMPT_VERSION  # noqa: F401  (re-exported)
@@ -268,6 +268,11 @@ def parse_patterns(responses: DataFrame) -> Parsed:
 # Merge with cache, counters
 # ---------------------------------------------------------------------------
 
+def merge_columns() -> list:
+    return ["neighborhood_hash", "item_ord", "constellation_type", "idea_ids", "title", "explanation", "score",
+            "actionability", "model", "prompt_version"]
+
+
 def merge_cached_constellations(cached_hits: DataFrame, fresh: DataFrame, model: str,
                                 extra: list | None = None) -> DataFrame:
     """Cached rows (minus ``__ERROR__`` placeholders) relabelled with the current model, plus fresh rows.
@@ -276,10 +281,23 @@ def merge_cached_constellations(cached_hits: DataFrame, fresh: DataFrame, model:
     """
     cols = ["neighborhood_hash", "constellation_type", "idea_ids", "title", "explanation", "score",
             "actionability", "model", "prompt_version"] + list(extra or [])
-    c = cached_hits.where(F.col("title") != ERROR_TITLE).withColumn("model", F.lit(model)).select(*cols)
+    c = (cached_hits.where(~F.col("title").isin(ERROR_TITLE, EMPTY_TITLE)).withColumn("model", F.lit(model))
+         .select(*cols))
     return c.unionByName(fresh.select(*cols))
 
 
+def empty_sentinels(responses: DataFrame, rows: DataFrame, model: str, version: str) -> DataFrame:
+    """One hidden row per answered group that yielded no constellation (for ``cache_empty``)."""
+    done = responses.where(F.col("status") == "ok").select(F.col("group_hash").alias("neighborhood_hash"))
+    empty = done.join(rows.select("neighborhood_hash"), "neighborhood_hash", "left_anti").distinct()
+    return empty.select("neighborhood_hash", F.lit(-1).cast("int").alias("item_ord"),
+                        F.lit(None).cast("string").alias("constellation_type"),
+                        F.array().cast("array<bigint>").alias("idea_ids"), F.lit(EMPTY_TITLE).alias("title"),
+                        F.lit("").alias("explanation"), F.lit(None).cast("double").alias("score"),
+                        F.lit(None).cast("int").alias("actionability"), F.lit(model).alias("model"),
+                        F.lit(version).alias("prompt_version"))
+
+
 def call_counters(responses: DataFrame, hits: DataFrame | None = None, key: str = "group_hash") -> DataFrame:
     """cache_hits, api_calls, input/output tokens -- aggregates over the tables, not accumulators."""
     calls = responses.agg(

@@ -89,7 +89,9 @@ def tfidf(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, n_docs: int |
     # The term-frequency table feeds both the document frequencies and the weights; keeping it
     # avoids scanning and tokenising the text a second time (and a third for the size check).
     tf = term_frequencies(toks).persist(StorageLevel.MEMORY_AND_DISK)
-    vocab = vocabulary(document_frequencies(tf), n_docs)
+    # the vocabulary (one row per kept term) feeds the size check, the weights and, in stage 1,
+    # the term index: compute it once
+    vocab = vocabulary(document_frequencies(tf), n_docs).persist(StorageLevel.MEMORY_AND_DISK)
     raw = _join_vocab(tf, vocab, cfg).select(
         "idea_id", "term", (F.col("tf").cast("double") / F.col("n_tokens") * F.col("idf")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("idea_id")))

@@ -200,7 +200,11 @@ def stage3(members: DataFrame, ideas: DataFrame, responder: Callable, cfg: Pipel
         out = fresh
     if store is not None:
         run_id = (store.latest("constellations") or 0) + 1
-        store.write("constellations", st.append_run(stored, fresh, run_id))
+        to_store = fresh.select(*disc.merge_columns())
+        if cfg.cache_empty:
+            to_store = to_store.unionByName(disc.empty_sentinels(responses, fresh, cfg.discovery_model,
+                                                                 DISCOVERY_PROMPT_VERSION))
+        store.write("constellations", st.append_run(stored, to_store, run_id))
     return out, responses, hits
 
 

@@ -61,3 +61,25 @@ def test_forced_rerun_does_not_duplicate_and_budget(spark, tmpdir_path):
     tight = cfg.replace(enforce_budget=True, cost_budget_usd=0.0)
     m = pl.run(_ideas(spark), disc.fake_responder, tight).metadata.first()
     assert m["pattern_api_calls"] == 0 and m["over_budget"]
+
+
+def test_cache_empty_sentinels(spark, tmpdir_path):
+    def picky(prompt, system):
+        text, a, b = disc.fake_responder(prompt, system)
+        return (text if "[ID:1]" in prompt else '{"constellations": []}'), a, b
+
+    cfg = DEFAULT_CONFIG.replace(num_clusters=6, cache_empty=True)
+    store = SnapshotStore(spark, tmpdir_path)
+    m1 = pl.run(_ideas(spark), picky, cfg, store=store).metadata.first()
+    m2 = pl.run(_ideas(spark), picky, cfg, store=store).metadata.first()
+    assert m2["constellation_api_calls"] == 0
+    assert m2["constellation_cache_hits"] == m1["neighborhoods_total"]
+    assert m2["constellations_found"] == m1["constellations_found"]
+
+
+def test_race_seeding(spark):
+    from ideaweave.operators import kmeans as km
+    df = spark.createDataFrame([(i, [float(i % 5), float(i % 3)]) for i in range(60)], "idea_id long, vec array<double>")
+    res = km.kmeans_dense(df, 5, init="race")
+    lab = {r[0]: r[1] for r in res.assignments.collect()}
+    assert set(lab) == set(range(60)) and 1 < len(set(lab.values())) <= 5
