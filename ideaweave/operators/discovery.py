@@ -97,7 +97,7 @@ def cluster_prompts(assign: DataFrame, ideas: DataFrame, cfg: PipelineConfig = D
     printed in id order, in parts of ``max_prompt_ideas``, so a huge cluster becomes several
     prompts that together still show every member -- no group is collected whole.
     """
-    from .neighborhoods import rank_within
+    from .ranking import rank_within
     if sizes is None:
         sizes = {r[0]: r[1] for r in assign.groupBy("cluster_id").count().collect()}
     keep = [c for c, n in sizes.items() if n >= 3]

@@ -32,51 +32,11 @@ from ..config import (CHUNK_SIZE, CROSS_SAMPLE_PER_SIDE, DEFAULT_CONFIG, MIN_CLU
 from ..functions.vector import dist as vdist
 from ..session import cut_lineage
 from .kmeans import lcg
+from .ranking import rank_within  # noqa: F401  (re-exported)
 
 NB_SCHEMA = "neighborhood_id int, kind string, ordinal int, idea_id long"
 
 
-# ---------------------------------------------------------------------------
-# ranks inside groups without a per-group task
-# ---------------------------------------------------------------------------
-
-def rank_within(df: DataFrame, group_col: str, order_cols: list, partitions: int | None = None) -> DataFrame:
-    """Adds ``rank`` (1-based) inside each group by ``order_cols`` (which must make rows unique).
-
-    Range-partitions by (group, order), fixes the partitions with a checkpoint, counts rows
-    per (partition, group), then numbers rows locally with an offset per (partition, group).
-    """
-    spark = df.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [group_col] + list(order_cols)
-    ranged = cut_lineage(df.repartitionByRange(p, *keys).sortWithinPartitions(*keys)
-                         .withColumn("_pid", F.spark_partition_id()))
-    counts = sorted((r[0], r[1], r[2]) for r in ranged.groupBy("_pid", group_col).count().collect())
-    offsets, seen = {}, {}
-    for pid, g, n in counts:
-        offsets[(pid, g)] = seen.get(g, 0)
-        seen[g] = seen.get(g, 0) + n
-    schema = T.StructType(ranged.schema.fields + [T.StructField("rank", T.LongType())])
-    order_names = [c if isinstance(c, str) else None for c in order_cols]
-
-    def fn(it):
-        local: dict = {}
-        for pdf in it:
-            if pdf.empty:
-                continue
-            if all(order_names):
-                pdf = pdf.sort_values([group_col] + order_names, kind="stable")
-            pid = int(pdf["_pid"].iloc[0])
-            ranks = []
-            for g in pdf[group_col].tolist():
-                key = (pid, g)
-                local[key] = local.get(key, 0) + 1
-                ranks.append(offsets.get(key, 0) + local[key])
-            yield pdf.assign(rank=ranks)
-
-    return ranged.mapInPandas(fn, schema).drop("_pid")
-
-
 # ---------------------------------------------------------------------------
 # centroids and distances (dense vectors)
 # ---------------------------------------------------------------------------
