@@ -50,3 +50,19 @@ SELECT source, fetched::BIGINT AS fetched, new::BIGINT AS new, (fetched - new -
 """)
 def ingest_report(spark, d):
     return _run(spark, d).report
+
+
+@query("ingest_json", f"""
+WITH {ov.RAW}
+SELECT DISTINCT url, title FROM raw_v""")
+def ingest_json(spark, d):
+    """Ideas file round trip: documents written as JSON lines, read back with the ideas reader, ingested.
+
+    Output is (url, title): copies share a url and a title, so it does not depend on which copy
+    a file split delivers first.
+    """
+    from ..streaming.jobs import scratch
+    path = scratch(spark, "ideas-json")
+    td.raw_items(spark, d).drop("ingest_ord").write.json(path)
+    raw = ing.read_ideas_json(spark, path, multi_line=False)
+    return ing.ingest(raw).new_ideas.select("url", "title")
