@@ -128,9 +128,28 @@ def parse_patterns(spark, d):
                     F.array_join(F.transform("idea_ids", lambda x: x.cast("string")), ",").alias("idea_ids"))
 
 
-@query("respond_fake")
+def _respond_sql() -> str:
+    from .registry import ORACLE
+    return f"""WITH np AS ({ORACLE["neighborhood_prompt"]}),
+f AS (SELECT group_hash, prompt, sha256(prompt) AS h,
+             list_slice(regexp_extract_all(prompt, '\\[ID:(\\d+)\\]', 1), 1, 3) AS ids FROM np),
+g AS (SELECT *, array_to_string(ids, ', ') AS idstr,
+             ['triangulation', 'spectrum', 'chain', 'convergence', 'absence'][(('0x' || substr(h, 1, 1))::INT % 5) + 1]
+               AS kind,
+             (('0x' || substr(h, 2, 2))::INT % 10) + 1 AS score,
+             (('0x' || substr(h, 4, 2))::INT % 14) + 0.5 AS act FROM f),
+t AS (SELECT *, 'Here is what I found:' || chr(10) || '{{"constellations": [{{"type": "' || kind
+                || '", "idea_ids": [' || idstr || '], "title": "group ' || substr(h, 1, 6)
+                || '", "explanation": "items [' || idstr || ']", "score": ' || score
+                || CASE WHEN kind = 'absence' THEN ', "actionability": ' || act ELSE '' END || '}}]}}' AS text FROM g)
+SELECT group_hash, 'ok' AS status, (length(prompt) // 4)::BIGINT AS input_tokens,
+       (length(text) // 4)::BIGINT AS output_tokens, text FROM t"""
+
+
+@query("respond_fake", _respond_sql())
 def respond_fake(spark, d):
-    """Responder applied to every neighbourhood prompt (fake model, bounded concurrency)."""
+    """Responder applied to every neighbourhood prompt (stand-in model, bounded concurrency)."""
     prompts = neighborhood_prompt(spark, d)
-    return disc.respond(prompts, disc.fake_responder, DEFAULT_CONFIG.discovery_model, "constellations",
-                        "iw_discovery_v1", disc.DISCOVERY_SYSTEM, DEFAULT_CONFIG.discovery_concurrency)
+    r = disc.respond(prompts, disc.fake_responder, DEFAULT_CONFIG.discovery_model, "constellations",
+                     "iw_discovery_v1", disc.DISCOVERY_SYSTEM, DEFAULT_CONFIG.discovery_concurrency)
+    return r.select("group_hash", "status", "input_tokens", "output_tokens", "text")
