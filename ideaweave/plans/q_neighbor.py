@@ -121,7 +121,39 @@ def neighborhood_counts(spark, d):
     return nbh.neighborhoods(td.fixed_assignments(spark, d), CAP_CFG).counts
 
 
-@query("neighborhoods_lcg")
+def _lcg_sql(cfg) -> str:
+    """Stage 2 with the exact sequential draws: a recursive CTE advances the 32-bit LCG one draw
+    per step, rejecting repeated positions, side A then side B of each accepted pair."""
+    return _sql("label", cfg) + f""",
+draws AS (
+  WITH RECURSIVE r(p, side, s, got, fp, fs, fg) AS (
+    SELECT 0, 0, {cfg.cross_seed}::BIGINT, []::BIGINT[], NULL::INT, NULL::INT, NULL::BIGINT[]
+    UNION ALL
+    SELECT CASE WHEN q.done AND q.side = 1 THEN q.p + 1 ELSE q.p END,
+           CASE WHEN q.done THEN 1 - q.side ELSE q.side END,
+           q.s2, CASE WHEN q.done THEN []::BIGINT[] ELSE q.got2 END,
+           CASE WHEN q.done THEN q.p END, CASE WHEN q.done THEN q.side END, CASE WHEN q.done THEN q.got2 END
+    FROM (SELECT r.p, r.side, t.s2,
+                 CASE WHEN list_contains(r.got, t.idx) THEN r.got ELSE list_append(r.got, t.idx) END AS got2,
+                 len(CASE WHEN list_contains(r.got, t.idx) THEN r.got ELSE list_append(r.got, t.idx) END) >= t.n AS done
+          FROM r JOIN pairs pr ON pr.p = r.p,
+          LATERAL (SELECT (r.s * 1664525 + 1013904223) % 4294967296 AS s2,
+                          floor(((r.s * 1664525 + 1013904223) % 4294967296)::DOUBLE / 4294967295::DOUBLE
+                                * (CASE WHEN r.side = 0 THEN pr.na ELSE pr.nb_ END)::DOUBLE)::BIGINT AS idx,
+                          least(4, pr.na, pr.nb_) AS n) t) q)
+  SELECT fp AS p, fs AS side, fg AS got FROM r WHERE fp IS NOT NULL),
+picks AS (SELECT d.p, d.side, unnest(d.got) AS idx, unnest(range(len(d.got))) AS j,
+                 least(4, pr.na, pr.nb_) AS n, CASE WHEN d.side = 0 THEN pr.ca ELSE pr.cb END AS cluster_id
+          FROM draws d JOIN pairs pr USING (p)),
+ranked_all AS (SELECT idea_id, cluster_id, row_number() OVER (PARTITION BY cluster_id ORDER BY idea_id) - 1 AS pos
+               FROM asg),
+cross_lcg AS (SELECT ((SELECT k FROM n_kept) + k.p)::INT AS nb, (k.side * k.n + k.j)::INT AS ordinal, ra.idea_id
+              FROM picks k JOIN ranked_all ra ON ra.cluster_id = k.cluster_id AND ra.pos = k.idx)"""
+
+
+@query("neighborhoods_lcg", _lcg_sql(DEFAULT_CONFIG) + """
+SELECT new_nb::INT AS neighborhood_id, 'intra' AS kind, ordinal, idea_id FROM kept
+UNION ALL SELECT nb, 'cross', ordinal, idea_id FROM cross_lcg""")
 def neighborhoods_lcg(spark, d):
     """Stage 2 with the exact sequential cross-sample draws (default config)."""
     return nbh.neighborhoods(td.fixed_assignments(spark, d), DEFAULT_CONFIG).members
