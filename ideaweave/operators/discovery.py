@@ -71,21 +71,25 @@ def patterns_prompt(text) -> F.Column:
 # Group text and prompts
 # ---------------------------------------------------------------------------
 
-def neighborhood_prompts(members: DataFrame, ideas: DataFrame) -> DataFrame:
+def neighborhood_prompts(members: DataFrame, ideas: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """One prompt per neighbourhood: (neighborhood_id, group_hash, n_items, prompt).
 
     Groups are bounded (<= 41 members), so collecting a group's lines is safe. Unknown ids
-    are dropped from the text but counted in ``n_items`` and included in the hash.
+    are dropped from the text but counted in ``n_items`` and included in the hash. The member
+    list (at most max_total x 41 rows, size-checked) is broadcast against the ideas table, so
+    the corpus is scanned once and never shuffled to find a few thousand lines.
     """
-    lines = members.join(ideas.select("idea_id", item_line(chars=DISCOVERY_DESCRIPTION_CHARS).alias("line")),
-                         "idea_id", "left")
-    g = lines.groupBy("neighborhood_id").agg(
-        set_hash(F.collect_list("idea_id")).alias("group_hash"),
-        F.count(F.lit(1)).alias("n_items"),
+    stats = members.groupBy("neighborhood_id").agg(set_hash(F.collect_list("idea_id")).alias("group_hash"),
+                                                   F.count(F.lit(1)).alias("n_items"))
+    m = members.select("neighborhood_id", "ordinal", "idea_id")
+    small = F.broadcast(m) if m.count() <= broadcast_max_rows else m
+    lines = ideas.select("idea_id", item_line(chars=DISCOVERY_DESCRIPTION_CHARS).alias("line")).join(small, "idea_id")
+    text = lines.groupBy("neighborhood_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "line"))), lambda x: x["line"]),
                      "\n").alias("text"))
+    g = stats.join(text, "neighborhood_id", "left")
     return g.select("neighborhood_id", "group_hash", F.col("n_items").cast("bigint"),
-                    discovery_prompt(F.col("n_items"), F.col("text")).alias("prompt"))
+                    discovery_prompt(F.col("n_items"), F.coalesce(F.col("text"), F.lit(""))).alias("prompt"))
 
 
 def cluster_prompts(assign: DataFrame, ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG,

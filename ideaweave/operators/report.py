@@ -25,10 +25,17 @@ def top_constellations(constellations: DataFrame, n: int = 5) -> DataFrame:
                       F.substring(F.coalesce("explanation", F.lit("")), 1, TOP_EXPLANATION_CHARS).alias("explanation"))
 
 
-def member_titles(constellations: DataFrame, ideas: DataFrame) -> DataFrame:
-    """Titles of each constellation's ids, in order; an unknown id is shown as the id."""
+def member_titles(constellations: DataFrame, ideas: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+    """Titles of each constellation's ids, in order; an unknown id is shown as the id.
+
+    The exploded ids are the small side: below the checked bound they are broadcast against
+    the ideas table (scanned, not shuffled); the title lookup is then merged back in order.
+    """
     ex = constellations.select("neighborhood_hash", "item_ord", F.posexplode("idea_ids").alias("pos", "idea_id"))
-    j = ex.join(ideas.select("idea_id", "title"), "idea_id", "left")
+    ids = ex.select("idea_id").distinct()
+    small = F.broadcast(ids) if ids.count() <= broadcast_max_rows else ids
+    titles = ideas.select("idea_id", "title").join(small, "idea_id")
+    j = ex.join(titles, "idea_id", "left")
     return (j.groupBy("neighborhood_hash", "item_ord")
             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(
                 F.struct("pos", F.coalesce("title", F.col("idea_id").cast("string")).alias("t")))), lambda x: x["t"]),
