@@ -89,12 +89,22 @@ def upsert_latest(rows: DataFrame, key: list, seq_col: str = "write_seq") -> Dat
             .select(*key, "_r.*"))
 
 
-def cache_split(requests: DataFrame, cache: DataFrame, key: list, force: bool = False):
-    """(hits, misses): requests found in the cache / to compute. ``force`` treats all as misses."""
+def cache_split(requests: DataFrame, cache: DataFrame, key: list, force: bool = False,
+                broadcast_max_rows: int = 2_000_000):
+    """(hits, misses): requests found in the cache / to compute. ``force`` treats all as misses.
+
+    A run's requests are few while the cache grows with every run: below the checked bound
+    the request keys are broadcast against the cache (scanned, never shuffled) and only the
+    keys found come back, themselves broadcast into the semi / anti joins.
+    """
     if force:
         return requests.limit(0), requests
-    keys = cache.select(*key).distinct()
-    return requests.join(keys, key, "left_semi"), requests.join(keys, key, "left_anti")
+    req = requests.select(*key).distinct()
+    if req.count() <= broadcast_max_rows:
+        found = F.broadcast(cache.select(*key).join(F.broadcast(req), key).distinct())
+    else:
+        found = cache.select(*key).distinct()
+    return requests.join(found, key, "left_semi"), requests.join(found, key, "left_anti")
 
 
 def append_run(cache: DataFrame | None, rows: DataFrame, run_id: int) -> DataFrame:
