@@ -3,9 +3,36 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ideaweave`` importable in Python workers (``addPyFile`` of a zip of the package).
+
+    Functions run by ``mapInPandas`` / pandas UDFs are pickled by reference, so executors need
+    the package; this is what ``--py-files`` does for a submitted job. Once per application.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="iw-pyfiles-"), "ideaweave.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "ideaweave",
                   extra: dict | None = None) -> SparkSession:
@@ -29,6 +56,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
