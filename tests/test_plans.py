@@ -41,3 +41,10 @@ def test_per_fetch_caps_limit_before_shuffle(spark):
 def test_first_wins_is_partial_aggregate(spark):
     plan = _plan(spark, "export_ideas")
     assert "partial_min_by" in plan
+
+
+def test_prompt_lines_stream_the_ideas_table(spark):
+    plan = _plan(spark, "neighborhood_prompt")
+    # the bounded member list is broadcast; the documents scan feeds a broadcast hash join
+    assert "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning(idea_id" not in plan
