@@ -47,12 +47,14 @@ def cached_tfidf(ideas: DataFrame, cfg: PipelineConfig, store: st.SnapshotStore
     if store is not None and not force:
         docs = store.read("tfidf_docs")
         if docs is not None and not st.needs_full_reembed(ideas, docs.withColumn("model", F.lit(model)), model):
-            w, v = store.read("tfidf_weights"), store.read("tfidf_vocab")
+            # partitioned by model: the filter prunes other models' folders at the scan
+            w = store.read("tfidf_weights").where(F.col("model") == model)
+            v = store.read("tfidf_vocab")
             n = docs.count()
             return tf.Vectors(w.select("idea_id", "term", "weight"), docs.select("idea_id", "n_tokens"), v, n), True
     vecs = tf.tfidf(ideas, cfg)
     if store is not None:
-        store.write("tfidf_weights", vecs.weights.withColumn("model", F.lit(model)))
+        store.write("tfidf_weights", vecs.weights.withColumn("model", F.lit(model)), partition_by=["model"])
         store.write("tfidf_docs", vecs.docs)
         store.write("tfidf_vocab", vecs.vocab)
     return vecs, False
