@@ -80,3 +80,13 @@ def require_min_ideas(ideas: DataFrame, n: int = 3) -> int:
     if got < n:
         raise ValueError(f"Need at least {n} ideas to run the pipeline. Found {got}.")
     return got
+
+
+def export_counts(source: dict, exported: dict) -> DataFrame:
+    """Per exported table: rows read from the source and rows actually written (both reported).
+
+    ``source`` / ``exported`` map a table name to a DataFrame; each count is one aggregate.
+    """
+    spark = next(iter(source.values())).sparkSession
+    rows = [(name, int(source[name].count()), int(exported[name].count())) for name in source]
+    return spark.createDataFrame(rows, "table_name string, source_rows long, exported_rows long")

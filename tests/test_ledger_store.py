@@ -49,3 +49,15 @@ def test_pattern_upsert_and_split(spark):
     assert [r[0] for r in hits.collect()] == ["a"] and [r[0] for r in miss.collect()] == ["b"]
     hits, miss = st.cache_split(req, cache, ["k"], force=True)
     assert hits.count() == 0 and miss.count() == 2
+
+
+def test_export_counts_report_both(spark):
+    from ideaweave.operators import report as rep
+    ideas = spark.createDataFrame([(1, "a", "d", "s", "", "x", ""), (2, "b", "d", "s", "", "y", ""),
+                                   (3, "c", "d", "s", "u", "z", "")],
+                                  "idea_id long, title string, description string, source string, url string, "
+                                  "category string, stack string")
+    out = rep.export_ideas(ideas)  # empty urls collapse to the first id
+    assert sorted(r["id"] for r in out.collect()) == [1, 3]
+    got = rep.export_counts({"ideas": ideas}, {"ideas": out}).collect()
+    assert [(r[0], r[1], r[2]) for r in got] == [("ideas", 3, 2)]
