@@ -53,11 +53,11 @@ def term_df(spark, d):
 
 @query("vocabulary", f"""
 WITH {ov.TOKENS}
-SELECT term, df::BIGINT AS df, round(idf, 9) AS idf FROM vocab_v
+SELECT term, df::BIGINT AS df, round(idf, 6) AS idf FROM vocab_v
 """)
 def vocabulary(spark, d):
     v = tf.tfidf(td.ideas(spark, d)).vocab
-    return v.select("term", F.col("df").cast("bigint"), F.round("idf", 9).alias("idf"))
+    return v.select("term", F.col("df").cast("bigint"), F.round("idf", 6).alias("idf"))
 
 
 @query("vocab_size", f"""
