@@ -13,6 +13,7 @@ Texts are known by a 128-bit hash; equal texts share one result, which is joined
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
@@ -92,14 +93,18 @@ def keyed(df: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def segments(docs: DataFrame, units: Units) -> DataFrame:
-    """One row per segment of every text: anchor, digest, length, place."""
+    """One row per segment of every text: anchor, digest, length, place and ``n``, the rows of this
+    batch that have the text (equal texts of a batch are cut once)."""
     size = units.size
 
     def run(batches):
         for b in batches:
-            out: list[list] = [[] for _ in range(6)]
-            k1s, k2s = b.column(1).to_numpy(), b.column(2).to_numpy()
-            for i, v in enumerate(b.column(0)):
+            out: list[list] = [[] for _ in range(7)]
+            keys = Counter(zip(b.column(1).to_pylist(), b.column(2).to_pylist()))
+            for k1, k2, v in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(0)):
+                times = keys.pop((k1, k2), 0)
+                if not times:
+                    continue
                 data, begin, end = units.split(v.as_py())
                 if len(begin) < size:
                     continue
@@ -110,14 +115,14 @@ def segments(docs: DataFrame, units: Units) -> DataFrame:
                 out[1].append(np.fromiter((xxhash.xxh3_64_intdigest(data[x:y]) for x, y in zip(a, z)), np.uint64, len(a)).view(np.int64))
                 out[2].append((last - first + size).astype(np.int32))
                 out[3].append(first.astype(np.int32))
-                out[4].append(np.full(len(a), k1s[i]))
-                out[5].append(np.full(len(a), k2s[i]))
+                for column, value in zip(out[4:], (k1, k2, times)):
+                    column.append(np.full(len(a), value, np.int64))
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out],
-                                                 names=["anchor", "seg", "len", "at", "k1", "k2"])
+                                                 names=["anchor", "seg", "len", "at", "k1", "k2", "n"])
 
     return docs.select("text", "k1", "k2").mapInArrow(
-        run, "anchor long, seg long, len int, at int, k1 long, k2 long")
+        run, "anchor long, seg long, len int, at int, k1 long, k2 long, n long")
 
 
 SPANS = "anchor long, seg long, len int, spans array<struct<start:int,end:int>>"
@@ -142,9 +147,9 @@ def repeated_spans(docs: DataFrame, units: Units, search: Callable[[list[bytes]]
     """
     spark, size = docs.sparkSession, units.size
     occ = materialise(segments(docs, units), "seg")
-    twice = occ.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
+    twice = occ.groupBy("anchor").agg(F.sum("n").alias("c")).where("c > 1").select("anchor")
     places = materialise(occ.join(twice, "anchor")
-                         .groupBy("anchor", "seg", "len", "k1", "k2", "at").agg(F.count("*").alias("n")), "seg-places")
+                         .groupBy("anchor", "seg", "len", "k1", "k2", "at").agg(F.sum("n").alias("n")), "seg-places")
     kinds = places.groupBy("anchor", "seg", "len").agg(
         F.sum("n").alias("n"), F.min(F.struct("k1", "k2", "at")).alias("loc"))
     per_anchor = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"))
