@@ -13,8 +13,8 @@ class PipelineConfig:
     num_clusters: int = 30
     max_neighborhood_size: int = 30  # declared upstream but never read; the rule below uses 30
     min_neighborhood_size: int = 20
-    max_cross_cluster_neighborhoods: int = 10
-    max_total_neighborhoods: int = 50
+    max_cross_cluster_neighborhoods: int | None = None  # None: every eligible pair (upstream: 10)
+    max_total_neighborhoods: int | None = None  # None: all (upstream: 50)
     discovery_model: str = "claude-sonnet-4-5-20250929"
     patterns_model: str = "claude-opus-4-5-20251101"
     min_constellation_score: float = 6
@@ -44,7 +44,7 @@ class PipelineConfig:
 
 
 DEFAULT_CONFIG = PipelineConfig()
-WEEKLY_CONFIG = DEFAULT_CONFIG.replace(num_clusters=15, max_total_neighborhoods=25)
+WEEKLY_CONFIG = DEFAULT_CONFIG.replace(num_clusters=15, max_cross_cluster_neighborhoods=10, max_total_neighborhoods=25)
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reproduced behaviour for identical results)
@@ -56,11 +56,12 @@ CROSS_SAMPLE_PER_SIDE = 4
 TFIDF_MIN_DF = 2
 TFIDF_MAX_DF_FRACTION = 0.8
 TFIDF_MODEL = "tfidf_v1"
-EMBED_DESCRIPTION_CHARS = 500
-DISCOVERY_DESCRIPTION_CHARS = 300
-PATTERNS_DESCRIPTION_CHARS = 200
-ARXIV_SUMMARY_CHARS = 400
-TOP_EXPLANATION_CHARS = 120
+# Optional cuts; None: the whole text (upstream: 500, 300, 200, 400, 120)
+EMBED_DESCRIPTION_CHARS: int | None = None
+DISCOVERY_DESCRIPTION_CHARS: int | None = None
+PATTERNS_DESCRIPTION_CHARS: int | None = None
+ARXIV_SUMMARY_CHARS: int | None = None
+TOP_EXPLANATION_CHARS: int | None = None
 RECENT_DAYS = 7
 ERROR_TITLE = "__ERROR__"
 EMPTY_TITLE = "__EMPTY__"  # our sentinel for a cached group without constellations (cache_empty)
@@ -85,13 +86,14 @@ MODEL_PRICING = (
 
 # Source normaliser constants
 HN_MIN_SCORE = 30
-HN_MAX_POLL = 500
-HN_TARGET = 400
-PH_HTML_MAX = 20
-YC_MAX = 25
-BETALIST_MAX = 20
-PWC_MAX = 20
-HF_LIMITS = (("model", 100), ("space", 50), ("dataset", 50))
+# Optional caps on items of a fetch; None: all (upstream: 500, 400, 20, 25, 20, 20 and 100 / 50 / 50)
+HN_MAX_POLL: int | None = None
+HN_TARGET: int | None = None
+PH_HTML_MAX: int | None = None
+YC_MAX: int | None = None
+BETALIST_MAX: int | None = None
+PWC_MAX: int | None = None
+HF_LIMITS: tuple = (("model", None), ("space", None), ("dataset", None))
 
 # Our own prompt versions (the prompt wording is our own)
 DISCOVERY_PROMPT_VERSION = "iw_discovery_v1"

@@ -12,6 +12,11 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def cut(x, chars: int | None) -> Column:
+    """The first ``chars`` characters; None: the whole text."""
+    return _c(x) if chars is None else F.substring(_c(x), 1, chars)
+
+
 def strip_tags(x) -> Column:
     """Remove markup tags, then trim all leading/trailing whitespace (incl. tabs, newlines, NBSP)."""
     return js_trim(F.regexp_replace(_c(x), "<[^>]+>", ""))
@@ -34,12 +39,13 @@ def or_default(x, default: str) -> Column:
     return F.coalesce(empty_to_null(x), F.lit(default))
 
 
-def embed_document(title="title", category="category", description="description") -> Column:
-    """``title + ' ' + category + ' ' + description[:500]``."""
+def embed_document(title="title", category="category", description="description",
+                   chars: int | None = EMBED_DESCRIPTION_CHARS) -> Column:
+    """``title + ' ' + category + ' ' + description`` (its first ``chars`` characters; None: all)."""
     return F.concat(
         F.coalesce(_c(title), F.lit("")), F.lit(" "),
         F.coalesce(_c(category), F.lit("")), F.lit(" "),
-        F.substring(F.coalesce(_c(description), F.lit("")), 1, EMBED_DESCRIPTION_CHARS),
+        cut(F.coalesce(_c(description), F.lit("")), chars),
     )
 
 
@@ -49,13 +55,13 @@ def tokenize(doc) -> Column:
 
 
 def item_line(idea_id="idea_id", title="title", source="source", category="category",
-              description="description", chars: int = 300) -> Column:
-    """``[ID:n] "title" (source, category): description[:chars]``."""
+              description="description", chars: int | None = None) -> Column:
+    """``[ID:n] "title" (source, category): description`` (fixed line format; ``chars`` None: whole)."""
     return F.concat(
         F.lit("[ID:"), _c(idea_id).cast("string"), F.lit('] "'), F.coalesce(_c(title), F.lit("")),
         F.lit('" ('), F.coalesce(_c(source), F.lit("")), F.lit(", "),
         or_default(category, "uncategorized"), F.lit("): "),
-        F.substring(F.coalesce(_c(description), F.lit("")), 1, chars),
+        cut(F.coalesce(_c(description), F.lit("")), chars),
     )
 
 
@@ -72,7 +78,3 @@ def round_clamp_1_10(x) -> Column:
 def outer_json_object(text) -> Column:
     """Greedy outermost JSON object: from the first '{' to the last '}' ('' if none)."""
     return F.regexp_extract(_c(text), r"(?s)\{.*\}", 0)
-
-
-def recent(ts, as_of, days: int = 7) -> Column:
-    return _c(ts) >= (F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS"))

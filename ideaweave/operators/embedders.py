@@ -90,5 +90,5 @@ def register_embedder(name: str, factory: Callable[[], object]) -> None:
 
 def create_embedder(name: str):
     if name not in _REGISTRY:
-        raise ValueError(f"Unknown embedder: {name}. Available: {', '.join(_REGISTRY)}")
+        raise ValueError(f"no embedder is registered as {name!r}; registered: {sorted(_REGISTRY)}")
     return _REGISTRY[name]()

@@ -35,16 +35,27 @@ def read_ideas_json(spark: SparkSession, path: str, multi_line: bool = True) ->
         first = F.regexp_extract(F.col("value"), r"^\s*(\S)", 1)
         arr = F.from_json(F.col("value"), T.ArrayType(RAW_SCHEMA))
         obj = F.from_json(F.col("value"), wrapped)
-        # one row per file here, so ranking files is a window over the file count only
         items = txt.select(F.when(first == "[", arr).otherwise(obj.getField("ideas")).alias("items"),
-                           F.dense_rank().over(Window.orderBy(F.input_file_name())).alias("_f"))
-        df = items.select("_f", F.posexplode(F.coalesce("items", F.array())).alias("_pos", "item"))
-        df = df.select("item.*", (F.col("_f").cast("bigint") * F.lit(1 << 32) + F.col("_pos")).alias("ingest_ord"))
+                           F.col("_metadata.file_path").alias("_path"))
+        df = items.select("_path", F.posexplode(F.coalesce("items", F.array())).alias("_pos", "item"))
+        df = df.select("item.*", "_path", F.col("_pos").cast("bigint").alias("_at"))
     else:
-        df = spark.read.schema(RAW_SCHEMA).json(path).withColumn("ingest_ord", F.monotonically_increasing_id())
+        # a block of a file is read by one task from its start, so rows keep their order inside it,
+        # and a block's start is above the row count of the blocks before it (a row has a byte or more)
+        rows = spark.read.schema(RAW_SCHEMA).json(path).select(
+            "*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"))
+        begin = (rows.groupBy("_path", "_block").agg(F.min("_row").alias("_begin"))
+                 .select(F.col("_path").alias("_p"), F.col("_block").alias("_b"), "_begin"))
+        df = (rows.join(begin, (F.col("_path") == F.col("_p")) & (F.col("_block") == F.col("_b")))
+              .select(*[f.name for f in RAW_SCHEMA], "_path", (F.col("_block") + F.col("_row") - F.col("_begin")).alias("_at")))
     if df.isEmpty():
-        raise ValueError("No ideas found in file.")
-    return df
+        raise ValueError(f"nothing to ingest below {path}")
+    # only the file names are numbered, not their contents
+    files = (df.select("_path").distinct()
+             .select(F.col("_path").alias("_p"), F.row_number().over(Window.orderBy("_path")).alias("_f")))
+    return df.join(files, F.col("_path") == F.col("_p")).select(
+        *[f.name for f in RAW_SCHEMA], (F.col("_f").cast("bigint") * F.lit(1 << 40) + F.col("_at")).alias("ingest_ord"))
 
 
 def loadable(ideas: DataFrame) -> DataFrame:
@@ -82,7 +93,7 @@ def first_wins(raw: DataFrame, existing_urls: DataFrame | None, broadcast_max_ro
     keyed = ok.where(F.col("url") != "")
     blank = ok.where(F.col("url") == "")
     winners = (keyed.groupBy("url").agg(F.min_by(F.struct(*[c for c in keyed.columns if c != "url"]),
-                                                 F.col("ingest_ord")).alias("w"))
+                                                 F.struct("ingest_ord", "source", "title", "description")).alias("w"))
                .select("url", "w.*"))
     if existing_urls is not None:
         stored = existing_urls.select("url").where(F.col("url") != "")
@@ -143,11 +154,12 @@ def ingest(raw: DataFrame, existing: DataFrame | None = None, max_existing_id: i
 
 
 def ingest_report(norm: DataFrame, new: DataFrame) -> DataFrame:
-    """Per source and total: fetched, new, duplicates, rejected (a rollup over one join)."""
-    flagged = norm.join(new.select("ingest_ord", F.lit(1).alias("is_new")), "ingest_ord", "left")
-    rep = (flagged.rollup("source").agg(
-        F.count(F.lit(1)).alias("fetched"),
-        F.sum(F.coalesce("is_new", F.lit(0))).alias("new"),
+    """Per source and total: fetched, new, duplicates, rejected (one aggregate, no join of rows)."""
+    both = (norm.select("source", F.lit(1).alias("f"), F.lit(0).alias("is_new"), "rejected")
+            .unionByName(new.select("source", F.lit(0).alias("f"), F.lit(1).alias("is_new"), F.lit(False).alias("rejected"))))
+    rep = (both.rollup("source").agg(
+        F.sum("f").alias("fetched"),
+        F.sum("is_new").alias("new"),
         F.sum(F.when(F.col("rejected"), 1).otherwise(0)).alias("rejected"),
         F.grouping("source").alias("_g")))
     return rep.select(F.when(F.col("_g") == 1, F.lit("TOTAL")).otherwise(F.col("source")).alias("source"),

@@ -91,9 +91,9 @@ def plan_intra(stats: list, cfg: PipelineConfig) -> Plan:
     return Plan(order, sizes, chunks, first, acc)
 
 
-def cap_plan(intra: int, cross: int, max_total: int):
+def cap_plan(intra: int, cross: int, max_total: int | None):
     """Kept intra positions (in order) under the total cap."""
-    if intra + cross <= max_total:
+    if max_total is None or intra + cross <= max_total:
         return list(range(intra))
     max_intra = max_total - cross
     if max_intra <= 0:
@@ -105,20 +105,15 @@ def cap_plan(intra: int, cross: int, max_total: int):
 def lcg_cross_draws(pairs: list, sizes: dict, seed: int):
     """Exact draw sequence: for each accepted pair, member positions (0-based, id order) per side."""
     rng = lcg(seed)
-    out = []
-    for a, b in pairs:
-        n = min(CROSS_SAMPLE_PER_SIDE, sizes[a], sizes[b])
-        picks = []
-        for side, c in (("a", a), ("b", b)):
-            used, got = set(), []
-            while len(got) < n and len(got) < sizes[c]:
-                idx = math.floor(next(rng) * sizes[c])
-                if idx not in used:
-                    used.add(idx)
-                    got.append(idx)
-            picks.append((side, c, got))
-        out.append(picks)
-    return out
+
+    def distinct(n: int, size: int) -> list:
+        seen: dict[int, None] = {}  # keeps the order in which positions first come up
+        while len(seen) < n:
+            seen.setdefault(math.floor(next(rng) * size))
+        return list(seen)
+
+    return [[(side, c, distinct(min(CROSS_SAMPLE_PER_SIDE, sizes[a], sizes[b]), sizes[c]))
+             for side, c in zip("ab", (a, b))] for a, b in pairs]
 
 
 # ---------------------------------------------------------------------------
@@ -187,18 +182,19 @@ def pair_table(plan: Plan, spark: SparkSession) -> DataFrame:
                                  "cluster_id int, ord int, size long")
 
 
-def top_pairs(pairs: DataFrame, max_cross: int) -> list:
-    """Top ``max_cross`` eligible pairs from ``(ca, cb, oa, ob, na, nb, d)`` (oa < ob).
+def top_pairs(pairs: DataFrame, max_cross: int | None) -> list:
+    """Top ``max_cross`` (None: all) eligible pairs from ``(ca, cb, oa, ob, na, nb, d)`` (oa < ob).
 
     The eligibility filter runs before the top-n, so skipped pairs never use the limit; the
     sort is a TakeOrdered over at most k^2/2 rows.
     """
     top = (pairs.where(F.least(F.lit(CROSS_SAMPLE_PER_SIDE), "na", "nb") >= MIN_CLUSTER_SIZE)
-           .orderBy(F.desc("d"), "oa", "ob").limit(max_cross))
+           .orderBy(F.desc("d"), "oa", "ob"))
+    top = top if max_cross is None else top.limit(max_cross)
     return [(r["ca"], r["cb"], r["d"]) for r in top.collect()]
 
 
-def far_pairs(cents: DataFrame, plan: Plan, max_cross: int) -> list:
+def far_pairs(cents: DataFrame, plan: Plan, max_cross: int | None) -> list:
     """Farthest eligible cluster pairs for dense centroids (a theta self-join over k rows)."""
     c = cents.join(pair_table(plan, cents.sparkSession), "cluster_id")
     a = c.select(F.col("cluster_id").alias("ca"), F.col("ord").alias("oa"), F.col("size").alias("na"),

@@ -6,23 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import EXPORT_PROMPT_VERSION, TOP_EXPLANATION_CHARS
+from ..functions.text import cut
 
 
 def by_type(constellations: DataFrame) -> DataFrame:
     return constellations.groupBy("constellation_type").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def by_type_map(constellations: DataFrame) -> DataFrame:
-    """One row, ``map<string,bigint>`` of counts by type (k-sized)."""
-    return by_type(constellations).agg(
-        F.map_from_entries(F.collect_list(F.struct("constellation_type", "n"))).alias("constellations_by_type"))
-
-
 def top_constellations(constellations: DataFrame, n: int = 5) -> DataFrame:
     """Top ``n`` by score (descending), ties by hash and item order -- a TakeOrdered, not a full sort."""
     top = constellations.orderBy(F.desc("score"), "neighborhood_hash", "item_ord").limit(n)
     return top.select("neighborhood_hash", "item_ord", "score", F.upper("constellation_type").alias("label"), "title",
-                      F.substring(F.coalesce("explanation", F.lit("")), 1, TOP_EXPLANATION_CHARS).alias("explanation"))
+                      cut(F.coalesce("explanation", F.lit("")), TOP_EXPLANATION_CHARS).alias("explanation"))
 
 
 def member_titles(constellations: DataFrame, ideas: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:
@@ -78,7 +73,7 @@ def require_min_ideas(ideas: DataFrame, n: int = 3) -> int:
     """At least ``n`` loadable ideas are needed (reads at most n rows)."""
     got = ideas.limit(n).count()
     if got < n:
-        raise ValueError(f"Need at least {n} ideas to run the pipeline. Found {got}.")
+        raise ValueError(f"a run takes {n} loadable ideas or more, got {got}")
     return got
 
 

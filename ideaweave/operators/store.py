@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import ERROR_TITLE
 
 
 def hadoop_fs(spark: SparkSession, path: str):
@@ -60,15 +59,23 @@ class SnapshotStore:
         return v
 
     def append(self, table: str, df: DataFrame, seq: int) -> None:
-        """Append-only table: each call writes one ``seq=<n>`` part; nothing already stored is rewritten."""
-        df.write.mode("errorifexists").parquet(f"{self.root}/{table}/seq={int(seq)}")
+        """Append-only table: each call writes one ``seq=<n>`` part; other parts are never rewritten.
+        A repeated call (replay after a failure) replaces its own part."""
+        df.write.mode("overwrite").parquet(f"{self.root}/{table}/seq={int(seq)}")
 
-    def read_parts(self, table: str) -> DataFrame | None:
-        """All committed parts of an append-only table (failed writes leave only hidden temp files)."""
+    def read_parts(self, table: str, before: int | None = None) -> DataFrame | None:
+        """Committed parts of an append-only table (those with ``_SUCCESS``), numbered below ``before`` if given."""
         fs, d = hadoop_fs(self.spark, f"{self.root}/{table}")
-        if not fs.exists(d) or not any(st.getPath().getName().startswith("seq=") for st in fs.listStatus(d)):
+        if not fs.exists(d):
+            return None
+        parts = []
+        for st in fs.listStatus(d):
+            m = re.fullmatch(r"seq=(\d+)", st.getPath().getName())
+            if m and (before is None or int(m[1]) < before) and fs.exists(st.getPath().suffix("/_SUCCESS")):
+                parts.append(f"{self.root}/{table}/{m[0]}")
+        if not parts:
             return None
-        return self.spark.read.parquet(f"{self.root}/{table}")
+        return self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*parts)
 
     def clear(self, table: str, schema) -> int:
         """Publish an empty version (the old versions stay readable for time travel)."""
@@ -133,7 +140,3 @@ def table_counts(tables: dict) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def hide_error_rows(cached: DataFrame) -> DataFrame:
-    return cached.where(F.col("title") != ERROR_TITLE)

@@ -16,7 +16,7 @@ RAW = """raw_v AS (
 TOKENS = IDEAS + """,
 docs_v AS (
   SELECT idea_id, coalesce(title, '') || ' ' || coalesce(category, '') || ' '
-         || substring(coalesce(description, ''), 1, 500) AS doc
+         || coalesce(description, '') AS doc
   FROM ideas_v),
 tok_v AS (
   SELECT idea_id, list_filter(string_split_regex(lower(doc), '[^a-z0-9]+'), lambda t: length(t) > 2) AS tokens

@@ -48,7 +48,10 @@ def cached_tfidf(ideas: DataFrame, cfg: PipelineConfig, store: st.SnapshotStore
         docs = store.read("tfidf_docs")
         if docs is not None and not st.needs_full_reembed(ideas, docs.withColumn("model", F.lit(model)), model):
             # partitioned by model: the filter prunes other models' folders at the scan
-            w = store.read("tfidf_weights").where(F.col("model") == model)
+            # and the ideas of this run: the cache may hold more (their IDF is that of the cached corpus)
+            now = ideas.select("idea_id")
+            w = store.read("tfidf_weights").where(F.col("model") == model).join(now, "idea_id", "left_semi")
+            docs = docs.join(now, "idea_id", "left_semi")
             v = store.read("tfidf_vocab")
             n = docs.count()
             return tf.Vectors(w.select("idea_id", "term", "weight"), docs.select("idea_id", "n_tokens"), v, n), True
@@ -215,7 +218,8 @@ def stage4(assign: DataFrame, ideas: DataFrame, responder: Callable, cfg: Pipeli
     prompts = disc.cluster_prompts(assign, ideas, cfg)
     cached = store.read("patterns") if store is not None else None
     if cached is not None and not force:
-        keys = cached.select(F.col("cluster_hash").alias("group_hash")).distinct()
+        valid = cached.where(F.col("prompt_version") == PATTERNS_PROMPT_VERSION)
+        keys = valid.select(F.col("cluster_hash").alias("group_hash")).distinct()
         hits, todo = st.cache_split(prompts, keys, ["group_hash"])
     else:
         hits, todo = prompts.limit(0), prompts
@@ -223,14 +227,16 @@ def stage4(assign: DataFrame, ideas: DataFrame, responder: Callable, cfg: Pipeli
                                          disc.PATTERNS_SYSTEM, cfg.discovery_concurrency))
     fresh = disc.parse_patterns(responses).rows
     if cached is not None and not force:
-        hit_rows = cached.join(hits.select(F.col("group_hash").alias("cluster_hash")), "cluster_hash", "left_semi") \
+        hit_rows = valid.join(hits.select(F.col("group_hash").alias("cluster_hash")), "cluster_hash", "left_semi") \
             .withColumn("model", F.lit(cfg.patterns_model))
         out = hit_rows.unionByName(fresh, allowMissingColumns=True)
     else:
         out = fresh
     if store is not None:
         seq = (store.latest("patterns") or 0) + 1
-        new = fresh.withColumn("write_seq", F.lit(seq))
+        # a group one of whose parts failed is asked again as a whole in the next run
+        failed = responses.where(F.col("status") != "ok").select(F.col("group_hash").alias("cluster_hash")).distinct()
+        new = fresh.join(failed, "cluster_hash", "left_anti").withColumn("write_seq", F.lit(seq))
         allp = new if cached is None else cached.unionByName(new, allowMissingColumns=True)
         store.write("patterns", st.upsert_latest(allp, ["cluster_hash", "pattern_title", "prompt_version"]))
     return out, responses, hits

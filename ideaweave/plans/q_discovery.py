@@ -18,8 +18,9 @@ def _lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# fixed line format of an idea in a prompt
 LINE = ("'[ID:' || i.idea_id || '] \"' || coalesce(i.title, '') || '\" (' || coalesce(i.source, '') || ', ' "
-        "|| coalesce(nullif(i.category, ''), 'uncategorized') || '): ' || substring(coalesce(i.description, ''), 1, {n})")
+        "|| coalesce(nullif(i.category, ''), 'uncategorized') || '): ' || coalesce(i.description, '')")
 _HEAD = disc.DISCOVERY_HEAD.split("{n}")
 
 
@@ -37,7 +38,7 @@ def set_hash(spark, d):
 SELECT m.nb AS neighborhood_id, sha256(array_to_string(list_sort(list(m.idea_id)), ',')) AS group_hash,
        count(*)::BIGINT AS n_items,
        {_lit(_HEAD[0])} || count(*) || {_lit(_HEAD[1])}
-         || coalesce(string_agg({LINE.format(n=300)}, chr(10) ORDER BY m.ordinal), '') AS prompt
+         || coalesce(string_agg({LINE}, chr(10) ORDER BY m.ordinal), '') AS prompt
 FROM intra_all m LEFT JOIN ideas_v i USING (idea_id) GROUP BY m.nb""")
 def neighborhood_prompt(spark, d):
     a = td.small_assignments(spark, d)
@@ -50,7 +51,7 @@ def neighborhood_prompt(spark, d):
 asg AS (SELECT idea_id, label AS cluster_id FROM vec_v),
 big AS (SELECT cluster_id, count(*) AS n_members, sha256(array_to_string(list_sort(list(idea_id)), ',')) AS group_hash
         FROM asg GROUP BY cluster_id HAVING count(*) >= 3),
-lines AS (SELECT a.cluster_id, a.idea_id, {LINE.format(n=200)} AS line,
+lines AS (SELECT a.cluster_id, a.idea_id, {LINE} AS line,
                  (row_number() OVER (PARTITION BY a.cluster_id ORDER BY a.idea_id) - 1) // {DEFAULT_CONFIG.max_prompt_ideas} AS part
           FROM asg a JOIN ideas_v i USING (idea_id))
 SELECT l.cluster_id, l.part::INT AS part, b.group_hash, b.n_members::BIGINT AS n_members,

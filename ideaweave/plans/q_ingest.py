@@ -54,15 +54,14 @@ def ingest_report(spark, d):
 
 @query("ingest_json", f"""
 WITH {ov.RAW}
-SELECT DISTINCT url, title FROM raw_v""")
+SELECT url, arg_min(title, ingest_ord) AS title, arg_min(source, ingest_ord) AS source FROM raw_v GROUP BY url""")
 def ingest_json(spark, d):
     """Ideas file round trip: documents written as JSON lines, read back with the ideas reader, ingested.
 
-    Output is (url, title): copies share a url and a title, so it does not depend on which copy
-    a file split delivers first.
+    The source shows which copy was the first in file order.
     """
     from ..streaming.jobs import scratch
     path = scratch(spark, "ideas-json")
     td.raw_items(spark, d).drop("ingest_ord").write.json(path)
     raw = ing.read_ideas_json(spark, path, multi_line=False)
-    return ing.ingest(raw).new_ideas.select("url", "title")
+    return ing.ingest(raw).new_ideas.select("url", "title", "source")

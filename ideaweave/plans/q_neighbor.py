@@ -17,6 +17,8 @@ CAP_CFG = WEEKLY_CONFIG.replace(cross_sampling="hash")
 
 def _sql(assign_expr: str, cfg) -> str:
     """CTE chain mirroring the operator on a given clustering of the embeddings."""
+    most = cfg.max_total_neighborhoods if cfg.max_total_neighborhoods is not None else 1 << 40
+    pairs = cfg.max_cross_cluster_neighborhoods if cfg.max_cross_cluster_neighborhoods is not None else 1 << 40
     return f"""WITH {ov.VECTORS},
 asg AS (SELECT idea_id, ({assign_expr})::INT AS cluster_id, vec FROM vec_v),
 stats AS (SELECT cluster_id, count(*) AS n, min(idea_id) AS first_id,
@@ -44,12 +46,12 @@ pairs0 AS (SELECT a.cluster_id AS ca, b.cluster_id AS cb, sa.ord AS oa, sb.ord A
            JOIN stats sb ON sb.cluster_id = b.cluster_id
            WHERE sa.ord < sb.ord AND least(4, sa.n, sb.n) >= 3),
 pairs AS (SELECT * FROM (SELECT *, (row_number() OVER (ORDER BY d DESC, oa, ob) - 1)::INT AS p FROM pairs0)
-          WHERE p < {cfg.max_cross_cluster_neighborhoods}),
+          WHERE p < {pairs}),
 tot AS (SELECT (SELECT coalesce(sum(n_chunks), 0) FROM chunks) AS intra, (SELECT count(*) FROM pairs) AS cross_n),
-capp AS (SELECT intra, cross_n, {cfg.max_total_neighborhoods} - cross_n AS max_intra,
-                CASE WHEN intra + cross_n <= {cfg.max_total_neighborhoods} THEN 0 ELSE 1 END AS capped,
-                CASE WHEN {cfg.max_total_neighborhoods} - cross_n > 0
-                     THEN greatest(1, intra // ({cfg.max_total_neighborhoods} - cross_n)) ELSE 1 END AS step FROM tot),
+capp AS (SELECT intra, cross_n, {most} - cross_n AS max_intra,
+                CASE WHEN intra + cross_n <= {most} THEN 0 ELSE 1 END AS capped,
+                CASE WHEN {most} - cross_n > 0
+                     THEN greatest(1, intra // ({most} - cross_n)) ELSE 1 END AS step FROM tot),
 kept AS (SELECT i.* , CASE WHEN c.capped = 0 THEN i.nb ELSE i.nb // c.step END AS new_nb FROM intra_all i, capp c
          WHERE c.capped = 0 OR (c.max_intra > 0 AND i.nb % c.step = 0 AND i.nb // c.step < c.max_intra)),
 n_kept AS (SELECT count(DISTINCT new_nb) AS k FROM kept),

@@ -71,7 +71,7 @@ def by_type(spark, d):
 
 @query("top_constellations", _PARSE_SQL + KEPT + """
 SELECT neighborhood_hash, item_ord, score, upper(constellation_type) AS label, title,
-       substring(coalesce(explanation, ''), 1, 120) AS explanation
+       coalesce(explanation, '') AS explanation
 FROM kept ORDER BY score DESC, neighborhood_hash, item_ord LIMIT 5""")
 def top_constellations(spark, d):
     return rep.top_constellations(_kept(spark, d), 5).select(

@@ -14,7 +14,7 @@ from .registry import query
 @query("load_ideas", f"""
 WITH {ov.IDEAS}
 SELECT idea_id, title, source, url, category,
-       coalesce(title, '') || ' ' || coalesce(category, '') || ' ' || substring(coalesce(description, ''), 1, 500) AS doc
+       coalesce(title, '') || ' ' || coalesce(category, '') || ' ' || coalesce(description, '') AS doc
 FROM ideas_v WHERE description <> '' OR title <> ''
 """)
 def load_ideas(spark, d):

@@ -48,21 +48,21 @@ def ingest_batch(store: SnapshotStore, raw: DataFrame, batch_id: int, on_new: Ca
     The ideas table is append-only: a batch writes only its new rows as one part, so the work per
     batch is the batch plus one scan of the stored urls (probed with the batch's urls).
     ``run_key`` names the stream (its checkpoint), since batch ids restart with a new checkpoint.
-    A replayed batch id is skipped via the batch log; if a failure hit between the part write and
-    the log write, the replay finds every url already stored and inserts nothing (empty-url rows
-    excepted).
+    A logged batch id is skipped. A batch that failed before its log entry has the same number in
+    the replay: its own part is left out of the stored urls, written again with the same rows and
+    ids, and ``on_new`` is called for it (again, if the failure came after the call).
     """
     if batch_id in _done_batches(store, run_key):
         return 0
     if transform is not None:
         raw = transform(raw)
-    existing = store.read_parts("ideas")
+    log = store.read_parts("batch_log")
+    seq = 1 if log is None else log.count() + 1
+    existing = store.read_parts("ideas", before=seq)
     max_id = 0 if existing is None else (existing.agg(F.max("idea_id")).first()[0] or 0)
     res = ing.ingest(raw, existing.select("url") if existing is not None else None, max_existing_id=max_id)
     new = res.new_ideas.cache()
     n = new.count()
-    log = store.read_parts("batch_log")
-    seq = 1 if log is None else log.count() + 1
     if n:
         store.append("ideas", new, seq)
     refreshed = False

@@ -35,4 +35,4 @@ def test_round_clamp_and_outer_json(spark):
 
 def test_embed_document(spark):
     df = spark.createDataFrame([("T", None, "x" * 600)], "title string, category string, description string")
-    assert df.select(tx.embed_document()).first()[0] == "T  " + "x" * 500
+    assert df.select(tx.embed_document(chars=500)).first()[0] == "T  " + "x" * 500

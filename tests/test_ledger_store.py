@@ -7,8 +7,8 @@ LEDGER = "model string, stage string, input_tokens long, output_tokens long"
 
 
 def test_cost_rules(spark):
-    one = spark.createDataFrame([("claude-haiku-4-5-20251001", "s", 1_000_000, 100_000)], LEDGER)
-    assert led.cost_total(one).first()[0] == pytest.approx(1.20)
+    one = spark.createDataFrame([("claude-haiku-4-5-20251001", "s", 2_500_000, 300_000)], LEDGER)
+    assert led.cost_total(one).first()[0] == pytest.approx(3.20)
     mix = spark.createDataFrame([("claude-haiku-4-5-20251001", "a", 1_000_000, 0), ("nope", "b", 5, 5),
                                  ("nope", "a", 7, 1)], LEDGER)
     assert led.cost_total(mix).first()[0] == pytest.approx(0.8)
@@ -20,11 +20,11 @@ def test_cost_rules(spark):
 
 
 def test_embedding_upsert_last_write_wins(spark):
-    old = spark.createDataFrame([(1, "model_a", [0.1, 0.2, 0.3, 0.4]), (2, "model_a", [1.0])],
+    old = spark.createDataFrame([(1, "vec-old", [0.5, -0.5]), (2, "vec-old", [1.0])],
                                 "idea_id long, model string, vec array<double>")
-    new = spark.createDataFrame([(1, "model_b", [9.0, 8.0])], "idea_id long, model string, vec array<double>")
+    new = spark.createDataFrame([(1, "vec-new", [9.0, 8.0])], "idea_id long, model string, vec array<double>")
     got = {r[0]: (r[1], r[2]) for r in st.upsert(old, new, ["idea_id"]).collect()}
-    assert got == {1: ("model_b", [9.0, 8.0]), 2: ("model_a", [1.0])}
+    assert got == {1: ("vec-new", [9.0, 8.0]), 2: ("vec-old", [1.0])}
 
 
 def test_snapshot_store_clear_and_versions(spark, tmpdir_path):

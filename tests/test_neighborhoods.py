@@ -34,7 +34,7 @@ def _fixture(spark, sizes, seed=3):
 def test_matches_brute_force(spark):
     sizes = [2, 3, 30, 31, 44, 67, 5, 12]
     df, rows = _fixture(spark, sizes)
-    for cfg in (DEFAULT_CONFIG, DEFAULT_CONFIG.replace(max_total_neighborhoods=9)):
+    for cfg in (DEFAULT_CONFIG, DEFAULT_CONFIG.replace(max_total_neighborhoods=9, max_cross_cluster_neighborhoods=4)):
         res = nbh.neighborhoods(df, cfg)
         got = {}
         for r in res.members.collect():
@@ -46,6 +46,7 @@ def test_matches_brute_force(spark):
         order = sorted(by_c, key=lambda c: min(by_c[c]))
         vecs = {i: v for i, _, v in rows}
         want, intra, cross = brute.neighborhoods([by_c[c] for c in order], vecs,
+                                                 max_cross=cfg.max_cross_cluster_neighborhoods,
                                                  max_total=cfg.max_total_neighborhoods)
         assert got_lists == want
         assert (res.intra_count, res.cross_count, res.total) == (intra, cross, len(want))

@@ -1,5 +1,6 @@
 """Physical-plan properties the scale design relies on (checked on the smallest tables)."""
 
+from pyspark.sql import functions as F
 import pytest
 
 import __spark_entry__ as E
@@ -34,8 +35,11 @@ def test_price_list_is_broadcast(spark):
 
 
 def test_per_fetch_caps_limit_before_shuffle(spark):
-    plan = _plan(spark, "src_hn")
+    from ideaweave.sources import normalise as nz
+    rows = spark.range(1000).select((F.col("id") % 3).alias("fetch_key"), F.col("id").alias("pos"))
+    plan = nz._top_per_fetch(rows, 500)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert "WindowGroupLimit" not in _plan(spark, "src_hn")  # no cap by default
 
 
 def test_first_wins_is_partial_aggregate(spark):

@@ -38,3 +38,36 @@ def test_cost_windows_drop_late_rows(spark, tmpdir_path):
     jobs.run_to_table(jobs.cost_windows(stream), os.path.join(tmpdir_path, "ck"), out)
     got = spark.read.parquet(out).select(F.unix_seconds("w.start").alias("d"), "cost").collect()
     assert [(r["d"], round(r["cost"], 6)) for r in got] == [(1704067200, 0.8)]
+
+
+def _crash(spark, root, rows, at):
+    """Run a batch that fails ``at`` its part write or log write, then replay it."""
+    store = SnapshotStore(spark, root)
+    raw = spark.createDataFrame(rows, SCHEMA)
+    seen = []
+
+    class Broken(SnapshotStore):
+        def append(self, table, df, seq):
+            if table == at:
+                raise OSError("lost")
+            super().append(table, df, seq)
+
+    try:
+        jobs.ingest_batch(Broken(spark, root), raw, 0, on_new=lambda new, bid: seen.append(bid), run_key="s")
+    except OSError:
+        pass
+    n = jobs.ingest_batch(store, raw, 0, on_new=lambda new, bid: seen.append(bid), run_key="s")
+    assert jobs.ingest_batch(store, raw, 0, on_new=lambda new, bid: seen.append(bid), run_key="s") == 0
+    ideas = sorted((r["idea_id"], r["title"]) for r in store.read_parts("ideas").collect())
+    log = [(r["new_rows"], r["refreshed"]) for r in store.read_parts("batch_log").collect()]
+    return n, ideas, log, seen
+
+
+def test_replay_after_a_crash(spark, tmpdir_path):
+    plain = [("a", "d", "u1", "s", None, None, 1), ("b", "d", "u1", "s", None, None, 2)]
+    blank = plain + [("c", "d", "", "s", None, None, 3)]
+    for k, (rows, at) in enumerate([(plain, "ideas"), (plain, "batch_log"), (blank, "ideas"), (blank, "batch_log")]):
+        n, ideas, log, seen = _crash(spark, os.path.join(tmpdir_path, str(k)), rows, at)
+        want = [(1, "a")] + ([(2, "c")] if rows is blank else [])
+        assert (n, ideas, log) == (len(want), want, [(len(want), True)])
+        assert seen == ([0] if at == "ideas" else [0, 0])
