@@ -148,8 +148,11 @@ def repeated_spans(docs: DataFrame, units: Units, search: Callable[[list[bytes]]
     spark, size = docs.sparkSession, units.size
     occ = materialise(segments(docs, units), "seg")
     twice = occ.groupBy("anchor").agg(F.sum("n").alias("c")).where("c > 1").select("anchor")
-    places = materialise(occ.join(twice, "anchor")
-                         .groupBy("anchor", "seg", "len", "k1", "k2", "at").agg(F.sum("n").alias("n")), "seg-places")
+    # a place in a text has one segment, so the anchor need not be a key: grouped without it, the
+    # join's partitions stay free to be split where an anchor is in very many texts
+    places = materialise(occ.join(twice, "anchor").groupBy("k1", "k2", "at")
+                         .agg(F.min("anchor").alias("anchor"), F.min("seg").alias("seg"), F.min("len").alias("len"),
+                              F.sum("n").alias("n")), "seg-places")
     kinds = places.groupBy("anchor", "seg", "len").agg(
         F.sum("n").alias("n"), F.min(F.struct("k1", "k2", "at")).alias("loc"))
     per_anchor = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"))
