@@ -69,8 +69,9 @@ def mixed(h: np.ndarray) -> np.ndarray:
 def anchors(codes: np.ndarray, size: int, gram: int):
     """(anchor hash, first window, last window, anchor position) of each segment of a text."""
     h = mixed(poly(codes, gram))
-    bits = max(1, len(h).bit_length())
-    low = np.uint64((1 << bits) - 1)
+    # the smallest upper half of a hash, leftmost first; the same bits in texts of every length, or
+    # equal windows of a short and a long text could choose different grams
+    low = np.uint64((1 << 32) - 1)
     m = (h & ~low) | np.arange(len(h), dtype=np.uint64)
     span, width = 1, size - gram + 1
     while span * 2 <= width:
