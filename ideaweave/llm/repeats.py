@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 HOT = 2000
+SLICES = 1024
 PART_BYTES = 1 << 20
 _M = 0x9E3779B97F4A7C15
 
@@ -148,10 +149,17 @@ def repeated_spans(docs: DataFrame, units: Units, search: Callable[[list[bytes]]
     """
     spark, size = docs.sparkSession, units.size
     occ = materialise(segments(docs, units), "seg")
-    twice = occ.groupBy("anchor").agg(F.sum("n").alias("c")).where("c > 1").select("anchor")
-    # a place in a text has one segment, so the anchor need not be a key: grouped without it, the
-    # join's partitions stay free to be split where an anchor is in very many texts
-    places = materialise(occ.join(twice, "anchor").groupBy("k1", "k2", "at")
+    # a common anchor is dealt out in slices of at most about 1 / SLICES of all rows; the anchors with
+    # more than one slice are SLICES at most, so their table is small whatever the input
+    rows = max(occ.count(), 1)
+    twice = materialise(occ.groupBy("anchor").agg(F.sum("n").alias("c"), F.count("*").alias("places")).where("c > 1")
+                        .select("anchor", F.ceil(F.col("places") * SLICES / F.lit(rows)).cast("int").alias("slices")), "seg-twice")
+    common = F.broadcast(twice.where("slices > 1"))
+    dealt = (occ.join(common, "anchor", "left")
+             .withColumn("slice", F.pmod(F.xxhash64("k1", "k2", "at"), F.coalesce("slices", F.lit(1))).cast("int")).drop("slices"))
+    sliced = twice.select("anchor", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    # a place in a text has one segment, so the anchor need not be a key
+    places = materialise(dealt.join(sliced, ["anchor", "slice"]).groupBy("k1", "k2", "at")
                          .agg(F.min("anchor").alias("anchor"), F.min("seg").alias("seg"), F.min("len").alias("len"),
                               F.sum("n").alias("n")), "seg-places")
     kinds = places.groupBy("anchor", "seg", "len").agg(
