@@ -9,6 +9,7 @@ so a task retry never calls the responder twice for a stored response). Failures
 
 from __future__ import annotations
 
+import inspect
 import json
 import re
 import time
@@ -159,14 +160,19 @@ def _with_retry(call, max_retries: int = RETRY_MAX, sleep=time.sleep):
 
 def respond(prompts: DataFrame, responder: Callable, model: str, stage: str, prompt_version: str,
             system: str, concurrency: int = 5, max_retries: int = RETRY_MAX) -> DataFrame:
-    """Call ``responder`` once per prompt row; returns the response table (RESPONSE_SCHEMA)."""
+    """Call ``responder`` once per prompt row; returns the response table (RESPONSE_SCHEMA).
+
+    The call is ``responder(prompt, system)``, with ``model=`` added where the responder has that
+    parameter.
+    """
+    extra = {"model": model} if "model" in inspect.signature(responder).parameters else {}
 
     def fn(it):
         for pdf in it:
             out = []
             for h, p in zip(pdf["group_hash"].tolist(), pdf["prompt"].tolist()):
                 try:
-                    text, tin, tout = _with_retry(lambda: responder(p, system), max_retries)
+                    text, tin, tout = _with_retry(lambda: responder(p, system, **extra), max_retries)
                     out.append((h, prompt_version, model, stage, (text or "").strip(), int(tin or 0), int(tout or 0),
                                 "ok", None))
                 except Exception as e:  # noqa: BLE001

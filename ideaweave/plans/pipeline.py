@@ -63,6 +63,31 @@ def cached_tfidf(ideas: DataFrame, cfg: PipelineConfig, store: st.SnapshotStore
     return vecs, False
 
 
+def cached_dense(ideas: DataFrame, embedder, store: st.SnapshotStore | None, force: bool = False):
+    """Vectors of a per-document embedder: only ideas without a stored vector of its model are embedded.
+
+    New vectors are upserted on (idea_id, model) and read back, so each is computed once. Returns
+    (vectors, reused); ``reused`` is true when nothing had to be embedded.
+    """
+    if store is None:
+        return embedder.fit_transform(ideas), False
+    held = store.read("embeddings")
+    todo = ideas
+    if held is not None and not force:
+        done = held.where(F.col("model") == embedder.model).select("idea_id")
+        todo = ideas.join(done, "idea_id", "left_anti")
+    reused = todo.isEmpty()
+    if not reused:
+        fresh = cut_lineage(embedder.fit_transform(todo).vectors.withColumn("model", F.lit(embedder.model)))
+        store.write("embeddings", st.upsert(held, fresh, ["idea_id", "model"]), partition_by=["model"])
+        held = store.read("embeddings")
+    elif held is None:  # no ideas and nothing stored
+        return embedder.fit_transform(ideas), False
+    mine = held.where(F.col("model") == embedder.model).select("idea_id", "vec")
+    return DenseVectors(mine.join(ideas.select("idea_id"), "idea_id", "left_semi"), embedder.dimensions,
+                        embedder.model), reused
+
+
 def stage1(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None,
            store: st.SnapshotStore | None = None, force: bool = False) -> Stage1:
     """Embed the loadable ideas (TF-IDF by default, cached in ``store``) and cluster them with k-means."""
@@ -70,13 +95,16 @@ def stage1(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None
     reused = False
     if embedder is None:
         vecs, reused = cached_tfidf(ideas, cfg, store, force)
+    elif hasattr(embedder, "dimensions"):
+        vecs, reused = cached_dense(ideas, embedder, store, force)
     else:
         vecs = embedder.fit_transform(ideas)
     if isinstance(vecs, DenseVectors):
         dense = cut_lineage(vecs.vectors)
         res = km.kmeans_dense(dense, cfg.num_clusters, cfg.kmeans_max_iter, cfg.kmeans_seed, cfg.kmeans_init,
                               cfg.kmeans_empty)
-        return Stage1(cut_lineage(res.assignments), vecs, res.k, res.iterations, res.centroids, None, dense)
+        return Stage1(cut_lineage(res.assignments), vecs, res.k, res.iterations, res.centroids, None, dense,
+                      reused)
     n = vecs.n_docs
     k = km.effective_k(n, cfg.num_clusters)
     dim = vecs.vocab.count()
@@ -243,8 +271,13 @@ def stage4(assign: DataFrame, ideas: DataFrame, responder: Callable, cfg: Pipeli
 
 
 def run(ideas: DataFrame, responder: Callable, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None,
-        store: st.SnapshotStore | None = None, force: bool = False) -> Result:
-    """End-to-end run; returns DataFrames (nothing is collected but k-sized counters)."""
+        store: st.SnapshotStore | None = None, force: bool = False, pattern_responder: Callable | None = None) -> Result:
+    """End-to-end run; returns DataFrames (nothing is collected but k-sized counters).
+
+    ``responder`` serves the discovery stage and, unless ``pattern_responder`` is given, the theme
+    stage too. A responder with a ``model`` parameter is given the stage's model.
+    """
+    pattern_responder = pattern_responder or responder
     loadable = ingest.loadable(ideas)
     total = report.require_min_ideas(loadable, 3) and loadable.count()
     s1 = stage1(loadable, cfg, embedder, store, force)
@@ -253,11 +286,11 @@ def run(ideas: DataFrame, responder: Callable, cfg: PipelineConfig = DEFAULT_CON
     constellations, r3, h3 = stage3(members, loadable, responder, cfg, store, force)
     if cfg.enforce_budget and led.cost_total(led.ledger_from_responses(r3)).first()[0] > cfg.cost_budget_usd:
         no_prompts = disc.cluster_prompts(s1.assignments, loadable, cfg).limit(0)
-        r4 = disc.respond(no_prompts, responder, cfg.patterns_model, "patterns", PATTERNS_PROMPT_VERSION,
+        r4 = disc.respond(no_prompts, pattern_responder, cfg.patterns_model, "patterns", PATTERNS_PROMPT_VERSION,
                           disc.PATTERNS_SYSTEM, 1)
         patterns, h4 = disc.parse_patterns(r4).rows, no_prompts
     else:
-        patterns, r4, h4 = stage4(s1.assignments, loadable, responder, cfg, store, force)
+        patterns, r4, h4 = stage4(s1.assignments, loadable, pattern_responder, cfg, store, force)
     responses = r3.unionByName(r4)
     ledger = led.ledger_from_responses(responses)
     spark = ideas.sparkSession

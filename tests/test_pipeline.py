@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from ideaweave.config import DEFAULT_CONFIG
 from ideaweave.operators import discovery as disc
+from ideaweave.operators.embedders import DenseEmbedder, hashing_model
 from ideaweave.operators.store import SnapshotStore
 from ideaweave.plans import pipeline as pl
 
@@ -42,6 +43,46 @@ def test_run_and_cache_reuse(spark, tmpdir_path):
     assert ids <= set(range(1, 49))
 
 
+def test_dense_vectors_are_cached(spark, tmpdir_path):
+    calls = spark.sparkContext.accumulator(0)
+    plain = hashing_model(16)
+
+    def counted(docs):
+        calls.add(len(docs))
+        return plain(docs)
+
+    model = DenseEmbedder("counted_v1", counted, 16)
+    store, cfg, ideas = SnapshotStore(spark, tmpdir_path), DEFAULT_CONFIG.replace(num_clusters=4), _ideas(spark)
+    first = pl.stage1(ideas.where("idea_id <= 40"), cfg, model, store)
+    assert calls.value == 40 and not first.reused
+    again = pl.stage1(ideas.where("idea_id <= 40"), cfg, model, store)
+    assert calls.value == 40 and again.reused
+    assert sorted(again.assignments.collect()) == sorted(first.assignments.collect())
+    more = pl.stage1(ideas, cfg, model, store)
+    assert calls.value == 48 and more.assignments.count() == 48
+    part = pl.stage1(ideas.where("idea_id > 30"), cfg, model, store)
+    assert calls.value == 48 and part.assignments.count() == 18
+    pl.stage1(ideas, cfg, DenseEmbedder("other_v1", counted, 16), store)
+    assert calls.value == 96
+    assert store.read("embeddings").groupBy("model").count().count() == 2
+
+
+def test_model_reaches_the_responder_of_each_stage(spark):
+    def named(prompt, system, model):
+        return model, 1, 1
+
+    prompts = spark.createDataFrame([("h1", "p1"), ("h2", "p2")], "group_hash string, prompt string")
+    got = disc.respond(prompts, named, "m7", "patterns", "v", "s").collect()
+    assert [r["text"] for r in got] == ["m7", "m7"]
+
+    def themes(prompt, system):
+        raise ValueError("themes are off")
+
+    r = pl.run(_ideas(spark), disc.fake_responder, DEFAULT_CONFIG.replace(num_clusters=6), pattern_responder=themes)
+    status = {(x["stage"], x["status"]) for x in r.responses.collect()}
+    assert status == {("constellations", "ok"), ("patterns", "error")}
+
+
 def test_minimum_ideas(spark):
     import pytest
     few = _ideas(spark).limit(2)
