@@ -19,6 +19,8 @@ class PipelineConfig:
     patterns_model: str = "claude-opus-4-5-20251101"
     min_constellation_score: float = 6
     discovery_concurrency: int = 5
+    discovery_max_tokens: int = 2048
+    patterns_max_tokens: int = 1024
     cost_budget_usd: float = 15.0
 
     # k-means

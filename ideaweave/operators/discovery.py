@@ -159,13 +159,14 @@ def _with_retry(call, max_retries: int = RETRY_MAX, sleep=time.sleep):
 
 
 def respond(prompts: DataFrame, responder: Callable, model: str, stage: str, prompt_version: str,
-            system: str, concurrency: int = 5, max_retries: int = RETRY_MAX) -> DataFrame:
+            system: str, concurrency: int = 5, max_retries: int = RETRY_MAX, max_tokens: int | None = None) -> DataFrame:
     """Call ``responder`` once per prompt row; returns the response table (RESPONSE_SCHEMA).
 
-    The call is ``responder(prompt, system)``, with ``model=`` added where the responder has that
-    parameter.
+    The call is ``responder(prompt, system)``, with ``model=`` and ``max_tokens=`` (the longest
+    reply) added where the responder has these parameters.
     """
-    extra = {"model": model} if "model" in inspect.signature(responder).parameters else {}
+    takes = inspect.signature(responder).parameters
+    extra = {k: v for k, v in (("model", model), ("max_tokens", max_tokens)) if k in takes}
 
     def fn(it):
         for pdf in it:

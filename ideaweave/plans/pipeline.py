@@ -218,7 +218,8 @@ def stage3(members: DataFrame, ideas: DataFrame, responder: Callable, cfg: Pipel
     else:
         hits, todo = prompts.limit(0), prompts
     responses = cut_lineage(disc.respond(todo, responder, cfg.discovery_model, "constellations",
-                                         DISCOVERY_PROMPT_VERSION, disc.DISCOVERY_SYSTEM, cfg.discovery_concurrency))
+                                         DISCOVERY_PROMPT_VERSION, disc.DISCOVERY_SYSTEM, cfg.discovery_concurrency,
+                                         max_tokens=cfg.discovery_max_tokens))
     group_members = None
     if cfg.validate_replies:
         group_members = members.join(prompts.select("neighborhood_id", "group_hash"), "neighborhood_id") \
@@ -252,7 +253,7 @@ def stage4(assign: DataFrame, ideas: DataFrame, responder: Callable, cfg: Pipeli
     else:
         hits, todo = prompts.limit(0), prompts
     responses = cut_lineage(disc.respond(todo, responder, cfg.patterns_model, "patterns", PATTERNS_PROMPT_VERSION,
-                                         disc.PATTERNS_SYSTEM, cfg.discovery_concurrency))
+                                         disc.PATTERNS_SYSTEM, cfg.discovery_concurrency, max_tokens=cfg.patterns_max_tokens))
     fresh = disc.parse_patterns(responses).rows
     if cached is not None and not force:
         hit_rows = valid.join(hits.select(F.col("group_hash").alias("cluster_hash")), "cluster_hash", "left_semi") \
@@ -275,7 +276,8 @@ def run(ideas: DataFrame, responder: Callable, cfg: PipelineConfig = DEFAULT_CON
     """End-to-end run; returns DataFrames (nothing is collected but k-sized counters).
 
     ``responder`` serves the discovery stage and, unless ``pattern_responder`` is given, the theme
-    stage too. A responder with a ``model`` parameter is given the stage's model.
+    stage too. A responder with ``model`` and ``max_tokens`` parameters is given the stage's model
+    and reply limit.
     """
     pattern_responder = pattern_responder or responder
     loadable = ingest.loadable(ideas)

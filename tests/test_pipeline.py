@@ -68,12 +68,12 @@ def test_dense_vectors_are_cached(spark, tmpdir_path):
 
 
 def test_model_reaches_the_responder_of_each_stage(spark):
-    def named(prompt, system, model):
-        return model, 1, 1
+    def named(prompt, system, model, max_tokens):
+        return f"{model} {max_tokens}", 1, 1
 
     prompts = spark.createDataFrame([("h1", "p1"), ("h2", "p2")], "group_hash string, prompt string")
-    got = disc.respond(prompts, named, "m7", "patterns", "v", "s").collect()
-    assert [r["text"] for r in got] == ["m7", "m7"]
+    got = disc.respond(prompts, named, "m7", "patterns", "v", "s", max_tokens=9).collect()
+    assert [r["text"] for r in got] == ["m7 9", "m7 9"]
 
     def themes(prompt, system):
         raise ValueError("themes are off")
