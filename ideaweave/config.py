@@ -68,6 +68,18 @@ RECENT_DAYS = 7
 ERROR_TITLE = "__ERROR__"
 EMPTY_TITLE = "__EMPTY__"  # our sentinel for a cached group without constellations (cache_empty)
 EXPORT_PROMPT_VERSION = "constellation_v3_sonnet"
+# columns of the landing ideas that an export fills with a constant
+LANDING_DEFAULTS = (
+    ("problema_que_resuelve", ""),
+    ("potencial_negocio", ""),
+    ("dificultad_implementacion", ""),
+    ("apto_inversores", "pendiente"),
+    ("razon_inversores", ""),
+    ("revisado", "pendiente"),
+    ("notas", ""),
+    ("combina_con", ""),
+    ("frontier", ""),
+)
 CONSTELLATION_TYPES = ("triangulation", "spectrum", "chain", "convergence", "absence")
 LCG_MULTIPLIER = 1664525
 LCG_INCREMENT = 1013904223

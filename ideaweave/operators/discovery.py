@@ -177,7 +177,7 @@ def respond(prompts: DataFrame, responder: Callable, model: str, stage: str, pro
                     out.append((h, prompt_version, model, stage, (text or "").strip(), int(tin or 0), int(tout or 0),
                                 "ok", None))
                 except Exception as e:  # noqa: BLE001
-                    out.append((h, prompt_version, model, stage, None, 0, 0, "error", str(e)[:500]))
+                    out.append((h, prompt_version, model, stage, None, 0, 0, "error", str(e)))
             yield pd.DataFrame(out, columns=["group_hash", "prompt_version", "model", "stage", "text",
                                              "input_tokens", "output_tokens", "status", "error"])
 

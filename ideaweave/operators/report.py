@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import EXPORT_PROMPT_VERSION, TOP_EXPLANATION_CHARS
+from ..config import EXPORT_PROMPT_VERSION, LANDING_DEFAULTS, TOP_EXPLANATION_CHARS
 from ..functions.text import cut
 
 
@@ -46,13 +46,16 @@ def ideas_lookup(ideas: DataFrame) -> DataFrame:
     return ideas.select("idea_id", "title", "url", "source", "category", "description")
 
 
-def export_ideas(ideas: DataFrame) -> DataFrame:
-    """Landing export: renamed columns, url unique *including* empty -- the lowest id wins per url."""
+def export_ideas(ideas: DataFrame, fecha: str | None = None) -> DataFrame:
+    """Landing export: renamed columns and constant defaults, url unique *including* empty -- the lowest
+    id wins per url. ``fecha`` is the day of the export (``yyyy-mm-dd``; None: today in the session's zone)."""
+    day = F.date_format(F.current_date(), "yyyy-MM-dd") if fecha is None else F.lit(fecha)
     won = ideas.groupBy("url").agg(F.min_by(F.struct("idea_id", "title", "description", "source", "category", "stack"),
                                             F.col("idea_id")).alias("r"))
     return won.select(F.col("r.idea_id").alias("id"), F.col("r.title").alias("nombre"), "url",
                       F.col("r.description").alias("descripcion"), F.col("r.source").alias("fuente"),
-                      F.col("r.category").alias("categoria"), F.col("r.stack").alias("stack"))
+                      F.col("r.category").alias("categoria"), F.col("r.stack").alias("stack"), day.alias("fecha"),
+                      *[F.lit(value).alias(name) for name, value in LANDING_DEFAULTS])
 
 
 def export_constellations(cached: DataFrame, prompt_version: str = EXPORT_PROMPT_VERSION) -> DataFrame:

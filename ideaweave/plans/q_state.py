@@ -17,6 +17,7 @@ from .registry import query
 MIN = float(DEFAULT_CONFIG.min_constellation_score)
 KEPT = f",\nkept AS (SELECT * FROM typed WHERE score >= {MIN})"
 CURRENT_MODEL = MODEL_PRICING[0][0]
+EXPORT_DAY = "2026-01-01"
 
 
 def _kept(spark, d, extra=False):
@@ -105,10 +106,13 @@ def ideas_lookup(spark, d):
 @query("export_ideas", f"""WITH {ov.IDEAS}
 SELECT arg_min(idea_id, idea_id) AS id, arg_min(title, idea_id) AS nombre, url,
        arg_min(description, idea_id) AS descripcion, arg_min(source, idea_id) AS fuente,
-       arg_min(category, idea_id) AS categoria, arg_min(stack, idea_id) AS stack
+       arg_min(category, idea_id) AS categoria, arg_min(stack, idea_id) AS stack, '{EXPORT_DAY}' AS fecha,
+       '' AS problema_que_resuelve, '' AS potencial_negocio, '' AS dificultad_implementacion,
+       'pendiente' AS apto_inversores, '' AS razon_inversores, 'pendiente' AS revisado, '' AS notas,
+       '' AS combina_con, '' AS frontier
 FROM ideas_v GROUP BY url""")
 def export_ideas(spark, d):
-    return rep.export_ideas(td.ideas(spark, d))
+    return rep.export_ideas(td.ideas(spark, d), EXPORT_DAY)
 
 
 @query("export_constellations", _PARSE_SQL + KEPT + f"""

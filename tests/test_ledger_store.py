@@ -59,5 +59,7 @@ def test_export_counts_report_both(spark):
                                   "category string, stack string")
     out = rep.export_ideas(ideas)  # empty urls collapse to the first id
     assert sorted(r["id"] for r in out.collect()) == [1, 3]
+    row = rep.export_ideas(ideas, "2026-03-04").where("id = 3").first()
+    assert (row["fecha"], row["revisado"], row["apto_inversores"], row["notas"]) == ("2026-03-04", "pendiente", "pendiente", "")
     got = rep.export_counts({"ideas": ideas}, {"ideas": out}).collect()
     assert [(r[0], r[1], r[2]) for r in got] == [("ideas", 3, 2)]
