@@ -7,7 +7,8 @@ automata give the longest match; the search goes on after it, so matches of a ki
 
 A rule is a head followed by a body; a match counts if the body is at least ``min_body`` long,
 otherwise it is dropped (and still consumes its characters). No head may end in a way that the
-body could begin, so the longest head is the right one.
+body could begin, so the longest head is the right one. A rule's ``rest`` carries a counted match
+on: a private key runs through its END line, or, without one, to the last line that looks like key.
 
 Defined results: a null or empty text has no spans; offsets are code points, end exclusive;
 repeated rows get equal results; other columns pass through.
@@ -33,6 +34,7 @@ class Rule:
     head: str
     body: str
     min_body: int = 1
+    rest: str = ""  # carries a counted match on as far as it goes; white space at its end stays out
 
 
 BASE_RULES = (
@@ -41,9 +43,15 @@ BASE_RULES = (
     Rule("access", r"AKIA", r"[A-Z0-9]+", 12),
     Rule("hex", r"", r"[0-9a-f]{32,}", 32),
 )
+# A private key after its BEGIN line: anything without five dashes up to the END line; or, if that is
+# missing, header lines, long key runs and lines of key characters only (line ends may be escaped).
+_EOL = r"""[\x20\t"',]*(\r|\n|\\r|\\n)"""
+KEY_BLOCK = (r"(-{0,4}[^-])*-----END [ A-Z0-9]*PRIVATE KEY[ A-Z]*-----"
+             r"""|(([\x20\t\r\n"'>|*#,]|\\r|\\n)*([A-Za-z0-9+/=]{16,}|[A-Za-z0-9+/=]+""" + _EOL +
+             r"|(Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\r\n\\]*" + _EOL + "))*")
 # Public token formats beyond the base kinds.
 EXTRA_RULES = (
-    Rule("private_key", r"-----BEGIN (RSA |EC |DSA |OPENSSH |PGP )?PRIVATE KEY", r"[ A-Z]*-----", 5),
+    Rule("private_key", r"-----BEGIN (RSA |EC |DSA |OPENSSH |PGP |ENCRYPTED )?PRIVATE KEY", r"[ A-Z]*-----", 5, KEY_BLOCK),
     Rule("github", r"gh[pousr]_", r"[A-Za-z0-9]+", 36),
     Rule("slack", r"xox[abprs]-", r"[A-Za-z0-9-]+", 10),
     Rule("google", r"AIza", r"[A-Za-z0-9_-]+", 35),
@@ -135,6 +143,7 @@ class Dfa:
     table: list  # state -> tuple of 256 next states
     accepts: list  # state -> bit set of accepted rules
     start: int
+    dead: frozenset  # states that are never left
 
 
 def compile_rules(patterns, back: bool, anywhere: bool) -> Dfa:
@@ -188,7 +197,8 @@ def compile_rules(patterns, back: bool, anywhere: bool) -> Dfa:
     new = [ids.setdefault(block[i], len(ids)) for i in range(len(moves))]
     first = [new.index(c) for c in range(len(ids))]
     small = [[new[t] for t in moves[i]] for i in first]
-    return Dfa([tuple(r[c] for c in of_byte) for r in small], [accepts[i] for i in first], new[0])
+    dead = frozenset(i for i, r in enumerate(small) if set(r) == {i} and not accepts[first[i]])
+    return Dfa([tuple(r[c] for c in of_byte) for r in small], [accepts[i] for i in first], new[0], dead)
 
 
 class Scanner:
@@ -206,6 +216,7 @@ class Scanner:
         self.start = at[both.start]
         self.heads = [compile_rules([r.head], False, False) for r in rules]
         self.bodies = [compile_rules([r.body], False, False) for r in rules]
+        self.rests = [compile_rules([r.rest], False, False) if r.rest else None for r in rules]
 
     @staticmethod
     def longest(dfa: Dfa, data: bytes, at: int) -> int:
@@ -215,8 +226,8 @@ class Scanner:
             s = table[s][data[i]]
             if accepts[s]:
                 end = i + 1
-            elif not any(t != s for t in table[s]):
-                break  # the dead state
+            elif s in dfa.dead:
+                break
         return end
 
     def starts(self, data: bytes) -> list[tuple[int, int]]:
@@ -247,9 +258,12 @@ class Scanner:
                 end = self.longest(self.bodies[k], data, mid) if mid >= 0 else -1
                 if end < 0:
                     continue
-                cursor = end
                 if end - mid >= rule.min_body:
+                    if rule.rest:  # the end of the text ends its last line
+                        more = self.longest(self.rests[k], data + b"\n", end)
+                        end += len(data[end:max(end, more)].rstrip())
                     spans.append((at, end, k))
+                cursor = end
         if len(data) != len(text):  # byte offsets to code points
             points = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
             spans = [(int(points[a]) - 1, int(points[b - 1]), k) for a, b, k in spans]

@@ -201,6 +201,30 @@ def test_secret_table(docs, rows):
     assert secrets.redact("ab secret cd", [(3, 9, 0), (5, 7, 1)]) == "ab [SECRET] cd"
 
 
+@pytest.mark.parametrize("kind", ["RSA ", "ENCRYPTED ", "", "PGP "])
+@pytest.mark.parametrize("eol", ["\n", "\r\n", "\\n", " ", "\n    "])
+def test_private_key_is_redacted_whole(kind, eol):
+    rnd = random.Random(7)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    lines = ["".join(rnd.choice(chars) for _ in range(64)) for _ in range(5)] + ["Qz9x+/=="]
+    end = f"-----END {kind}PRIVATE KEY" + (" BLOCK-----" if kind == "PGP " else "-----")
+    begin = end.replace("END", "BEGIN")
+    extra = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A1B2C", ""] if kind == "RSA " and eol != " " else []
+    sc = secrets.Scanner()
+
+    def clean(t):
+        return secrets.redact(t, sc.scan(t))
+
+    assert clean("é a " + eol.join([begin, *extra, *lines, end]) + " z\n") == "é a [SECRET] z\n"
+    if eol != " ":  # no END line: to the last line of key characters, here also the end of the text
+        cut = eol.join([begin, *extra, *lines])
+        assert clean("a " + cut) == "a [SECRET]"
+        assert clean("a " + cut + "\nand more text") == "a [SECRET]\nand more text"
+    two = eol.join([begin, *lines, end])
+    assert clean(f"{two}\nmiddle words\n{two}") == "[SECRET]\nmiddle words\n[SECRET]"
+    assert clean("-----BEGIN PUBLIC KEY-----\nabc\n") == "-----BEGIN PUBLIC KEY-----\nabc\n"
+
+
 # -- WARC --------------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
