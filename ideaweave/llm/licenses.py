@@ -6,12 +6,19 @@ licence texts, each canonicalised the same way. Whole texts are looked up, and e
 text of its own (short notices). The known digests are a fixed table of a few entries, so the
 join is a broadcast of that table and nothing is shuffled but the grouped result.
 
+A whole text that has no known digest is looked up once more as a licence file: without its real
+copyright notices (a body line that happens to begin with the word stays), leading titles, clause
+numbers and the holders' names, against the full licence texts reduced in the same way (those of
+``KNOWN_TEXTS`` and of the folder ``license_texts``). The digest column is that of the first form.
+
 Defined results: a null text, or one without letters or digits, has the digest of the empty
 string and no licence; repeated rows give repeated rows; extra columns are not read.
 """
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +45,50 @@ EQUIVALENT = (
 )
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(copyright\b|\(c\)|©)[^\n]*$"
 
+FULL_LENGTH = 200  # known texts longer than this are full licence texts
+
+# BSD texts as (SPDX identifier, clauses); the other full texts are files.
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n",
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n\n",
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n\n",
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+)
+BSD_TEXTS = (("BSD-2-Clause", _BSD[0] + _BSD[1] + _BSD[3]), ("BSD-3-Clause", "".join(_BSD)))
+
+# What a licence file may have around the licence, on lower-case lines: notices (the word with a sign, a
+# year, a placeholder or "by"; or alone in its paragraph) and the reservation of rights.
+NOTICES = (
+    (r"\r\n?", "\n"),
+    (r"(?m)^[^\p{L}\p{N}\n]*(?:portions )?(?:copyright\b[^\p{L}\p{N}\n]*(?:\(c\)|©|c\b|(?:19|20)\d\d|[<\[{]|by\b)|©"
+     r"|\(c\)[^\p{L}\p{N}\n]*(?:copyright\b|(?:19|20)\d\d|[<\[{]))[^\n]*$", ""),
+    (r"(?m)^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$", ""),
+    (r"(^|\n[^\p{L}\p{N}\n]*\n)[^\p{L}\p{N}\n]*copyright\b[^\n]*(?=\n[^\p{L}\p{N}\n]*(?:\n|$)|$)", "$1"),
+)
+# The same on canonical words: titles, clause numbers, holders' names, postal addresses.
+_MONTH = "january|february|march|april|may|june|july|august|september|october|november|december"
+FRAME = (
+    (r"^(?:(?:[\p{L}\p{N}]+ ){0,6}?license(?: (?:identifier|agreement|text|file|mit|isc|expat|x11|bsd|0bsd|new|revised|modified"
+     r"|simplified|[234] clause|v\d+|version \d+(?: \d\d?)?|(?:" + _MONTH + r") \d{4}|www apache org licenses))*(?: |$))+", ""),
+    (r"^(?:the )?(?:mit|isc|expat|x11|0bsd|zero clause bsd|(?:[23]|two|three) clause bsd|bsd (?:[23]|two|three) clause|bsd) "
+     r"(?=permission |redistribution )", ""),
+    (r"\b(?:[1-4]|[a-d]|i{1,3}) (?=redistributions (?:of|in) |neither the name)", ""),
+    (r"\bneither the names? of .{1,120}? nor the names? of (?:its |their |any |the )?contributors", "neither holder nor contributors"),
+    (r"\bthis software is provided by .{1,120}? as is and", "this software is provided as is and"),
+    (r"\bin no event shall .{1,120}? be liable", "in no event shall be liable"),
+    (r"\b(?:59 temple place|51 franklin st(?:reet)?|675 mass ave)[^0-9]*(?:330 )?[^0-9]*\d{5}(?: \d{4,5})?(?: usa)?", ""),
+)
+
+
+def full_texts() -> tuple:
+    """``(license_id, body)`` of the full texts beyond ``KNOWN_TEXTS``, with and without what follows their end line."""
+    got = list(BSD_TEXTS)
+    for f in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        body, mark = f.read_text("utf-8"), "END OF TERMS AND CONDITIONS"
+        head, found, _ = body.partition(mark)
+        got += [(f.stem, x) for x in ((body, head, head + mark) if found else (body,))]
+    return tuple(got)
+
 
 def canonical(text: Column) -> Column:
     """Canonical form of a text (a Column of built-in functions)."""
@@ -53,17 +104,34 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def known_digests(spark, texts=KNOWN_TEXTS) -> DataFrame:
+def licence_body(text: Column) -> Column:
+    """Canonical form of a licence file without notices, titles and names."""
+    t = F.lower(F.coalesce(text, F.lit("")))
+    for pattern, to in NOTICES:
+        t = F.regexp_replace(t, pattern, to)
+    for pattern, to in EQUIVALENT:
+        t = F.regexp_replace(t, pattern, to)
+    t = F.trim(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "))
+    for pattern, to in FRAME:
+        t = F.regexp_replace(t, pattern, to)
+    return F.trim(F.regexp_replace(t, " +", " "))
+
+
+def body_digest(text: Column) -> Column:
+    return F.sha2(licence_body(text), 256)
+
+
+def known_digests(spark, texts=KNOWN_TEXTS, of=digest) -> DataFrame:
     """``(digest, license_id)``, one row per distinct canonical text; as many rows as ``texts`` at most."""
     raw = spark.createDataFrame(list(texts), "license_id string, body string")
-    return (raw.select(digest(F.col("body")).alias("digest"), "license_id")
+    return (raw.select(of(F.col("body")).alias("digest"), "license_id")
             .groupBy("digest").agg(F.min("license_id").alias("license_id")))
 
 
 def scan(df: DataFrame, text: str = "text", texts=KNOWN_TEXTS, out: str = "license",
          max_known: int = 100_000) -> DataFrame:
     """``df`` with a struct column ``out``: ``digest`` of the whole text, ``license_id`` it equals
-    (null: none), ``notices`` (sorted licence ids of lines that are a known text as a whole).
+    (null: none; a licence file counts with its notices and titles), ``notices`` (sorted licence ids of lines that are a known text as a whole).
 
     The known table is a parameter of bounded size (``max_known``); it reaches the tasks as a map
     literal, i.e. a broadcast hash join inside the projection.
@@ -71,11 +139,17 @@ def scan(df: DataFrame, text: str = "text", texts=KNOWN_TEXTS, out: str = "licen
     spark = df.sparkSession
     if len(texts) > max_known:
         raise ValueError(f"{len(texts)} known texts exceed the bound {max_known}")
-    known = {r["digest"]: r["license_id"] for r in known_digests(spark, texts).collect()}
-    entries = [F.lit(x) for kv in sorted(known.items()) for x in kv]
-    lookup = F.create_map(*entries) if entries else F.create_map().cast("map<string,string>")
+
+    def table(known, of):
+        found = {r["digest"]: r["license_id"] for r in known_digests(spark, known, of).collect()}
+        entries = [F.lit(x) for kv in sorted(found.items()) for x in kv]
+        return F.create_map(*entries) if entries else F.create_map().cast("map<string,string>")
+
+    lookup = table(texts, digest)
+    files = table([(i, t) for i, t in (*texts, *full_texts()) if len(t) > FULL_LENGTH], body_digest)
     whole = digest(df[text])
+    licence = F.coalesce(F.element_at(lookup, whole), F.element_at(files, body_digest(df[text])))
     lines = F.split(F.coalesce(df[text], F.lit("")), "\n")
     ids = F.filter(F.transform(F.array_distinct(lines), lambda x: F.element_at(lookup, digest(x))), lambda x: x.isNotNull())
-    return df.withColumn(out, F.struct(whole.alias("digest"), F.element_at(lookup, whole).alias("license_id"),
+    return df.withColumn(out, F.struct(whole.alias("digest"), licence.alias("license_id"),
                                        F.array_sort(F.array_distinct(ids)).alias("notices")))

@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -391,6 +392,34 @@ def test_licences(spark):
     assert got[4] == (None, ["MIT"]) and got[5] == got[6] == (None, []) and got[7] == ("Apache-2.0", ["Apache-2.0"])
 
 
+def test_licence_files(spark):
+    full = {i: t for i, t in reversed((*licenses.KNOWN_TEXTS, *licenses.full_texts())) if len(t) > 200}
+    wrapped = {i: "\n\n".join(textwrap.fill(p, 72) for p in full[i].split("\n\n")) for i in ("MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause")}
+    isc = textwrap.fill(full["ISC"].split("\n\n")[0], 66).replace("above copyright notice", "above\ncopyright notice", 1)
+    assert "\ncopyright notice and this" in isc
+    regents = (wrapped["BSD-3-Clause"].replace("THE COPYRIGHT HOLDERS AND", "THE REGENTS AND").replace("THE COPYRIGHT\nHOLDERS AND", "THE REGENTS AND")
+               .replace("copyright holder nor", "University nor").replace("\"AS IS\"", "``AS IS''"))
+    apache = full["Apache-2.0"]
+    own = [("MIT", "MIT License\n\nCopyright (c) 2020 Some Body\n\n" + wrapped["MIT"]),
+           ("MIT", "The MIT License (MIT)\r\nCopyright © 2015-2017, A. B. and others\r\n\r\n" + wrapped["MIT"].replace("\n", "\r\n")),
+           ("MIT", "Copyright Some Body and contributors\n\n" + wrapped["MIT"]),
+           ("ISC", "ISC License\n\nCopyright (c) 2004-2010 by A, Inc.\n\n" + isc + "\n\n" + full["ISC"].split("\n\n")[1]),
+           ("ISC", isc + "\n\n" + full["ISC"].split("\n\n")[1]),
+           ("0BSD", "BSD Zero Clause License\n\nCopyright (C) 2020 by X <x@y>\n\n" + wrapped["0BSD"]),
+           ("BSD-2-Clause", "BSD 2-Clause License\n\nCopyright (c) 2019, X\nAll rights reserved.\n\n" + wrapped["BSD-2-Clause"]),
+           ("BSD-3-Clause", "Copyright (c) The Regents.\nAll rights reserved.\n\n" + regents),
+           ("Apache-2.0", apache), ("Apache-2.0", apache[:apache.index("END OF TERMS")]),
+           ("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2020 Some Body")),
+           *[(i, full[i]) for i in ("GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0", "CC0-1.0")],
+           ("GPL-2.0-only", full["GPL-2.0-only"].replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA")),
+           ("MPL-2.0", full["MPL-2.0"].split("\n", 3)[3]),
+           (None, "MIT License\n\n" + wrapped["MIT"] + "\nand more"), (None, "MIT License"), (None, "License\n\nsee the file"),
+           (None, "MIT License\n\n" + wrapped["MIT"].replace("merge, ", "")), (None, None)]
+    rows = [(i, t) for i, (_, t) in enumerate(own)]
+    got = {r["doc_id"]: r["k"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), out="k").collect()}
+    assert [got[i]["license_id"] for i in range(len(own))] == [i for i, _ in own]
+
+
 # -- mixing ------------------------------------------------------------------------------------
 
 def plain_targets(sizes):
