@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import inspect
 import json
+import hashlib
 import re
 import time
 from typing import Callable, NamedTuple
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,13 +95,70 @@ def neighborhood_prompts(members: DataFrame, ideas: DataFrame, broadcast_max_row
                     discovery_prompt(F.col("n_items"), F.coalesce(F.col("text"), F.lit(""))).alias("prompt"))
 
 
+def member_hashes(assign: DataFrame, per: int) -> DataFrame:
+    """(cluster_id, group_hash, n_members): SHA-256 of each cluster's sorted id list, at every size.
+
+    The ids are range-sorted over all tasks and joined into pieces of at most ``per`` ids; the pieces
+    of a cluster then run through one hash in order, so no cluster is collected whole.
+    """
+    kind = assign.schema["cluster_id"].dataType.simpleString()
+    id_kind = assign.schema["idea_id"].dataType.simpleString()
+    p = int(assign.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = (assign.select("cluster_id", "idea_id", F.col("idea_id").cast("string").alias("name"))
+           .repartitionByRange(p, "cluster_id", "idea_id").sortWithinPartitions("cluster_id", "idea_id"))
+
+    def cut(batches):
+        held, names, k = None, [], 0  # held: cluster, first id, members
+
+        def piece():
+            nonlocal held, names, k
+            text = [x for x in names if x is not None]
+            got = [pa.array([v], t) for v, t in zip(
+                (held[0], held[1], k, ",".join(text) if text else None, held[2]), types)]
+            held, names, k = None, [], k + 1
+            return pa.RecordBatch.from_arrays(got, names=["cluster_id", "first", "k", "text", "n"])
+
+        for b in batches:
+            types = [b.schema.field(0).type, b.schema.field(1).type, pa.int64(), pa.string(), pa.int64()]
+            for c, i, name in zip(*[x.to_pylist() for x in b.columns]):
+                if held and (held[0] != c or held[2] >= per):
+                    yield piece()
+                if not held:
+                    held = [c, i, 0]
+                held[2] += 1
+                names.append(name)
+        if held:
+            yield piece()
+
+    def digest(batches):
+        now, out = None, []  # now: cluster, hash, members, whether an id was hashed
+        for b in batches:
+            t = b.schema.field(0).type
+            for c, text, n in zip(*[b.column(x).to_pylist() for x in ("cluster_id", "text", "n")]):
+                if now and now[0] != c:
+                    out.append((now[0], now[1].hexdigest(), now[2]))
+                    now = None
+                now = now or [c, hashlib.sha256(), 0, False]
+                if text is not None:
+                    now[1].update((("," if now[3] else "") + text).encode())
+                    now[3] = True
+                now[2] += n
+        if now:
+            out.append((now[0], now[1].hexdigest(), now[2]))
+            yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*out), (t, pa.string(), pa.int64()))],
+                                             names=["cluster_id", "group_hash", "n_members"])
+
+    pieces = ids.mapInArrow(cut, f"cluster_id {kind}, first {id_kind}, k long, text string, n long")
+    return (pieces.repartition(p, "cluster_id").sortWithinPartitions("cluster_id", "first", "k")
+            .mapInArrow(digest, f"cluster_id {kind}, group_hash string, n_members long"))
+
+
 def cluster_prompts(assign: DataFrame, ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG,
                     sizes: dict | None = None) -> DataFrame:
     """Theme prompts for clusters with >= 3 members: (cluster_id, part, group_hash, n_members, prompt).
 
-    The hash covers every member id (exact SHA-256 for clusters up to ``max_hash_members``;
-    above that a mergeable multiset digest, computed with partial aggregation). Members are
-    printed in id order, in parts of ``max_prompt_ideas``, so a huge cluster becomes several
+    The hash is SHA-256 of the sorted ids of all members, whatever their number
+    (``max_hash_members`` is the size of a piece of that list, not a limit). Members are printed in id order, in parts of ``max_prompt_ideas``, so a huge cluster becomes several
     prompts that together still show every member -- no group is collected whole.
     """
     from .ranking import rank_within
@@ -107,18 +166,7 @@ def cluster_prompts(assign: DataFrame, ideas: DataFrame, cfg: PipelineConfig = D
         sizes = {r[0]: r[1] for r in assign.groupBy("cluster_id").count().collect()}
     keep = [c for c, n in sizes.items() if n >= 3]
     a = assign.where(F.col("cluster_id").isin(keep)).select("idea_id", "cluster_id")
-    small = [c for c in keep if sizes[c] <= cfg.max_hash_members]
-    big = [c for c in keep if sizes[c] > cfg.max_hash_members]
-    hashes = a.where(F.col("cluster_id").isin(small)).groupBy("cluster_id").agg(
-        set_hash(F.collect_list("idea_id")).alias("group_hash"), F.count(F.lit(1)).alias("n_members"))
-    if big:
-        h = F.xxhash64("idea_id")
-        dig = a.where(F.col("cluster_id").isin(big)).groupBy("cluster_id").agg(
-            F.count(F.lit(1)).alias("n_members"), F.min("idea_id").alias("lo"), F.max("idea_id").alias("hi"),
-            F.sum(h.cast("decimal(38,0)")).alias("hs"), F.bit_xor(h).alias("hx"))
-        hashes = hashes.unionByName(dig.select("cluster_id", F.sha2(F.concat_ws(
-            "|", F.lit("digest-v1"), *[F.col(c).cast("string") for c in ("n_members", "lo", "hi", "hs", "hx")]),
-            256).alias("group_hash"), "n_members"))
+    hashes = member_hashes(a, cfg.max_hash_members)
     lines = a.join(ideas.select("idea_id", item_line(chars=PATTERNS_DESCRIPTION_CHARS).alias("line")), "idea_id")
     per = cfg.max_prompt_ideas
     if any(sizes[c] > per for c in keep):
@@ -190,7 +238,6 @@ def fake_responder(prompt: str, system: str):
     It names the first three ``[ID:n]`` items in a constellation (or pattern) whose type and
     score come from the prompt's SHA-256. Token counts are characters // 4.
     """
-    import hashlib
     h = hashlib.sha256(prompt.encode("utf-8")).hexdigest()
     ids = [int(x) for x in re.findall(r"\[ID:(\d+)\]", prompt)][:3]
     if '"patterns"' in prompt:

@@ -69,3 +69,19 @@ def test_validation(spark):
     members = spark.createDataFrame([("h0", 1), ("h0", 2), ("h0", 3)], "group_hash string, idea_id long")
     got = disc.parse_constellations(r, CFG_MIN, validate=True, members=members).rows
     assert [x["item_ord"] for x in got.collect()] == [2]
+
+
+def test_cluster_hash_is_one_formula_at_every_size(spark):
+    import hashlib
+
+    from ideaweave.config import DEFAULT_CONFIG
+    sizes = {0: 500, 1: 60, 2: 3, 3: 2}
+    rows = [(i * 4 + c - 7, c) for c, n in sizes.items() for i in range(n)]
+    assign = spark.createDataFrame(rows, "idea_id long, cluster_id int").repartition(5)
+    ideas = assign.selectExpr("idea_id", "'t' AS title", "'s' AS source", "'c' AS category", "'d' AS description")
+    want = {c: (hashlib.sha256(",".join(map(str, sorted(i for i, k in rows if k == c))).encode()).hexdigest(), n)
+            for c, n in sizes.items() if n >= 3}
+    for most in (7, 100, 100_000):
+        cfg = DEFAULT_CONFIG.replace(max_hash_members=most)
+        got = disc.cluster_prompts(assign, ideas, cfg).select("cluster_id", "group_hash", "n_members").distinct().collect()
+        assert {r["cluster_id"]: (r["group_hash"], r["n_members"]) for r in got} == want and len(got) == len(want)
