@@ -7,7 +7,9 @@ writes again with the same records (rows are sorted inside the partition), so no
 
 Reading: a member must inflate with a right checksum, its version line, headers, length and block
 digest must agree. After a failed check the reader searches for the next gzip member or version
-line that passes them, goes on from there, and logs the bytes between as a quarantined gap.
+line that passes them, goes on from there, and logs the bytes between as a quarantined gap. Inside a
+member the search goes over its content, and the gap's reason names the offsets inside. Of a broken or
+cut member the content up to the damage counts; if it is damaged, only records with a right block digest.
 
 Defined results: a null payload is empty; a null id is written as ``none`` and read as null, and is
 smaller than any id; equal ids with equal payloads are equal records; other columns are not read.
@@ -137,47 +139,89 @@ def parse_record(data, at: int):
 
 
 def inflate(data: bytes, at: int):
-    """(content, end) of the gzip member that begins at ``at``; ValueError if it is broken or cut."""
-    d, view, out, p = zlib.decompressobj(31), memoryview(data), [], at
-    try:
-        while not d.eof and p < len(data):
-            out.append(d.decompress(view[p:p + 65536]))
-            p += 65536
-    except zlib.error as e:
-        raise ValueError("gzip member") from e
+    """(content, end, None) of the gzip member that begins at ``at``; (content so far, None, reason) if it is broken or cut."""
+    d, view, out, p, step = zlib.decompressobj(31), memoryview(data), [], at, 65536
+    while not d.eof and p < len(data):
+        was = d.copy()
+        try:
+            out.append(d.decompress(view[p:p + step]))
+            p += step
+        except zlib.error:
+            if step == 1:
+                return b"".join(out), None, "gzip member"
+            d, step = was, step // 16  # nearer to the damage
     if not d.eof:
-        raise ValueError("gzip member cut")
-    return b"".join(out), min(p, len(data)) - len(d.unused_data)
+        return b"".join(out), None, "gzip member cut"
+    return b"".join(out), min(p, len(data)) - len(d.unused_data), None
 
 
-def salvage(data: bytes):
-    """Yields ``("record", start, end, headers, block, None)`` and ``("gap", start, end, None, None, reason)``."""
+def salvage_content(content: bytes, damaged: bool):
+    """``salvage`` of a member's content: ``(start, end, headers, block, reason)``, headers null for gaps."""
     at, bad, why = 0, None, None
-    while at < len(data):
+    while at < len(content):
         try:
-            found = []
-            if data[at:at + 3] == b"\x1f\x8b\x08":
-                content, end = inflate(data, at)
-                p = 0
-                while p < len(content):
-                    headers, block, p = parse_record(content, p)
-                    found.append((headers, block))
-            else:
-                headers, block, end = parse_record(data, at)
-                found.append((headers, block))
+            headers, block, end = parse_record(content, at)
+            if damaged and not headers.get("warc-block-digest", "").lower().startswith("sha1:"):
+                raise ValueError("no block digest")
         except ValueError as e:
             if bad is None:
                 bad, why = at, str(e)
-            nxt = _NEXT.search(data, at + 1)
-            at = nxt.start() if nxt else len(data)
+            nxt = _VERSION.search(content, at + 1)
+            at = nxt.start() if nxt else len(content)
             continue
         if bad is not None:
-            yield "gap", bad, at, None, None, why
+            yield bad, at, None, None, why
             bad = None
-        for headers, block in found:
-            yield "record", at, end, headers, block, None
+        yield at, end, headers, block, None
+        at = end
+    if bad is not None:
+        yield bad, len(content), None, None, why
+
+
+def salvage(data: bytes):
+    """Yields ``("record", start, end, headers, block, None)`` and ``("gap", start, end, None, None, reason)``.
+
+    What comes from inside a member has the member's start and end; those of a broken member end at
+    the next one that passes.
+    """
+    at, bad, why, kept = 0, None, None, []
+
+    def inside(start, end, found):
+        for p, q, headers, block, reason in found:
+            if headers is None:
+                yield "gap", start, end, None, None, f"{reason} (inside member, {p}-{q})"
+            else:
+                yield "record", start, end, headers, block, None
+
+    while at < len(data):
+        found, end, failed = [], None, None
+        if data[at:at + 3] == b"\x1f\x8b\x08":
+            content, end, failed = inflate(data, at)
+            found = list(salvage_content(content, failed == "gzip member"))
+            if found and all(x[2] is None for x in found):
+                found, failed = [], failed or found[0][4]
+            elif found and failed:
+                failed = f"{failed} (inside member, from {len(content)})"
+        else:
+            try:
+                headers, block, end = parse_record(data, at)
+                found.append((at, end, headers, block, None))
+            except ValueError as e:
+                failed = str(e)
+        if bad is not None and (found or not failed):
+            yield from inside(bad, at, kept)
+            yield "gap", bad, at, None, None, why
+            bad, kept = None, []
+        if not failed:
+            yield from inside(at, end, found)
+        elif bad is None:
+            bad, why, kept = at, failed, found
+        if failed and end is None:
+            nxt = _NEXT.search(data, at + 1)
+            end = nxt.start() if nxt else len(data)
         at = end
     if bad is not None:
+        yield from inside(bad, len(data), kept)
         yield "gap", bad, len(data), None, None, why
 
 

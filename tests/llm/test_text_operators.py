@@ -277,6 +277,40 @@ def test_salvage(zipped):
     assert list(warc.salvage(b"")) == []
 
 
+def test_salvage_inside_a_member():
+    rnd = random.Random(3)
+
+    def rec(i):
+        p = rnd.randbytes(3000 + i)
+        return warc.record_bytes(i, "u", p, len(p), hashlib.sha1(p).hexdigest(), None, False)
+
+    def read(data):
+        got = list(warc.salvage(data))
+        return ([warc._ID.match(x[3]["warc-record-id"])[1] for x in got if x[0] == "record"],
+                [x for x in got if x[0] == "gap"])
+
+    parts = [rec(i) for i in range(60)]
+    names = [str(i) for i in range(60)]
+    hurt = parts[5][:-100] + b"???" + parts[5][-97:]
+    whole = b"".join(parts)
+    bad = warc.member(b"".join([*parts[:5], hurt, *parts[6:]]))
+    ids, lost = read(warc.member(parts[0]) + bad + warc.member(parts[1]))
+    start = len(warc.member(parts[0]))
+    at = sum(map(len, parts[:5]))
+    assert ids == ["0", *[n for n in names if n != "5"], "1"]
+    assert lost == [("gap", start, start + len(bad), None, None, f"block digest (inside member, {at}-{at + len(hurt)})")]
+    ids, lost = read(warc.member(whole)[:-4000])  # cut
+    assert ids == names[:len(ids)] and 57 <= len(ids) < 60 and len(lost) == 2 and lost[-1][5].startswith("gzip member cut (inside")
+    zipped = bytearray(warc.member(whole))
+    zipped[-6] ^= 1  # checksum
+    ids, lost = read(bytes(zipped) + warc.member(parts[7]))
+    assert ids == [*names, "7"] and len(lost) == 1 and lost[0][1:3] == (0, len(zipped))
+    zipped = bytearray(warc.member(whole))
+    zipped[len(zipped) // 2:len(zipped) // 2 + 40] = bytes(40)  # damage in the middle
+    ids, lost = read(bytes(zipped) + warc.member(parts[7]))
+    assert ids[:28] == names[:28] and ids[-1] == "7" and lost
+
+
 def test_block_digest_is_base32():
     r = warc.record_bytes(1, None, b"p", 1, hashlib.sha1(b"p").hexdigest(), None, False)
     headers, block, end = warc.parse_record(r, 0)
