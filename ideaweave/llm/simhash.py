@@ -3,7 +3,10 @@
 Fingerprints: 64 majority bits over the XXH64 values of word shingles. Links: at most ``distance``
 differing bits. Distinct fingerprints are dealt to ``distance + 1`` tables by a mask of the bits
 each (two fingerprints that link agree on one mask entirely), so a bucket shares one masked
-pattern: the top node of an index. Inside a bucket the fingerprints are sorted by Gray rank and
+pattern: the top node of an index. A bucket of more than ``BUCKET`` members is dealt again by masks of
+its free bits in the same way; what is still larger is cut into blocks in Gray order, and every pair
+of blocks whose common bits allow a link is looked at on its own, so no task gets a larger group.
+Inside a bucket the fingerprints are sorted by Gray rank and
 cut into groups of ``FAN``; the bits on which a group agrees form its node (mask, pattern), groups
 of groups the nodes above. Pairs of nodes are followed downwards only while the differing bits of
 their common masked patterns stay within the distance; a node whose members differ in few enough
@@ -23,6 +26,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +37,7 @@ DISTANCE = 4
 SEED = 42
 FAN = 16
 PAIR_CHUNK = 1 << 20
+BUCKET = 4096  # members that one index takes at most
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -136,11 +141,15 @@ class GrayIndex:
                 self._union(a[near], b[near])
                 continue
             # bits that all members of one node have and all of the other lack, or the reverse
+            span = self.fan ** level
+            p, cut = self._flat(), np.arange(0, len(self.v), span)
+            low, high = np.minimum.reduceat(p, cut), np.maximum.reduceat(p, cut)
+            new = (low[a] != high[a]) | (low[b] != high[b]) | (low[a] != low[b])  # not yet one component
+            a, b = a[new], b[new]
             apart = (every[a] & ~some[b]) | (every[b] & ~some[a])
             near = _popcount(apart) <= self.k
             a, b = a[near], b[near]
             # nodes whose members all lie within the distance: linked as a whole
-            span = self.fan ** level
             tight = _popcount((some[a] | some[b]) & ~(every[a] & every[b])) <= self.k
             for x, y in zip(a[tight].tolist(), b[tight].tolist()):
                 first = x * span
@@ -166,33 +175,107 @@ class GrayIndex:
             self._join(x, y)
 
 
-def link_forest(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Edges ``(u, v)`` that connect all fingerprints (column ``fp``) within ``distance`` bits."""
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def further_masks(mask: int, distance: int = DISTANCE) -> list[int]:
+    """``mask`` with each of ``distance + 1`` parts of its free bits."""
+    free = [i for i in range(64) if not mask >> i & 1]
+    return [mask | sum(1 << int(i) for i in part) for part in np.array_split(free, distance + 1)]
+
+
+def link_forest(distinct: DataFrame, distance: int = DISTANCE, most: int = BUCKET) -> DataFrame:
+    """Edges ``(u, v)`` that connect all fingerprints (column ``fp``) within ``distance`` bits.
+
+    No index takes more than ``most`` members (at least 2); the edges connect the same whatever it is.
+    """
     parts = masks(distance)
     # the mask's number and the masked pattern are the top node of the bucket's index
-    signed = [m - (1 << 64) if m >> 63 else m for m in parts]
-    buckets = F.explode(F.array(*[F.struct(F.lit(i).alias("m"), F.col("fp").bitwiseAND(F.lit(s)).alias("pattern"))
-                                  for i, s in enumerate(signed)])).alias("b")
+    buckets = F.explode(F.array(*[F.struct(F.lit(i).cast("long").alias("m"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("pattern"))
+                                  for i, m in enumerate(parts)])).alias("b")
     dealt = distinct.select("fp", buckets).select("fp", F.col("b.m").alias("m"), F.col("b.pattern").alias("pattern"))
-    spark = distinct.sparkSession
-    p = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = ["m", "pattern"]
+
+    def links(rows: DataFrame) -> DataFrame:
+        def run(batches):
+            held, now = [], None
+
+            def found():
+                fp = np.concatenate(held)
+                return GrayIndex(fp.view(np.uint64), distance).links() if len(fp) > 1 else []
+
+            def edges(out):
+                e = np.array(out, np.uint64).reshape(-1, 2).view(np.int64)
+                return pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1])], names=["u", "v"])
+
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                fp, m, pat = (batch.column(i).to_numpy() for i in range(3))
+                cut = np.flatnonzero(np.r_[True, (m[1:] != m[:-1]) | (pat[1:] != pat[:-1])])
+                out: list = []
+                for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(fp)]):
+                    if held and now != (m[a], pat[a]):
+                        out += found()
+                        held = []
+                    now = m[a], pat[a]
+                    held.append(fp[a:b].copy())
+                yield edges(out)
+            if held:
+                yield edges(found())
+
+        return rows.repartition(p, *key).sortWithinPartitions(*key).mapInArrow(run, "u long, v long")
+
+    def split(rows: DataFrame):
+        """(links of the buckets that fit, rows of the larger ones or None)."""
+        # at most one row for each ``most`` members
+        hot = materialise(rows.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > most).select(*key), "sim-hot")
+        if not hot.limit(1).count():
+            return links(rows), None
+        return links(rows.join(F.broadcast(hot), key, "left_anti").select("fp", *key)), \
+            rows.join(F.broadcast(hot), key, "left_semi").select("fp", *key)
+
+    done, large = split(dealt)
+    if large is None:
+        return done
+    table = F.array(*[F.array(*[F.lit(_signed(x)) for x in further_masks(m, distance)]) for m in parts])
+    again = (large.select("fp", "m", F.posexplode(F.element_at(table, F.col("m").cast("int") + 1)).alias("s", "mask"))
+             .select("fp", (F.col("m") * (distance + 1) + F.col("s")).alias("m"), F.col("fp").bitwiseAND(F.col("mask")).alias("pattern")))
+    more, large = split(again)
+    done = done.union(more)
+    return done if large is None else done.union(links(_block_pairs(large, distance, max(1, most // 2), p)))
+
+
+def _block_pairs(rows: DataFrame, distance: int, size: int, p: int) -> DataFrame:
+    """``(fp, m, pattern)`` with buckets cut into blocks of ``size`` in Gray order: ``m`` and ``pattern`` of
+    the result name a pair of blocks that may hold a link."""
+    gray = F.col("fp")
+    for s in (1, 2, 4, 8, 16, 32):
+        gray = gray.bitwiseXOR(F.shiftrightunsigned(gray, s))
 
-    def run(batches):
-        rows = [(b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy()) for b in batches if b.num_rows]
-        if not rows:
-            return
-        fp, m, pat = (np.concatenate(x) for x in zip(*rows))
-        order = np.lexsort((pat, m))
-        fp, m, pat = fp[order], m[order], pat[order]
-        cut = np.flatnonzero(np.r_[True, (m[1:] != m[:-1]) | (pat[1:] != pat[:-1])])
-        out: list = []
-        for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(fp)]):
-            if b - a > 1:
-                out += GrayIndex(fp[a:b].view(np.uint64), distance).links()
-        e = np.array(out, np.uint64).reshape(-1, 2).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1])], names=["u", "v"])
-
-    return dealt.repartition(p, "m", "pattern").mapInArrow(run, "u long, v long")
+    def number(batches):
+        k, n, now = TaskContext.get().partitionId() << 32, 0, None
+        for b in batches:
+            blocks = []
+            for at in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                if at != now or n >= size:
+                    k, n, now = k + 1, 0, at
+                n += 1
+                blocks.append(k)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(blocks, pa.int64())], names=["fp", "m", "pattern", "block"])
+
+    order = ["m", "pattern", "gray"]
+    blocks = materialise(rows.withColumn("gray", gray).repartitionByRange(p, *order).sortWithinPartitions(*order)
+                         .mapInArrow(number, "fp long, m long, pattern long, block long"), "sim-blocks")
+    nodes = blocks.groupBy("m", "pattern", "block").agg(F.bit_and("fp").alias("every"), F.bit_or("fp").alias("some"))
+    a, b = (nodes.select("m", "pattern", *[F.col(c).alias(f"{c}_{t}") for c in ("block", "every", "some")]) for t in "ab")
+    apart = "bit_count((every_a & ~some_b) | (every_b & ~some_a))"
+    pairs = a.join(b, ["m", "pattern"]).where("block_a <= block_b").where(f"{apart} <= {distance}")
+    each = pairs.select(F.explode(F.array_distinct(F.array("block_a", "block_b"))).alias("block"), "block_a", "block_b")
+    return blocks.select("fp", "block").join(each, "block").select(
+        "fp", F.col("block_a").alias("m"), F.col("block_b").alias("pattern"))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -372,6 +372,31 @@ def test_near_fingerprints_link(spark):
     assert len({next(iter(v)) for v in by_want.values()}) == len(by_want)
 
 
+def test_large_buckets_are_split(spark):
+    rnd = random.Random(11)
+    base = [rnd.getrandbits(64) for _ in range(4)]
+    got = {rnd.getrandbits(64) for _ in range(150)}
+    for x in base:  # families of near copies, in balls and in chains
+        got |= {x ^ sum(1 << b for b in rnd.sample(range(9, 39), rnd.randint(0, 6))) for _ in range(60)}
+        for _ in range(30):
+            x ^= sum(1 << b for b in rnd.sample(range(64), rnd.randint(2, 4)))
+            got.add(x)
+    got |= {(7 << 40) | (i * 2654435761 % (1 << 24)) for i in range(80)}  # one pattern under three masks
+    fps = sorted(got)
+    want = plain_components(fps, 4)
+    df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in fps], "fp long")
+    assert [sorted(x for x in range(64) if m >> x & 1) for m in simhash.further_masks(simhash.masks()[0])][0][:12] == list(range(12))
+    for most in (16, 40):
+        roots = {r["node"] % (1 << 64): r["root"] for r in simhash.components(simhash.link_forest(df, most=most)).collect()}
+        groups: dict = {}
+        for x in fps:
+            groups.setdefault(roots.get(x, ("alone", x)), set()).add(x)
+        plain: dict = {}
+        for x in fps:
+            plain.setdefault(want[x], set()).add(x)
+        assert sorted(map(sorted, groups.values())) == sorted(map(sorted, plain.values()))
+
+
 def test_keep_one(docs, rows):
     left = simhash.keep_one(docs).collect()
     assert list(left[0].asDict()) == docs.columns
