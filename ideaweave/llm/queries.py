@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, licenses, mixing, quality, secrets, simhash, substring, suffix_dedup, warc
+from . import (decontam, langid, lexical, licenses, mixing, negatives, quality, secrets, simhash, substring, suffix_dedup,
+               tokens, warc)
 from .common import materialise, read_table, shared_path
 from .sql import SQL
 
@@ -103,11 +104,36 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                F.array_join("k.notices", ",").alias("notices"))
 
 
-def _length(spans: Column) -> Column:
-    return F.aggregate(spans, F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-
-
 @query
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
+@query
+def op11_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    name, end = public_tokenizers.path("word_bpe_49k.json"), 2
+    bits = tokens.bits_for(tokens.vocabulary_size(name))
+    ids, path = materialise(tokens.encode(docs, name, end), "token-ids"), shared_path(spark, "tokens")
+    base = tokens.offsets(materialise(tokens.write(ids, path, bits), "token-files"))
+    got = tokens.read(spark, path).select("file", F.col("id").alias("doc_id"), "first", F.col("n").alias("n_tokens"),
+                                          F.crc32("ids").alias("ids_crc32"))
+    return got.join(base, "file").select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = materialise(negatives.integer_rows(e, "vec_id", label, "embedding"), "vectors")
+    return negatives.mine(rows, negatives.build(rows), rows.where(F.col("id") % 50 == 0))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    segments = materialise(lexical.index(docs), "segments")
+    return lexical.search(segments, read_table(spark, sf_dir, "benchmark"))

@@ -159,3 +159,39 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
        CAST(epochs * size + least(size, greatest(0, budget - before)) AS BIGINT) AS taken
 FROM x
 """
+
+SQL["op12_hard_negatives"] = """
+WITH r AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor, b.id AS id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+      FROM r a JOIN r b ON a.id <> b.id WHERE a.id % 50 = 0),
+p AS (SELECT anchor, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5)
+SELECT anchor AS anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SQL["op13_lexical_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS t FROM documents),
+l AS (SELECT rid, doc_id, t, CAST(len(t) AS BIGINT) AS n FROM d WHERE len(t) > 0),
+k AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM l),
+tf AS (SELECT rid, x, count(*) AS tf FROM (SELECT rid, unnest(t) AS x FROM l) GROUP BY rid, x),
+df AS (SELECT x, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, k GROUP BY x, nn),
+it AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS t FROM benchmark),
+qt AS (SELECT q, item_id, x, count(*) AS c FROM (SELECT q, item_id, unnest(t) AS x FROM it) GROUP BY q, item_id, x),
+s AS (SELECT q, item_id, rid, doc_id,
+             CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nn) // ll)))) AS BIGINT) AS score
+      FROM qt JOIN df USING (x) JOIN tf USING (x) JOIN l USING (rid), k GROUP BY q, item_id, rid, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
