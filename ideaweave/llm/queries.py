@@ -115,10 +115,8 @@ def op11_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    name, end = public_tokenizers.path("word_bpe_49k.json"), 2
-    bits = tokens.bits_for(tokens.vocabulary_size(name))
-    ids, path = materialise(tokens.encode(docs, name, end), "token-ids"), shared_path(spark, "tokens")
-    base = tokens.offsets(materialise(tokens.write(ids, path, bits), "token-files"))
+    name, path = public_tokenizers.path("word_bpe_49k.json"), shared_path(spark, "tokens")
+    base = tokens.offsets(materialise(tokens.write(docs, path, name, end_id=2), "token-files"))
     got = tokens.read(spark, path).select("file", F.col("id").alias("doc_id"), "first", F.col("n").alias("n_tokens"),
                                           F.crc32("ids").alias("ids_crc32"))
     return got.join(base, "file").select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")

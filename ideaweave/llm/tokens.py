@@ -5,18 +5,19 @@ Every id takes the fewest bits that hold the vocabulary. Ids are packed in block
 numpy arrays. A file holds, after its header, the first id and the id column value of every document
 and the byte offset of every block, so any range of ids is read by unpacking its blocks alone.
 
-``encode`` turns texts into ids where the rows are; ``write`` range-sorts the documents by id and
-writes the files of a partition under names that a repeated attempt writes again with the same
-content; ``offsets`` gives the ids before each file as two-level prefix sums; ``read`` unpacks files
+``write`` range-sorts the documents by id, encodes them and writes the files of a partition under
+names that a repeated attempt writes again with the same content; ``offsets`` gives the ids before each file as two-level prefix sums; ``read`` unpacks files
 through Spark, ``Shard`` reads one at random.
 
 Defined results: a null text is empty (its end id alone); null ids come first, equal ids in the order
-of a hash of their ids' bytes, equal rows as rows of their own; an empty table writes no file; long
+of a hash of their texts, equal rows as rows of their own; an empty table writes no file; long
 texts are encoded in pieces cut at white space; other columns are not read.
 """
 
 from __future__ import annotations
 
+import itertools
+import json
 import os
 import re
 import struct
@@ -32,11 +33,12 @@ from pyspark.sql import functions as F
 BLOCK = 4096  # ids in a block, a multiple of 64
 FILE_IDS = 8 << 20  # a file is closed at the first document after so many ids
 PIECE_CHARS = 4 << 20  # longer texts are encoded in pieces
-CACHE_WORDS = 300_000
+LOT_CHARS = 24 << 20  # texts encoded together
+CACHE_WORDS = 500_000
 MAGIC = b"IWTOKENS"
 _HEAD = struct.Struct("<8sIIQQ")  # magic, bits, block, documents, ids
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
-_CORE = re.compile(r"([A-Za-z]+)([.,;:!?]+)")
+_TAIL = ".,;:!?"
 
 
 def bits_for(vocab_size: int) -> int:
@@ -122,10 +124,10 @@ class Shard:
 class Encoder:
     """Texts to ids by a ``tokenizers`` file.
 
-    ``by_word``: each distinct word between white space is encoded once and kept in a bounded cache,
-    and full stops and the like behind ASCII letters are encoded apart. This gives the ids of the
-    whole text for tokenizers that drop white space, lower-case, and part letters from punctuation;
-    use ``by_word=False`` (whole texts) for all others.
+    ``by_word``: each distinct word between white space is encoded once, and full stops and the like
+    behind an ASCII letter are encoded apart. This gives the ids of the whole text for tokenizers that
+    drop white space, lower-case, and part letters from punctuation; use ``by_word=False`` (whole
+    texts) for all others. The first ``CACHE_WORDS`` words a worker meets are kept with their ids.
     """
 
     def __init__(self, path: str, by_word: bool = True):
@@ -134,39 +136,88 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.by_word = by_word
-        self.cache: dict[str, list[int]] = {}
-
-    def words(self, words: list[str]) -> list[list[int]]:
-        cut = [(m[1].lower(), m[2]) if (m := _CORE.fullmatch(w)) else (w.lower() if w.isascii() and w.isalpha() else w, "")
-               for w in words]
-        cache = self.cache
-        new = list({x for pair in cut for x in pair if x not in cache})
-        if len(cache) + len(new) > CACHE_WORDS:
-            cache.clear()
-            new = list({x for pair in cut for x in pair})
-        for a in range(0, len(new), 1000):
-            part = new[a:a + 1000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                cache[w] = e.ids
-        return [cache[a] + cache[b] if b else cache[a] for a, b in cut]
+        suffix = json.loads(self.tok.to_str())["model"].get("end_of_word_suffix")
+        self.ends = None
+        if suffix:  # which ids end a word
+            self.ends = np.zeros(self.tok.get_vocab_size(with_added_tokens=True), bool)
+            self.ends[[i for t, i in self.tok.get_vocab().items() if t.endswith(suffix)]] = True
+        self.known = pa.array([], pa.large_string())
+        self.known_n, self.known_ids = np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def apart(self, words: list[str]):
+        """Ids and numbers of ids of words encoded one by one."""
+        got = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+        return np.fromiter(itertools.chain.from_iterable(got), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
+
+    def letters(self, words: list[str]):
+        """The same for words of letters: encoded as one text, cut at the ids that end a word."""
+        if self.ends is None:
+            return self.apart(words)
+        ids = np.array(self.tok.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
+        end = np.flatnonzero(self.ends[ids]) + 1
+        if len(end) != len(words):  # a word that the tokenizer takes for more than one
+            return self.apart(words)
+        return ids, np.diff(end, prepend=0)
+
+    def fresh(self, words: pa.Array):
+        """``(ids, numbers of ids)`` of distinct words."""
+        plain = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        parts, turned = [], words.take(pa.array(order)).to_pylist()
+        cut = int(plain.sum())
+        for a in range(0, cut, 2000):
+            parts.append(self.letters(turned[a:min(a + 2000, cut)]))
+        for a in range(cut, len(turned), 2000):
+            parts.append(self.apart(turned[a:a + 2000]))
+        ids, n = (np.concatenate(x) for x in zip(*parts)) if parts else (np.empty(0, np.uint32), np.empty(0, np.int64))
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return _gather(ids, n, back), n[back]
+
+    def words(self, words: pa.Array):
+        """``(ids, numbers of ids)`` of words, through the cache."""
+        at = pc.index_in(words, value_set=self.known)
+        new = words.filter(at.is_null())
+        ids, n = self.fresh(new)
+        at = at.to_numpy(zero_copy_only=False) if at.null_count == 0 else \
+            pc.fill_null(at, -1).to_numpy()
+        at = at.astype(np.int64)
+        at[at < 0] = len(self.known) + np.arange(len(new))
+        pool, size = np.concatenate([self.known_ids, ids]), np.concatenate([self.known_n, n])
+        if len(self.known) < CACHE_WORDS:
+            keep = min(len(new), CACHE_WORDS - len(self.known))
+            self.known = pa.concat_arrays([self.known, new.slice(0, keep)])
+            self.known_n = size[:len(self.known)]
+            self.known_ids = pool[:int(self.known_n.sum())]
+        return _gather(pool, size, at), size[at]
 
     def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, number of ids of each text)``."""
         if not self.by_word:
-            got = [e.ids for e in self.tok.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
-            return np.fromiter((i for g in got for i in g), np.uint32), np.array([len(g) for g in got], np.int64)
-        split = pc.ascii_split_whitespace(texts)
+            return self.apart(texts.to_pylist())
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
         first = split.offsets.to_numpy().astype(np.int64)
         seen = pc.dictionary_encode(split.values[first[0]:first[-1]])
-        ids = self.words(seen.dictionary.to_pylist())
-        size = np.array([len(i) for i in ids], np.int64)
-        begin = np.concatenate([[0], np.cumsum(size)])
-        pool = np.fromiter((i for w in ids for i in w), np.uint32, int(begin[-1]))
+        whole = seen.dictionary
+        core = pc.ascii_rtrim(whole, characters=_TAIL)
+        cut = pc.ascii_is_alpha(pc.utf8_slice_codeunits(core, -1))
+        core = pc.if_else(cut, core, whole)
+        low = pc.if_else(pc.ascii_is_alpha(core), pc.ascii_lower(core), core)
+        behind = np.flatnonzero(pc.binary_length(core).to_numpy() < pc.binary_length(whole).to_numpy())
+        tails = [w[len(c):] for w, c in zip(whole.take(pa.array(behind)).to_pylist(), core.take(pa.array(behind)).to_pylist())]
+        pieces = pc.dictionary_encode(pa.concat_arrays([low, pa.array(tails, pa.large_string())]))
+        ids, n = self.words(pieces.dictionary)
+        piece = pieces.indices.to_numpy()
+        # a word's ids: those of its core, then those of its tail
+        tail_at = np.cumsum(np.bincount(behind, minlength=len(whole)))
+        sequence = np.insert(piece[:len(whole)], behind + 1, piece[len(whole):])
+        begin = np.arange(len(whole)) + np.concatenate([[0], tail_at[:-1]])
+        part = np.concatenate([[0], np.cumsum(n[sequence])])
+        stop = np.append(begin[1:], len(sequence))
+        pool, size = _gather(ids, n, sequence), part[stop] - part[begin]
         word = seen.indices.to_numpy()
-        n = size[word]
-        at = np.concatenate([[0], np.cumsum(n)])
-        out = pool[np.repeat(begin[word] - at[:-1], n) + np.arange(at[-1])]
-        return out, np.diff(at[first - first[0]])
+        at = np.concatenate([[0], np.cumsum(size[word])])
+        return _gather(pool, size, word), np.diff(at[first - first[0]])
 
     def long(self, text: str) -> np.ndarray:
         """Ids of a text of any length, in pieces cut at white space."""
@@ -181,6 +232,13 @@ class Encoder:
         return np.concatenate(out)
 
 
+def _gather(pool: np.ndarray, n: np.ndarray, pick: np.ndarray) -> np.ndarray:
+    """The runs ``pick`` of ``pool``, which holds runs of ``n`` ids."""
+    begin, size = np.cumsum(n) - n, n[pick]
+    stop = np.cumsum(size)
+    return pool[np.repeat(begin[pick] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
+
+
 _ENCODERS: dict = {}
 
 
@@ -191,56 +249,66 @@ def _encoder(path: str, by_word: bool) -> Encoder:
     return _ENCODERS[path, by_word]
 
 
-def encode(df: DataFrame, tokenizer: str, end_id: int | None, id_col: str = "doc_id", text: str = "text",
-           by_word: bool = True) -> DataFrame:
-    """``(id, n, ids)`` per row: the number of ids and the ids (``end_id`` last) as unsigned 32-bit integers."""
-    rows = df.select(df[id_col].cast("long").alias("id"), F.coalesce(df[text], F.lit("")).alias("text"))
+def _rows(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    return df.select(df[id_col].cast("long").alias("id"), F.coalesce(df[text], F.lit("")).alias("text"))
 
-    def answer(doc_ids, n, flat):
-        n = np.asarray(n, np.int64)
-        data = pa.py_buffer(np.ascontiguousarray(flat, "<u4"))
-        at = np.concatenate([[0], np.cumsum(n) * 4])
-        kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(at.astype(np.int64)), data])
-        return pa.RecordBatch.from_arrays([doc_ids, pa.array(n), kept.cast(pa.binary())], names=["id", "n", "ids"])
 
-    def run(batches):
-        enc = _encoder(tokenizer, by_word)
-        for b in batches:
-            doc_ids, texts = b.column(0), b.column(1).cast(pa.large_string())
-            size = pc.utf8_length(texts).to_numpy(zero_copy_only=False)
-            a = 0
-            while a < len(size):
-                if size[a] > PIECE_CHARS:
-                    flat = enc.long(texts[a].as_py())
-                    flat = flat if end_id is None else np.append(flat, np.uint32(end_id))
-                    yield answer(doc_ids.slice(a, 1), [len(flat)], flat)
-                    a += 1
-                    continue
+def _encoded(batches, tokenizer: str, end_id: int | None, by_word: bool):
+    """``(ids column, numbers of ids, ids)`` per lot of texts of bounded size."""
+    enc = _encoder(tokenizer, by_word)
+    for b in batches:
+        doc_ids, texts = b.column(0), b.column(1).cast(pa.large_string())
+        size = pc.utf8_length(texts).to_numpy(zero_copy_only=False)
+        a = 0
+        while a < len(size):
+            if size[a] > PIECE_CHARS:
+                z, flat = a + 1, enc.long(texts[a].as_py())
+                n = np.array([len(flat)])
+            else:
                 z, held = a, 0
-                while z < len(size) and size[z] <= PIECE_CHARS and (z == a or held + size[z] <= 2 * PIECE_CHARS):
+                while z < len(size) and size[z] <= PIECE_CHARS and (z == a or held + size[z] <= LOT_CHARS):
                     held += size[z]
                     z += 1
                 flat, n = enc.flat(texts.slice(a, z - a))
-                if end_id is not None:
-                    flat, n = np.insert(flat, np.cumsum(n), np.uint32(end_id)), n + 1
-                yield answer(doc_ids.slice(a, z - a), n, flat)
-                a = z
+            if end_id is not None:
+                flat, n = np.insert(flat, np.cumsum(n), np.uint32(end_id)), n + 1
+            yield doc_ids.slice(a, z - a), n, flat
+            a = z
+
 
-    return rows.mapInArrow(run, "id long, n long, ids binary")
+def _id_lists(n: np.ndarray, flat: np.ndarray) -> pa.Array:
+    """Ids as one binary value of little-endian unsigned 32-bit integers per document."""
+    at = np.concatenate([[0], np.cumsum(n) * 4]).astype(np.int64)
+    data = pa.py_buffer(np.ascontiguousarray(flat, "<u4"))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(at), data]).cast(pa.binary())
+
+
+def encode(df: DataFrame, tokenizer: str, end_id: int | None, id_col: str = "doc_id", text: str = "text",
+           by_word: bool = True) -> DataFrame:
+    """``(id, n, ids)`` per row: the number of ids and the ids (``end_id`` last) as unsigned 32-bit integers."""
+    def run(batches):
+        for doc_ids, n, flat in _encoded(batches, tokenizer, end_id, by_word):
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(n, pa.int64()), _id_lists(n, flat)], names=["id", "n", "ids"])
+
+    return _rows(df, id_col, text).mapInArrow(run, "id long, n long, ids binary")
 
 
 # -- files -------------------------------------------------------------------------------------
 
 
-def write(encoded: DataFrame, path: str, bits: int, parts: int | None = None, file_ids: int = FILE_IDS) -> DataFrame:
-    """Write stored rows of ``encode`` below ``path`` (a shared folder) in ascending id order.
+def write(df: DataFrame, path: str, tokenizer: str, end_id: int | None, id_col: str = "doc_id", text: str = "text",
+          by_word: bool = True, parts: int | None = None, file_ids: int = FILE_IDS) -> DataFrame:
+    """Encode the texts and write their ids below ``path`` (a shared folder) in ascending id order.
 
+    The texts are range-sorted and encoded where they are written, so ids are never shuffled.
     ``(part, seq, file, n_docs, n_ids)`` per file. Lazy.
     """
-    parts = parts or int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = encoded.withColumns({"h": F.xxhash64("ids"), "salt": F.monotonically_increasing_id()})
-    rows = (keyed.repartitionByRange(parts, F.col("id").asc_nulls_first(), "h", "salt")
-            .sortWithinPartitions(F.col("id").asc_nulls_first(), "h", "salt").select("id", "n", "ids"))
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # rows of one id are dealt out too: by a hash of the text, and equal rows by where they were read
+    keyed = _rows(df, id_col, text).withColumns({"h": F.xxhash64("text"), "salt": F.monotonically_increasing_id()})
+    order = [F.col("id").asc_nulls_first(), F.col("h").asc(), F.col("salt").asc()]
+    rows = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "text")
+    bits = bits_for(max(vocabulary_size(tokenizer), (end_id or 0) + 1))
 
     def run(batches):
         store, base = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path.removeprefix("file:"))
@@ -251,20 +319,19 @@ def write(encoded: DataFrame, path: str, bits: int, parts: int | None = None, fi
             nonlocal seq, docs, lengths, ids, held
             name = f"part-{part:06d}-{seq:05d}.ids"
             with store.open_output_stream(f"{base}/{name}", compression=None) as f:
-                f.write(shard_bytes(docs, lengths, np.concatenate(ids), bits))
+                f.write(shard_bytes(docs, np.concatenate(lengths), np.concatenate(ids), bits))
             got = pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "seq": pa.array([seq], pa.int64()), "file": [name],
                                               "n_docs": pa.array([len(docs)], pa.int64()), "n_ids": pa.array([held], pa.int64())})
             seq, docs, lengths, ids, held = seq + 1, [], [], [], 0
             return got
 
-        for b in batches:
-            for d, n, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                docs.append(d)
-                lengths.append(n)
-                ids.append(np.frombuffer(x.as_buffer(), "<u4"))
-                held += n
-                if held >= file_ids:
-                    yield close()
+        for doc_ids, n, flat in _encoded(batches, tokenizer, end_id, by_word):
+            docs += doc_ids.to_pylist()
+            lengths.append(n)
+            ids.append(flat.astype(np.uint32))
+            held += len(flat)
+            if held >= file_ids:
+                yield close()
         if docs:
             yield close()
 
@@ -295,12 +362,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 while a < n_docs:  # lots of documents of bounded size
                     z = max(a + 1, int(np.searchsorted(s.first, s.first[a] + (1 << 20), "right")) - 1)
                     flat = s.ids(int(s.first[a]), int(s.first[z]))
-                    at = (s.first[a:z + 1] - s.first[a]) * 4
-                    ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), z - a,
-                                                           [None, pa.py_buffer(at), pa.py_buffer(flat.astype("<u4"))])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([name] * (z - a)), pa.array(s.doc_ids[a:z], pa.int64()), pa.array(s.first[a:z]),
-                         pa.array(np.diff(s.first[a:z + 1])), ids.cast(pa.binary())], names=["file", "id", "first", "n", "ids"])
+                         pa.array(np.diff(s.first[a:z + 1])), _id_lists(np.diff(s.first[a:z + 1]), flat)], names=["file", "id", "first", "n", "ids"])
                     a = z
 
     return files.mapInArrow(run, "file string, id long, first long, n long, ids binary")
