@@ -23,8 +23,17 @@ SIZE = 400
 GRAM = 24
 
 
-def suffix_array(t: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of ``t`` (non-negative integers)."""
+def _narrow(key: np.ndarray, top: int) -> np.ndarray:
+    """Keys below ``top`` in the narrowest type that sorts fast."""
+    return key.astype(np.uint32) if top <= 1 << 32 else key
+
+
+def suffix_array(t: np.ndarray, enough: int | None = None) -> np.ndarray:
+    """Order of the suffixes of ``t`` (non-negative integers).
+
+    ``enough``: suffixes that agree in so many elements may stand in any order among themselves (the
+    recursion ends once names are that long). None: the exact order.
+    """
     n = len(t)
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: t[i:].tolist()), np.int64)
@@ -35,34 +44,40 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     p1 = np.arange(1, n + (n % 3 == 1), 3)
     p2 = np.arange(2, n, 3)
     sample = np.concatenate([p1, p2])
-    k = np.uint64(int(x.max()) + 1)
-    if int(k) ** 3 < 1 << 64:
-        triple = (x[sample] * k + x[sample + 1]) * k + x[sample + 2]
-        order = np.argsort(triple, kind="stable")
+    top = int(x.max()) + 1
+    k = np.uint64(top)
+    if top ** 3 < 1 << 64:
+        triple = _narrow((x[sample] * k + x[sample + 1]) * k + x[sample + 2], top ** 3)
+        order = np.argsort(triple)
         new = np.concatenate([[True], triple[order][1:] != triple[order][:-1]])
     else:
         a, b, c = x[sample], x[sample + 1], x[sample + 2]
         order = np.lexsort((c, b, a))
         a, b, c = a[order], b[order], c[order]
         new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])])
-    names = np.empty(len(sample), np.int64)
-    names[order] = np.cumsum(new) - 1
-    if not new.all():
-        order = suffix_array(names)
+    if not new.all() and (enough is None or enough > 3):
+        names = np.empty(len(sample), np.int64)
+        names[order] = np.cumsum(new) - 1
+        order = suffix_array(names, None if enough is None else -(-enough // 3))
     rank = np.zeros(n + 3, np.uint64)
     rank[sample[order]] = np.arange(1, len(sample) + 1, dtype=np.uint64)
     sorted12 = sample[order]
     sorted12 = sorted12[sorted12 < n]
     p0 = np.arange(0, n, 3)
-    r = np.uint64(len(sample) + 1)
-    sorted0 = p0[np.argsort(x[p0] * r + rank[p0 + 1], kind="stable")]
+    wide = len(sample) + 1
+    r = np.uint64(wide)
+    sorted0 = p0[np.argsort(_narrow(x[p0] * r + rank[p0 + 1], top * wide))]
     # merge: how many sampled suffixes come before each remaining one
     s1, s2 = sorted12[sorted12 % 3 == 1], sorted12[sorted12 % 3 == 2]
     before = np.searchsorted(x[s1] * r + rank[s1 + 1], x[sorted0] * r + rank[sorted0 + 1])
-    pairs = np.unique(np.concatenate([x[s2] * k + x[s2 + 1], x[sorted0] * k + x[sorted0 + 1]]), return_inverse=True)[1].astype(np.uint64)
-    before = before + np.searchsorted(pairs[:len(s2)] * r + rank[s2 + 2], pairs[len(s2):] * r + rank[sorted0 + 2])
+    two, two0 = x[s2] * k + x[s2 + 1], x[sorted0] * k + x[sorted0 + 1]
+    if top * top * wide >= 1 << 64:
+        pairs = np.unique(np.concatenate([two, two0]), return_inverse=True)[1].astype(np.uint64)
+        two, two0 = pairs[:len(s2)], pairs[len(s2):]
+    before = before + np.searchsorted(two * r + rank[s2 + 2], two0 * r + rank[sorted0 + 2])
     out = np.empty(n, np.int64)
-    at0 = before + np.arange(len(sorted0))
+    # where long agreeing suffixes stand in any order, their counts may step back
+    at0 = np.maximum.accumulate(before) + np.arange(len(sorted0))
     free = np.ones(n, bool)
     free[at0] = False
     out[at0] = sorted0
@@ -82,7 +97,7 @@ def repeated_starts(pieces: list[bytes], size: int = SIZE) -> list[np.ndarray]:
         text[o:o + len(p)] += 1  # zero ends a piece
         flat[o:o + len(p)] = p
         may[o:o + max(0, len(p) - size + 1)] = True
-    order = suffix_array(text)
+    order = suffix_array(text, size + 4)
     order = order[may[order]]
     flat = bytes(flat)
     words = np.empty(len(text), np.uint64)  # eight bytes from every position
