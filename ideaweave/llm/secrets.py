@@ -43,12 +43,14 @@ BASE_RULES = (
     Rule("access", r"AKIA", r"[A-Z0-9]+", 12),
     Rule("hex", r"", r"[0-9a-f]{32,}", 32),
 )
-# A private key after its BEGIN line: anything without five dashes up to the END line; or, if that is
-# missing, header lines, long key runs and lines of key characters only (line ends may be escaped).
+# A private key after its BEGIN line: header lines, long key runs and lines of key characters only (line
+# ends may be escaped), then the END line if it follows. Prose is no key line, so a heading that a text
+# merely quotes ends at the first line of words, whatever END line comes later.
 _EOL = r"""[\x20\t"',]*(\r|\n|\\r|\\n)"""
-KEY_BLOCK = (r"(-{0,4}[^-])*-----END [ A-Z0-9]*PRIVATE KEY[ A-Z]*-----"
-             r"""|(([\x20\t\r\n"'>|*#,]|\\r|\\n)*([A-Za-z0-9+/=]{16,}|[A-Za-z0-9+/=]+""" + _EOL +
-             r"|(Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\r\n\\]*" + _EOL + "))*")
+_GAP = r"""([\x20\t\r\n"'>|*#,]|\\r|\\n)*"""
+KEY_BLOCK = ("(" + _GAP + r"([A-Za-z0-9+/=]{16,}|[A-Za-z0-9+/=]+" + _EOL +
+             r"|(Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\r\n\\]*" + _EOL + "))*"
+             "(" + _GAP + r"[A-Za-z0-9+/=]*-----END [ A-Z0-9]*PRIVATE KEY[ A-Z]*-----|)")
 # Public token formats beyond the base kinds.
 EXTRA_RULES = (
     Rule("private_key", r"-----BEGIN (RSA |EC |DSA |OPENSSH |PGP |ENCRYPTED )?PRIVATE KEY", r"[ A-Z]*-----", 5, KEY_BLOCK),
