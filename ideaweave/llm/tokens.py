@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 BLOCK = 4096  # ids in a block, a multiple of 64
 FILE_IDS = 8 << 20  # a file is closed at the first document after so many ids
 PIECE_CHARS = 4 << 20  # longer texts are encoded in pieces
-LOT_CHARS = 24 << 20  # texts encoded together
+LOT_CHARS = 12 << 20  # texts encoded together
 CACHE_WORDS = 500_000
 MAGIC = b"IWTOKENS"
 _HEAD = struct.Struct("<8sIIQQ")  # magic, bits, block, documents, ids
