@@ -326,12 +326,16 @@ def write(df: DataFrame, path: str, tokenizer: str, end_id: int | None, id_col:
             return got
 
         for doc_ids, n, flat in _encoded(batches, tokenizer, end_id, by_word):
-            docs += doc_ids.to_pylist()
-            lengths.append(n)
-            ids.append(flat.astype(np.uint32))
-            held += len(flat)
-            if held >= file_ids:
-                yield close()
+            at, a = np.concatenate([[0], np.cumsum(n)]), 0
+            while a < len(n):
+                z = min(len(n), int(np.searchsorted(at, at[a] + file_ids - held)))
+                docs += doc_ids.slice(a, z - a).to_pylist()
+                lengths.append(n[a:z])
+                ids.append(flat[at[a]:at[z]].astype(np.uint32))
+                held += int(at[z] - at[a])
+                a = z
+                if held >= file_ids:
+                    yield close()
         if docs:
             yield close()
 
