@@ -23,18 +23,27 @@ MAX_REPEAT_PERCENT = 20
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 
-# Frequent function words of English, German, French and Spanish (a parameter of the stop-word rule).
+# Frequent function words, a parameter of the stop-word rule: English, German, French, Spanish, Italian,
+# Portuguese, Dutch, Danish, Swedish, Polish. Other languages in Latin script must use the rule with a
+# list of their own; texts in other scripts are not asked (``latin``).
 STOP_WORDS = (
     "the of and to in is that it for was with as on are by at be this an from he she or not "
     "der die das und zu den mit von ist im ein eine nicht sich auf für des dem auch "
     "le la les de du et des un une en que est pour dans qui sur par pas au il elle ne "
-    "el los las y del se por con una su para lo como más al un es"
+    "el los las y del se por con una su para lo como más al un es "
+    "di che è e per non sono della nel gli ma "
+    "o os da do em não uma com mais dos das na no "
+    "het een van dat niet zijn op te voor met maar "
+    "og det at ikke til af har som jeg vi "
+    "och att inte är för men på "
+    "w i z na się że jest do nie"
 ).split()
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``low <= numerator / denominator <= high``, asked only of texts of ``min_words`` words or more."""
+    """``low <= numerator / denominator <= high``, asked only of texts of ``min_words`` words or more and,
+    if ``latin``, of at most 1.5 UTF-8 bytes a character (what texts in Latin script have)."""
 
     name: str
     numerator: str
@@ -42,6 +51,7 @@ class Rule:
     low: float | None = None
     high: float | None = None
     min_words: int = 0
+    latin: bool = False
 
 
 RULES = (
@@ -49,7 +59,7 @@ RULES = (
     Rule("symbol_ratio", "n_symbols", "n_words", high=0.1),
     Rule("exclamation_ratio", "n_exclamations", "n_words", high=0.2),
     Rule("echo_ratio", "n_echoes", "n_words", high=0.2),  # words equal to the word before
-    Rule("stop_word_ratio", "n_stop_words", "n_words", low=0.02, min_words=50),
+    Rule("stop_word_ratio", "n_stop_words", "n_words", low=0.02, min_words=50, latin=True),
     Rule("duplicate_line_ratio", "n_dup_lines", "n_lines", high=0.5),
 )
 
@@ -100,6 +110,8 @@ def figures(text: Column, stop_words=STOP_WORDS) -> Column:
             F.size(F.filter(v["w"], lambda x: F.lower(x).isin(*stop_words))).cast("long").alias("n_stop_words"),
             F.size(F.filter(v["w"], lambda x, i: x == F.get(v["w"], i - F.lit(1)))).cast("long").alias("n_echoes"),
             F.size(v["l"]).cast("long").alias("n_lines"),
+            F.octet_length(t).cast("long").alias("n_bytes"),
+            F.length(t).cast("long").alias("n_chars"),
         )
 
     return let(F.struct(words.alias("w"), lines.alias("l")), of)
@@ -115,7 +127,10 @@ def failed_rules(m: Column, rules=RULES) -> Column:
             bad = bad | (num < F.lit(r.low) * den)
         if r.high is not None:
             bad = bad | (num > F.lit(r.high) * den)
-        broken.append(F.when(bad & (m["n_words"] >= r.min_words), F.lit(r.name)))
+        asked = m["n_words"] >= r.min_words
+        if r.latin:
+            asked = asked & (F.lit(2) * m["n_bytes"] <= F.lit(3) * m["n_chars"])
+        broken.append(F.when(bad & asked, F.lit(r.name)))
     return F.filter(F.array(*broken), lambda x: x.isNotNull())
 
 

@@ -16,7 +16,8 @@ def _verdict() -> str:
         num, den = f"CAST({r.numerator} AS DOUBLE)", f"CAST({r.denominator} AS DOUBLE)"
         bad = [f"{num} < {r.low} * {den}"] if r.low is not None else []
         bad += [f"{num} > {r.high} * {den}"] if r.high is not None else []
-        parts.append(f"((({') OR ('.join(bad)})) AND n_words >= {r.min_words})")
+        asked = f"n_words >= {r.min_words}" + (" AND 2 * n_bytes <= 3 * n_chars" if r.latin else "")
+        parts.append(f"((({') OR ('.join(bad)})) AND {asked})")
     return " OR ".join(parts)
 
 
@@ -39,6 +40,7 @@ f AS (
          len(l) - len(list_distinct(l)) AS n_dup_lines,
          CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
          length(text) - length(replace(text, '!', '')) AS n_exclamations, len(l) AS n_lines,
+         strlen(text) AS n_bytes, length(text) AS n_chars,
          len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_echoes,
          len(list_filter(w, lambda x: list_contains({_STOP}, lower(x)))) AS n_stop_words
   FROM d LEFT JOIN r USING (rid)),
