@@ -319,12 +319,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
     """``(id, key, fp, root, component_id)`` per row: ``key`` is a hash of the text, ``root`` names the
     group, ``component_id`` is its smallest id."""
     docs = materialise(fingerprints(df, id_col, text, shingle), "sim-docs")
-    groups = components(link_forest(docs.select("fp").distinct(), distance))
-    rooted = materialise(
-        docs.join(groups, docs["fp"] == groups["node"], "left")
-        .select("id", "key", "fp", F.coalesce("root", "fp").alias("root")), "sim-roots")
-    low = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    return rooted.join(low, "root").select("id", "key", "fp", "root", "component_id")
+    # one row per distinct fingerprint first: copies meet in partial aggregates
+    low = docs.groupBy("fp").agg(F.min("id").alias("low"))
+    groups = components(link_forest(low.select("fp"), distance))
+    rooted = materialise(low.join(groups, low["fp"] == groups["node"], "left")
+                         .select("fp", F.coalesce("root", "fp").alias("root"), "low"), "sim-roots")
+    least = materialise(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "sim-least")
+    # both sides of each join are stored tables, so that a group of any size is split where they meet
+    named = materialise(rooted.join(least, "root").select("fp", "root", "component_id"), "sim-named")
+    return docs.join(named, "fp").select("id", "key", "fp", "root", "component_id")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
