@@ -20,7 +20,7 @@ from .test_text_operators import WORD, plain_components, plain_fingerprint, plai
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     return c
 
@@ -78,7 +78,7 @@ def test_stages(spark, tmp_path):
 
 def test_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in QUERIES} and {*QUERIES, "pipeline"} <= set(names)
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in QUERIES} and {*QUERIES, "pipeline"} <= set(names)
 
 
 def test_rest_imports_without_the_text_operators():

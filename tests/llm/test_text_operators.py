@@ -76,6 +76,22 @@ def test_quality_figures(docs, rows):
         assert r["kept"] == (not r["base_failed"] and not r["failed_rules"])
 
 
+def test_clean_texts_of_other_languages_are_kept(spark):
+    rnd = random.Random(6)
+    stems = {"ru": "дом река город человек время вода земля слово книга ночь".split(),
+             "el": "σπίτι νερό βιβλίο πόλη λόγος ώρα".split(),
+             "it": "di casa che fiume è per citta non tempo sono acqua della terra libro nel gli notte ma".split(),
+             "pt": "de casa o rio da cidade em tempo não agua para uma terra livro com mais".split(),
+             "none": "zorp blik quux frob snarf wibble".split()}
+    rows = []
+    for i, (k, w) in enumerate(stems.items()):
+        rows.append((i, " ".join(rnd.choice(w) for _ in range(120))))
+    got = {r["doc_id"]: (r["kept"], list(r["failed_rules"])) for r in quality.quality(
+        spark.createDataFrame(rows, "doc_id long, text string"), out="m").select("doc_id", "m.kept", "m.failed_rules").collect()}
+    for i, k in enumerate(stems):
+        assert ("stop_word_ratio" in got[i][1]) == (k == "none"), (k, got[i])
+
+
 def test_quality_plan_is_native(docs):
     plan = quality.quality(docs, out="m")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange hash", plan)
@@ -139,6 +155,17 @@ def test_suffix_array_by_definition():
         assert suffix_dedup.suffix_array(np.array(t, np.int64)).tolist() == sorted(range(len(t)), key=lambda i: t[i:])
 
 
+def test_bounded_suffix_order_is_right_up_to_its_length():
+    rnd = random.Random(3)
+    for _ in range(300):
+        t = [rnd.randint(0, 2) for _ in range(rnd.randint(0, 30))]
+        t = t * rnd.randint(1, 4) + t[:rnd.randint(0, 9)]
+        exact = sorted(range(len(t)), key=lambda i: t[i:])
+        for w in (1, 4, 7):
+            got = suffix_dedup.suffix_array(np.array(t, np.int64), w + 4).tolist()
+            assert sorted(got) == sorted(exact) and [t[i:i + w] for i in got] == [t[i:i + w] for i in exact]
+
+
 # -- language ----------------------------------------------------------------------------------
 
 def test_language_by_alphabet(spark):
@@ -226,6 +253,29 @@ def test_private_key_is_redacted_whole(kind, eol):
     assert clean("-----BEGIN PUBLIC KEY-----\nabc\n") == "-----BEGIN PUBLIC KEY-----\nabc\n"
 
 
+def test_prose_around_a_quoted_key_heading_stays():
+    sc = secrets.Scanner()
+    prose = " ".join(f"plain words number {i}" for i in range(200))
+    for eol in ("\n", " ", "\n\n"):
+        text = f"the line -----BEGIN RSA PRIVATE KEY-----{eol}opens a key. {prose}{eol}and -----END RSA PRIVATE KEY----- ends it"
+        left = secrets.redact(text, sc.scan(text))
+        assert prose in left and "opens a key." in left and left.endswith("ends it")
+    # a file of many keys, a key cut by prose, and a last line without a line end
+    key = "A1b2C3d4" * 8
+    text = f"-----BEGIN PRIVATE KEY-----\n{key}\nQz9x-----END PRIVATE KEY----- then\n-----BEGIN PRIVATE KEY-----\n{key}\nnow words follow here"
+    left = secrets.redact(text, sc.scan(text))
+    assert key not in left and "now words follow here" in left and " then" in left
+
+
+def test_extra_token_kinds():
+    sc = secrets.Scanner()
+    tokens = {"github": "ghp_" + "a1B2" * 9, "slack": "xoxb-123456789-abcDEF", "google": "AIza" + "Ab-_9" * 7}
+    for kind, t in tokens.items():
+        found = sc.scan(f"é {t} end")
+        assert [(a, b) for a, b, *_ in found] == [(2, 2 + len(t))] and secrets.RULES[found[0][2]].kind == kind
+        assert sc.scan(f"x {t[:8]} y") == []
+
+
 # -- WARC --------------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
