@@ -15,12 +15,13 @@ from ideaweave.session import ship_package
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language (``und``) and those whose two best languages are too close."""
+    """Drops documents without a language (``und``). Where the two best languages are close the operator
+    sets a flag (``ambiguous``); such documents have a language and stay."""
     ship_package(spark)
     model = langid.train(docs.where(~langid.held_out(docs["doc_id"])))
     name = free_name(docs, "language")
     found = langid.predict(docs, model, out=name)
-    return found.where((F.col(f"{name}.lang_pred") != langid.UND) & ~F.col(f"{name}.ambiguous")).select(*docs.columns)
+    return found.where(F.col(f"{name}.lang_pred") != langid.UND).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
