@@ -50,7 +50,7 @@ _EOL = r"""[\x20\t"',]*(\r|\n|\\r|\\n)"""
 _GAP = r"""([\x20\t\r\n"'>|*#,]|\\r|\\n)*"""
 KEY_BLOCK = ("(" + _GAP + r"([A-Za-z0-9+/=]{16,}|[A-Za-z0-9+/=]+" + _EOL +
              r"|(Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\r\n\\]*" + _EOL + "))*"
-             "(" + _GAP + r"[A-Za-z0-9+/=]*-----END [ A-Z0-9]*PRIVATE KEY[ A-Z]*-----|)")
+             "(" + _GAP + "[A-Za-z0-9+/=]*" + _GAP + r"-----END [ A-Z0-9]*PRIVATE KEY[ A-Z]*-----|)")
 # Public token formats beyond the base kinds.
 EXTRA_RULES = (
     Rule("private_key", r"-----BEGIN (RSA |EC |DSA |OPENSSH |PGP |ENCRYPTED )?PRIVATE KEY", r"[ A-Z]*-----", 5, KEY_BLOCK),
