@@ -11,11 +11,12 @@ Rules reproduced:
   * cap: if intra + cross > max_total, keep every cross one and intra ones with stride
     floor(intra / (max_total - cross)), at most max_total - cross of them.
 
-Distribution: the chunk count of a cluster follows from its size alone, so neighbourhood
-ids, the cap and the LCG draw sequence are computed on the driver from k sizes; rows are
-only ranked for clusters that keep a neighbourhood. Ranks inside a cluster come from a
-range-partitioned numbering, so a cluster holding a third of all rows still spreads
-over many tasks. Long form output: ``(neighborhood_id, kind, ordinal, idea_id)``.
+Distribution: the plan is one row per cluster (first neighbourhood id, number of chunks). A row's
+neighbourhood follows from its rank by arithmetic, and so does the cap (a stride and a count), so no
+list of chunks exists anywhere. Rows are only ranked for clusters that keep a neighbourhood; ranks
+inside a cluster come from a range-partitioned numbering, so a cluster holding a third of all rows
+still spreads over many tasks. Sampled positions are found by counting ids in buckets, without a
+sort (``ranking.at_positions``). Long form output: ``(neighborhood_id, kind, ordinal, idea_id)``.
 """
 
 from __future__ import annotations
@@ -23,16 +24,16 @@ from __future__ import annotations
 import math
 from typing import NamedTuple
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import (CHUNK_SIZE, CROSS_SAMPLE_PER_SIDE, DEFAULT_CONFIG, MIN_CLUSTER_SIZE, SMALL_CLUSTER_MAX,
                       PipelineConfig)
 from ..functions.vector import dist as vdist
-from ..session import cut_lineage
 from .kmeans import lcg
-from .ranking import rank_within  # noqa: F401  (re-exported)
+from .ranking import at_positions, rank_within  # noqa: F401  (rank_within is re-exported)
 
 NB_SCHEMA = "neighborhood_id int, kind string, ordinal int, idea_id long"
 
@@ -91,15 +92,27 @@ def plan_intra(stats: list, cfg: PipelineConfig) -> Plan:
     return Plan(order, sizes, chunks, first, acc)
 
 
-def cap_plan(intra: int, cross: int, max_total: int | None):
-    """Kept intra positions (in order) under the total cap."""
+class Cap(NamedTuple):
+    """Kept intra neighbourhoods: every ``step``-th, the first ``count`` of them."""
+    step: int
+    count: int
+
+
+def cap_rule(intra: int, cross: int, max_total: int | None) -> Cap:
+    """The total cap as arithmetic: neighbourhood ``nb`` is kept as ``nb // step`` if that divides and is below ``count``."""
     if max_total is None or intra + cross <= max_total:
-        return list(range(intra))
-    max_intra = max_total - cross
-    if max_intra <= 0:
-        return []
-    step = max(1, intra // max_intra)
-    return [i for i in range(0, intra, step)][:max_intra]
+        return Cap(1, intra)
+    room = max_total - cross
+    if room <= 0:
+        return Cap(1, 0)
+    step = max(1, intra // room)
+    return Cap(step, min(room, -(-intra // step)))
+
+
+def cap_plan(intra: int, cross: int, max_total: int | None):
+    """Kept intra positions under the total cap, written out (small inputs)."""
+    cap = cap_rule(intra, cross, max_total)
+    return [i * cap.step for i in range(cap.count)]
 
 
 def lcg_cross_draws(pairs: list, sizes: dict, seed: int):
@@ -133,47 +146,41 @@ def cluster_sizes(assign: DataFrame) -> list:
             assign.groupBy("cluster_id").agg(F.count(F.lit(1)), F.min("idea_id")).collect()]
 
 
-def intra_members(assign_vec: DataFrame, plan: Plan, keep_nb: set | None, vec_col: str = "vec",
+def keeps_any(first: int, chunks: int, cap: Cap) -> bool:
+    """Whether one of the neighbourhoods ``first .. first + chunks - 1`` is kept."""
+    m = -(-first // cap.step)
+    return m < cap.count and m * cap.step < first + chunks
+
+
+def intra_members(assign_vec: DataFrame, plan: Plan, cap: Cap | None = None, vec_col: str = "vec",
                   distances: DataFrame | None = None) -> DataFrame:
-    """Intra neighbourhood rows ``(nb, ordinal, idea_id)``; only clusters with a kept nb are ranked."""
+    """Intra neighbourhood rows ``(nb, ordinal, idea_id)`` with their ids after the cap.
+
+    Only clusters with a kept neighbourhood are ranked. The broadcast side has one row per cluster.
+    """
     spark = assign_vec.sparkSession
-    nb_of = {}
-    for c in plan.order:
-        for j in range(plan.chunks[c]):
-            nb_of[(c, j)] = plan.first_nb[c] + j
-    wanted = {c for (c, j), nb in nb_of.items() if keep_nb is None or nb in keep_nb}
-    small = [c for c in wanted if plan.sizes[c] <= SMALL_CLUSTER_MAX]
-    large = [c for c in wanted if plan.sizes[c] > SMALL_CLUSTER_MAX]
-    parts = []
-    meta = spark.createDataFrame(
-        [(int(c), int(plan.first_nb[c]), int(plan.sizes[c]), int(plan.chunks[c])) for c in wanted] or [(-1, 0, 0, 0)],
-        "cluster_id int, first_nb int, size long, n_chunks int")
-    if small:
-        sm = assign_vec.where(F.col("cluster_id").isin(small)).select("idea_id", "cluster_id")
-        r = rank_within(sm, "cluster_id", ["idea_id"])
-        parts.append(r.join(F.broadcast(meta), "cluster_id")
-                     .select(F.col("first_nb").alias("nb"), (F.col("rank") - 1).cast("int").alias("ordinal"), "idea_id"))
-    if large:
-        lg = assign_vec.where(F.col("cluster_id").isin(large))
-        if distances is None:
-            cents = centroids_dense(lg, vec_col)
-            distances = member_distances(lg, cents, vec_col)
-        dd = distances.where(F.col("cluster_id").isin(large)).select(
-            "idea_id", "cluster_id", F.round("d", 9).alias("d9"))
-        r = rank_within(dd, "cluster_id", ["d9", "idea_id"]).join(F.broadcast(meta), "cluster_id")
-        raw_chunk = F.floor((F.col("rank") - 1) / CHUNK_SIZE)
-        chunk = F.least(raw_chunk, F.col("n_chunks") - 1)
-        pos = F.col("rank") - 1 - chunk * CHUNK_SIZE
-        parts.append(r.select((F.col("first_nb") + chunk).cast("int").alias("nb"), pos.cast("int").alias("ordinal"),
-                              "idea_id"))
-    if not parts:
+    cap = cap or Cap(1, plan.intra_total)
+    meta = [(int(c), int(plan.first_nb[c]), int(plan.chunks[c]), plan.sizes[c] > SMALL_CLUSTER_MAX)
+            for c in plan.order if plan.chunks[c] and keeps_any(plan.first_nb[c], plan.chunks[c], cap)]
+    if not meta:
         return spark.createDataFrame([], "nb int, ordinal int, idea_id long")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    if keep_nb is not None:
-        out = out.where(F.col("nb").isin(sorted(keep_nb)))
-    return out
+    table = F.broadcast(spark.createDataFrame(meta, "cluster_id int, first_nb long, n_chunks long, large boolean"))
+    if any(m[3] for m in meta):
+        if distances is None:
+            distances = member_distances(assign_vec, centroids_dense(assign_vec, vec_col), vec_col)
+        rows = distances.select("idea_id", "cluster_id", F.round("d", 9).alias("d9"))
+    else:
+        rows = assign_vec.select("idea_id", "cluster_id", F.lit(0.0).alias("d9"))
+    # members of small clusters are in id order, those of large ones by distance
+    rows = rows.join(table, "cluster_id").withColumn("d9", F.when(F.col("large"), F.col("d9")).otherwise(F.lit(0.0)))
+    r = rank_within(rows, "cluster_id", ["d9", "idea_id"])
+    chunk = F.when(F.col("large"), F.least(F.floor((F.col("rank") - 1) / CHUNK_SIZE), F.col("n_chunks") - 1)).otherwise(F.lit(0))
+    nb = F.col("first_nb") + F.col("chunk")
+    r = r.withColumn("chunk", chunk.cast("long")).withColumn("nb", nb)
+    if cap.step > 1:
+        r = r.where(F.col("nb") % F.lit(cap.step) == 0).withColumn("nb", F.floor(F.col("nb") / F.lit(cap.step)))
+    return r.where(F.col("nb") < F.lit(cap.count)).select(
+        F.col("nb").cast("int").alias("nb"), (F.col("rank") - 1 - F.col("chunk") * CHUNK_SIZE).cast("int").alias("ordinal"), "idea_id")
 
 
 def pair_table(plan: Plan, spark: SparkSession) -> DataFrame:
@@ -208,14 +215,13 @@ def far_pairs(cents: DataFrame, plan: Plan, max_cross: int | None) -> list:
 
 def gram_pairs(gram, plan: Plan, spark: SparkSession) -> DataFrame:
     """Pair distances from a k x k Gram matrix of the centroids: d^2 = G_aa + G_bb - 2 G_ab."""
-    rows = []
-    for i, a in enumerate(plan.order):
-        for j in range(i + 1, len(plan.order)):
-            b = plan.order[j]
-            d2 = gram[a][a] + gram[b][b] - 2 * gram[a][b]
-            rows.append((int(a), int(b), i, j, int(plan.sizes[a]), int(plan.sizes[b]),
-                         round(math.sqrt(max(d2, 0.0)), 9)))
-    return spark.createDataFrame(rows, "ca int, cb int, oa int, ob int, na long, nb long, d double")
+    order = np.array(plan.order)
+    size = np.array([plan.sizes[c] for c in plan.order])
+    g = np.asarray(gram)[np.ix_(order, order)]
+    d = np.sqrt(np.maximum(g.diagonal()[:, None] + g.diagonal()[None, :] - 2 * g, 0.0)).round(9)
+    i, j = np.triu_indices(len(order), 1)
+    return spark.createDataFrame(pd.DataFrame({"ca": order[i], "cb": order[j], "oa": i, "ob": j, "na": size[i], "nb": size[j], "d": d[i, j]}),
+                                 "ca int, cb int, oa int, ob int, na long, nb long, d double")
 
 
 def cross_members(assign: DataFrame, pairs: list, plan: Plan, cfg: PipelineConfig, first_id: int) -> DataFrame:
@@ -223,7 +229,6 @@ def cross_members(assign: DataFrame, pairs: list, plan: Plan, cfg: PipelineConfi
     spark = assign.sparkSession
     if not pairs:
         return spark.createDataFrame([], "nb int, ordinal int, idea_id long")
-    involved = sorted({c for a, b, _ in pairs for c in (a, b)})
     if cfg.cross_sampling == "lcg":
         draws = lcg_cross_draws([(a, b) for a, b, _ in pairs], plan.sizes, cfg.cross_seed)
         rows = []
@@ -233,16 +238,13 @@ def cross_members(assign: DataFrame, pairs: list, plan: Plan, cfg: PipelineConfi
                 for idx in got:
                     rows.append((first_id + p, o, int(c), idx + 1))
                     o += 1
-        want = spark.createDataFrame(rows, "nb int, ordinal int, cluster_id int, rank long")
-        ranked = rank_within(assign.where(F.col("cluster_id").isin(involved)).select("idea_id", "cluster_id"),
-                             "cluster_id", ["idea_id"])
-        return ranked.join(F.broadcast(want), ["cluster_id", "rank"]).select("nb", "ordinal", "idea_id")
+        return at_positions(assign.select("idea_id", "cluster_id"), "cluster_id", rows, "nb int, ordinal int, cluster_id int, rank long")
     # hash sampling: per (pair, side) the n members with the smallest SHA-256 of (seed|pair|side|id)
     sides = spark.createDataFrame(
         [(first_id + p, s, int(c), int(min(CROSS_SAMPLE_PER_SIDE, plan.sizes[a], plan.sizes[b])), p)
          for p, (a, b, _) in enumerate(pairs) for s, c in ((0, a), (1, b))],
         "nb int, side int, cluster_id int, n int, pair int")
-    cand = (assign.where(F.col("cluster_id").isin(involved)).select("idea_id", "cluster_id")
+    cand = (assign.select("idea_id", "cluster_id")
             .join(F.broadcast(sides), "cluster_id")
             .withColumn("h", F.sha2(F.concat_ws("|", F.lit(str(cfg.cross_seed)), F.col("pair").cast("string"),
                                                 F.col("side").cast("string"), F.col("idea_id").cast("string")), 256)))
@@ -271,16 +273,12 @@ def neighborhoods(assign_vec: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, v
             cents = centroids_dense(assign_vec, vec_col)
         pairs = far_pairs(cents, plan, cfg.max_cross_cluster_neighborhoods)
     n_cross = len(pairs)
-    kept = cap_plan(plan.intra_total, n_cross, cfg.max_total_neighborhoods)
-    remap = {old: new for new, old in enumerate(kept)}
-    intra = intra_members(assign_vec, plan, set(kept), vec_col, distances)
-    mapping = spark.createDataFrame([(int(o), int(n)) for o, n in remap.items()] or [(-1, -1)],
-                                    "nb int, neighborhood_id int")
-    intra = intra.join(F.broadcast(mapping), "nb").select("neighborhood_id", F.lit("intra").alias("kind"),
-                                                          "ordinal", "idea_id")
-    cross = cross_members(assign_vec.select("idea_id", "cluster_id"), pairs, plan, cfg, len(kept)) \
+    cap = cap_rule(plan.intra_total, n_cross, cfg.max_total_neighborhoods)
+    intra = (intra_members(assign_vec, plan, cap, vec_col, distances)
+             .select(F.col("nb").alias("neighborhood_id"), F.lit("intra").alias("kind"), "ordinal", "idea_id"))
+    cross = cross_members(assign_vec.select("idea_id", "cluster_id"), pairs, plan, cfg, cap.count) \
         .select(F.col("nb").alias("neighborhood_id"), F.lit("cross").alias("kind"), "ordinal", "idea_id")
-    total = len(kept) + n_cross
+    total = cap.count + n_cross
     intra_rep = min(plan.intra_total, total - n_cross)
     counts = spark.createDataFrame([(intra_rep, n_cross, total)], "intra int, cross int, total int")
     return Neighborhoods(intra.unionByName(cross), counts, intra_rep, n_cross, total)

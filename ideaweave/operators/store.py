@@ -3,7 +3,8 @@
 A table is a folder of versions ``<root>/<table>/v=<n>/`` (Parquet). A reader takes the
 highest version that has ``_SUCCESS``; a writer always writes a new version, so a plan
 never overwrites the files it reads, and a failed write leaves the previous version live.
-Caches are joined in bulk (semi/anti joins), never probed row by row.
+Caches are joined in bulk (semi/anti joins), never probed row by row. Tables that grow are
+append-only (``seq=<n>`` parts) and merged on read, so a run writes only what is new.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-
 def hadoop_fs(spark: SparkSession, path: str):
     """(FileSystem, Path) for any Hadoop-supported URI (file:, hdfs:, s3a:, abfs:, ...)."""
     jvm = spark.sparkContext._jvm
@@ -58,24 +58,86 @@ class SnapshotStore:
         w.parquet(f"{self.root}/{table}/v={v}")
         return v
 
-    def append(self, table: str, df: DataFrame, seq: int) -> None:
+    def append(self, table: str, df: DataFrame, seq: int, partition_by: list | None = None) -> None:
         """Append-only table: each call writes one ``seq=<n>`` part; other parts are never rewritten.
         A repeated call (replay after a failure) replaces its own part."""
-        df.write.mode("overwrite").parquet(f"{self.root}/{table}/seq={int(seq)}")
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(f"{self.root}/{table}/seq={int(seq)}")
 
-    def read_parts(self, table: str, before: int | None = None) -> DataFrame | None:
-        """Committed parts of an append-only table (those with ``_SUCCESS``), numbered below ``before`` if given."""
+    def _scan(self, table: str) -> tuple[list[int], int]:
+        """(numbers of the committed parts, the number from which they count)."""
         fs, d = hadoop_fs(self.spark, f"{self.root}/{table}")
+        parts, base = [], 0
         if not fs.exists(d):
-            return None
-        parts = []
+            return parts, base
         for st in fs.listStatus(d):
             m = re.fullmatch(r"seq=(\d+)", st.getPath().getName())
-            if m and (before is None or int(m[1]) < before) and fs.exists(st.getPath().suffix("/_SUCCESS")):
-                parts.append(f"{self.root}/{table}/{m[0]}")
+            if m and fs.exists(st.getPath().suffix("/_SUCCESS")):
+                parts.append(int(m[1]))
+            b = re.fullmatch(r"_base=(\d+)", st.getPath().getName())
+            base = max(base, int(b[1])) if b else base
+        return sorted(parts), base
+
+    def _parts(self, table: str) -> list[int]:
+        parts, base = self._scan(table)
+        return [n for n in parts if n >= base]
+
+    def read_parts(self, table: str, before: int | None = None, upto: int | None = None) -> DataFrame | None:
+        """Committed parts of an append-only table (those with ``_SUCCESS``), numbered below ``before`` if given."""
+        parts = [n for n in self._parts(table) if (before is None or n < before) and (upto is None or n <= upto)]
+        if not parts:
+            return None
+        return (self.spark.read.option("basePath", f"{self.root}/{table}")
+                .parquet(*[f"{self.root}/{table}/seq={n}" for n in parts]))
+
+    def next_part(self, table: str) -> int:
+        parts, base = self._scan(table)
+        return max([*parts, base - 1, 0]) + 1
+
+    def drop_parts(self, table: str) -> None:
+        """Leaves the parts written so far out of later reads."""
+        n = self.next_part(table)
+        if n > 1:
+            self._mark(table, n)
+
+    def _mark(self, table: str, n: int) -> None:
+        fs, d = hadoop_fs(self.spark, f"{self.root}/{table}/_base={n}")
+        fs.mkdirs(d)
+
+    def newest(self, rows: DataFrame, entries: DataFrame, key: str) -> DataFrame:
+        """Rows whose part is the latest that ``entries`` has for their key.
+
+        Keys of a single part (most of them) need no lookup: only those written again are joined.
+        """
+        last = entries.groupBy(key).agg(F.max("seq").alias("_last"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+        return rows.join(last, key, "left").where(F.col("_last").isNull() | (F.col("seq") == F.col("_last"))).drop("_last")
+
+    def merged(self, table: str, key: list, upto: int | None = None) -> DataFrame | None:
+        """Merge on read of a keyed append-only table (a key occurs once in a part): the latest row of each key.
+
+        The first part is streamed past the keys of later parts; only those are aggregated.
+        """
+        parts = [n for n in self._parts(table) if upto is None or n <= upto]
         if not parts:
             return None
-        return self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*parts)
+        rows = self.read_parts(table, upto=upto)
+        if len(parts) == 1:
+            return rows.drop("seq")
+        later = rows.where(F.col("seq") > parts[0])
+        last = later.groupBy(*key).agg(F.max("seq").alias("seq"))
+        first = rows.where(F.col("seq") == parts[0]).join(last.select(*key), key, "left_anti")
+        return first.unionByName(later.join(last, [*key, "seq"], "left_semi")).drop("seq")
+
+    def upsert(self, table: str, rows: DataFrame, key: list, partition_by: list | None = None, compact_after: int = 32) -> None:
+        """Append ``rows`` (a key once) as a part: what is written is what is new. Every ``compact_after``
+        parts the table is merged into one part, from which later reads start."""
+        n = self.next_part(table)
+        self.append(table, rows, n, partition_by)
+        if len(self._parts(table)) >= compact_after:
+            self.append(table, self.merged(table, key, upto=n), n + 1, partition_by)
+            self._mark(table, n + 1)
 
     def clear(self, table: str, schema) -> int:
         """Publish an empty version (the old versions stay readable for time travel)."""

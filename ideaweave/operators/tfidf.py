@@ -4,27 +4,29 @@ weight = (tf / doc_len) * ln(N / (df + 1)), L2-normalised per document, with the
 vocabulary restricted to terms where ``2 <= df <= 0.8 * N``. N counts every document
 (empty ones too) and doc_len counts every kept token, in vocabulary or not.
 
-Physical plan (one scan of the text):
-  * tokens are exploded and counted per (doc, term) -- map-side partial aggregation
-    collapses repeats inside a document before the only shuffle of term-frequency rows;
-  * document frequency is a second aggregate over those rows (partial agg per partition);
+Physical plan (one scan of the text, one shuffle of documents):
+  * documents are hash-partitioned by ``idea_id`` once; counting (doc, term) and the per-document
+    norm need no further exchange, so token rows never cross the network, and the weights are left in
+    the layout k-means reads next;
+  * document frequency is an aggregate over (doc, term) rows (partial aggregation per partition);
   * the vocabulary/IDF side is broadcast when its row count is below a checked bound,
     otherwise joined with a salted key so a term present in most documents cannot
     land in one task;
-  * the per-document norm is a window partitioned by document, which leaves the
-    weights hash-partitioned by ``idea_id`` -- the layout k-means reads next.
+  * the (doc, term) counts are checkpointed: they feed the frequencies and the weights.
+
+``refresh`` keeps the counts in a store and reads again only texts that are new or changed.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, TFIDF_MAX_DF_FRACTION, TFIDF_MIN_DF, TFIDF_MODEL, PipelineConfig
 from ..functions.text import embed_document, tokenize
+from ..session import cut_lineage
 
 
 class Vectors(NamedTuple):
@@ -78,25 +80,93 @@ def _join_vocab(tf: DataFrame, vocab: DataFrame, cfg: PipelineConfig) -> DataFra
     return t.join(v, ["term", "salt"]).drop("salt")
 
 
+def weigh(tf: DataFrame, vocab: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG) -> DataFrame:
+    """``(idea_id, term, weight)`` from counts ``(idea_id, n_tokens, term, tf)``."""
+    raw = _join_vocab(tf, vocab, cfg).select(
+        "idea_id", "term", (F.col("tf").cast("double") / F.col("n_tokens") * F.col("idf")).alias("raw"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("idea_id")))
+    return raw.select("idea_id", "term", F.when(norm > 0, F.col("raw") / norm).otherwise(F.lit(0.0)).alias("weight"))
+
+
+def _dealt(docs: DataFrame) -> DataFrame:
+    """Documents partitioned by id: a document's terms are then counted where it is."""
+    return docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "idea_id")
+
+
 def tfidf(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, n_docs: int | None = None,
           id_col: str = "idea_id", text_col: str | None = None) -> Vectors:
     """Fit and transform in one go (IDF depends on the whole corpus)."""
     docs = documents(ideas) if text_col is None else ideas.select(F.col(id_col).alias("idea_id"),
                                                                       F.col(text_col).alias("doc"))
-    toks = tokens(docs)
     if n_docs is None:
         n_docs = docs.count()
-    # The term-frequency table feeds both the document frequencies and the weights; keeping it
-    # avoids scanning and tokenising the text a second time (and a third for the size check).
-    tf = term_frequencies(toks).persist(StorageLevel.MEMORY_AND_DISK)
-    # the vocabulary (one row per kept term) feeds the size check, the weights and, in stage 1,
-    # the term index: compute it once
-    vocab = vocabulary(document_frequencies(tf), n_docs).persist(StorageLevel.MEMORY_AND_DISK)
-    raw = _join_vocab(tf, vocab, cfg).select(
-        "idea_id", "term", (F.col("tf").cast("double") / F.col("n_tokens") * F.col("idf")).alias("raw"))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("idea_id")))
-    weights = raw.select("idea_id", "term",
-                         F.when(norm > 0, F.col("raw") / norm).otherwise(F.lit(0.0)).alias("weight"))
-    spine = toks.select("idea_id", F.size("tokens").alias("n_tokens"))
-    return Vectors(weights, spine, vocab, n_docs)
+    # one table of counts, the spine's empty documents included (a null term)
+    toks = tokens(_dealt(docs)).select("idea_id", F.size("tokens").alias("n_tokens"), F.explode_outer("tokens").alias("term"))
+    tf = cut_lineage(toks.groupBy("idea_id", "n_tokens", "term").agg(F.count(F.lit(1)).alias("tf")))
+    some = tf.where(F.col("term").isNotNull())
+    vocab = cut_lineage(vocabulary(document_frequencies(some), n_docs))
+    spine = tf.groupBy("idea_id").agg(F.max("n_tokens").alias("n_tokens"))
+    return Vectors(weigh(some, vocab, cfg), spine, vocab, n_docs)
+
+
+# ---------------------------------------------------------------------------
+# Kept counts: only new and changed texts are read again
+# ---------------------------------------------------------------------------
 
+DOCS, COUNTS, SIGNED = "tfidf_docs", "tfidf_counts", "tfidf_df"
+
+
+def refresh(store, ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, force: bool = False):
+    """TF-IDF vectors of ``ideas`` from counts kept in ``store``; ``(vectors, changed documents)``.
+
+    Kept are, per document, a hash of its text and its length; the counts of its terms; and the
+    document frequencies as signed changes. A run tokenises only documents whose hash is new, and
+    appends their counts and, per term touched, +1 for a document that now has it and -1 for one that
+    had it. Weights are those of a full fit: IDF depends on the number of documents, so they are
+    computed from the counts, never stored. Documents no longer among ``ideas`` are taken out.
+    """
+    docs = documents(ideas)
+    held = None if force else store.merged(DOCS, ["idea_id"])
+    if force:
+        for t in (DOCS, COUNTS, SIGNED):
+            store.drop_parts(t)
+    seq = store.next_part(DOCS)
+    now = docs.select("idea_id", "doc", F.xxhash64("doc").alias("h1"), F.xxhash64(F.lit(1), "doc").alias("h2"))
+    if held is None:
+        changed, gone = now, None
+    else:
+        live = held.where(~F.col("gone")).select("idea_id", F.col("h1").alias("o1"), F.col("h2").alias("o2"))
+        changed = now.join(live, "idea_id", "left").where(
+            F.col("o1").isNull() | (F.col("h1") != F.col("o1")) | (F.col("h2") != F.col("o2"))).select(*now.columns)
+        gone = live.join(now.select("idea_id"), "idea_id", "left_anti").select("idea_id")
+    t = _dealt(changed).select("idea_id", "h1", "h2", tokenize(F.col("doc")).alias("tokens"))
+    fresh = cut_lineage(t.select("idea_id", "h1", "h2", F.size("tokens").alias("n_tokens"), F.explode_outer("tokens").alias("term"))
+                        .groupBy("idea_id", "h1", "h2", "n_tokens", "term").agg(F.count(F.lit(1)).alias("tf")))
+    entries = fresh.groupBy("idea_id", "h1", "h2").agg(F.max("n_tokens").alias("n_tokens")).withColumn("gone", F.lit(False))
+    if gone is not None:
+        none = F.lit(0).cast("long")
+        entries = entries.unionByName(gone.select("idea_id", none.alias("h1"), none.alias("h2"), F.lit(0).alias("n_tokens"),
+                                                  F.lit(True).alias("gone")))
+    entries = cut_lineage(entries)
+    n_changed = entries.count()
+    if n_changed:
+        signed = fresh.where(F.col("term").isNotNull()).select("term", F.lit(1).cast("long").alias("d"))
+        if held is not None:
+            out = entries.join(held.where(~F.col("gone")).select("idea_id"), "idea_id", "left_semi").select("idea_id")
+            was = current_counts(store).join(F.broadcast(out) if n_changed <= cfg.broadcast_max_rows else out, "idea_id", "left_semi")
+            signed = signed.unionByName(was.select("term", F.lit(-1).cast("long").alias("d")))
+        store.append(SIGNED, signed.groupBy("term").agg(F.sum("d").alias("d")).where("d <> 0"), seq)
+        store.append(COUNTS, fresh.where(F.col("term").isNotNull()).select("idea_id", "n_tokens", "term", "tf"), seq)
+        store.append(DOCS, entries, seq)  # last: a run that fails before is done again as a whole
+    docs_now = store.merged(DOCS, ["idea_id"])
+    spine = docs_now.where(~F.col("gone")).select("idea_id", "n_tokens")
+    n_docs = spine.count()
+    df = store.read_parts(SIGNED, upto=seq if n_changed else seq - 1).groupBy("term").agg(F.sum("d").alias("df")).where("df > 0")
+    vocab = cut_lineage(vocabulary(df, n_docs))
+    return Vectors(weigh(_dealt(current_counts(store)), vocab, cfg), spine, vocab, n_docs), n_changed
+
+
+def current_counts(store) -> DataFrame:
+    """Counts of each document's latest part: rows of older parts drop out on reading."""
+    counts = store.read_parts(COUNTS, upto=store.next_part(DOCS) - 1)
+    return store.newest(counts, store.read_parts(DOCS), "idea_id").select("idea_id", "n_tokens", "term", "tf")

@@ -14,11 +14,12 @@ from __future__ import annotations
 from typing import Callable, NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import (DEFAULT_CONFIG, DISCOVERY_PROMPT_VERSION, PATTERNS_PROMPT_VERSION, PipelineConfig)
+from ..operators import blocks as bl
 from ..operators import discovery as disc
 from ..operators import ingest, kmeans as km, ledger as led, neighborhoods as nbh, report, store as st
 from ..operators import tfidf as tf
@@ -26,6 +27,9 @@ from ..operators.embedders import DenseVectors
 from ..session import cut_lineage
 
 
+PATTERN_KEY = ["cluster_hash", "pattern_title", "prompt_version"]
+
+
 class Stage1(NamedTuple):
     assignments: DataFrame  # idea_id, cluster_id
     vectors: tf.Vectors
@@ -38,49 +42,35 @@ class Stage1(NamedTuple):
 
 
 def cached_tfidf(ideas: DataFrame, cfg: PipelineConfig, store: st.SnapshotStore | None, force: bool = False):
-    """TF-IDF vectors, reused from the store when every loadable idea has a cached vector.
-
-    The rule is all-or-nothing (IDF depends on N): one uncached idea re-embeds the corpus and
-    overwrites the cached tables. Returns (vectors, reused).
-    """
-    model = tf.TFIDF_MODEL
-    if store is not None and not force:
-        docs = store.read("tfidf_docs")
-        if docs is not None and not st.needs_full_reembed(ideas, docs.withColumn("model", F.lit(model)), model):
-            # partitioned by model: the filter prunes other models' folders at the scan
-            # and the ideas of this run: the cache may hold more (their IDF is that of the cached corpus)
-            now = ideas.select("idea_id")
-            w = store.read("tfidf_weights").where(F.col("model") == model).join(now, "idea_id", "left_semi")
-            docs = docs.join(now, "idea_id", "left_semi")
-            v = store.read("tfidf_vocab")
-            n = docs.count()
-            return tf.Vectors(w.select("idea_id", "term", "weight"), docs.select("idea_id", "n_tokens"), v, n), True
-    vecs = tf.tfidf(ideas, cfg)
-    if store is not None:
-        store.write("tfidf_weights", vecs.weights.withColumn("model", F.lit(model)), partition_by=["model"])
-        store.write("tfidf_docs", vecs.docs)
-        store.write("tfidf_vocab", vecs.vocab)
-    return vecs, False
+    """TF-IDF vectors; with a store, only texts that are new or changed since the last run are read again
+    (``tfidf.refresh``). Returns (vectors, reused); ``reused`` is true when no text had to be read."""
+    if store is None:
+        return tf.tfidf(ideas, cfg), False
+    vecs, n_changed = tf.refresh(store, ideas, cfg, force)
+    return vecs, n_changed == 0
 
 
 def cached_dense(ideas: DataFrame, embedder, store: st.SnapshotStore | None, force: bool = False):
-    """Vectors of a per-document embedder: only ideas without a stored vector of its model are embedded.
+    """Vectors of a per-document embedder: only ideas without a stored vector of its model, or with
+    another text than the stored one's, are embedded.
 
-    New vectors are upserted on (idea_id, model) and read back, so each is computed once. Returns
-    (vectors, reused); ``reused`` is true when nothing had to be embedded.
+    New vectors are appended (merged on read, by idea and model) and read back, so each is computed
+    once. Returns (vectors, reused); ``reused`` is true when nothing had to be embedded.
     """
     if store is None:
         return embedder.fit_transform(ideas), False
-    held = store.read("embeddings")
+    key = ["idea_id", "model"]
+    texts = tf.documents(ideas).select("idea_id", F.xxhash64("doc").alias("text_hash"))
+    held = store.merged("embeddings", key)
     todo = ideas
     if held is not None and not force:
-        done = held.where(F.col("model") == embedder.model).select("idea_id")
-        todo = ideas.join(done, "idea_id", "left_anti")
+        done = held.where(F.col("model") == embedder.model).select("idea_id", "text_hash")
+        todo = ideas.join(texts.join(done, ["idea_id", "text_hash"], "left_semi"), "idea_id", "left_anti")
     reused = todo.isEmpty()
     if not reused:
-        fresh = cut_lineage(embedder.fit_transform(todo).vectors.withColumn("model", F.lit(embedder.model)))
-        store.write("embeddings", st.upsert(held, fresh, ["idea_id", "model"]), partition_by=["model"])
-        held = store.read("embeddings")
+        fresh = cut_lineage(embedder.fit_transform(todo).vectors.join(texts, "idea_id").withColumn("model", F.lit(embedder.model)))
+        store.upsert("embeddings", fresh, key, partition_by=["model"])
+        held = store.merged("embeddings", key)
     elif held is None:  # no ideas and nothing stored
         return embedder.fit_transform(ideas), False
     mine = held.where(F.col("model") == embedder.model).select("idea_id", "vec")
@@ -122,24 +112,23 @@ def stage1(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None
 
 def _member_distance(rows: DataFrame, assign: DataFrame, C: np.ndarray) -> DataFrame:
     """(idea_id, cluster_id, d): distance of each member to its own cluster's mean (CSR rows)."""
-    bc = rows.sparkSession.sparkContext.broadcast(np.asarray(C, dtype=np.float64))
-
-    def fn(it):
-        Cm = bc.value
-        c2 = np.einsum("ij,ij->i", Cm, Cm)
-        for pdf in it:
-            if pdf.empty:
-                continue
-            X = km._batch(pdf, ("idx", "w"))
-            lab = pdf["cluster_id"].to_numpy().astype(np.int64)
-            x2 = np.bincount(X.rows, weights=X.w * X.w, minlength=X.m) if len(X.rows) else np.zeros(X.m)
-            dot = np.bincount(X.rows, weights=X.w * Cm[lab[X.rows], X.idx], minlength=X.m) if len(X.rows) \
-                else np.zeros(X.m)
-            d = np.sqrt(np.maximum(x2 - 2 * dot + c2[lab], 0.0))
-            yield pd.DataFrame({"idea_id": pdf["idea_id"].to_numpy(), "cluster_id": lab.astype("int32"), "d": d})
+    bc = rows.sparkSession.sparkContext.broadcast((np.asarray(C, dtype=np.float64), bl.squares(C)))
+
+    def fn(batches):
+        Cm, c2 = bc.value
+        for b in batches:
+            label = b.column(1).to_numpy()
+            idx, off = bl._lists(b.column(2))
+            w = bl._lists(b.column(3))[0]
+            x = bl.Rows(b.column(0).to_numpy(), off, idx, w, True)
+            own = np.rint(w * Cm[np.repeat(label, np.diff(off)), idx] * bl.PRODUCT_STEP).astype(np.int64)
+            total = np.concatenate([[0], np.cumsum(own)])
+            steps = x.x2() - 2 * (total[off[1:]] - total[off[:-1]]) + c2[label]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.sqrt(np.maximum(steps, 0) / bl.PRODUCT_STEP))],
+                                             names=["idea_id", "cluster_id", "d"])
 
     return rows.join(assign, "idea_id").select("idea_id", "cluster_id", "idx", "w") \
-        .mapInPandas(fn, "idea_id long, cluster_id int, d double")
+        .mapInArrow(fn, "idea_id long, cluster_id int, d double")
 
 
 def stage2(s1: Stage1, cfg: PipelineConfig = DEFAULT_CONFIG) -> nbh.Neighborhoods:
@@ -149,7 +138,7 @@ def stage2(s1: Stage1, cfg: PipelineConfig = DEFAULT_CONFIG) -> nbh.Neighborhood
         return nbh.neighborhoods(s1.assignments.join(s1.dense, "idea_id"), cfg)
     if s1.rows is None:
         return _stage2_relational(s1, cfg)
-    counts, sums, _ = km._lloyd_partials(s1.rows, s1.centroids, None, ("idx", "w"))
+    counts, sums = km._lloyd_partials(s1.rows, s1.centroids, ("idx", "w"))
     means = np.zeros_like(sums)
     nz = counts > 0
     means[nz] = sums[nz] / counts[nz][:, None]
@@ -173,20 +162,22 @@ def _stage2_relational(s1: Stage1, cfg: PipelineConfig) -> nbh.Neighborhoods:
     cent = cut_lineage(cent)
     k = max(sizes) + 1 if sizes else 0
     c2 = km._c2(cent, k)
-    c2_map = F.create_map(*[x for c, v in c2.items() for x in (F.lit(int(c)), F.lit(float(v)))])
-    # Per-member sums are folded in term order (a member's terms are bounded by its document),
-    # so identical vectors always get bit-identical distances and tie-break by id.
-    def fold(col):
-        return F.aggregate(F.transform(F.array_sort(F.collect_list(F.struct("term", col.alias("v")))),
-                                       lambda x: x["v"]), F.lit(0.0), lambda acc, v: acc + v)
-
-    per = (W.join(s1.assignments, "idea_id").join(cent, ["cluster_id", "term"], "left")
-           .groupBy("idea_id").agg(fold(F.col("weight") * F.col("weight")).alias("x2"),
-                                   fold(F.coalesce(F.col("weight") * F.col("cw"), F.lit(0.0))).alias("dot")))
+    c2_map = F.create_map(*[x for c, v in c2.items() for x in (F.lit(int(c)), F.lit(int(v)).cast("long"))])
+    # sums over integers, as on the matrix path: equal members get equal distances on both
+    n_rows = cent.count()
+    if n_rows <= cfg.broadcast_max_rows:
+        own = W.join(s1.assignments, "idea_id").join(F.broadcast(cent), ["cluster_id", "term"], "left")
+    else:  # a term common in a hot cluster is dealt out by idea
+        salt = F.pmod(F.xxhash64("idea_id"), F.lit(cfg.salt_buckets)).cast("int")
+        many = cent.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(cfg.salt_buckets - 1))))
+        own = W.join(s1.assignments, "idea_id").withColumn("_s", salt).join(many, ["cluster_id", "term", "_s"], "left")
+    per = own.groupBy("idea_id").agg(
+        F.sum(km._steps(F.col("weight") * F.col("weight"), bl.PRODUCT_STEP)).alias("x2"),
+        F.sum(km._steps(F.coalesce(F.col("weight") * F.col("cw"), F.lit(0.0)), bl.PRODUCT_STEP)).alias("dot"))
+    zero = F.lit(0).cast("long")
+    steps = F.coalesce("x2", zero) - 2 * F.coalesce("dot", zero) + F.element_at(c2_map, F.col("cluster_id"))
     dist = (s1.assignments.join(per, "idea_id", "left")
-            .select("idea_id", "cluster_id",
-                    F.sqrt(F.greatest(F.lit(0.0), F.coalesce("x2", F.lit(0.0)) - 2 * F.coalesce("dot", F.lit(0.0))
-                                      + F.element_at(c2_map, F.col("cluster_id")))).alias("d")))
+            .select("idea_id", "cluster_id", F.sqrt(F.greatest(zero, steps).cast("double") / F.lit(bl.PRODUCT_STEP)).alias("d")))
     G = km.centroid_gram(cent, k)
     return nbh.neighborhoods(s1.assignments, cfg, distances=dist,
                              pair_fn=lambda plan: nbh.gram_pairs(G, plan, spark))
@@ -209,7 +200,7 @@ def stage3(members: DataFrame, ideas: DataFrame, responder: Callable, cfg: Pipel
     (hash, prompt version), so a forced re-run adds a run instead of duplicating rows.
     """
     prompts = disc.neighborhood_prompts(members, ideas)
-    stored = store.read("constellations") if store is not None else None
+    stored = store.read_parts("constellations") if store is not None else None
     cached = None if stored is None else st.latest_run(
         stored.where(F.col("prompt_version") == DISCOVERY_PROMPT_VERSION), ["neighborhood_hash", "prompt_version"])
     if cached is not None and not force:
@@ -233,19 +224,19 @@ def stage3(members: DataFrame, ideas: DataFrame, responder: Callable, cfg: Pipel
     else:
         out = fresh
     if store is not None:
-        run_id = (store.latest("constellations") or 0) + 1
+        run_id = store.next_part("constellations")
         to_store = fresh.select(*disc.merge_columns())
         if cfg.cache_empty:
             to_store = to_store.unionByName(disc.empty_sentinels(responses, fresh, cfg.discovery_model,
                                                                  DISCOVERY_PROMPT_VERSION))
-        store.write("constellations", st.append_run(stored, to_store, run_id))
+        store.append("constellations", st.append_run(None, to_store, run_id), run_id)  # nothing stored is rewritten
     return out, responses, hits
 
 
 def stage4(assign: DataFrame, ideas: DataFrame, responder: Callable, cfg: PipelineConfig,
            store: st.SnapshotStore | None = None, force: bool = False):
     prompts = disc.cluster_prompts(assign, ideas, cfg)
-    cached = store.read("patterns") if store is not None else None
+    cached = store.merged("patterns", PATTERN_KEY) if store is not None else None
     if cached is not None and not force:
         valid = cached.where(F.col("prompt_version") == PATTERNS_PROMPT_VERSION)
         keys = valid.select(F.col("cluster_hash").alias("group_hash")).distinct()
@@ -262,12 +253,11 @@ def stage4(assign: DataFrame, ideas: DataFrame, responder: Callable, cfg: Pipeli
     else:
         out = fresh
     if store is not None:
-        seq = (store.latest("patterns") or 0) + 1
         # a group one of whose parts failed is asked again as a whole in the next run
         failed = responses.where(F.col("status") != "ok").select(F.col("group_hash").alias("cluster_hash")).distinct()
-        new = fresh.join(failed, "cluster_hash", "left_anti").withColumn("write_seq", F.lit(seq))
-        allp = new if cached is None else cached.unionByName(new, allowMissingColumns=True)
-        store.write("patterns", st.upsert_latest(allp, ["cluster_hash", "pattern_title", "prompt_version"]))
+        new = fresh.join(failed, "cluster_hash", "left_anti").withColumn("write_seq", F.lit(store.next_part("patterns")))
+        # parts of one reply may repeat a title: the last one counts
+        store.upsert("patterns", st.upsert_latest(new, PATTERN_KEY, "item_ord"), PATTERN_KEY)
     return out, responses, hits
 
 

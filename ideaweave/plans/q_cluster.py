@@ -59,7 +59,7 @@ SELECT cluster_id, (i - 1)::INT AS dim, round(val, 6) AS value FROM m0""")
 def kmeans_update(spark, d):
     v = td.vectors(spark, d)
     C0 = _fixed_seeds(v)
-    counts, sums, _ = km._lloyd_partials(v, C0, None, "vec")
+    counts, sums = km._lloyd_partials(v, C0, "vec")
     C1 = km.update_dense(counts, sums, C0)[counts > 0]
     keep = np.nonzero(counts > 0)[0]
     rows = [(int(c), int(j), float(round(C1[i, j], 6))) for i, c in enumerate(keep) for j in range(C1.shape[1])]

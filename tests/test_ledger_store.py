@@ -63,3 +63,20 @@ def test_export_counts_report_both(spark):
     assert (row["fecha"], row["revisado"], row["apto_inversores"], row["notas"]) == ("2026-03-04", "pendiente", "pendiente", "")
     got = rep.export_counts({"ideas": ideas}, {"ideas": out}).collect()
     assert [(r[0], r[1], r[2]) for r in got] == [("ideas", 3, 2)]
+
+
+def test_upsert_writes_what_is_new_and_merges_on_read(spark, tmpdir_path):
+    s, key = st.SnapshotStore(spark, tmpdir_path), ["k"]
+    row = lambda *x: spark.createDataFrame(list(x), "k long, v string")
+    want = {}
+    assert s.merged("t", key) is None
+    for n in range(1, 8):
+        new = {i: f"{n}-{i}" for i in ([*range(50)] if n == 1 else [n, n * 10])}
+        want |= new
+        s.upsert("t", row(*new.items()), key, compact_after=5)
+        assert {r["k"]: r["v"] for r in s.merged("t", key).collect()} == want
+    sizes = {r[0]: r[1] for r in spark.read.parquet(tmpdir_path + "/t").groupBy("seq").count().collect()}
+    assert sizes[2] == 2 and sizes[6] == len(want) - len({6, 7, 60, 70} - set(range(50)))  # part 6 is the merged one
+    assert s._parts("t") == [6, 7, 8]
+    s.drop_parts("t")
+    assert s.merged("t", key) is None and s.next_part("t") == 9

@@ -79,3 +79,43 @@ def test_relational_stage2_matches_matrix_path(spark, monkeypatch):
     key = lambda r: (r["neighborhood_id"], r["ordinal"], r["idea_id"])
     assert sorted(map(key, a.members.collect())) == sorted(map(key, b.members.collect()))
     assert (a.intra_count, a.cross_count) == (b.intra_count, b.cross_count)
+
+
+def test_cap_as_arithmetic_equals_the_written_out_plan():
+    for intra in range(0, 60):
+        for cross in (0, 3, 10):
+            for most in (None, 1, 5, 10, 11, 25, 60):
+                cap = nbh.cap_rule(intra, cross, most)
+                kept = [nb for nb in range(intra) if nb % cap.step == 0 and nb // cap.step < cap.count]
+                room = intra if most is None or intra + cross <= most else max(most - cross, 0)
+                want = list(range(intra))[::max(1, intra // room) if room and room < intra else 1][:room]
+                assert kept == want == nbh.cap_plan(intra, cross, most)
+                for first in range(intra):
+                    for chunks in (1, 4):
+                        inside = range(first, min(first + chunks, intra))
+                        assert nbh.keeps_any(first, len(inside), cap) == any(x in kept for x in inside)
+
+
+def test_plan_of_many_chunks_stays_as_large_as_the_clusters(spark):
+    from ideaweave.config import CHUNK_SIZE
+    plan = nbh.plan_intra([(c, 5_000_000, c) for c in range(4)], DEFAULT_CONFIG)
+    assert plan.intra_total > 900_000 and all(len(x) == 4 for x in (plan.order, plan.sizes, plan.chunks, plan.first_nb))
+    assert nbh.cap_rule(plan.intra_total, 5, 50).count == 45
+    df = spark.range(0, 4000).select(F.col("id").alias("idea_id"), (F.col("id") % 4).cast("int").alias("cluster_id"),
+                                     F.array(F.rand(1), F.rand(2)).alias("vec"))
+    text = nbh.intra_members(df, nbh.plan_intra(nbh.cluster_sizes(df), DEFAULT_CONFIG))._jdf.queryExecution().toString()
+    assert " IN (" not in text and " INSET " not in text and CHUNK_SIZE == 22
+
+
+def test_positions_are_found_without_sorting_groups(spark):
+    from ideaweave.operators.ranking import at_positions
+    rnd = random.Random(4)
+    ids = sorted(rnd.sample(range(1_000_000), 6000)) + list(range(2_000_000, 2_009_000))
+    group = {i: 0 if i % 3 else 1 for i in ids}
+    df = spark.createDataFrame([(i, c) for i, c in group.items()], "idea_id long, cluster_id int").repartition(6)
+    by = {c: [i for i in ids if group[i] == c] for c in (0, 1)}
+    want = [(n, c, p) for n, (c, p) in enumerate((c, p) for c in by for p in (1, 2, len(by[c]) // 2, len(by[c]), 77, 77))]
+    for fanout, leaf in ((16, 50), (1 << 16, 4096)):
+        got = {r["nb"]: r["idea_id"] for r in at_positions(df, "cluster_id", want, "nb int, cluster_id int, rank long",
+                                                           fanout=fanout, leaf=leaf).collect()}
+        assert got == {n: by[c][p - 1] for n, c, p in want}

@@ -64,7 +64,7 @@ def test_dense_vectors_are_cached(spark, tmpdir_path):
     assert calls.value == 48 and part.assignments.count() == 18
     pl.stage1(ideas, cfg, DenseEmbedder("other_v1", counted, 16), store)
     assert calls.value == 96
-    assert store.read("embeddings").groupBy("model").count().count() == 2
+    assert store.merged("embeddings", ["idea_id", "model"]).groupBy("model").count().count() == 2
 
 
 def test_model_reaches_the_responder_of_each_stage(spark):

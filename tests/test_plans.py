@@ -22,10 +22,13 @@ def test_no_row_udfs_or_cartesian(spark, name):
 
 
 def test_tfidf_partial_aggregation_and_pruning(spark):
-    plan = _plan(spark, "tfidf_weights")
-    assert "partial_count" in plan  # (doc, term) counts combined map-side before the shuffle
-    assert "BroadcastHashJoin" in plan  # vocabulary below the checked row bound
-    assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in plan  # no other column read
+    from ideaweave.operators import tfidf as tf
+    from ideaweave.sources import testdata as td
+    counts = tf.term_frequencies(tf.tokens(tf._dealt(tf.documents(td.ideas(spark, SF001)))))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan  # (doc, term) counted where the document is
+    assert plan.count("Exchange") == 1 and "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in plan  # no other column read
+    assert "BroadcastHashJoin" in _plan(spark, "tfidf_weights")  # vocabulary below the checked row bound
 
 
 def test_price_list_is_broadcast(spark):
