@@ -36,7 +36,9 @@ class PipelineConfig:
     centroid_broadcast_bytes: int = 256 << 20  # above: relational k-means / stage 2
     salt_buckets: int = 32
     max_hash_members: int = 100_000
-    max_prompt_ideas: int = 200
+    max_prompt_ideas: int | None = 200  # None: one theme prompt per cluster
+    calls_per_task: int = 1  # model calls a responder task makes at a time
+    calls_per_minute: float | None = None  # of all tasks together
     enforce_budget: bool = False  # skip the theme stage once discovery alone exceeds the budget
     validate_replies: bool = False  # type in the enum, 3..6 ids, ids from the group
     cache_empty: bool = False  # cache a hidden sentinel for groups that produced nothing

@@ -2,8 +2,8 @@
 
 The responder is a user callable ``fn(prompt, system) -> (text, input_tokens, output_tokens)``.
 It runs inside ``mapInPandas`` over a prompts table repartitioned to ``concurrency`` tasks,
-with retries for rate-limit style errors. Responses are a table (persist it before parsing,
-so a task retry never calls the responder twice for a stored response). Failures become
+with retries for rate-limit style errors. Responses are a table; with a ``ReplyLog`` an answered call is
+never made again, neither by a later attempt of a task nor by a later start of the run. Failures become
 ``status='error'`` rows -- one bad group never fails the job.
 """
 
@@ -13,12 +13,16 @@ import inspect
 import json
 import hashlib
 import re
+import threading
 import time
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, NamedTuple
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyarrow import fs as pafs
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,6 +164,7 @@ def cluster_prompts(assign: DataFrame, ideas: DataFrame, cfg: PipelineConfig = D
     The hash is SHA-256 of the sorted ids of all members, whatever their number
     (``max_hash_members`` is the size of a piece of that list, not a limit). Members are printed in id order, in parts of ``max_prompt_ideas``, so a huge cluster becomes several
     prompts that together still show every member -- no group is collected whole.
+    ``max_prompt_ideas=None`` renders one prompt per cluster whatever its size (its lines meet in one row).
     """
     from .ranking import rank_within
     if sizes is None:
@@ -169,7 +174,7 @@ def cluster_prompts(assign: DataFrame, ideas: DataFrame, cfg: PipelineConfig = D
     hashes = member_hashes(a, cfg.max_hash_members)
     lines = a.join(ideas.select("idea_id", item_line(chars=PATTERNS_DESCRIPTION_CHARS).alias("line")), "idea_id")
     per = cfg.max_prompt_ideas
-    if any(sizes[c] > per for c in keep):
+    if per is not None and any(sizes[c] > per for c in keep):
         lines = rank_within(lines, "cluster_id", ["idea_id"]).withColumn(
             "part", F.floor((F.col("rank") - 1) / per).cast("int"))
     else:
@@ -206,30 +211,119 @@ def _with_retry(call, max_retries: int = RETRY_MAX, sleep=time.sleep):
             raise
 
 
+class ReplyLog:
+    """Replies as one object per call in a shared folder, so that a call that was answered is not made again.
+
+    A reply is written as soon as it is there, under the hash of its call. An attempt of a task finds
+    the replies of the attempt before it; what a run finds at its start never reaches a task
+    (``logged``). Only answered calls are kept. A call whose reply was lost before it was written is
+    made again.
+    """
+
+    def __init__(self, path: str, run: str = ""):
+        self.path, self.run = path.rstrip("/"), run
+
+    def key(self, model: str, version: str, system: str, prompt: str) -> str:
+        return hashlib.sha256("\x1f".join([self.run, model, version, system, prompt]).encode()).hexdigest()
+
+    def column(self, model: str, version: str, system: str) -> Column:
+        return F.sha2(F.concat_ws("\x1f", F.lit(self.run), F.lit(model), F.lit(version), F.lit(system), F.col("prompt")), 256)
+
+    def _store(self):
+        return pafs.FileSystem.from_uri(self.path) if "://" in self.path else (pafs.LocalFileSystem(), self.path.removeprefix("file:"))
+
+    def get(self, key: str):
+        store, base = self._store()
+        try:
+            with store.open_input_stream(f"{base}/{key[:2]}/{key}.json") as f:
+                r = json.loads(f.read())
+        except FileNotFoundError:
+            return None
+        return r["text"], r["input_tokens"], r["output_tokens"]
+
+    def put(self, key: str, text: str, tokens_in: int, tokens_out: int) -> None:
+        store, base = self._store()
+        store.create_dir(f"{base}/{key[:2]}", recursive=True)
+        part = f"{base}/{key[:2]}/_{key}-{uuid.uuid4().hex}"  # names with _ are no data to Spark
+        with store.open_output_stream(part) as f:
+            f.write(json.dumps({"key": key, "text": text, "input_tokens": tokens_in, "output_tokens": tokens_out}).encode())
+        store.move(part, f"{base}/{key[:2]}/{key}.json")
+
+    def logged(self, spark) -> DataFrame | None:
+        """``(key, text, input_tokens, output_tokens)`` of all replies, or None."""
+        from .store import hadoop_fs
+        fs, files = hadoop_fs(spark, f"{self.path}/*/*.json")
+        if not fs.globStatus(files):
+            return None
+        return spark.read.schema("key string, text string, input_tokens long, output_tokens long").json(f"{self.path}/*/")
+
+
+class _Pace:
+    """Calls of a task begin at least ``gap`` seconds apart."""
+
+    def __init__(self, gap: float):
+        self.gap, self.next, self.lock = gap, 0.0, threading.Lock()
+
+    def wait(self) -> None:
+        with self.lock:
+            now = time.monotonic()
+            start = max(now, self.next)
+            self.next = start + self.gap
+        if start > now:
+            time.sleep(start - now)
+
+
 def respond(prompts: DataFrame, responder: Callable, model: str, stage: str, prompt_version: str,
-            system: str, concurrency: int = 5, max_retries: int = RETRY_MAX, max_tokens: int | None = None) -> DataFrame:
+            system: str, concurrency: int = 5, max_retries: int = RETRY_MAX, max_tokens: int | None = None,
+            log: ReplyLog | None = None, calls_per_task: int = 1, per_minute: float | None = None) -> DataFrame:
     """Call ``responder`` once per prompt row; returns the response table (RESPONSE_SCHEMA).
 
     The call is ``responder(prompt, system)``, with ``model=`` and ``max_tokens=`` (the longest
-    reply) added where the responder has these parameters.
+    reply) added where the responder has these parameters. ``concurrency`` tasks make up to
+    ``calls_per_task`` calls each at a time; ``per_minute`` bounds the calls of all tasks together,
+    whatever their number. With a ``log``, answered calls are read from it.
     """
     takes = inspect.signature(responder).parameters
     extra = {k: v for k, v in (("model", model), ("max_tokens", max_tokens)) if k in takes}
+    gap = 60.0 * concurrency / per_minute if per_minute else 0.0
+    names = ["group_hash", "prompt_version", "model", "stage", "text", "input_tokens", "output_tokens", "status", "error"]
 
     def fn(it):
-        for pdf in it:
-            out = []
-            for h, p in zip(pdf["group_hash"].tolist(), pdf["prompt"].tolist()):
-                try:
-                    text, tin, tout = _with_retry(lambda: responder(p, system, **extra), max_retries)
-                    out.append((h, prompt_version, model, stage, (text or "").strip(), int(tin or 0), int(tout or 0),
-                                "ok", None))
-                except Exception as e:  # noqa: BLE001
-                    out.append((h, prompt_version, model, stage, None, 0, 0, "error", str(e)))
-            yield pd.DataFrame(out, columns=["group_hash", "prompt_version", "model", "stage", "text",
-                                             "input_tokens", "output_tokens", "status", "error"])
-
-    return prompts.select("group_hash", "prompt").repartition(concurrency).mapInPandas(fn, RESPONSE_SCHEMA)
+        pace = _Pace(gap)
+
+        def one(row):
+            h, p = row
+            try:
+                key = log.key(model, prompt_version, system, p) if log else None
+                got = log.get(key) if log else None
+                if got is None:
+                    def call():
+                        pace.wait()
+                        return responder(p, system, **extra)
+
+                    text, tin, tout = _with_retry(call, max_retries)
+                    got = (text or "").strip(), int(tin or 0), int(tout or 0)
+                    if log:
+                        log.put(key, *got)
+                return (h, prompt_version, model, stage, *got, "ok", None)
+            except Exception as e:  # noqa: BLE001
+                return h, prompt_version, model, stage, None, 0, 0, "error", str(e)
+
+        with ThreadPoolExecutor(calls_per_task) as pool:
+            for pdf in it:
+                rows = list(pool.map(one, zip(pdf["group_hash"].tolist(), pdf["prompt"].tolist())))
+                yield pd.DataFrame(rows, columns=names)
+
+    todo, found = prompts.select("group_hash", "prompt"), None
+    kept = log.logged(prompts.sparkSession) if log else None
+    if kept is not None:
+        keyed = todo.withColumn("key", log.column(model, prompt_version, system))
+        found = keyed.join(kept, "key").select(
+            "group_hash", F.lit(prompt_version).alias("prompt_version"), F.lit(model).alias("model"), F.lit(stage).alias("stage"),
+            "text", "input_tokens", "output_tokens", F.lit("ok").alias("status"), F.lit(None).cast("string").alias("error"))
+        todo = keyed.join(kept.select("key"), "key", "left_anti").select("group_hash", "prompt")
+    out = todo.repartition(concurrency).mapInPandas(fn, RESPONSE_SCHEMA)
+    return out if found is None else out.unionByName(found)
 
 
 def fake_responder(prompt: str, system: str):

@@ -192,6 +192,11 @@ class Result(NamedTuple):
     neighborhoods: DataFrame
 
 
+def _reply_log(store: st.SnapshotStore | None, table: str) -> disc.ReplyLog | None:
+    """The log of the run that is about to write the next part of ``table``: a run that died finds its replies."""
+    return None if store is None else disc.ReplyLog(f"{store.root}/replies/{table}", f"run {store.next_part(table)}")
+
+
 def stage3(members: DataFrame, ideas: DataFrame, responder: Callable, cfg: PipelineConfig,
            store: st.SnapshotStore | None = None, force: bool = False):
     """Discovery over neighbourhoods with the constellation cache.
@@ -210,7 +215,8 @@ def stage3(members: DataFrame, ideas: DataFrame, responder: Callable, cfg: Pipel
         hits, todo = prompts.limit(0), prompts
     responses = cut_lineage(disc.respond(todo, responder, cfg.discovery_model, "constellations",
                                          DISCOVERY_PROMPT_VERSION, disc.DISCOVERY_SYSTEM, cfg.discovery_concurrency,
-                                         max_tokens=cfg.discovery_max_tokens))
+                                         max_tokens=cfg.discovery_max_tokens, log=_reply_log(store, "constellations"),
+                                         calls_per_task=cfg.calls_per_task, per_minute=cfg.calls_per_minute))
     group_members = None
     if cfg.validate_replies:
         group_members = members.join(prompts.select("neighborhood_id", "group_hash"), "neighborhood_id") \
@@ -244,7 +250,9 @@ def stage4(assign: DataFrame, ideas: DataFrame, responder: Callable, cfg: Pipeli
     else:
         hits, todo = prompts.limit(0), prompts
     responses = cut_lineage(disc.respond(todo, responder, cfg.patterns_model, "patterns", PATTERNS_PROMPT_VERSION,
-                                         disc.PATTERNS_SYSTEM, cfg.discovery_concurrency, max_tokens=cfg.patterns_max_tokens))
+                                         disc.PATTERNS_SYSTEM, cfg.discovery_concurrency, max_tokens=cfg.patterns_max_tokens,
+                                         log=_reply_log(store, "patterns"), calls_per_task=cfg.calls_per_task,
+                                         per_minute=cfg.calls_per_minute))
     fresh = disc.parse_patterns(responses).rows
     if cached is not None and not force:
         hit_rows = valid.join(hits.select(F.col("group_hash").alias("cluster_hash")), "cluster_hash", "left_semi") \
