@@ -4,12 +4,12 @@ These mirror ``ideaweave.sources.testdata`` so the oracle reads the same tables.
 """
 
 IDEAS = """ideas_v AS (
-  SELECT doc_id AS idea_id, substring(text, 1, 60) AS title, text AS description, source,
+  SELECT doc_id AS idea_id, 'Document ' || doc_id AS title, text AS description, source,
          'doc:' || sha256(text) AS url, lang AS category, '' AS stack
   FROM documents)"""
 
 RAW = """raw_v AS (
-  SELECT substring(text, 1, 60) AS title, text AS description, 'doc:' || sha256(text) AS url,
+  SELECT 'Document ' || doc_id AS title, text AS description, 'doc:' || sha256(text) AS url,
          source, lang AS category, '' AS stack, doc_id AS ingest_ord
   FROM documents)"""
 

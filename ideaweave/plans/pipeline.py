@@ -11,6 +11,7 @@ only ever holds k-sized values (sizes, centroids within the broadcast bound, cou
 
 from __future__ import annotations
 
+import time
 from typing import Callable, NamedTuple
 
 import numpy as np
@@ -78,6 +79,30 @@ def cached_dense(ideas: DataFrame, embedder, store: st.SnapshotStore | None, for
                         embedder.model), reused
 
 
+def embedding_job(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None,
+                  store: st.SnapshotStore | None = None, force: bool = False) -> DataFrame:
+    """The embedding stage alone: brings the stored vectors of the loadable ideas up to date.
+
+    One row ``(model, documents, read, dimensions)``; ``read``: texts that were new or changed.
+    """
+    spark, ideas = ideas.sparkSession, ingest.loadable(ideas)
+    if embedder is None:
+        if store is None:
+            vecs, read = tf.tfidf(ideas, cfg), None
+        else:
+            vecs, read = tf.refresh(store, ideas, cfg, force)
+        n, model, dim = vecs.n_docs, vecs.model, vecs.vocab.count()
+    else:
+        before = None if store is None or force else store.merged("embeddings", ["idea_id", "model"])
+        had = 0 if before is None else before.where(F.col("model") == embedder.model).join(
+            tf.documents(ideas).select("idea_id", F.xxhash64("doc").alias("text_hash")), ["idea_id", "text_hash"], "left_semi").count()
+        vecs, _ = cached_dense(ideas, embedder, store, force)
+        n, model, dim = vecs.vectors.count(), embedder.model, embedder.dimensions
+        read = n - had
+    return spark.createDataFrame([(model, int(n), int(n if read is None else read), int(dim))],
+                                 "model string, documents bigint, read bigint, dimensions bigint")
+
+
 def stage1(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None,
            store: st.SnapshotStore | None = None, force: bool = False) -> Stage1:
     """Embed the loadable ideas (TF-IDF by default, cached in ``store``) and cluster them with k-means."""
@@ -277,6 +302,7 @@ def run(ideas: DataFrame, responder: Callable, cfg: PipelineConfig = DEFAULT_CON
     stage too. A responder with ``model`` and ``max_tokens`` parameters is given the stage's model
     and reply limit.
     """
+    began = time.monotonic()
     pattern_responder = pattern_responder or responder
     loadable = ingest.loadable(ideas)
     total = report.require_min_ideas(loadable, 3) and loadable.count()
@@ -302,11 +328,11 @@ def run(ideas: DataFrame, responder: Callable, cfg: PipelineConfig = DEFAULT_CON
     meta = spark.createDataFrame(
         [(int(total), s2.intra_count, s2.cross_count, s2.total, sum(bytype.values()), bytype,
           c3["cache_hits"], c3["api_calls"], c4["cache_hits"], c4["api_calls"], float(cost),
-          float(cost) > cfg.cost_budget_usd)],
+          float(cost) > cfg.cost_budget_usd, int((time.monotonic() - began) * 1000))],
         "total_ideas long, neighborhoods_intra int, neighborhoods_cross int, neighborhoods_total int, "
         "constellations_found long, constellations_by_type map<string,bigint>, constellation_cache_hits long, "
         "constellation_api_calls long, pattern_cache_hits long, pattern_api_calls long, "
-        "estimated_cost_usd double, over_budget boolean")
+        "estimated_cost_usd double, over_budget boolean, elapsed_ms long")
     return Result(constellations, patterns, report.ideas_lookup(loadable), meta, responses, members)
 
 

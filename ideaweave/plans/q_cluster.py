@@ -128,3 +128,21 @@ def cluster_ideas(spark, d):
     """Stage 1: TF-IDF of the ideas, then sparse k-means (every idea in exactly one cluster)."""
     from ..plans.pipeline import stage1
     return stage1(td.ideas(spark, d), DEFAULT_CONFIG).assignments
+
+
+_PASSES = 12
+
+
+@query("kmeans_converged", _steps_sql(_PASSES - 1) + f"\nSELECT idea_id, cluster_id FROM a{_PASSES - 1}")
+def kmeans_converged(spark, d):
+    """Passes from fixed centroids until no label changes (12 at most), with distance bounds."""
+    v = td.vectors(spark, d)
+    return km.kmeans_dense(v, 0, max_iter=_PASSES, initial=_fixed_seeds(v), bounds=True).assignments
+
+
+@query("kmeans_k", """
+SELECT source, count(*)::BIGINT AS n, greatest(1, least(30, count(*) // 3))::INT AS k FROM documents GROUP BY source""")
+def kmeans_k(spark, d):
+    """The number of clusters each source's documents would get."""
+    n = td.ideas(spark, d).groupBy("source").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    return n.withColumn("k", km.effective_k_column("n", DEFAULT_CONFIG.num_clusters))

@@ -154,3 +154,32 @@ def respond_fake(spark, d):
     r = disc.respond(prompts, disc.fake_responder, DEFAULT_CONFIG.discovery_model, "constellations",
                      "iw_discovery_v1", disc.DISCOVERY_SYSTEM, DEFAULT_CONFIG.discovery_concurrency)
     return r.select("group_hash", "status", "input_tokens", "output_tokens", "text")
+
+
+@query("validate_members", _PARSE_SQL + f""",
+grp AS (SELECT {td.REPLY_HASH_DUCK} AS neighborhood_hash,
+               list_filter([p_partkey, p_partkey + 1, p_partkey + 2], lambda x: x % 3 <> 0 OR p_partkey % 5 = 0) AS m FROM part)
+SELECT neighborhood_hash, item_ord, constellation_type, idea_ids, title, explanation, score, actionability
+FROM typed JOIN grp USING (neighborhood_hash)
+WHERE score >= {{MIN}} AND constellation_type IN ('triangulation', 'spectrum', 'chain', 'convergence', 'absence')
+  AND len(ids_arr) BETWEEN 3 AND 6 AND len(list_filter(ids_arr, lambda x: NOT list_contains(m, x))) = 0""".replace(
+    "{MIN}", str(float(DEFAULT_CONFIG.min_constellation_score))))
+def validate_members(spark, d):
+    """Replies whose ids must be members of the group that was asked about."""
+    ids = F.explode(F.sequence(F.col("p_partkey"), F.col("p_partkey") + 2)).alias("idea_id")
+    members = (td.table(spark, d, "part").select("p_partkey", F.expr(td.REPLY_HASH_SQL).alias("group_hash"), ids)
+               .where((F.col("idea_id") % 3 != 0) | (F.col("p_partkey") % 5 == 0)).select("group_hash", "idea_id"))
+    p = disc.parse_constellations(td.replies(spark, d), DEFAULT_CONFIG.min_constellation_score, True, members)
+    return _parse_out(p.rows)
+
+
+@query("call_counters", f"""
+SELECT (SELECT count(DISTINCT {td.REPLY_HASH_DUCK}) FROM part WHERE p_size <= 25)::BIGINT AS cache_hits,
+       count(*) FILTER (p_partkey % 9 <> 0)::BIGINT AS api_calls, sum(length(p_name) * 40)::BIGINT AS input_tokens,
+       sum(p_size * 10)::BIGINT AS output_tokens FROM part""")
+def call_counters(spark, d):
+    """Cache hits, calls answered and tokens of a stage, from its stored replies."""
+    r = td.replies(spark, d, extra=True)
+    part = td.table(spark, d, "part").select(F.expr(td.REPLY_HASH_SQL).alias("h"), (F.col("p_partkey") % 9 == 0).alias("bad"))
+    r = r.join(part, r["group_hash"] == part["h"]).withColumn("status", F.when(F.col("bad"), "error").otherwise(F.col("status")))
+    return disc.call_counters(r, r.where("p_size <= 25"))

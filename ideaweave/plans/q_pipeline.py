@@ -34,7 +34,7 @@ def pipeline_patterns(spark, d):
 @query("pipeline_metadata")
 def pipeline_metadata(spark, d):
     m = _run(spark, d).metadata
-    return m.withColumn("constellations_by_type", F.to_json("constellations_by_type"))
+    return m.drop("elapsed_ms").withColumn("constellations_by_type", F.to_json("constellations_by_type"))
 
 
 @query("pipeline_neighborhoods")

@@ -98,3 +98,43 @@ def tfidf_norms(spark, d):
             .select("idea_id", F.col("n_tokens").cast("bigint"),
                     F.coalesce("nnz", F.lit(0)).cast("bigint").alias("nnz"),
                     F.round(F.coalesce("norm2", F.lit(0.0)), 6).alias("norm2")))
+
+
+def _earlier(ideas):
+    """An earlier state of the ideas: every second one, every third of them with another text, and two that are gone."""
+    was = ideas.where("idea_id % 2 = 0").withColumn("description", F.when(F.col("idea_id") % 3 == 0, F.reverse("description"))
+                                                      .otherwise(F.col("description")))
+    return was.unionByName(ideas.where("idea_id < 2").withColumn("idea_id", F.col("idea_id") - 1000))
+
+
+@query("tfidf_refresh", f"""
+WITH {ov.TOKENS}
+SELECT idea_id, term, round(weight, 6) AS weight FROM weights_v
+""")
+def tfidf_refresh(spark, d):
+    """Weights after new, changed and removed ideas, from the kept counts of an earlier state."""
+    from ..operators.store import SnapshotStore
+    from ..streaming.jobs import scratch
+    ideas, st = td.ideas(spark, d), SnapshotStore(spark, scratch(spark, "tfidf"))
+    tf.refresh(st, _earlier(ideas))
+    return tf.refresh(st, ideas)[0].weights.select("idea_id", "term", F.round("weight", 6).alias("weight"))
+
+
+@query("embedding_job", f"""
+WITH {ov.TOKENS},
+was AS (SELECT idea_id, CASE WHEN idea_id % 3 = 0 THEN reverse(description) ELSE description END AS description FROM ideas_v
+        WHERE idea_id % 2 = 0)
+SELECT 'tfidf_v1' AS model, (SELECT count(*) FROM ideas_v)::BIGINT AS documents,
+       (SELECT count(*) FROM ideas_v i LEFT JOIN was w USING (idea_id)
+        WHERE w.idea_id IS NULL OR w.description IS DISTINCT FROM i.description)::BIGINT
+         + (SELECT count(*) FROM ideas_v WHERE idea_id < 2)::BIGINT AS read,
+       (SELECT count(*) FROM vocab_v)::BIGINT AS dimensions
+""")
+def embedding_job(spark, d):
+    """The embedding job on kept counts: texts read are the new and changed ones (and those taken out)."""
+    from ..operators.store import SnapshotStore
+    from ..streaming.jobs import scratch
+    from . import pipeline
+    ideas, st = td.ideas(spark, d), SnapshotStore(spark, scratch(spark, "embed"))
+    pipeline.embedding_job(_earlier(ideas), store=st)
+    return pipeline.embedding_job(ideas, store=st)

@@ -21,7 +21,7 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_from_documents(d: DataFrame) -> DataFrame:
     """The raw-item projection of documents (also applied to each streamed micro-batch)."""
     return d.select(
-        F.substring("text", 1, 60).alias("title"),
+        F.concat(F.lit("Document "), F.col("doc_id").cast("string")).alias("title"),
         F.col("text").alias("description"),
         F.concat(F.lit("doc:"), F.sha2("text", 256)).alias("url"),
         F.col("source"),
@@ -36,7 +36,7 @@ def ideas(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     return d.select(
         F.col("doc_id").alias("idea_id"),
-        F.substring("text", 1, 60).alias("title"),
+        F.concat(F.lit("Document "), F.col("doc_id").cast("string")).alias("title"),
         F.col("text").alias("description"),
         F.col("source"),
         F.concat(F.lit("doc:"), F.sha2("text", 256)).alias("url"),
