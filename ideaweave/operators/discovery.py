@@ -12,7 +12,6 @@ from __future__ import annotations
 import inspect
 import json
 import hashlib
-import re
 import threading
 import time
 import uuid
@@ -258,6 +257,24 @@ class ReplyLog:
         return spark.read.schema("key string, text string, input_tokens long, output_tokens long").json(f"{self.path}/*/")
 
 
+class StoredReplies:
+    """A responder that makes no call: ``replies(prompts)`` gives the stored ``(group_hash, prompt, text,
+    input_tokens, output_tokens)`` of prompts ``(group_hash, prompt)``; a prompt without one is an error row."""
+
+    def __init__(self, replies: Callable[[DataFrame], DataFrame]):
+        self.replies = replies
+
+    def respond(self, prompts: DataFrame, model: str, stage: str, prompt_version: str) -> DataFrame:
+        asked = prompts.select("group_hash", "prompt")
+        got = self.replies(asked).select("group_hash", "prompt", "text", "input_tokens", "output_tokens")
+        found = F.col("text").isNotNull()
+        return asked.join(got, ["group_hash", "prompt"], "left").select(
+            "group_hash", F.lit(prompt_version).alias("prompt_version"), F.lit(model).alias("model"), F.lit(stage).alias("stage"),
+            F.trim("text").alias("text"), F.coalesce("input_tokens", F.lit(0)).cast("bigint").alias("input_tokens"),
+            F.coalesce("output_tokens", F.lit(0)).cast("bigint").alias("output_tokens"),
+            F.when(found, "ok").otherwise("error").alias("status"), F.when(~found, "no stored reply").alias("error"))
+
+
 class _Pace:
     """Calls of a task begin at least ``gap`` seconds apart."""
 
@@ -283,6 +300,8 @@ def respond(prompts: DataFrame, responder: Callable, model: str, stage: str, pro
     ``calls_per_task`` calls each at a time; ``per_minute`` bounds the calls of all tasks together,
     whatever their number. With a ``log``, answered calls are read from it.
     """
+    if isinstance(responder, StoredReplies):
+        return responder.respond(prompts, model, stage, prompt_version)
     takes = inspect.signature(responder).parameters
     extra = {k: v for k, v in (("model", model), ("max_tokens", max_tokens)) if k in takes}
     gap = 60.0 * concurrency / per_minute if per_minute else 0.0
@@ -326,27 +345,6 @@ def respond(prompts: DataFrame, responder: Callable, model: str, stage: str, pro
     return out if found is None else out.unionByName(found)
 
 
-def fake_responder(prompt: str, system: str):
-    """Deterministic stand-in for a model: a pure function of the prompt text.
-
-    It names the first three ``[ID:n]`` items in a constellation (or pattern) whose type and
-    score come from the prompt's SHA-256. Token counts are characters // 4.
-    """
-    h = hashlib.sha256(prompt.encode("utf-8")).hexdigest()
-    ids = [int(x) for x in re.findall(r"\[ID:(\d+)\]", prompt)][:3]
-    if '"patterns"' in prompt:
-        body = {"patterns": [{"name": f"theme {h[:6]}", "idea_ids": ids, "explanation": f"shared by {len(ids)}"}]}
-    else:
-        kind = CONSTELLATION_TYPES[int(h[0], 16) % 5]
-        c = {"type": kind, "idea_ids": ids, "title": f"group {h[:6]}", "explanation": f"items {ids}",
-             "score": int(h[1:3], 16) % 10 + 1}
-        if kind == "absence":
-            c["actionability"] = int(h[3:5], 16) % 14 + 0.5
-        body = {"constellations": [c]}
-    text = "Here is what I found:\n" + json.dumps(body)
-    return text, len(prompt) // 4, len(text) // 4
-
-
 # ---------------------------------------------------------------------------
 # Reply parsing
 # ---------------------------------------------------------------------------

@@ -59,7 +59,7 @@ class DenseEmbedder:
 
 
 def hashing_model(dimensions: int = 64):
-    """A small deterministic stand-in model (signed feature hashing of tokens), for tests."""
+    """Signed feature hashing of tokens: dense vectors without a fitted vocabulary, unit length or zero."""
     import hashlib
     import re
 

@@ -149,9 +149,9 @@ SELECT group_hash, 'ok' AS status, (length(prompt) // 4)::BIGINT AS input_tokens
 
 @query("respond_fake", _respond_sql())
 def respond_fake(spark, d):
-    """Responder applied to every neighbourhood prompt (stand-in model, bounded concurrency)."""
+    """Replies to every neighbourhood prompt, from a table of stored replies."""
     prompts = neighborhood_prompt(spark, d)
-    r = disc.respond(prompts, disc.fake_responder, DEFAULT_CONFIG.discovery_model, "constellations",
+    r = disc.respond(prompts, disc.StoredReplies(td.stored_replies), DEFAULT_CONFIG.discovery_model, "constellations",
                      "iw_discovery_v1", disc.DISCOVERY_SYSTEM, DEFAULT_CONFIG.discovery_concurrency)
     return r.select("group_hash", "status", "input_tokens", "output_tokens", "text")
 

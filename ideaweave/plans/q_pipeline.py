@@ -1,4 +1,4 @@
-"""Queries: the end-to-end run with the deterministic stand-in responder (rows-only checks)."""
+"""Queries: the end-to-end run over stored replies (rows-only checks)."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from .registry import query
 
 
 def _run(spark, d):
-    return pl.run(td.ideas(spark, d), disc.fake_responder, DEFAULT_CONFIG)
+    return pl.run(td.ideas(spark, d), disc.StoredReplies(td.stored_replies), DEFAULT_CONFIG)
 
 
 @query("flagship")

@@ -139,3 +139,23 @@ def replies(spark: SparkSession, sf_dir: str, kind: str = "constellations", extr
                         f"'{kind}' AS stage", f"{text} AS text", "CAST(length(p_name) * 40 AS BIGINT) AS input_tokens",
                         "CAST(p_size * 10 AS BIGINT) AS output_tokens", "'ok' AS status",
                         "CAST(NULL AS STRING) AS error", *(["p_size"] if extra else []))
+
+
+def stored_replies(prompts: DataFrame) -> DataFrame:
+    """Stored replies ``(group_hash, prompt, text, input_tokens, output_tokens)`` for prompts ``(group_hash, prompt)``.
+
+    One JSON reply per prompt that names its first three items; kind and score come from its SHA-256.
+    """
+    byte = lambda at, n: F.conv(F.substring("h", at, n), 16, 10).cast("int")
+    ids = F.array_join(F.slice(F.regexp_extract_all("prompt", F.lit(r"\[ID:(\d+)\]"), 1), 1, 3), ", ")
+    kinds = F.array(*[F.lit(x) for x in ("triangulation", "spectrum", "chain", "convergence", "absence")])
+    kind, name = F.get(kinds, byte(1, 1) % 5), F.substring("h", 1, 6)
+    actionability = F.when(kind == "absence", F.concat(F.lit(', "actionability": '), byte(4, 2) % 14, F.lit(".5"))).otherwise(F.lit(""))
+    found = F.concat(F.lit('{"constellations": [{"type": "'), kind, F.lit('", "idea_ids": ['), F.col("ids"), F.lit('], "title": "group '), name,
+                     F.lit('", "explanation": "items ['), F.col("ids"), F.lit(']", "score": '), byte(2, 2) % 10 + 1, actionability, F.lit("}]}"))
+    themes = F.concat(F.lit('{"patterns": [{"name": "theme '), name, F.lit('", "idea_ids": ['), F.col("ids"),
+                      F.lit('], "explanation": "shared by '), F.when(F.col("ids") == "", 0).otherwise(F.size(F.split("ids", ", "))), F.lit('"}]}'))
+    p = prompts.select("group_hash", "prompt", F.sha2("prompt", 256).alias("h"), ids.alias("ids"))
+    text = F.concat(F.lit("Here is what I found:\n"), F.when(F.col("prompt").contains('"patterns"'), themes).otherwise(found))
+    return p.select("group_hash", "prompt", text.alias("text")).select(
+        "*", F.floor(F.length("prompt") / 4).alias("input_tokens"), F.floor(F.length("text") / 4).alias("output_tokens"))

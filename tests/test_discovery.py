@@ -4,6 +4,8 @@ from ideaweave.operators import discovery as disc
 
 CFG_MIN = 6
 
+from .standin import fake_responder
+
 
 def _responses(spark, texts):
     rows = [(f"h{i}", "v", "m", "constellations", t, 10, 5, "ok", None) for i, t in enumerate(texts)]
@@ -56,8 +58,8 @@ def test_retry_then_isolation(spark):
 
 def test_fake_responder_is_deterministic():
     p = '[ID:4] "a" (s, c): d\n[ID:9] "b" (s, c): d\n[ID:2] "c" (s, c): d'
-    assert disc.fake_responder(p, "s") == disc.fake_responder(p, "s")
-    body = json.loads(disc.fake_responder(p, "s")[0].split("\n", 1)[1])
+    assert fake_responder(p, "s") == fake_responder(p, "s")
+    body = json.loads(fake_responder(p, "s")[0].split("\n", 1)[1])
     assert body["constellations"][0]["idea_ids"] == [4, 9, 2]
 
 
@@ -85,3 +87,16 @@ def test_cluster_hash_is_one_formula_at_every_size(spark):
         cfg = DEFAULT_CONFIG.replace(max_hash_members=most)
         got = disc.cluster_prompts(assign, ideas, cfg).select("cluster_id", "group_hash", "n_members").distinct().collect()
         assert {r["cluster_id"]: (r["group_hash"], r["n_members"]) for r in got} == want and len(got) == len(want)
+
+
+def test_stored_replies_equal_the_stand_in_and_miss_plainly(spark):
+    from ideaweave.operators import discovery as disc
+    from ideaweave.sources import testdata as td
+    texts = ["[ID:4] a\n[ID:5] b\n[ID:61] c\n[ID:7] d", 'themes {"patterns"} [ID:1] x [ID:2] y', "no ids", *[f"[ID:{i}] q{i}" for i in range(30)]]
+    prompts = spark.createDataFrame([(f"h{i}", t) for i, t in enumerate(texts)], "group_hash string, prompt string")
+    got = {r["group_hash"]: (r["text"], r["input_tokens"], r["output_tokens"])
+           for r in disc.respond(prompts, disc.StoredReplies(td.stored_replies), "m", "s", "v", "sys").collect()}
+    assert got == {f"h{i}": fake_responder(t, "sys") for i, t in enumerate(texts)}
+    some = disc.StoredReplies(lambda p: td.stored_replies(p.where("group_hash <> 'h2'")))
+    bad = disc.respond(prompts, some, "m", "s", "v", "sys").where("status <> 'ok'").collect()
+    assert [(r["group_hash"], r["text"], r["error"]) for r in bad] == [("h2", None, "no stored reply")]

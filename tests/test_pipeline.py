@@ -6,6 +6,8 @@ from ideaweave.operators.embedders import DenseEmbedder, hashing_model
 from ideaweave.operators.store import SnapshotStore
 from ideaweave.plans import pipeline as pl
 
+from .standin import fake_responder
+
 
 def _ideas(spark):
     topics = ["vector database search", "static site generator", "rust async runtime", "llm agent framework",
@@ -19,14 +21,14 @@ def _ideas(spark):
 def test_run_and_cache_reuse(spark, tmpdir_path):
     cfg = DEFAULT_CONFIG.replace(num_clusters=6)
     store = SnapshotStore(spark, tmpdir_path)
-    r1 = pl.run(_ideas(spark), disc.fake_responder, cfg, store=store)
+    r1 = pl.run(_ideas(spark), fake_responder, cfg, store=store)
     m1 = r1.metadata.first()
     assert m1["total_ideas"] == 48 and m1["constellation_cache_hits"] == 0
     assert m1["neighborhoods_total"] == m1["neighborhoods_intra"] + m1["neighborhoods_cross"]
     assert m1["constellation_api_calls"] == m1["neighborhoods_total"]
     groups_with_rows = r1.constellations.select("neighborhood_hash").distinct().count()
     n1 = r1.constellations.count()
-    r2 = pl.run(_ideas(spark), disc.fake_responder, cfg, store=store)
+    r2 = pl.run(_ideas(spark), fake_responder, cfg, store=store)
     m2 = r2.metadata.first()
     # groups that produced constellations are served from the cache; empty ones are asked again
     assert m2["constellation_cache_hits"] == groups_with_rows
@@ -78,7 +80,7 @@ def test_model_reaches_the_responder_of_each_stage(spark):
     def themes(prompt, system):
         raise ValueError("themes are off")
 
-    r = pl.run(_ideas(spark), disc.fake_responder, DEFAULT_CONFIG.replace(num_clusters=6), pattern_responder=themes)
+    r = pl.run(_ideas(spark), fake_responder, DEFAULT_CONFIG.replace(num_clusters=6), pattern_responder=themes)
     status = {(x["stage"], x["status"]) for x in r.responses.collect()}
     assert status == {("constellations", "ok"), ("patterns", "error")}
 
@@ -87,26 +89,26 @@ def test_minimum_ideas(spark):
     import pytest
     few = _ideas(spark).limit(2)
     with pytest.raises(ValueError):
-        pl.run(few, disc.fake_responder, DEFAULT_CONFIG)
+        pl.run(few, fake_responder, DEFAULT_CONFIG)
 
 
 def test_forced_rerun_does_not_duplicate_and_budget(spark, tmpdir_path):
     cfg = DEFAULT_CONFIG.replace(num_clusters=6, validate_replies=True)
     store = SnapshotStore(spark, tmpdir_path)
-    r1 = pl.run(_ideas(spark), disc.fake_responder, cfg, store=store)
+    r1 = pl.run(_ideas(spark), fake_responder, cfg, store=store)
     n1 = r1.constellations.count()
-    r2 = pl.run(_ideas(spark), disc.fake_responder, cfg, store=store, force=True)
+    r2 = pl.run(_ideas(spark), fake_responder, cfg, store=store, force=True)
     assert r2.constellations.count() == n1
-    r3 = pl.run(_ideas(spark), disc.fake_responder, cfg, store=store)
+    r3 = pl.run(_ideas(spark), fake_responder, cfg, store=store)
     assert r3.constellations.count() == n1 and r3.metadata.first()["constellation_cache_hits"] > 0
     tight = cfg.replace(enforce_budget=True, cost_budget_usd=0.0)
-    m = pl.run(_ideas(spark), disc.fake_responder, tight).metadata.first()
+    m = pl.run(_ideas(spark), fake_responder, tight).metadata.first()
     assert m["pattern_api_calls"] == 0 and m["over_budget"]
 
 
 def test_cache_empty_sentinels(spark, tmpdir_path):
     def picky(prompt, system):
-        text, a, b = disc.fake_responder(prompt, system)
+        text, a, b = fake_responder(prompt, system)
         return (text if "[ID:1]" in prompt else '{"constellations": []}'), a, b
 
     cfg = DEFAULT_CONFIG.replace(num_clusters=6, cache_empty=True)
