@@ -50,16 +50,17 @@ def export_ideas(ideas: DataFrame, fecha: str | None = None) -> DataFrame:
     """Landing export: renamed columns and constant defaults, url unique *including* empty -- the lowest
     id wins per url. ``fecha`` is the day of the export (``yyyy-mm-dd``; None: today in the session's zone)."""
     day = F.date_format(F.current_date(), "yyyy-MM-dd") if fecha is None else F.lit(fecha)
-    won = ideas.groupBy("url").agg(F.min_by(F.struct("idea_id", "title", "description", "source", "category", "stack"),
-                                            F.col("idea_id")).alias("r"))
-    return won.select(F.col("r.idea_id").alias("id"), F.col("r.title").alias("nombre"), "url",
-                      F.col("r.description").alias("descripcion"), F.col("r.source").alias("fuente"),
-                      F.col("r.category").alias("categoria"), F.col("r.stack").alias("stack"), day.alias("fecha"),
-                      *[F.lit(value).alias(name) for name, value in LANDING_DEFAULTS])
+    # ids alone meet in the aggregate; texts are read where they are
+    first = ideas.groupBy("url").agg(F.min("idea_id").alias("idea_id")).select("idea_id")
+    return ideas.join(first, "idea_id", "left_semi").select(
+        F.col("idea_id").alias("id"), F.col("title").alias("nombre"), "url", F.col("description").alias("descripcion"),
+        F.col("source").alias("fuente"), F.col("category").alias("categoria"), "stack", day.alias("fecha"),
+        *[F.lit(value).alias(name) for name, value in LANDING_DEFAULTS],
+        *[F.col(c) for c in ("created_at",) if c in ideas.columns])
 
 
 def export_constellations(cached: DataFrame, prompt_version: str = EXPORT_PROMPT_VERSION) -> DataFrame:
-    """Every stored constellation, prompt version rewritten, actionability dropped."""
+    """Every stored constellation with its ``created_at``, prompt version rewritten, actionability dropped."""
     out = cached.withColumn("prompt_version", F.lit(prompt_version))
     return out.drop("actionability") if "actionability" in out.columns else out
 

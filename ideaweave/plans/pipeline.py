@@ -69,7 +69,8 @@ def cached_dense(ideas: DataFrame, embedder, store: st.SnapshotStore | None, for
         todo = ideas.join(texts.join(done, ["idea_id", "text_hash"], "left_semi"), "idea_id", "left_anti")
     reused = todo.isEmpty()
     if not reused:
-        fresh = cut_lineage(embedder.fit_transform(todo).vectors.join(texts, "idea_id").withColumn("model", F.lit(embedder.model)))
+        fresh = cut_lineage(embedder.fit_transform(todo).vectors.join(texts, "idea_id").withColumns(
+            {"model": F.lit(embedder.model), "created_at": F.current_timestamp()}))
         store.upsert("embeddings", fresh, key, partition_by=["model"])
         held = store.merged("embeddings", key)
     elif held is None:  # no ideas and nothing stored
@@ -260,6 +261,7 @@ def stage3(members: DataFrame, ideas: DataFrame, responder: Callable, cfg: Pipel
         if cfg.cache_empty:
             to_store = to_store.unionByName(disc.empty_sentinels(responses, fresh, cfg.discovery_model,
                                                                  DISCOVERY_PROMPT_VERSION))
+        to_store = to_store.withColumn("created_at", F.current_timestamp())
         store.append("constellations", st.append_run(None, to_store, run_id), run_id)  # nothing stored is rewritten
     return out, responses, hits
 
@@ -281,14 +283,15 @@ def stage4(assign: DataFrame, ideas: DataFrame, responder: Callable, cfg: Pipeli
     fresh = disc.parse_patterns(responses).rows
     if cached is not None and not force:
         hit_rows = valid.join(hits.select(F.col("group_hash").alias("cluster_hash")), "cluster_hash", "left_semi") \
-            .withColumn("model", F.lit(cfg.patterns_model))
+            .withColumn("model", F.lit(cfg.patterns_model)).drop("created_at")
         out = hit_rows.unionByName(fresh, allowMissingColumns=True)
     else:
         out = fresh
     if store is not None:
         # a group one of whose parts failed is asked again as a whole in the next run
         failed = responses.where(F.col("status") != "ok").select(F.col("group_hash").alias("cluster_hash")).distinct()
-        new = fresh.join(failed, "cluster_hash", "left_anti").withColumn("write_seq", F.lit(store.next_part("patterns")))
+        new = fresh.join(failed, "cluster_hash", "left_anti").withColumns(
+            {"write_seq": F.lit(store.next_part("patterns")), "created_at": F.current_timestamp()})
         # parts of one reply may repeat a title: the last one counts
         store.upsert("patterns", st.upsert_latest(new, PATTERN_KEY, "item_ord"), PATTERN_KEY)
     return out, responses, hits

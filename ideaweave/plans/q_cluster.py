@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG
+from ..functions import vector
 from ..operators import kmeans as km
 from ..sources import testdata as td
 from . import oracle_views as ov
@@ -146,3 +147,12 @@ def kmeans_k(spark, d):
     """The number of clusters each source's documents would get."""
     n = td.ideas(spark, d).groupBy("source").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
     return n.withColumn("k", km.effective_k_column("n", DEFAULT_CONFIG.num_clusters))
+
+
+@query("dot_product", f"""WITH {ov.VECTORS}, s AS (SELECT label, arg_min(vec, idea_id) AS v0 FROM vec_v GROUP BY label)
+SELECT idea_id, round(list_dot_product(vec, v0), 6) AS dot FROM vec_v JOIN s USING (label)""")
+def dot_product(spark, d):
+    """Similarity of each unit vector to the first one of its label."""
+    v = td.vectors(spark, d)
+    first = v.groupBy("label").agg(F.min_by("vec", "idea_id").alias("v0"))  # one row per label
+    return v.join(F.broadcast(first), "label").select("idea_id", F.round(vector.dot("vec", "v0"), 6).alias("dot"))

@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from ideaweave.config import DEFAULT_CONFIG
 from ideaweave.operators import discovery as disc
+from ideaweave.operators import report as rep
 from ideaweave.operators.embedders import DenseEmbedder, hashing_model
 from ideaweave.operators.store import SnapshotStore
 from ideaweave.plans import pipeline as pl
@@ -30,6 +31,9 @@ def test_run_and_cache_reuse(spark, tmpdir_path):
     n1 = r1.constellations.count()
     r2 = pl.run(_ideas(spark), fake_responder, cfg, store=store)
     m2 = r2.metadata.first()
+    assert m1["elapsed_ms"] > 0
+    for stored in (store.read_parts("constellations"), store.merged("patterns", pl.PATTERN_KEY)):
+        assert stored.where("created_at is null").count() == 0 and "created_at" in rep.export_constellations(stored).columns
     # groups that produced constellations are served from the cache; empty ones are asked again
     assert m2["constellation_cache_hits"] == groups_with_rows
     assert m2["constellation_api_calls"] == m1["neighborhoods_total"] - groups_with_rows

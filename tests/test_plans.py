@@ -45,9 +45,9 @@ def test_per_fetch_caps_limit_before_shuffle(spark):
     assert "WindowGroupLimit" not in _plan(spark, "src_hn")  # no cap by default
 
 
-def test_first_wins_is_partial_aggregate(spark):
+def test_export_keeps_texts_out_of_the_aggregate(spark):
     plan = _plan(spark, "export_ideas")
-    assert "partial_min_by" in plan
+    assert "partial_min(idea_id" in plan and "min_by" not in plan  # ids alone are aggregated
 
 
 def test_prompt_lines_stream_the_ideas_table(spark):
