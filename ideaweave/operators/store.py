@@ -96,9 +96,9 @@ class SnapshotStore:
         parts, base = self._scan(table)
         return max([*parts, base - 1, 0]) + 1
 
-    def drop_parts(self, table: str) -> None:
-        """Leaves the parts written so far out of later reads."""
-        n = self.next_part(table)
+    def drop_parts(self, table: str, first: int | None = None) -> None:
+        """Leaves the parts written so far out of later reads; the next part is ``first`` or the next free one."""
+        n = max(first or 1, self.next_part(table))
         if n > 1:
             self._mark(table, n)
 

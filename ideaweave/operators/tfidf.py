@@ -127,9 +127,10 @@ def refresh(store, ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, force
     """
     docs = documents(ideas)
     held = None if force else store.merged(DOCS, ["idea_id"])
-    if force:
+    if force:  # one number for all three: a run that died may have left parts in some of them
+        first = max(store.next_part(t) for t in (DOCS, COUNTS, SIGNED))
         for t in (DOCS, COUNTS, SIGNED):
-            store.drop_parts(t)
+            store.drop_parts(t, first)
     seq = store.next_part(DOCS)
     now = docs.select("idea_id", "doc", F.xxhash64("doc").alias("h1"), F.xxhash64(F.lit(1), "doc").alias("h2"))
     if held is None:
