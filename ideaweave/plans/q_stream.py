@@ -11,9 +11,14 @@ from . import oracle_views as ov
 from .registry import query
 
 
+def _landed(d, name):
+    """A table as a stream source: a pattern, since a stream takes a single file by pattern only (a folder either way)."""
+    return f"{d}/{name}.parque[t]"
+
+
 def _ingest_once(spark, d, store_root, on_new=None):
     sch = td.table(spark, d, "documents").schema
-    q = jobs.start_ingest(spark, d, sch, store_root, jobs.scratch(spark, "ckpt-ingest"), glob="documents.parquet",
+    q = jobs.start_ingest(spark, _landed(d, "documents"), sch, store_root, jobs.scratch(spark, "ckpt-ingest"),
                           on_new=on_new, transform=td.raw_from_documents)
     q.awaitTermination()
 
@@ -53,10 +58,33 @@ SELECT CAST(epoch(ws) AS BIGINT) AS window_start, stage, round(cost, 6) AS cost,
 FROM g WHERE ws + INTERVAL 1 DAY <= (SELECT max(ts) FROM pr) - INTERVAL 1 HOUR""")
 def stream_cost_windows(spark, d):
     sch = td.table(spark, d, "events").schema
-    ev = spark.readStream.schema(sch).option("pathGlobFilter", "events.parquet").parquet(d)
+    ev = spark.readStream.schema(sch).parquet(_landed(d, "events"))
     out = jobs.scratch(spark, "cost-windows")
     jobs.run_to_table(jobs.cost_windows(td.ledger_from_events(ev)), jobs.scratch(spark, "ckpt-cost"), out)
     r = spark.read.parquet(out)
     return r.select(F.unix_seconds("w.start").alias("window_start"), "stage",
                     F.round("cost", 6).alias("cost"), F.col("input_tokens").cast("bigint"),
                     F.col("output_tokens").cast("bigint"))
+
+
+@query("stream_horizon_dedup", """
+WITH r AS (SELECT 'doc:' || sha256(text) AS url, source, doc_id AS ingest_ord, doc_id * 60 AS sec FROM documents
+           WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+g AS (SELECT *, CASE WHEN sec - lag(sec) OVER (PARTITION BY url ORDER BY sec, ingest_ord) <= 86400 THEN 0 ELSE 1 END AS opens FROM r),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY url ORDER BY sec, ingest_ord) AS run FROM g)
+SELECT url, arg_min(source, ingest_ord) AS source, min(ingest_ord) AS ingest_ord, count(*)::BIGINT AS n_seen,
+       (max(sec) - min(sec))::BIGINT AS seen_for
+FROM s GROUP BY url, run HAVING max(sec) + 86400 <= (SELECT max(sec) FROM r) - 3600""")
+def stream_horizon_dedup(spark, d):
+    """A stream of items with a fetch time (a minute per id), deduplicated by url within a day.
+
+    Runs still open at the last watermark (an hour behind the newest row) stay in the state.
+    """
+    docs = spark.readStream.schema(td.table(spark, d, "documents").schema).parquet(_landed(d, "documents"))
+    items = td.raw_from_documents(docs).select("url", "source", "ingest_ord",
+                                               F.timestamp_seconds(F.col("ingest_ord") * 60).alias("fetched_at"))
+    out = jobs.scratch(spark, "horizon")
+    jobs.run_to_table(jobs.horizon_dedup(items, "1 day", "1 hour"), jobs.scratch(spark, "ckpt-horizon"), out)
+    return spark.read.parquet(out).select(
+        "url", "source", "ingest_ord", "n_seen",
+        (F.unix_seconds("last_seen") - F.unix_seconds("fetched_at")).alias("seen_for"))

@@ -104,8 +104,34 @@ def cost_windows(ledger_stream: DataFrame, window: str = "1 day", delay: str = "
                  F.sum("output_tokens").alias("output_tokens")))
 
 
-def run_to_table(df: DataFrame, checkpoint: str, out_dir: str) -> None:
-    """Append-mode sink to Parquet, processing everything available, then stop."""
+def horizon_dedup(items: DataFrame, horizon: str, delay: str, ts: str = "fetched_at", key: str = "url",
+                  order: str = "ingest_ord") -> DataFrame:
+    """First-writer-wins per ``key`` within a horizon: a row is a repeat if the row before it of the same key, by
+    event time, is at most ``horizon`` older. Returns the first row of each run with ``n_seen``, ``last_seen``.
+
+    A run is a session window with gap ``horizon``, so the result does not depend on how the stream was
+    cut into batches or on the order inside them. State is one row per open run; the watermark
+    (``delay`` behind the newest event) closes runs and drops rows that come later than that, which
+    ``run_to_table`` counts. Rows with equal times go by ``order``, then by a hash of the row. Rows with an
+    empty key pass at once, each as a run of its own; rows with a null key or time are left out.
+    Works alike on a table that is not a stream (all runs closed).
+    """
+    rest = [c for c in items.columns if c not in (key, ts)]
+    ok = items.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).withWatermark(ts, delay)
+    first = F.min_by(F.struct(*rest), F.struct(F.col(ts), F.col(order), F.xxhash64(*rest)))
+    runs = (ok.where(F.col(key) != "").groupBy(F.session_window(ts, horizon).alias("w"), key)
+            .agg(first.alias("r"), F.min(ts).alias("_from"), F.max(ts).alias("last_seen"),
+                 F.count(F.lit(1)).alias("n_seen"))
+            .select(F.col(key), F.col("_from").alias(ts), "r.*", "n_seen", "last_seen"))
+    single = ok.where(F.col(key) == "").select(key, ts, *rest, F.lit(1).cast("bigint").alias("n_seen"),
+                                               F.col(ts).alias("last_seen"))
+    return runs.unionByName(single)
+
+
+def run_to_table(df: DataFrame, checkpoint: str, out_dir: str) -> int:
+    """Append-mode sink to Parquet, processing everything available, then stop; returns the number of
+    rows that stateful operators dropped as late (after their partial aggregation)."""
     q = (df.writeStream.outputMode("append").format("parquet").option("path", out_dir)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+    return sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])

@@ -56,3 +56,42 @@ def test_read_ideas_json(spark, tmpdir_path):
 def test_loadable_filter(spark):
     df = spark.createDataFrame([(1, "", ""), (2, "t", ""), (3, "", "d")], "idea_id long, title string, description string")
     assert sorted(r[0] for r in ing.loadable(df).collect()) == [2, 3]
+
+
+def test_repeated_rows_and_shared_positions(spark):
+    rows = [("a", "d", "", "s", None, None, 1)] * 3 + [("b", "d", "u", "s", None, None, 2)] * 2 \
+        + [("c", "d", "u", "s", None, None, 2), ("d", "d", "v", "s", None, None, 2), ("e", "d", "w", "s", None, None, None)]
+    got = [[(r["idea_id"], r["title"]) for r in ing.ingest(spark.createDataFrame(rows[::k], SCHEMA).repartition(3))
+            .new_ideas.orderBy("idea_id").collect()] for k in (1, -1)]
+    assert got[0] == got[1]
+    assert [t for _, t in got[0]][:4] == ["e", "a", "a", "a"] and [i for i, _ in got[0]] == list(range(1, 7))
+    assert sorted(t for _, t in got[0][4:])[1] == "d" and len(got[0]) == 6
+    rep = {r["source"]: (r["fetched"], r["new"], r["duplicates"]) for r in
+           ing.ingest(spark.createDataFrame(rows, SCHEMA)).report.collect()}
+    assert rep["TOTAL"] == (8, 6, 2)
+
+
+def test_empty_batch(spark):
+    res = ing.ingest(spark.createDataFrame([], SCHEMA), spark.createDataFrame([(10, "u3")], "idea_id long, url string"))
+    assert res.new_ideas.collect() == [] and not ing.has_new(res.new_ideas)
+
+
+def test_texts_stay_out_of_aggregates_range_shuffles_and_checkpoints(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(ing, "cut_lineage", lambda df: (seen.append(df), df)[1])
+    raw = spark.range(2000).select(F.lit("t").alias("title"), F.lit("d").alias("description"),
+                                   F.concat(F.lit("u"), (F.col("id") % 300).cast("string")).alias("url"), F.lit("s").alias("source"),
+                                   F.col("id").alias("ingest_ord"))
+    res = ing.ingest(raw)
+    assert len(seen) == 2 and not any({"title", "description", "category", "stack"} & set(df.columns) for df in seen)
+    plan = res.new_ideas._jdf.queryExecution().executedPlan().toString()
+    assert "min_by" not in plan and not [x for x in plan.splitlines() if "Aggregate(" in x and "title" in x]
+
+
+def test_json_lines_stay_where_they_are_read(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "lines")
+    spark.range(500).select(F.col("id").cast("string").alias("title"), F.lit("d").alias("description"),
+                            F.col("id").cast("string").alias("url"), F.lit("s").alias("source")).coalesce(1).write.json(path)
+    raw = ing.read_ideas_json(spark, path, multi_line=False)
+    assert "Exchange hashpartitioning" not in raw._jdf.queryExecution().executedPlan().toString()
+    assert [r["title"] for r in raw.orderBy("ingest_ord").collect()] == [str(i) for i in range(500)]

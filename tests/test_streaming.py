@@ -71,3 +71,40 @@ def test_replay_after_a_crash(spark, tmpdir_path):
         want = [(1, "a")] + ([(2, "c")] if rows is blank else [])
         assert (n, ideas, log) == (len(want), want, [(len(want), True)])
         assert seen == ([0] if at == "ideas" else [0, 0])
+
+
+def _items(spark, rows):
+    return spark.createDataFrame(rows, "url string, ingest_ord long, at long").select(
+        "url", "ingest_ord", F.timestamp_seconds("at").alias("fetched_at"))
+
+
+def test_horizon_dedup_equals_brute_force(spark, tmpdir_path):
+    import random
+    draw = random.Random(5)
+    rows = [(draw.choice(["", "a", "b", "c", "d", None]), i, draw.choice([i * 40, i * 40 + draw.randrange(600)])) for i in range(400)]
+    rows += rows[::50]  # repeated rows
+    want, last = [], {}
+    for url, i, at in sorted((r for r in rows if r[0]), key=lambda r: (r[2], r[1])):
+        if url not in last or at - last[url][0] > 100:
+            want.append([url, i, at, 0, at])
+            last[url] = [at, len(want) - 1]
+        run = want[last[url][1]]
+        run[3], run[4], last[url][0] = run[3] + 1, at, at
+    want += [[u, i, at, 1, at] for u, i, at in rows if u == ""]
+    got = jobs.horizon_dedup(_items(spark, rows), "100 seconds", "1 hour").select(
+        "url", "ingest_ord", F.unix_seconds("fetched_at"), "n_seen", F.unix_seconds("last_seen")).collect()
+    assert sorted(map(list, got)) == sorted(want)
+
+
+def test_horizon_dedup_of_a_stream_counts_late_rows(spark, tmpdir_path):
+    src, ck, out = (os.path.join(tmpdir_path, x) for x in ("in", "ck", "out"))
+    lots = [[("a", 1, 0), ("a", 2, 50), ("b", 3, 60), ("", 4, 60)], [("a", 5, 130), ("z", 6, 1000)],
+            [("a", 7, 140), ("a", 8, 2000), ("", 9, 2000)]]
+    late = []
+    for rows in lots:  # a run of the job per landing, from the same checkpoint
+        _items(spark, rows).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema("url string, ingest_ord long, fetched_at timestamp").parquet(src)
+        late.append(jobs.run_to_table(jobs.horizon_dedup(stream, "100 seconds", "10 seconds"), ck, out))
+    got = spark.read.parquet(out).select("url", "ingest_ord", "n_seen").collect()
+    assert sorted(map(tuple, got)) == [("", 4, 1), ("", 9, 1), ("a", 1, 3), ("b", 3, 1), ("z", 6, 1)]
+    assert late == [0, 0, 1]  # item 7 came after its run was closed; item 8 is still open
