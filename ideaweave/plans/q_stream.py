@@ -70,21 +70,21 @@ def stream_cost_windows(spark, d):
 @query("stream_horizon_dedup", """
 WITH r AS (SELECT 'doc:' || sha256(text) AS url, source, doc_id AS ingest_ord, doc_id * 60 AS sec FROM documents
            WHERE text IS NOT NULL AND doc_id IS NOT NULL),
-g AS (SELECT *, CASE WHEN sec - lag(sec) OVER (PARTITION BY url ORDER BY sec, ingest_ord) <= 86400 THEN 0 ELSE 1 END AS opens FROM r),
+g AS (SELECT *, CASE WHEN sec - lag(sec) OVER (PARTITION BY url ORDER BY sec, ingest_ord) <= 3600 THEN 0 ELSE 1 END AS opens FROM r),
 s AS (SELECT *, sum(opens) OVER (PARTITION BY url ORDER BY sec, ingest_ord) AS run FROM g)
 SELECT url, arg_min(source, ingest_ord) AS source, min(ingest_ord) AS ingest_ord, count(*)::BIGINT AS n_seen,
        (max(sec) - min(sec))::BIGINT AS seen_for
-FROM s GROUP BY url, run HAVING max(sec) + 86400 <= (SELECT max(sec) FROM r) - 3600""")
+FROM s GROUP BY url, run HAVING max(sec) + 3600 <= (SELECT max(sec) FROM r) - 600""")
 def stream_horizon_dedup(spark, d):
-    """A stream of items with a fetch time (a minute per id), deduplicated by url within a day.
+    """A stream of items with a fetch time (a minute per id), deduplicated by url within an hour.
 
-    Runs still open at the last watermark (an hour behind the newest row) stay in the state.
+    Runs still open at the last watermark (ten minutes behind the newest row) stay in the state.
     """
     docs = spark.readStream.schema(td.table(spark, d, "documents").schema).parquet(_landed(d, "documents"))
     items = td.raw_from_documents(docs).select("url", "source", "ingest_ord",
                                                F.timestamp_seconds(F.col("ingest_ord") * 60).alias("fetched_at"))
     out = jobs.scratch(spark, "horizon")
-    jobs.run_to_table(jobs.horizon_dedup(items, "1 day", "1 hour"), jobs.scratch(spark, "ckpt-horizon"), out)
+    jobs.run_to_table(jobs.horizon_dedup(items, "1 hour", "10 minutes"), jobs.scratch(spark, "ckpt-horizon"), out)
     return spark.read.parquet(out).select(
         "url", "source", "ingest_ord", "n_seen",
         (F.unix_seconds("last_seen") - F.unix_seconds("fetched_at")).alias("seen_for"))
