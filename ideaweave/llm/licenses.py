@@ -3,8 +3,9 @@
 A text is put into canonical form -- copyright lines dropped, case folded, equivalent spellings
 made equal, punctuation and spacing removed -- and its digest is joined to the digests of known
 licence texts, each canonicalised the same way. Whole texts are looked up, and every line as a
-text of its own (short notices). The known digests are a fixed table of a few entries, so the
-join is a broadcast of that table and nothing is shuffled but the grouped result.
+text of its own (short notices). Whole texts are joined to the tables of known digests, which have
+at most ``max_known`` rows and are broadcast, so no document is shuffled; lines look theirs up in a
+literal of at most ``max_notices`` entries, since a join of lines would have to be grouped again.
 
 A whole text that has no known digest is looked up once more as a licence file: without its real
 copyright notices (a body line that happens to begin with the word stays), leading titles, clause
@@ -12,7 +13,8 @@ numbers and the holders' names, against the full licence texts reduced in the sa
 ``KNOWN_TEXTS`` and of the folder ``license_texts``). The digest column is that of the first form.
 
 Defined results: a null text, or one without letters or digits, has the digest of the empty
-string and no licence; repeated rows give repeated rows; extra columns are not read.
+string and no licence; repeated rows give repeated rows; other columns pass through whatever their
+names, a column named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 # Texts of short licences and notices (public texts), by SPDX identifier.
 KNOWN_TEXTS = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
@@ -129,27 +133,33 @@ def known_digests(spark, texts=KNOWN_TEXTS, of=digest) -> DataFrame:
 
 
 def scan(df: DataFrame, text: str = "text", texts=KNOWN_TEXTS, out: str = "license",
-         max_known: int = 100_000) -> DataFrame:
+         max_known: int = 100_000, notices=None, max_notices: int = 1_000) -> DataFrame:
     """``df`` with a struct column ``out``: ``digest`` of the whole text, ``license_id`` it equals
     (null: none; a licence file counts with its notices and titles), ``notices`` (sorted licence ids of lines that are a known text as a whole).
 
-    The known table is a parameter of bounded size (``max_known``); it reaches the tasks as a map
-    literal, i.e. a broadcast hash join inside the projection.
+    ``texts`` are ``(license_id, body)``; ``notices`` are those that count as a line (None: all of ``texts``).
+    Both have a stated bound; more raises ``ValueError``.
     """
     spark = df.sparkSession
-    if len(texts) > max_known:
-        raise ValueError(f"{len(texts)} known texts exceed the bound {max_known}")
-
-    def table(known, of):
-        found = {r["digest"]: r["license_id"] for r in known_digests(spark, known, of).collect()}
-        entries = [F.lit(x) for kv in sorted(found.items()) for x in kv]
-        return F.create_map(*entries) if entries else F.create_map().cast("map<string,string>")
-
-    lookup = table(texts, digest)
-    files = table([(i, t) for i, t in (*texts, *full_texts()) if len(t) > FULL_LENGTH], body_digest)
-    whole = digest(df[text])
-    licence = F.coalesce(F.element_at(lookup, whole), F.element_at(files, body_digest(df[text])))
-    lines = F.split(F.coalesce(df[text], F.lit("")), "\n")
-    ids = F.filter(F.transform(F.array_distinct(lines), lambda x: F.element_at(lookup, digest(x))), lambda x: x.isNotNull())
-    return df.withColumn(out, F.struct(whole.alias("digest"), licence.alias("license_id"),
-                                       F.array_sort(F.array_distinct(ids)).alias("notices")))
+    notices = texts if notices is None else notices
+    files = [(i, t) for i, t in (*texts, *full_texts()) if len(t) > FULL_LENGTH]
+    for name, known, bound in (("known texts", texts, max_known), ("licence files", files, 2 * max_known), ("notices", notices, max_notices)):
+        if len(known) > bound:
+            raise ValueError(f"{len(known)} {name} exceed the bound {bound}")
+
+    rest = [c for c in df.columns if c.lower() != out.lower()]
+    whole, body, lines, in_texts, of_text, in_files, of_file = (free_name(df, n) for n in (
+        "whole_digest", "body_digest", "line_ids", "known_text", "text_license", "known_file", "file_license"))
+    found = {r["digest"]: r["license_id"] for r in known_digests(spark, notices).collect()}
+    entries = [F.lit(x) for kv in sorted(found.items()) for x in kv]
+    lookup = F.create_map(*entries) if entries else F.create_map().cast("map<string,string>")
+    each = F.array_distinct(F.split(F.coalesce(df[text], F.lit("")), "\n"))
+    ids = F.filter(F.transform(each, lambda x: F.element_at(lookup, digest(x))), lambda x: x.isNotNull())
+    digests = df.select(*[df[c] for c in rest], digest(df[text]).alias(whole), body_digest(df[text]).alias(body),
+                        F.array_sort(F.array_distinct(ids)).alias(lines))
+    by_text = known_digests(spark, texts).toDF(in_texts, of_text)
+    by_body = known_digests(spark, files, body_digest).toDF(in_files, of_file)
+    met = (digests.join(F.broadcast(by_text), F.col(whole) == F.col(in_texts), "left")
+           .join(F.broadcast(by_body), F.col(body) == F.col(in_files), "left"))
+    return met.select(*[f"`{c}`" for c in rest], F.struct(
+        F.col(whole).alias("digest"), F.coalesce(of_text, of_file).alias("license_id"), F.col(lines).alias("notices")).alias(out))

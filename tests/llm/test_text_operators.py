@@ -501,6 +501,20 @@ def test_licences(spark):
     assert got[4] == (None, ["MIT"]) and got[5] == got[6] == (None, []) and got[7] == ("Apache-2.0", ["Apache-2.0"])
 
 
+def test_licences_are_joined(spark):
+    known = [(f"L-{i}", f"terms number {i} of the list") for i in range(3000)]
+    rows = [(1, "Terms, number 17 -- of the LIST!", "x", "y"), (2, "terms number 3000 of the list", None, None), (3, None, "x", None)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, whole_digest string, K string")
+    res = licenses.scan(df, texts=known, notices=known[:20], out="k")
+    plan = res._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan and "L-2999" not in plan
+    assert res.columns == ["doc_id", "text", "whole_digest", "k"]
+    assert sorted((r["doc_id"], r["k"]["license_id"], r["k"]["notices"], r["whole_digest"]) for r in res.collect()) == sorted(
+        [(1, "L-17", ["L-17"], "x"), (2, None, [], None), (3, None, [], "x")] * 2)
+    with pytest.raises(ValueError):
+        licenses.scan(df, texts=known)
+
+
 def test_licence_files(spark):
     full = {i: t for i, t in reversed((*licenses.KNOWN_TEXTS, *licenses.full_texts())) if len(t) > 200}
     wrapped = {i: "\n\n".join(textwrap.fill(p, 72) for p in full[i].split("\n\n")) for i in ("MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause")}
