@@ -38,6 +38,16 @@ def tokens_by_stage(ledger: DataFrame) -> DataFrame:
                                        F.sum("output_tokens").cast("bigint").alias("output_tokens"))
 
 
+def cost_labels(ledger: DataFrame, digits: int = 4) -> DataFrame:
+    """Cost per stage and in total (stage ``TOTAL``) as text with ``digits`` decimals, for summaries.
+
+    Costs are rounded as decimals, half up, so a label does not depend on a binary rest.
+    """
+    total = cost_total(ledger).select(F.lit("TOTAL").alias("stage"), F.col("total_cost").alias("cost"))
+    exact = F.round(F.round("cost", 9).cast("decimal(38,9)"), digits)
+    return cost_by_stage(ledger).unionByName(total).select("stage", F.concat(F.lit("$"), exact.cast("string")).alias("label"))
+
+
 def over_budget(ledger: DataFrame, budget: float) -> DataFrame:
     return cost_total(ledger).select("total_cost", F.lit(float(budget)).alias("budget"),
                                      (F.col("total_cost") > F.lit(float(budget))).alias("over_budget"))

@@ -343,3 +343,31 @@ def write_result(result: Result, path: str, fmt: str = "json") -> None:
     """Sink: the four result datasets side by side (``constellations/ patterns/ ideas/ metadata/``)."""
     for name in ("constellations", "patterns", "ideas", "metadata"):
         getattr(result, name).write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/{name}")
+
+
+def result_document(result: Result, max_bytes: int = 64 << 20) -> DataFrame:
+    """The result as one JSON document (one row, column ``value``): lists of constellations and patterns, an
+    object of ideas by id, the metadata object. Rows are in the order of their JSON text; nulls are written.
+
+    For small results: the rows are measured first, and more than ``max_bytes`` of them raise ``ValueError``
+    (``write_result`` has no bound).
+    """
+    def rows(name):
+        df = getattr(result, name)
+        js = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+        if name == "ideas":
+            js = F.concat(F.lit('"'), F.col("idea_id").cast("string"), F.lit('":'), js)
+        return df.select(F.lit(name).alias("name"), js.alias("js"))
+
+    names = ("constellations", "patterns", "ideas", "metadata")
+    parts = cut_lineage(rows(names[0]).unionAll(rows(names[1])).unionAll(rows(names[2])).unionAll(rows(names[3])))
+    size = parts.agg(F.sum(F.octet_length("js"))).first()[0] or 0
+    if size > max_bytes:
+        raise ValueError(f"a result of {size} bytes is above the bound of {max_bytes} for one document")
+
+    def part(name):
+        return F.array_join(F.array_sort(F.collect_list(F.when(F.col("name") == name, F.col("js")))), ",")
+
+    return parts.agg(F.concat(F.lit('{"constellations":['), part(names[0]), F.lit('],"patterns":['), part(names[1]),
+                              F.lit('],"ideas":{'), part(names[2]), F.lit('},"metadata":'), part(names[3]),
+                              F.lit("}")).alias("value"))

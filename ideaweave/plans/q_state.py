@@ -45,6 +45,15 @@ def cost_by_stage(spark, d):
     return led.cost_by_stage(td.ledger(spark, d)).select("stage", F.round("cost", 6).alias("cost"))
 
 
+@query("cost_labels", f"""WITH {ov.LEDGER},
+c AS (SELECT l.stage, l.input_tokens / 1000000.0::DOUBLE * p.input_per_million
+             + l.output_tokens / 1000000.0::DOUBLE * p.output_per_million AS cost FROM ledger_v l JOIN pricing_v p USING (model)),
+s AS (SELECT stage, sum(cost) AS cost FROM c GROUP BY stage UNION ALL SELECT 'TOTAL', coalesce(sum(cost), 0.0) FROM c)
+SELECT stage, '$' || round(round(cost, 9)::DECIMAL(38, 9), 4)::DECIMAL(38, 4)::VARCHAR AS label FROM s""")
+def cost_labels(spark, d):
+    return led.cost_labels(td.ledger(spark, d))
+
+
 @query("tokens_by_stage", f"""WITH {ov.LEDGER}
 SELECT stage, sum(input_tokens)::BIGINT AS input_tokens, sum(output_tokens)::BIGINT AS output_tokens
 FROM ledger_v GROUP BY stage""")

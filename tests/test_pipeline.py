@@ -130,3 +130,20 @@ def test_race_seeding(spark):
     res = km.kmeans_dense(df, 5, init="race")
     lab = {r[0]: r[1] for r in res.assignments.collect()}
     assert set(lab) == set(range(60)) and 1 < len(set(lab.values())) <= 5
+
+
+def test_result_document(spark):
+    import json
+
+    import pytest
+    some = spark.createDataFrame([("b", 7.5, None), ("a", 2.0, 'x "y"')], "title string, score double, note string")
+    none = some.where("false")
+    ideas = spark.createDataFrame([(i, f"t{i}", None) for i in (3, 20, 1)], "idea_id long, title string, url string")
+    meta = spark.createDataFrame([(3, [("tension", 2)])], "total_ideas long, by_type array<struct<name:string,n:long>>")
+    got = pl.result_document(pl.Result(some, none, ideas, meta, none, none)).collect()
+    assert len(got) == 1 and json.loads(got[0]["value"]) == {
+        "constellations": [{"title": "a", "score": 2.0, "note": 'x "y"'}, {"title": "b", "score": 7.5, "note": None}],
+        "patterns": [], "ideas": {str(i): {"idea_id": i, "title": f"t{i}", "url": None} for i in (1, 3, 20)},
+        "metadata": {"total_ideas": 3, "by_type": [{"name": "tension", "n": 2}]}}
+    with pytest.raises(ValueError):
+        pl.result_document(pl.Result(some, none, ideas, meta, none, none), max_bytes=100)
