@@ -102,6 +102,20 @@ class Rows:
         v[self.idx[self.off[i]:self.off[i + 1]]] = self.w[self.off[i]:self.off[i + 1]]
         return v
 
+    def entries(self, i: int):
+        """(indices, values) of a sparse row."""
+        return self.idx[self.off[i]:self.off[i + 1]].copy(), self.w[self.off[i]:self.off[i + 1]].copy()
+
+    def to_row(self, idx: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Squared distances of the sparse rows to one sparse row (indices ascending)."""
+        at = np.searchsorted(idx, self.idx)
+        both = np.flatnonzero(np.append(idx, -1)[at] == self.idx)
+        q = np.rint(np.append(w, 0.0)[at[both]] * self.w[both] * PRODUCT_STEP)
+        row = np.searchsorted(self.off, both, "right") - 1
+        dots = np.bincount(row, q, self.m).astype(np.int64)
+        own = int(np.rint(w * w * PRODUCT_STEP).astype(np.int64).sum())
+        return np.maximum(self.x2() - 2 * dots + own, 0) / PRODUCT_STEP
+
     def x2(self) -> np.ndarray:
         """Squared lengths of sparse rows, in product steps."""
         if self._x2 is None:
@@ -129,6 +143,25 @@ class Rows:
             a = z
         return out
 
+    def dots_sliced(self, slices, width: int, k: int) -> np.ndarray:
+        """``dots`` with centroids in slices of ``width`` terms: ``slices[s]()`` is the (terms x k) piece."""
+        out, step = np.zeros((self.m, k), np.int64), max(1, (1 << 17) // k)
+        row = np.repeat(np.arange(self.m), np.diff(self.off))
+        part = (self.idx // width).astype(np.uint16 if len(slices) <= 1 << 16 else np.int64)
+        order = np.argsort(part, kind="stable") if len(slices) > 1 else np.arange(len(row))
+        ends = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=len(slices)))])
+        for s in np.flatnonzero(np.diff(ends)).tolist():
+            ct = slices[s]()
+            for a in range(int(ends[s]), int(ends[s + 1]), step):
+                at = order[a:min(a + step, int(ends[s + 1]))]
+                q = ct[self.idx[at] - s * width]
+                q *= (self.w[at] * PRODUCT_STEP)[:, None]
+                np.rint(q, out=q)
+                r = row[at]
+                first = np.concatenate([[0], np.flatnonzero(np.diff(r)) + 1])
+                out[r[first]] += np.add.reduceat(q, first, axis=0).astype(np.int64)
+        return out
+
     def squared(self, C: np.ndarray, c2: np.ndarray | None = None) -> np.ndarray:
         """Squared distances to the rows of ``C`` (m x k)."""
         if self.sparse:

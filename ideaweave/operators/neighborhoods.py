@@ -215,10 +215,15 @@ def far_pairs(cents: DataFrame, plan: Plan, max_cross: int | None) -> list:
 
 def gram_pairs(gram, plan: Plan, spark: SparkSession) -> DataFrame:
     """Pair distances from a k x k Gram matrix of the centroids: d^2 = G_aa + G_bb - 2 G_ab."""
+    g = np.asarray(gram)
+    return distance_pairs(np.sqrt(np.maximum(g.diagonal()[:, None] + g.diagonal()[None, :] - 2 * g, 0.0)), plan, spark)
+
+
+def distance_pairs(gaps, plan: Plan, spark: SparkSession) -> DataFrame:
+    """Pair distances from the k x k distances of the centroids."""
     order = np.array(plan.order)
     size = np.array([plan.sizes[c] for c in plan.order])
-    g = np.asarray(gram)[np.ix_(order, order)]
-    d = np.sqrt(np.maximum(g.diagonal()[:, None] + g.diagonal()[None, :] - 2 * g, 0.0)).round(9)
+    d = np.asarray(gaps)[np.ix_(order, order)].round(9)
     i, j = np.triu_indices(len(order), 1)
     return spark.createDataFrame(pd.DataFrame({"ca": order[i], "cb": order[j], "oa": i, "ob": j, "na": size[i], "nb": size[j], "d": d[i, j]}),
                                  "ca int, cb int, oa int, ob int, na long, nb long, d double")

@@ -40,6 +40,7 @@ class Stage1(NamedTuple):
     rows: DataFrame | None  # CSR rows (idea_id, idx, w) when the matrix path was used
     dense: DataFrame | None = None  # (idea_id, vec) when a dense embedder was used
     reused: bool = False  # vectors came from the embedding cache
+    fit: km.SparseFit | None = None  # sparse rows: blocks, centroids in slices, sums of the labels
 
 
 def cached_tfidf(ideas: DataFrame, cfg: PipelineConfig, store: st.SnapshotStore | None, force: bool = False):
@@ -130,10 +131,10 @@ def stage1(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None
         res = km.kmeans_dense(rows, cfg.num_clusters, cfg.kmeans_max_iter, cfg.kmeans_seed, cfg.kmeans_init,
                               cfg.kmeans_empty, ("idx", "w"), n=n, dim=dim)
         return Stage1(cut_lineage(res.assignments), vecs, res.k, res.iterations, res.centroids, rows,
-                      reused=reused)
+                      reused=reused, fit=res.fit)
     res = km.kmeans_sparse(vecs.weights, vecs.docs, cfg.num_clusters, cfg.kmeans_max_iter, cfg.kmeans_seed,
-                           cfg.kmeans_init, cfg.kmeans_empty, cfg.broadcast_max_rows, cfg.salt_buckets, n=n)
-    return Stage1(res.assignments, vecs, res.k, res.iterations, res.centroids, None, reused=reused)
+                           cfg.kmeans_init, cfg.kmeans_empty, cfg.broadcast_max_rows, cfg.salt_buckets, n=n, vocab=vecs.vocab)
+    return Stage1(res.assignments, vecs, res.k, res.iterations, res.centroids, None, reused=reused, fit=res.fit)
 
 
 def _member_distance(rows: DataFrame, assign: DataFrame, C: np.ndarray) -> DataFrame:
@@ -162,6 +163,11 @@ def stage2(s1: Stage1, cfg: PipelineConfig = DEFAULT_CONFIG) -> nbh.Neighborhood
     spark = s1.assignments.sparkSession
     if s1.dense is not None:
         return nbh.neighborhoods(s1.assignments.join(s1.dense, "idea_id"), cfg)
+    if s1.fit is not None:
+        # sums and counts of the last pass are those of the final members
+        dist, gaps = km.member_distances(s1.fit)
+        return nbh.neighborhoods(s1.assignments, cfg, distances=dist,
+                                 pair_fn=lambda plan: nbh.distance_pairs(gaps, plan, spark))
     if s1.rows is None:
         return _stage2_relational(s1, cfg)
     counts, sums = km._lloyd_partials(s1.rows, s1.centroids, ("idx", "w"))
