@@ -58,19 +58,33 @@ class DenseEmbedder:
         return DenseVectors(docs.select("idea_id", self.udf()("doc").alias("vec")), self.dimensions, self.model)
 
 
+HELD_WORDS = 1 << 18
+
+
 def hashing_model(dimensions: int = 64):
-    """Signed feature hashing of tokens: dense vectors without a fitted vocabulary, unit length or zero."""
+    """Signed feature hashing of tokens: dense vectors without a fitted vocabulary, unit length or zero.
+
+    A word is hashed once a batch (of the last ``HELD_WORDS`` distinct ones), its repeats in a text are added at once.
+    """
     import hashlib
     import re
+    from collections import Counter
+
+    def place(word):
+        h = int.from_bytes(hashlib.md5(word.encode()).digest(), "big")
+        return h % dimensions, 1.0 if (h >> 64) & 1 else -1.0
 
     def fn(docs):
-        out = []
+        out, held, words = [], {}, re.compile("[a-z0-9]{3,}")
         for d in docs:
             v = [0.0] * dimensions
-            for t in re.split(r"[^a-z0-9]+", d.lower()):
-                if len(t) > 2:
-                    h = int(hashlib.md5(t.encode()).hexdigest(), 16)
-                    v[h % dimensions] += 1.0 if (h >> 64) & 1 else -1.0
+            for t, n in Counter(words.findall(d.lower())).items():
+                at = held.get(t)
+                if at is None:
+                    if len(held) >= HELD_WORDS:
+                        held.clear()
+                    at = held[t] = place(t)
+                v[at[0]] += at[1] * n  # whole numbers: exact in any order
             n = sum(x * x for x in v) ** 0.5
             out.append([x / n for x in v] if n > 0 else v)
         return out
