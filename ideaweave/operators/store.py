@@ -106,12 +106,14 @@ class SnapshotStore:
         fs, d = hadoop_fs(self.spark, f"{self.root}/{table}/_base={n}")
         fs.mkdirs(d)
 
-    def newest(self, rows: DataFrame, entries: DataFrame, key: str) -> DataFrame:
+    def newest(self, rows: DataFrame, entries: DataFrame, key: str, hashed: bool = False) -> DataFrame:
         """Rows whose part is the latest that ``entries`` has for their key.
 
         Keys of a single part (most of them) need no lookup: only those written again are joined.
+        ``hashed``: rows are dealt by the key already and are not sorted for the join.
         """
         last = entries.groupBy(key).agg(F.max("seq").alias("_last"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+        last = last.hint("shuffle_hash") if hashed else last
         return rows.join(last, key, "left").where(F.col("_last").isNull() | (F.col("seq") == F.col("_last"))).drop("_last")
 
     def merged(self, table: str, key: list, upto: int | None = None) -> DataFrame | None:
