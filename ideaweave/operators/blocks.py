@@ -14,13 +14,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 2048
 BLOCK_VALUES = 1 << 19  # values of a block
+SPARSE_VALUES = 1 << 16  # entries of a block of sparse rows
 WEIGHT_STEP = 2.0 ** 36  # steps per unit of a TF-IDF weight (at most 1) in centroid sums
 PRODUCT_STEP = 2.0 ** 48  # steps per unit of a product of two weights
+TABLE_TERMS = 1 << 24  # terms of a lookup table (64 MB)
 DIST_STEP = 2.0 ** 32  # steps per unit of a squared distance in running sums
 BLOCK_SCHEMA = "slice int, block long, n int, ids binary, off binary, idx binary, w binary"
 MASK = (1 << 32) - 1
@@ -37,6 +40,22 @@ def _lists(column):
     return column.values.to_numpy(zero_copy_only=False)[off[0]:off[-1]], off - off[0]
 
 
+def _blocks(part: int, k: int, ids, off, idx, w, values: int):
+    """Rows of ``BLOCK_SCHEMA`` from block number ``k`` on; ``idx`` None: dense."""
+    names = [c.split()[0] for c in BLOCK_SCHEMA.split(", ")]
+    a = 0
+    while a < len(ids):
+        z = min(len(ids), a + BLOCK_ROWS, max(a + 1, int(np.searchsorted(off, off[a] + values, "right")) - 1))
+        lo, hi = int(off[a]), int(off[z])
+        raw = [np.ascontiguousarray(ids[a:z], "<i8"), np.ascontiguousarray(off[a:z + 1] - lo, "<i8"),
+               np.empty(0, "<i4") if idx is None else np.ascontiguousarray(idx[lo:hi], "<i4"),
+               np.ascontiguousarray(w[lo:hi], "<f8")]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.array([k], pa.int64()), pa.array([z - a], pa.int32()),
+             *[pa.array([x.tobytes()], pa.binary()) for x in raw]], names=names)
+        a, k = z, k + 1
+
+
 def pack(vectors: DataFrame, vec_col="vec", ordered: bool = True) -> DataFrame:
     """Blocks of ``vectors(idea_id, ...)``. ``ordered``: slices are ranges of ids, rows sorted by id."""
     sparse = not isinstance(vec_col, str)
@@ -44,34 +63,71 @@ def pack(vectors: DataFrame, vec_col="vec", ordered: bool = True) -> DataFrame:
     if ordered:
         p = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         rows = rows.repartitionByRange(p, "idea_id").sortWithinPartitions("idea_id")
-    names = [c.split()[0] for c in BLOCK_SCHEMA.split(", ")]
 
     def run(batches):
         from pyspark import TaskContext
 
         part, k = TaskContext.get().partitionId(), 0
         for b in batches:
-            ids = b.column(0).to_numpy()
+            idx, (w, off) = None, _lists(b.column(1))
             if sparse:
-                idx, off = _lists(b.column(1))
-                w = _lists(b.column(2))[0]
-            else:
-                w, off = _lists(b.column(1))
-            a = 0
-            while a < len(ids):
-                z = min(len(ids), a + BLOCK_ROWS, max(a + 1, int(np.searchsorted(off, off[a] + BLOCK_VALUES, "right")) - 1))
-                lo, hi = int(off[a]), int(off[z])
-                raw = [np.ascontiguousarray(ids[a:z], "<i8"), np.ascontiguousarray(off[a:z + 1] - lo, "<i8"),
-                       np.ascontiguousarray(idx[lo:hi], "<i4") if sparse else np.empty(0, "<i4"),
-                       np.ascontiguousarray(w[lo:hi], "<f8")]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int32()), pa.array([k], pa.int64()), pa.array([z - a], pa.int32()),
-                     *[pa.array([x.tobytes()], pa.binary()) for x in raw]], names=names)
-                a, k = z, k + 1
+                idx, w = w, _lists(b.column(2))[0]
+            for out in _blocks(part, k, b.column(0).to_numpy(), off, idx, w, SPARSE_VALUES if sparse else BLOCK_VALUES):
+                yield out
+                k += 1
 
     return rows.mapInArrow(run, BLOCK_SCHEMA)
 
 
+def entry_rows(entries: DataFrame, spine: DataFrame) -> DataFrame:
+    """``(idea_id, idx, w)`` per id of ``spine``: its ``entries(idea_id, idx, weight)`` by idx, packed as in a block.
+
+    Weights come in partitioned by id, so their rows are put together where they are.
+    """
+    def row(key, t):
+        idx, w = t.column("idx").to_numpy(), t.column("weight").to_numpy()
+        order = np.argsort(idx)
+        return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([idx[order].astype("<i4").tobytes()], pa.binary()),
+                         pa.array([w[order].astype("<f8").tobytes()], pa.binary())], names=["idea_id", "idx", "w"])
+
+    rows = entries.select("idea_id", "idx", "weight").groupBy("idea_id").applyInArrow(row, "idea_id long, idx binary, w binary")
+    return spine.select("idea_id").join(rows, "idea_id", "left")
+
+
+def pack_rows(rows: DataFrame) -> DataFrame:
+    """Ordered blocks of ``entry_rows``."""
+    p = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartitionByRange(p, "idea_id").sortWithinPartitions("idea_id")
+
+    def flat(column, kind):
+        at = np.frombuffer(column.buffers()[1], "<i4")[column.offset:column.offset + len(column) + 1]
+        data = column.buffers()[2]
+        return np.frombuffer(data, np.uint8)[at[0]:at[-1]].view(kind) if data is not None else np.empty(0, kind)
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        part, k = TaskContext.get().partitionId(), 0
+        for b in batches:
+            idx, w = (c.fill_null(b"") for c in b.columns[1:])
+            n = pc.fill_null(pc.binary_length(idx), 0).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+            for out in _blocks(part, k, b.column(0).to_numpy(), np.concatenate([[0], np.cumsum(n)]), flat(idx, "<i4"), flat(w, "<f8"), SPARSE_VALUES):
+                yield out
+                k += 1
+
+    return rows.mapInArrow(run, BLOCK_SCHEMA)
+
+
+def unpack(blocks: DataFrame) -> DataFrame:
+    """The sparse rows ``(idea_id, idx array<int>, w array<double>)`` of blocks."""
+    def run(batches):
+        for _, x in rows_of(batches, True):
+            lists = [pa.ListArray.from_arrays(pa.array(x.off.astype(np.int32)), pa.array(v)) for v in (x.idx, x.w)]
+            yield pa.RecordBatch.from_arrays([pa.array(x.ids), *lists], names=["idea_id", "idx", "w"])
+
+    return blocks.mapInArrow(run, "idea_id long, idx array<int>, w array<double>")
+
+
 class Rows:
     """The vectors of a block."""
 
@@ -108,9 +164,16 @@ class Rows:
 
     def to_row(self, idx: np.ndarray, w: np.ndarray) -> np.ndarray:
         """Squared distances of the sparse rows to one sparse row (indices ascending)."""
-        at = np.searchsorted(idx, self.idx)
-        both = np.flatnonzero(np.append(idx, -1)[at] == self.idx)
-        q = np.rint(np.append(w, 0.0)[at[both]] * self.w[both] * PRODUCT_STEP)
+        top = int(max(idx.max(initial=0), self.idx.max(initial=0))) + 1
+        if top <= TABLE_TERMS:
+            table = np.zeros(top, np.int32)
+            table[idx] = np.arange(1, len(idx) + 1)
+            at = table[self.idx] - 1
+            both = np.flatnonzero(at >= 0)
+        else:
+            at = np.searchsorted(idx, self.idx)
+            both = np.flatnonzero(np.append(idx, -1)[at] == self.idx)
+        q = np.rint(w[at[both]] * self.w[both] * PRODUCT_STEP)
         row = np.searchsorted(self.off, both, "right") - 1
         dots = np.bincount(row, q, self.m).astype(np.int64)
         own = int(np.rint(w * w * PRODUCT_STEP).astype(np.int64).sum())
@@ -147,13 +210,10 @@ class Rows:
         """``dots`` with centroids in slices of ``width`` terms: ``slices[s]()`` is the (terms x k) piece."""
         out, step = np.zeros((self.m, k), np.int64), max(1, (1 << 17) // k)
         row = np.repeat(np.arange(self.m), np.diff(self.off))
-        part = (self.idx // width).astype(np.uint16 if len(slices) <= 1 << 16 else np.int64)
-        order = np.argsort(part, kind="stable") if len(slices) > 1 else np.arange(len(row))
-        ends = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=len(slices)))])
-        for s in np.flatnonzero(np.diff(ends)).tolist():
+        for s, entries in by_slice(self.idx, width):
             ct = slices[s]()
-            for a in range(int(ends[s]), int(ends[s + 1]), step):
-                at = order[a:min(a + step, int(ends[s + 1]))]
+            for a in range(0, len(entries), step):
+                at = entries[a:a + step]
                 q = ct[self.idx[at] - s * width]
                 q *= (self.w[at] * PRODUCT_STEP)[:, None]
                 np.rint(q, out=q)
@@ -162,6 +222,35 @@ class Rows:
                 out[r[first]] += np.add.reduceat(q, first, axis=0).astype(np.int64)
         return out
 
+    def own_dots(self, slices, width: int, label: np.ndarray) -> np.ndarray:
+        """The column ``label`` of ``dots_sliced`` for each row."""
+        out, row = np.zeros(self.m, np.int64), np.repeat(np.arange(self.m), np.diff(self.off))
+        for s, at in by_slice(self.idx, width):
+            r = row[at]
+            q = np.rint(slices[s]()[self.idx[at] - s * width, label[r]] * (self.w[at] * PRODUCT_STEP)).astype(np.int64)
+            first = np.concatenate([[0], np.flatnonzero(np.diff(r)) + 1])
+            out[r[first]] += np.add.reduceat(q, first)
+        return out
+
+    def products(self, slices, width: int, k: int) -> np.ndarray:
+        """``dots_sliced`` in floats, not in steps (m x k): a run of entries of one row and slice at a time."""
+        out, step = np.zeros((self.m, k)), max(1, (1 << 21) // k)
+        if not len(self.idx):
+            return out
+        row, part = np.repeat(np.arange(self.m), np.diff(self.off)), self.idx // width
+        at = (self.idx - part * width).astype(np.intp)
+        new = (np.diff(row) != 0) | (np.diff(part) != 0)
+        new[step - 1::step] = True  # no run is longer than the buffer
+        a = np.concatenate([[0], np.flatnonzero(new) + 1])
+        z = np.append(a[1:], len(row))
+        order, held = np.argsort(part[a], kind="stable"), np.empty((int((z - a).max()), k))
+        last, ct = -1, None
+        for s, r, i, j in zip(part[a][order].tolist(), row[a][order].tolist(), a[order].tolist(), z[order].tolist()):
+            if s != last:
+                last, ct = s, slices[s]()
+            out[r] += self.w[i:j] @ np.take(ct, at[i:j], axis=0, out=held[:j - i], mode="clip")
+        return out
+
     def squared(self, C: np.ndarray, c2: np.ndarray | None = None) -> np.ndarray:
         """Squared distances to the rows of ``C`` (m x k)."""
         if self.sparse:
@@ -180,6 +269,16 @@ class Rows:
         return best, d[np.arange(self.m), best]
 
 
+def by_slice(idx: np.ndarray, width: int):
+    """(slice, positions of its entries in their order) of every slice of ``width`` terms that has entries."""
+    part = idx // width
+    n = int(part.max(initial=0)) + 1
+    order = np.argsort(part.astype(np.uint16 if n <= 1 << 16 else np.int64), kind="stable") if n > 1 else np.arange(len(idx))
+    ends = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=n))])
+    for s in np.flatnonzero(np.diff(ends)).tolist():
+        yield s, order[ends[s]:ends[s + 1]]
+
+
 def squares(C: np.ndarray) -> np.ndarray:
     """Squared lengths of centroids, in product steps."""
     return np.rint(C * C * PRODUCT_STEP).astype(np.int64).sum(axis=1)

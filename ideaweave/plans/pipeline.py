@@ -36,8 +36,8 @@ class Stage1(NamedTuple):
     vectors: tf.Vectors
     k: int
     iterations: int
-    centroids: object  # k x dim matrix (CSR/dense path) or centroid-term table (relational path)
-    rows: DataFrame | None  # CSR rows (idea_id, idx, w) when the matrix path was used
+    centroids: object  # k x dim matrix (within the broadcast bound) or centroid-term table (relational path)
+    rows: DataFrame | None  # CSR rows (idea_id, idx, w) when the centroids fit in a matrix
     dense: DataFrame | None = None  # (idea_id, vec) when a dense embedder was used
     reused: bool = False  # vectors came from the embedding cache
     fit: km.SparseFit | None = None  # sparse rows: blocks, centroids in slices, sums of the labels
@@ -125,7 +125,8 @@ def stage1(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None
     n = vecs.n_docs
     k = km.effective_k(n, cfg.num_clusters)
     dim = vecs.vocab.count()
-    if k * max(dim, 1) * 8 <= min(cfg.centroid_broadcast_bytes, km.MAX_BROADCAST_CENTROID_BYTES):
+    small = k * max(dim, 1) * 8 <= min(cfg.centroid_broadcast_bytes, km.MAX_BROADCAST_CENTROID_BYTES)
+    if small and not (cfg.kmeans_init == "lcg" and k < min(n, km.BOUNDS_K)):
         rows, dim = km.csr_rows(vecs.weights, vecs.docs, vecs.vocab)
         rows = cut_lineage(rows)
         res = km.kmeans_dense(rows, cfg.num_clusters, cfg.kmeans_max_iter, cfg.kmeans_seed, cfg.kmeans_init,
@@ -133,8 +134,10 @@ def stage1(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None
         return Stage1(cut_lineage(res.assignments), vecs, res.k, res.iterations, res.centroids, rows,
                       reused=reused, fit=res.fit)
     res = km.kmeans_sparse(vecs.weights, vecs.docs, cfg.num_clusters, cfg.kmeans_max_iter, cfg.kmeans_seed,
-                           cfg.kmeans_init, cfg.kmeans_empty, cfg.broadcast_max_rows, cfg.salt_buckets, n=n, vocab=vecs.vocab)
-    return Stage1(res.assignments, vecs, res.k, res.iterations, res.centroids, None, reused=reused, fit=res.fit)
+                           cfg.kmeans_init, cfg.kmeans_empty, max(dim, cfg.broadcast_max_rows) if small else cfg.broadcast_max_rows,
+                           cfg.salt_buckets, n=n, vocab=vecs.vocab, as_matrix=small)
+    rows = bl.unpack(res.fit.packed.blocks) if small and res.fit else None
+    return Stage1(res.assignments, vecs, res.k, res.iterations, res.centroids, rows, reused=reused, fit=res.fit)
 
 
 def _member_distance(rows: DataFrame, assign: DataFrame, C: np.ndarray) -> DataFrame:
