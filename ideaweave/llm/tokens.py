@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 BLOCK = 4096  # ids in a block, a multiple of 64
 FILE_IDS = 8 << 20  # a file is closed at the first document after so many ids
 PIECE_CHARS = 4 << 20  # longer texts are encoded in pieces
-LOT_CHARS = 12 << 20  # texts encoded together
+LOT_CHARS = 8 << 20  # texts encoded together
 CACHE_WORDS = 500_000
+GATHER_IDS = 1 << 18  # ids whose positions are held at a time
 MAGIC = b"IWTOKENS"
 _HEAD = struct.Struct("<8sIIQQ")  # magic, bits, block, documents, ids
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
@@ -233,10 +234,18 @@ class Encoder:
 
 
 def _gather(pool: np.ndarray, n: np.ndarray, pick: np.ndarray) -> np.ndarray:
-    """The runs ``pick`` of ``pool``, which holds runs of ``n`` ids."""
+    """The runs ``pick`` of ``pool``, which holds runs of ``n`` ids; positions are made for ``GATHER_IDS`` ids at a time."""
     begin, size = np.cumsum(n) - n, n[pick]
     stop = np.cumsum(size)
-    return pool[np.repeat(begin[pick] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
+    out, a = np.empty(int(stop[-1]) if len(stop) else 0, pool.dtype), 0
+    while a < len(pick):
+        done = int(stop[a] - size[a])
+        z = max(a + 1, int(np.searchsorted(stop, done + GATHER_IDS, "right")))
+        at = np.repeat(begin[pick[a:z]] - (stop[a:z] - size[a:z]), size[a:z])
+        at += np.arange(done, int(stop[z - 1]))
+        np.take(pool, at, out=out[done:int(stop[z - 1])], mode="clip")
+        a = z
+    return out
 
 
 _ENCODERS: dict = {}
@@ -272,6 +281,7 @@ def _encoded(batches, tokenizer: str, end_id: int | None, by_word: bool):
                 flat, n = enc.flat(texts.slice(a, z - a))
             if end_id is not None:
                 flat, n = np.insert(flat, np.cumsum(n), np.uint32(end_id)), n + 1
+            pa.default_memory_pool().release_unused()  # a worker that waits keeps none of a lot's memory
             yield doc_ids.slice(a, z - a), n, flat
             a = z
 

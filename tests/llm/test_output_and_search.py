@@ -279,3 +279,19 @@ def test_terms_of_a_long_text(monkeypatch):
     whole = lexical.term_counts(t)
     monkeypatch.setattr(lexical, "PIECE", 97)
     assert lexical.term_counts(t) == whole and whole.total() == 3000
+
+
+def test_runs_of_ids_are_gathered_with_bounded_positions():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    n = rng.integers(0, 40, 1000)
+    pool, pick = rng.integers(0, 49_000, n.sum()).astype(np.uint32), rng.integers(0, 1000, 100_000)
+    tracemalloc.start()
+    got = tokens._gather(pool, n, pick)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    runs = np.split(pool, np.cumsum(n)[:-1])
+    assert got.dtype == np.uint32 and np.array_equal(got, np.concatenate([runs[i] for i in pick]))
+    assert peak < 24 << 20  # two million ids: positions of all at once take 16 MB an array
+    assert len(tokens._gather(pool, n, np.empty(0, np.int64))) == 0
