@@ -166,6 +166,43 @@ def test_bounded_suffix_order_is_right_up_to_its_length():
             assert sorted(got) == sorted(exact) and [t[i:i + w] for i in got] == [t[i:i + w] for i in exact]
 
 
+def plain_segments(texts, size, gram):
+    """Different segments by anchor, as the tasks get them: groups of two or more."""
+    groups: dict = {}
+    for x in texts:
+        h, first, last, _ = repeats.anchors(suffix_dedup._codes(x, None, None), size, gram)
+        for a, f, z in zip(h.tolist(), first.tolist(), last.tolist()):
+            groups.setdefault(a, set()).add(x[f:z + size])
+    return [sorted(g) for g in groups.values() if len(g) > 1]
+
+
+def test_only_segments_that_can_repeat_are_sorted(monkeypatch):
+    rnd = random.Random(7)
+    noise = lambda n: bytes(rnd.randrange(97, 123) for _ in range(n))
+    phrase = noise(250)  # long enough for an anchor, too short for a window
+    texts = [noise(rnd.randint(400, 900)) + phrase + noise(rnd.randint(400, 900)) for _ in range(40)]
+    pieces = [p for g in plain_segments(texts, 400, 24) for p in g]
+    assert len(pieces) >= 20
+    asked = []
+    monkeypatch.setattr(suffix_dedup, "repeated_starts", lambda p, size: asked.extend(p) or [np.empty(0, np.int64) for _ in p])
+    assert [len(x) for x in suffix_dedup.repeated_among(pieces)] == [0] * len(pieces) and not asked
+
+
+def test_left_out_segments_hold_no_repeat():
+    rnd = random.Random(8)
+    some = 0
+    for size, gram in ((8, 4), (9, 4), (21, 10), (60, 24), (400, 24)) * 6:
+        noise = lambda n: bytes(rnd.randrange(97, 100 if size < 30 else 123) for _ in range(n))
+        shared = [noise(rnd.randint(max(gram, size - 20), size + 3)) for _ in range(6)]
+        texts = [b"".join(x for _ in range(3) for x in (noise(rnd.randint(0, size)), rnd.choice(shared))) for _ in range(30)]
+        pieces = [p for g in plain_segments([x for x in texts if len(x) >= size], size, gram) for p in g]
+        if pieces:
+            want = [x.tolist() for x in suffix_dedup.repeated_starts(pieces, size)]
+            some += sum(map(bool, want))
+            assert [x.tolist() for x in suffix_dedup.repeated_among(pieces, size, gram)] == want
+    assert some > 500
+
+
 # -- language ----------------------------------------------------------------------------------
 
 def test_language_by_alphabet(spark):
