@@ -10,7 +10,8 @@ literal of at most ``max_notices`` entries, since a join of lines would have to
 A whole text that has no known digest is looked up once more as a licence file: without its real
 copyright notices (a body line that happens to begin with the word stays), leading titles, clause
 numbers and the holders' names, against the full licence texts reduced in the same way (those of
-``KNOWN_TEXTS`` and of the folder ``license_texts``). The digest column is that of the first form.
+``KNOWN_TEXTS`` and of the folder ``license_texts``). The digest column is that of the first form. Only texts that hold
+words that such files cannot be without (``telling_words``) are reduced.
 
 Defined results: a null text, or one without letters or digits, has the digest of the empty
 string and no licence; repeated rows give repeated rows; other columns pass through whatever their
@@ -19,12 +20,14 @@ names, a column named like the result is replaced.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name
+from .common import free_name, let
 
 # Texts of short licences and notices (public texts), by SPDX identifier.
 KNOWN_TEXTS = (
@@ -49,7 +52,19 @@ EQUIVALENT = (
 )
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(copyright\b|\(c\)|©)[^\n]*$"
 
+# What every match of a pattern holds: texts with none of it are not searched.
+NEEDS = {
+    r"licenc": ("licenc",),
+    r"\bnon-?commercial\b": ("commercial",),
+    r"\bsub-?license\b": ("license",),
+    r"\bcopyright owner": ("copyright owner",),
+    r"https?://": ("://",),
+    COPYRIGHT_LINE: ("copyright", "(c)", "©"),
+}
+
 FULL_LENGTH = 200  # known texts longer than this are full licence texts
+MAX_LISTS, LIST_WORDS = 32, 4  # lists of telling words of licence files, words of a list
+_WRITTEN = ("licens", "noncommercial", "holder")  # parts that the rules write into words
 
 # BSD texts as (SPDX identifier, clauses); the other full texts are files.
 _BSD = (
@@ -94,33 +109,56 @@ def full_texts() -> tuple:
     return tuple(got)
 
 
+def _any(text: Column, words) -> Column:
+    return reduce(or_, (text.contains(w) for w in words), F.lit(False))
+
+
+def _replaced(t: Column, pattern: str, to: str) -> Column:
+    if pattern not in NEEDS:
+        return F.regexp_replace(t, pattern, to)
+    return let(t, lambda v: F.when(_any(v, NEEDS[pattern]), F.regexp_replace(v, pattern, to)).otherwise(v))
+
+
+def _lower(text: Column) -> Column:
+    return F.lower(F.coalesce(text, F.lit("")))
+
+
+def _words_by_line(low: Column) -> Column:
+    """Canonical lines of a lower-case text, not trimmed. No rule reaches beyond a line, so they are those of each line by itself."""
+    t = low
+    for pattern, to in ((COPYRIGHT_LINE, " "), *EQUIVALENT):
+        t = _replaced(t, pattern, to)
+    return F.regexp_replace(t, r"[^\p{L}\p{N}\n]+", " ")
+
+
+def _joined(lines: Column) -> Column:
+    return F.trim(F.regexp_replace(lines, r" ?\n[ \n]*", " "))
+
+
 def canonical(text: Column) -> Column:
     """Canonical form of a text (a Column of built-in functions)."""
-    t = F.lower(F.coalesce(text, F.lit("")))
-    t = F.regexp_replace(t, COPYRIGHT_LINE, " ")
-    for pattern, to in EQUIVALENT:
-        t = F.regexp_replace(t, pattern, to)
-    t = F.regexp_replace(t, r"[^\p{L}\p{N}]+", " ")
-    return F.trim(t)
+    return _joined(_words_by_line(_lower(text)))
 
 
 def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def licence_body(text: Column) -> Column:
-    """Canonical form of a licence file without notices, titles and names."""
-    t = F.lower(F.coalesce(text, F.lit("")))
-    for pattern, to in NOTICES:
-        t = F.regexp_replace(t, pattern, to)
-    for pattern, to in EQUIVALENT:
-        t = F.regexp_replace(t, pattern, to)
+def _body(low: Column) -> Column:
+    t = low
+    for pattern, to in (*NOTICES, *EQUIVALENT):
+        t = _replaced(t, pattern, to)
     t = F.trim(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "))
     for pattern, to in FRAME:
         t = F.regexp_replace(t, pattern, to)
     return F.trim(F.regexp_replace(t, " +", " "))
 
 
+def licence_body(text: Column) -> Column:
+    """Canonical form of a licence file without notices, titles and names."""
+    return _body(_lower(text))
+
+
 def body_digest(text: Column) -> Column:
     return F.sha2(licence_body(text), 256)
 
@@ -132,6 +170,29 @@ def known_digests(spark, texts=KNOWN_TEXTS, of=digest) -> DataFrame:
             .groupBy("digest").agg(F.min("license_id").alias("license_id")))
 
 
+def telling_words(spark, files) -> list[list[str]] | None:
+    """Short lists of words; every text whose ``licence_body`` equals that of one of the ``files`` holds all words of
+    one list, once web prefixes are deleted (None: the lists would be too many).
+
+    The rules only delete whole words and lines, except that they delete web prefixes inside words and write the parts
+    of ``_WRITTEN``; so an ASCII word without such a part stands in the text if it stands in the body. Each file goes by
+    its word of 12 letters or more (if none, its longest) that is in most files; files that go by one word make a
+    list of words that all of them hold.
+    """
+    word = F.explode(F.array_distinct(F.split(licence_body(F.col("body")), " "))).alias("word")
+    rows = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(files)], "file long, body string").select("file", word)
+    rows = rows.where(F.col("word").rlike("^[a-z]+$") & ~_any(F.col("word"), _WRITTEN))
+    common = rows.groupBy("word").agg(F.count("*").alias("n"))
+    rank = [F.least(F.length("word"), F.lit(12)), "n", F.length("word"), "word"]
+    lead = rows.join(common, "word").groupBy("file").agg(F.max_by("word", F.struct(*rank)).alias("lead"))
+    size = lead.groupBy("lead").agg(F.count("*").alias("files"))
+    shared = (rows.join(lead, "file").groupBy("lead", "word").agg(F.count("*").alias("n")).join(size, "lead").where("n = files")
+              .groupBy("lead", "files").agg(F.slice(F.sort_array(F.collect_list(F.struct(*rank)), False), 1, LIST_WORDS).alias("top")))
+    got = shared.select("lead", "files", F.array_union(F.array("lead"), F.col("top.word")).alias("words")).orderBy("lead").limit(MAX_LISTS + 1).collect()
+    short = len(got) <= MAX_LISTS and sum(r["files"] for r in got) == len(files)  # a file without such a word goes by none
+    return [r["words"] for r in got] if short else None
+
+
 def scan(df: DataFrame, text: str = "text", texts=KNOWN_TEXTS, out: str = "license",
          max_known: int = 100_000, notices=None, max_notices: int = 1_000) -> DataFrame:
     """``df`` with a struct column ``out``: ``digest`` of the whole text, ``license_id`` it equals
@@ -148,15 +209,26 @@ def scan(df: DataFrame, text: str = "text", texts=KNOWN_TEXTS, out: str = "licen
             raise ValueError(f"{len(known)} {name} exceed the bound {bound}")
 
     rest = [c for c in df.columns if c.lower() != out.lower()]
-    whole, body, lines, in_texts, of_text, in_files, of_file = (free_name(df, n) for n in (
-        "whole_digest", "body_digest", "line_ids", "known_text", "text_license", "known_file", "file_license"))
+    low, shown, whole, body, lines, in_texts, of_text, in_files, of_file = (free_name(df, n) for n in (
+        "lower_text", "shown_lines", "whole_digest", "body_digest", "line_ids", "known_text", "text_license", "known_file", "file_license"))
     found = {r["digest"]: r["license_id"] for r in known_digests(spark, notices).collect()}
     entries = [F.lit(x) for kv in sorted(found.items()) for x in kv]
     lookup = F.create_map(*entries) if entries else F.create_map().cast("map<string,string>")
-    each = F.array_distinct(F.split(F.coalesce(df[text], F.lit("")), "\n"))
-    ids = F.filter(F.transform(each, lambda x: F.element_at(lookup, digest(x))), lambda x: x.isNotNull())
-    digests = df.select(*[df[c] for c in rest], digest(df[text]).alias(whole), body_digest(df[text]).alias(body),
-                        F.array_sort(F.array_distinct(ids)).alias(lines))
+    sizes = sorted({r[0] for r in spark.createDataFrame(list(notices), "license_id string, body string")
+                    .select(F.octet_length(canonical(F.col("body")))).distinct().collect()})
+    # a text goes by its lower-case form and its canonical lines, each made once
+    shaped = df.select(*[df[c] for c in rest], _lower(df[text]).alias(low))
+    shaped = shaped.select("*", _words_by_line(F.col(low)).alias(shown))
+    each = F.filter(F.transform(F.split(shown, "\n"), lambda x: F.trim(x)), lambda x: F.octet_length(x).isin(sizes))
+    ids = F.filter(F.transform(F.array_distinct(each), lambda x: F.element_at(lookup, F.sha2(x, 256))), lambda x: x.isNotNull())
+    words = telling_words(spark, files)
+    as_file = F.sha2(_body(F.col(low)), 256)
+    if words is not None:
+        all_of = lambda v, some: reduce(and_, (v.contains(w) for w in some))
+        one_list = lambda v: reduce(or_, (all_of(v, some) for some in words), F.lit(False))
+        as_file = F.when(let(_replaced(F.col(low), r"https?://", ""), one_list), as_file)
+    digests = shaped.select(*[f"`{c}`" for c in rest], F.sha2(_joined(F.col(shown)), 256).alias(whole), as_file.alias(body),
+                            F.array_sort(F.array_distinct(ids)).alias(lines))
     by_text = known_digests(spark, texts).toDF(in_texts, of_text)
     by_body = known_digests(spark, files, body_digest).toDF(in_files, of_file)
     met = (digests.join(F.broadcast(by_text), F.col(whole) == F.col(in_texts), "left")

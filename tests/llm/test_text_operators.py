@@ -580,6 +580,64 @@ def test_licence_files(spark):
     assert [got[i]["license_id"] for i in range(len(own))] == [i for i, _ in own]
 
 
+def plain_digest(text, rules, after=()):
+    t = F.lower(F.coalesce(text, F.lit("")))
+    for pattern, to in (*rules, *licenses.EQUIVALENT):
+        t = F.regexp_replace(t, pattern, to)
+    t = F.trim(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "))
+    for pattern, to in after:
+        t = F.regexp_replace(t, pattern, to)
+    return F.sha2(F.trim(F.regexp_replace(t, " +", " ")), 256)
+
+
+def test_licence_scan_shapes_a_text_once_and_equals_the_plain_forms(spark):
+    rnd = random.Random(5)
+    whole = [t for _, t in (*licenses.KNOWN_TEXTS, *licenses.full_texts())]
+    odd = ["\n", "\r", "\r\n", " ", "\x85", "\u2028", "(c)", "©", "Copyright", "copyright OWNERS", "http://", "hthttps://tp://", "licence",
+           "sub-licence", "non-commercial", "ΑΣ", "é", "İ", "²", "_", "1 ", "redistributions of", "merchantahttp://bility", "a", "MIT License",
+           "Licensed under the MIT License.", "licensed under CC BY 4.0", "merchantability", "e\u0301", "all rights reserved"]
+    texts = ["".join(rnd.choice(odd) for _ in range(rnd.randint(0, 25))) for _ in range(400)]
+    for x in whole * 6:
+        at = rnd.choice((0, len(x), rnd.randint(0, len(x))))
+        x = x[:at] + rnd.choice(odd) + x[at:]
+        texts.append(x.replace("ERCHANTAB", "ERCHANThttps://AB") if rnd.random() < 0.4 else x)
+    df = spark.createDataFrame([*enumerate(texts), (-1, None)], "doc_id long, text string").repartition(4)
+
+    def lookup(known, rules, after=()):
+        rows = spark.createDataFrame(known, "i string, body string").select("i", plain_digest(F.col("body"), rules, after).alias("d"))
+        return {r["d"]: r["i"] for r in rows.groupBy("d").agg(F.min("i").alias("i")).collect()}
+
+    first, second = [(licenses.COPYRIGHT_LINE, " ")], (licenses.NOTICES, licenses.FRAME)
+    known = lookup(list(licenses.KNOWN_TEXTS), first)
+    files = lookup([(i, t) for i, t in (*licenses.KNOWN_TEXTS, *licenses.full_texts()) if len(t) > licenses.FULL_LENGTH], *second)
+    plain = df.select("doc_id", plain_digest(F.col("text"), first).alias("a"), plain_digest(F.col("text"), *second).alias("b"))
+    lines = df.select("doc_id", F.explode(F.split("text", "\n")).alias("x")).select("doc_id", plain_digest(F.col("x"), first).alias("d"))
+    notices: dict = {}
+    for r in lines.where(F.col("d").isin(list(known))).collect():
+        notices.setdefault(r["doc_id"], set()).add(known[r["d"]])
+    want = {r["doc_id"]: (r["a"], known.get(r["a"], files.get(r["b"])), sorted(notices.get(r["doc_id"], ()))) for r in plain.collect()}
+    res = licenses.scan(df, out="k")
+    assert {r["doc_id"]: tuple(r["k"]) for r in res.collect()} == want
+    assert sum(w[1] is not None for w in want.values()) > 50 and sum(bool(w[2]) for w in want.values()) > 20
+    # one lower-case form for the whole text, its lines and the licence file; lines look up digests without patterns
+    plan = res._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(coalesce(text#") == 1
+
+
+def test_telling_words(spark):
+    files = [(i, t) for i, t in (*licenses.KNOWN_TEXTS, *licenses.full_texts()) if len(t) > licenses.FULL_LENGTH]
+    words = licenses.telling_words(spark, files)
+    assert len(words) <= 5 and all(1 < len(some) <= licenses.LIST_WORDS + 1 for some in words)
+    bodies = spark.createDataFrame(files, "i string, body string").select(licenses.licence_body(F.col("body"))).collect()
+    assert all(any(all(f" {w} " in f" {b[0]} " for w in some) for some in words) for b in bodies)
+    own = [("S", "a b " * 60), ("L", "lic\u00e9 " * 60)]  # short words; none of plain letters
+    assert licenses.telling_words(spark, own[:1]) == [["b", "a"]] and licenses.telling_words(spark, own) is None
+    rows = [(0, own[0][1].upper()), (1, own[1][1]), (2, "a b")]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), texts=own, notices=[], out="k").collect()
+    assert {r["doc_id"]: r["k"]["license_id"] for r in got} == {0: "S", 1: "L", 2: None}
+    assert licenses.telling_words(spark, []) == []
+
+
 # -- mixing ------------------------------------------------------------------------------------
 
 def plain_targets(sizes):
