@@ -34,6 +34,7 @@ from .common import materialise
 TERM = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 SEGMENT_TERMS = 1 << 20
 SEGMENT_DOCS = 8192
+FILE_SEGMENTS = 2  # segments of a stored file, all of which a task reads or writes at once
 RUN = 128  # postings under one bound
 WINDOW = 1024  # documents walked at a time
 SHORT = 64  # lists of at most one 64th of the segment's documents are short
@@ -61,6 +62,7 @@ def term_counts(text: str) -> Counter:
 
 SEGMENT = ("n_docs long, n_terms long, doc_ids array<long>, lengths binary, terms binary, starts binary, "
            "docs binary, counts binary, run_starts binary, run_count binary, run_length binary")
+RAW = frozenset(("lengths", "starts", "docs", "counts", "run_starts", "run_count", "run_length"))  # read where they lie
 
 
 def segment(doc_ids: list, lengths: list, found: list, vocabulary: dict):
@@ -115,6 +117,11 @@ def index(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFram
     return rows.mapInArrow(run, SEGMENT)
 
 
+def stored(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``index``, written to the shared folder in files of few segments."""
+    return materialise(index(df, id_col, text), "segments", FILE_SEGMENTS)
+
+
 # -- search ------------------------------------------------------------------------------------
 
 
@@ -243,7 +250,7 @@ def item_blocks(items: DataFrame, id_col: str, text: str, limit: int = ITEM_BYTE
 def search(segments: DataFrame, items: DataFrame, k: int = 10, id_col: str = "item_id", text: str = "text") -> DataFrame:
     """``(item_id, rank, doc_id, score)``: the ``k`` best documents of each item.
 
-    ``segments``: stored rows of ``index``.
+    ``segments``: rows of ``index``, stored (``stored``).
     """
     spark = segments.sparkSession
     n_docs, n_terms = segments.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("n_terms"), F.lit(0))).first()
@@ -269,9 +276,9 @@ def _search_block(segments: DataFrame, block: list, n_docs: int, n_terms: int, k
     def count(batches):
         total: Counter = Counter()
         for b in batches:
-            for terms, starts in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                size = np.diff(np.frombuffer(starts, "<i4")).tolist()
-                total.update({t: n for t, n in zip(terms.split(b"\n"), size) if t in wanted})
+            for terms, starts in zip(b.column(0), b.column(1)):
+                size = np.diff(np.frombuffer(starts.as_buffer(), "<i4")).tolist()
+                total.update({t: n for t, n in zip(terms.as_py().split(b"\n"), size) if t in wanted})
         if total:
             yield pa.RecordBatch.from_pydict({"term": pa.array(list(total), pa.binary()), "df": pa.array(list(total.values()), pa.int64())})
 
@@ -283,7 +290,8 @@ def _search_block(segments: DataFrame, block: list, n_docs: int, n_terms: int, k
         best: list = [([], []) for _ in queries]  # document ids and scores per item
         for b in batches:
             for i in range(b.num_rows):
-                seg = Segment({n: c[i].as_py() for n, c in zip(b.schema.names, b.columns)}, weights, n_docs, n_terms)
+                seg = Segment({n: c[i].as_buffer() if n in RAW else c[i].as_py() for n, c in zip(b.schema.names, b.columns)},
+                              weights, n_docs, n_terms)
                 for q, query in enumerate(queries):
                     ids, scores = best[q]
                     docs, s = seg.search(query, k, min(scores) if len(scores) == k else 0)

@@ -250,6 +250,17 @@ def test_ranked_search(spark, monkeypatch, docs_in_segment, window, run, short,
     assert key(got) == key(plain_search(docs, items))
 
 
+def test_stored_segments_come_in_files_of_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "SEGMENT_DOCS", 20)
+    docs, items = corpus()
+    d = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    got = lexical.stored(d)
+    per_file = [r["n"] for r in got.groupBy(F.input_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(per_file) > 10 and max(per_file) <= lexical.FILE_SEGMENTS
+    i = spark.createDataFrame(items, "item_id long, text string")
+    assert key([tuple(r) for r in lexical.search(got, i).collect()]) == key(plain_search(docs, items))
+
+
 def test_search_skips_what_cannot_win(monkeypatch):
     rnd = random.Random(3)
     docs = [(i, Counter({b"common": 1, b"often": 1 + i % 2, (b"rare" if i % 400 == 7 else b"x%d" % i): 3})) for i in range(4000)]
