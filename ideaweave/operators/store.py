@@ -92,6 +92,9 @@ class SnapshotStore:
         return (self.spark.read.option("basePath", f"{self.root}/{table}")
                 .parquet(*[f"{self.root}/{table}/seq={n}" for n in parts]))
 
+    def read_part(self, table: str, seq: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{table}/seq={int(seq)}")
+
     def next_part(self, table: str) -> int:
         parts, base = self._scan(table)
         return max([*parts, base - 1, 0]) + 1
