@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import counts as ct
+
 BLOCK_ROWS = 2048
 BLOCK_VALUES = 1 << 19  # values of a block
 SPARSE_VALUES = 1 << 16  # entries of a block of sparse rows
@@ -118,10 +120,41 @@ def pack_rows(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, BLOCK_SCHEMA)
 
 
-def unpack(blocks: DataFrame) -> DataFrame:
+def pack_counts(counts: DataFrame, vocab: ct.Vocabulary) -> DataFrame:
+    """Ordered blocks of packed counts (``counts``), whose ``w`` holds, per row, tokens, length and squared length
+    of the vector, and per entry the count: with the idf, which a task reads once, they give the weights."""
+    p = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = counts.select("idea_id", "n_tokens", "terms", "tfs").repartitionByRange(p, "idea_id").sortWithinPartitions("idea_id")
+    names = [c.split()[0] for c in BLOCK_SCHEMA.split(", ")]
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        part, k, idf = TaskContext.get().partitionId(), 0, vocab.idf.value
+        for b in batches:
+            ids, n = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for lo, hi in ct.runs(b.column(3)):
+                got = ct.weigh(ct.entries(b.column(2).slice(lo, hi - lo), b.column(3).slice(lo, hi - lo)), n[lo:hi], vocab)
+                x2 = Rows(ids[lo:hi], got.off, got.idx, got.weights(idf), True).x2()
+                a, off = 0, got.off
+                while a < hi - lo:
+                    z = min(hi - lo, a + BLOCK_ROWS, max(a + 1, int(np.searchsorted(off, off[a] + SPARSE_VALUES, "right")) - 1))
+                    at = slice(int(off[a]), int(off[z]))
+                    tf = got.tf[at]
+                    tf = tf.astype("<u1" if tf.max(initial=0) < 256 else "<u4")
+                    raw = [ids[lo + a:lo + z].astype("<i8").tobytes(), (off[a:z + 1] - off[a]).astype("<i8").tobytes(), got.idx[at].astype("<i4").tobytes(),
+                           got.n[a:z].tobytes() + got.norm[a:z].tobytes() + x2[a:z].tobytes() + tf.tobytes()]
+                    yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([k], pa.int64()), pa.array([z - a], pa.int32()),
+                                                      *[pa.array([x], pa.binary()) for x in raw]], names=names)
+                    a, k = z, k + 1
+
+    return rows.mapInArrow(run, BLOCK_SCHEMA)
+
+
+def unpack(blocks: DataFrame, idf=None) -> DataFrame:
     """The sparse rows ``(idea_id, idx array<int>, w array<double>)`` of blocks."""
     def run(batches):
-        for _, x in rows_of(batches, True):
+        for _, x in rows_of(batches, True, idf):
             lists = [pa.ListArray.from_arrays(pa.array(x.off.astype(np.int32)), pa.array(v)) for v in (x.idx, x.w)]
             yield pa.RecordBatch.from_arrays([pa.array(x.ids), *lists], names=["idea_id", "idx", "w"])
 
@@ -131,14 +164,35 @@ def unpack(blocks: DataFrame) -> DataFrame:
 class Rows:
     """The vectors of a block."""
 
-    def __init__(self, ids, off, idx, w, sparse: bool):
-        self.ids, self.off, self.idx, self.w, self.sparse = ids, off, idx, w, sparse
+    def __init__(self, ids, off, idx, w, sparse: bool, coded=None):
+        self.ids, self.off, self.idx, self._w, self.sparse = ids, off, idx, w, sparse
         self.m = len(ids)
-        self._x2 = None
+        self._x2, self.coded = (None, None) if coded is None else (coded[2], coded)  # tokens, length, x2, counts, idf
+
+    @property
+    def w(self) -> np.ndarray:
+        if self._w is None:
+            n, norm, _, tf, idf = self.coded
+            self._w = ct.weights(self.off, self.idx, tf, n, norm, idf)
+        return self._w
+
+    def some(self, at: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """The values of the entries ``at`` of the rows ``row``."""
+        if self._w is not None:
+            return self._w[at]
+        n, norm, _, tf, idf = self.coded
+        return tf[at] / n[row] * idf[self.idx[at]] / norm[row]
 
     @classmethod
-    def of(cls, row: dict, sparse: bool) -> "Rows":
-        ids, w = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["w"], "<f8")
+    def of(cls, row: dict, sparse: bool, idf=None) -> "Rows":
+        ids = np.frombuffer(row["ids"], "<i8")
+        if idf is not None:
+            off, idx, m = np.frombuffer(row["off"], "<i8"), np.frombuffer(row["idx"], "<i4"), len(ids)
+            own = np.frombuffer(row["w"], "<f8", 2 * m).reshape(2, m)
+            x2 = np.frombuffer(row["w"], "<i8", m, 16 * m)
+            tf = np.frombuffer(row["w"], "<u4" if len(row["w"]) - 24 * m == 4 * len(idx) else "<u1", len(idx), 24 * m)
+            return cls(ids, off, idx, None, True, (own[0], own[1], x2, tf, idf))
+        w = np.frombuffer(row["w"], "<f8")
         if not sparse:
             return cls(ids, None, None, w.reshape(len(ids), -1), False)
         return cls(ids, np.frombuffer(row["off"], "<i8"), np.frombuffer(row["idx"], "<i4"), w, True)
@@ -149,6 +203,9 @@ class Rows:
         n = (self.off[1:] - self.off[:-1])[rows]
         off = np.concatenate([[0], np.cumsum(n)])
         at = np.repeat(self.off[rows] - off[:-1], n) + np.arange(off[-1])
+        if self._w is None:
+            own, norm, x2, tf, idf = self.coded
+            return Rows(self.ids[rows], off, self.idx[at], None, True, (own[rows], norm[rows], x2[rows], tf[at], idf))
         return Rows(self.ids[rows], off, self.idx[at], self.w[at], True)
 
     def vector(self, i: int, dim: int) -> np.ndarray:
@@ -162,19 +219,22 @@ class Rows:
         """(indices, values) of a sparse row."""
         return self.idx[self.off[i]:self.off[i + 1]].copy(), self.w[self.off[i]:self.off[i + 1]].copy()
 
-    def to_row(self, idx: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """Squared distances of the sparse rows to one sparse row (indices ascending)."""
-        top = int(max(idx.max(initial=0), self.idx.max(initial=0))) + 1
+    def to_row(self, idx: np.ndarray, w: np.ndarray, dim: int | None = None, held: dict | None = None) -> np.ndarray:
+        """Squared distances of the sparse rows to one sparse row (indices ascending). ``held`` keeps the table of
+        its ``dim`` terms for the next rows."""
+        top = dim if dim is not None else int(max(idx.max(initial=0), self.idx.max(initial=0))) + 1
         if top <= TABLE_TERMS:
-            table = np.zeros(top, np.int32)
-            table[idx] = np.arange(1, len(idx) + 1)
-            at = table[self.idx] - 1
+            held = {} if held is None else held
+            if "table" not in held:
+                held["table"] = np.zeros(top, np.int32)
+                held["table"][idx] = np.arange(1, len(idx) + 1)
+            at = held["table"][self.idx] - 1
             both = np.flatnonzero(at >= 0)
         else:
             at = np.searchsorted(idx, self.idx)
             both = np.flatnonzero(np.append(idx, -1)[at] == self.idx)
-        q = np.rint(w[at[both]] * self.w[both] * PRODUCT_STEP)
-        row = np.searchsorted(self.off, both, "right") - 1
+        row = np.repeat(np.arange(self.m), np.diff(self.off))[both]
+        q = np.rint(w[at[both]] * self.some(both, row) * PRODUCT_STEP)
         dots = np.bincount(row, q, self.m).astype(np.int64)
         own = int(np.rint(w * w * PRODUCT_STEP).astype(np.int64).sum())
         return np.maximum(self.x2() - 2 * dots + own, 0) / PRODUCT_STEP
@@ -206,49 +266,68 @@ class Rows:
             a = z
         return out
 
-    def dots_sliced(self, slices, width: int, k: int) -> np.ndarray:
-        """``dots`` with centroids in slices of ``width`` terms: ``slices[s]()`` is the (terms x k) piece."""
-        out, step = np.zeros((self.m, k), np.int64), max(1, (1 << 17) // k)
-        row = np.repeat(np.arange(self.m), np.diff(self.off))
-        for s, entries in by_slice(self.idx, width):
-            ct = slices[s]()
-            for a in range(0, len(entries), step):
-                at = entries[a:a + step]
-                q = ct[self.idx[at] - s * width]
-                q *= (self.w[at] * PRODUCT_STEP)[:, None]
-                np.rint(q, out=q)
-                r = row[at]
-                first = np.concatenate([[0], np.flatnonzero(np.diff(r)) + 1])
-                out[r[first]] += np.add.reduceat(q, first, axis=0).astype(np.int64)
+    def _top(self, width: int):
+        """(row of each entry; which entries have a term below ``width``)."""
+        return np.repeat(np.arange(self.m), np.diff(self.off)), self.idx < width
+
+    def _rare(self, entries: np.ndarray, rare, width: int, k: int):
+        """Pairs (entry, cell) of the entries whose term has cells in ``rare`` (starts of terms from ``width`` on, clusters, values)."""
+        start, cluster, value = rare
+        t = self.idx[entries] - width
+        n = start[t + 1] - start[t]
+        step = max(1, (1 << 21) // k)
+        for a in range(0, len(entries), step):
+            m = n[a:a + step]
+            ends = np.cumsum(m)
+            if len(m) and ends[-1]:
+                at = np.repeat(start[t[a:a + step]] - ends + m, m) + np.arange(ends[-1])
+                yield np.repeat(entries[a:a + step], m), cluster[at], value[at]
+
+    def dots_sliced(self, top: np.ndarray, rare, k: int) -> np.ndarray:
+        """``dots`` with the centroids' first terms as a (terms x k) matrix and the cells of the others (``_rare``)."""
+        width, out = len(top), np.zeros((self.m, k), np.int64)
+        row, low = self._top(width)
+        at, step = np.flatnonzero(low), max(1, (1 << 17) // k)
+        for a in range(0, len(at), step):
+            e = at[a:a + step]
+            q = top[self.idx[e]]
+            q *= (self.w[e] * PRODUCT_STEP)[:, None]
+            np.rint(q, out=q)
+            r = row[e]
+            first = np.flatnonzero(np.diff(r, prepend=-1))
+            out[r[first]] += np.add.reduceat(q, first, axis=0).astype(np.int64)
+        for e, c, v in self._rare(np.flatnonzero(~low), rare, width, k):  # whole numbers: their sums are exact below 2 ** 53
+            out += np.bincount(row[e] * k + c, np.rint(v * (self.w[e] * PRODUCT_STEP)), self.m * k).reshape(self.m, k).astype(np.int64)
         return out
 
-    def own_dots(self, slices, width: int, label: np.ndarray) -> np.ndarray:
+    def own_dots(self, top: np.ndarray, rare, k: int, label: np.ndarray) -> np.ndarray:
         """The column ``label`` of ``dots_sliced`` for each row."""
-        out, row = np.zeros(self.m, np.int64), np.repeat(np.arange(self.m), np.diff(self.off))
-        for s, at in by_slice(self.idx, width):
-            r = row[at]
-            q = np.rint(slices[s]()[self.idx[at] - s * width, label[r]] * (self.w[at] * PRODUCT_STEP)).astype(np.int64)
-            first = np.concatenate([[0], np.flatnonzero(np.diff(r)) + 1])
-            out[r[first]] += np.add.reduceat(q, first)
+        row, low = self._top(len(top))
+        at = np.flatnonzero(low)
+        r = row[at]
+        q = np.rint(top[self.idx[at], label[r]] * (self.w[at] * PRODUCT_STEP))
+        out = np.bincount(r, q, self.m).astype(np.int64)
+        for e, c, v in self._rare(np.flatnonzero(~low), rare, len(top), k):
+            own = c == label[row[e]]
+            e, v = e[own], v[own]
+            out += np.bincount(row[e], np.rint(v * (self.w[e] * PRODUCT_STEP)), self.m).astype(np.int64)
         return out
 
-    def products(self, slices, width: int, k: int) -> np.ndarray:
-        """``dots_sliced`` in floats, not in steps (m x k): a run of entries of one row and slice at a time."""
-        out, step = np.zeros((self.m, k)), max(1, (1 << 21) // k)
+    def products(self, top: np.ndarray, rare, k: int) -> np.ndarray:
+        """``dots_sliced`` in floats, not in steps (m x k): a row's first terms (indices ascend) at a time."""
+        width, out, step = len(top), np.zeros((self.m, k)), max(1, (1 << 21) // k)
         if not len(self.idx):
             return out
-        row, part = np.repeat(np.arange(self.m), np.diff(self.off)), self.idx // width
-        at = (self.idx - part * width).astype(np.intp)
-        new = (np.diff(row) != 0) | (np.diff(part) != 0)
-        new[step - 1::step] = True  # no run is longer than the buffer
-        a = np.concatenate([[0], np.flatnonzero(new) + 1])
-        z = np.append(a[1:], len(row))
-        order, held = np.argsort(part[a], kind="stable"), np.empty((int((z - a).max()), k))
-        last, ct = -1, None
-        for s, r, i, j in zip(part[a][order].tolist(), row[a][order].tolist(), a[order].tolist(), z[order].tolist()):
-            if s != last:
-                last, ct = s, slices[s]()
-            out[r] += self.w[i:j] @ np.take(ct, at[i:j], axis=0, out=held[:j - i], mode="clip")
+        row, low = self._top(width)
+        ends = self.off[:-1] + np.bincount(row[low], minlength=self.m)
+        w, at = self.w, self.idx.astype(np.intp)
+        held = np.empty((min(step, int((ends - self.off[:-1]).max())), k))
+        for r, a, z in zip(range(self.m), self.off.tolist(), ends.tolist()):
+            for i in range(a, z, step):
+                j = min(z, i + step)
+                out[r] += w[i:j] @ np.take(top, at[i:j], axis=0, out=held[:j - i], mode="clip")
+        for e, c, v in self._rare(np.flatnonzero(~low), rare, width, k):
+            out += np.bincount(row[e] * k + c, v * w[e], self.m * k).reshape(self.m, k)
         return out
 
     def squared(self, C: np.ndarray, c2: np.ndarray | None = None) -> np.ndarray:
@@ -284,13 +363,13 @@ def squares(C: np.ndarray) -> np.ndarray:
     return np.rint(C * C * PRODUCT_STEP).astype(np.int64).sum(axis=1)
 
 
-def rows_of(batches, sparse: bool):
-    """(slice, block, ``Rows``) of every block of the batches."""
+def rows_of(batches, sparse: bool, idf=None):
+    """(slice, block, ``Rows``) of every block of the batches; ``idf``: the broadcast that goes with ``pack_counts``."""
     for b in batches:
         cols = {n: c.to_pylist() for n, c in zip(b.schema.names, b.columns)}
         for i in range(b.num_rows):
             row = {n: c[i] for n, c in cols.items()}
-            yield row, Rows.of(row, sparse)
+            yield row, Rows.of(row, sparse, None if idf is None else idf.value)
 
 
 def add_steps(total: np.ndarray, label: np.ndarray, x: Rows, step: float) -> None:

@@ -36,7 +36,7 @@ class Stage1(NamedTuple):
     vectors: tf.Vectors
     k: int
     iterations: int
-    centroids: object  # k x dim matrix (within the broadcast bound) or centroid-term table (relational path)
+    centroids: object  # k x dim matrix or ``Sliced`` (within the broadcast bound), else centroid-term table (relational path)
     rows: DataFrame | None  # CSR rows (idea_id, idx, w) when the centroids fit in a matrix
     dense: DataFrame | None = None  # (idea_id, vec) when a dense embedder was used
     reused: bool = False  # vectors came from the embedding cache
@@ -124,7 +124,7 @@ def stage1(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None
                       reused)
     n = vecs.n_docs
     k = km.effective_k(n, cfg.num_clusters)
-    dim = vecs.vocab.count()
+    dim = vecs.vocab.count() if vecs.numbered is None else vecs.numbered.size
     small = k * max(dim, 1) * 8 <= min(cfg.centroid_broadcast_bytes, km.MAX_BROADCAST_CENTROID_BYTES)
     if small and not (cfg.kmeans_init == "lcg" and k < min(n, km.BOUNDS_K)):
         rows, dim = km.csr_rows(vecs.weights, vecs.docs, vecs.vocab)
@@ -135,8 +135,8 @@ def stage1(ideas: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, embedder=None
                       reused=reused, fit=res.fit)
     res = km.kmeans_sparse(vecs.weights, vecs.docs, cfg.num_clusters, cfg.kmeans_max_iter, cfg.kmeans_seed,
                            cfg.kmeans_init, cfg.kmeans_empty, max(dim, cfg.broadcast_max_rows) if small else cfg.broadcast_max_rows,
-                           cfg.salt_buckets, n=n, vocab=vecs.vocab, as_matrix=small)
-    rows = bl.unpack(res.fit.packed.blocks) if small and res.fit else None
+                           cfg.salt_buckets, n=n, vocab=vecs.vocab, as_matrix=small, counts=vecs.counts, numbered=vecs.numbered)
+    rows = bl.unpack(res.fit.packed.blocks, res.fit.packed.idf) if small and res.fit else None
     return Stage1(res.assignments, vecs, res.k, res.iterations, res.centroids, rows, reused=reused, fit=res.fit)
 
 
