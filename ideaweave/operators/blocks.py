@@ -23,6 +23,7 @@ from . import counts as ct
 BLOCK_ROWS = 2048
 BLOCK_VALUES = 1 << 19  # values of a block
 SPARSE_VALUES = 1 << 16  # entries of a block of sparse rows
+TASK_VALUES = 1 << 22  # entries of a task's blocks, about
 WEIGHT_STEP = 2.0 ** 36  # steps per unit of a TF-IDF weight (at most 1) in centroid sums
 PRODUCT_STEP = 2.0 ** 48  # steps per unit of a product of two weights
 TABLE_TERMS = 1 << 24  # terms of a lookup table (64 MB)
@@ -123,7 +124,9 @@ def pack_rows(rows: DataFrame) -> DataFrame:
 def pack_counts(counts: DataFrame, vocab: ct.Vocabulary) -> DataFrame:
     """Ordered blocks of packed counts (``counts``), whose ``w`` holds, per row, tokens, length and squared length
     of the vector, and per entry the count: with the idf, which a task reads once, they give the weights."""
-    p = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = counts.sparkSession
+    size = counts.agg(F.sum(F.octet_length("tfs"))).first()[0] or 0
+    p = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(2 * spark.sparkContext.defaultParallelism, -(-size // (4 * TASK_VALUES))))
     rows = counts.select("idea_id", "n_tokens", "terms", "tfs").repartitionByRange(p, "idea_id").sortWithinPartitions("idea_id")
     names = [c.split()[0] for c in BLOCK_SCHEMA.split(", ")]
 
@@ -323,9 +326,12 @@ class Rows:
         w, at = self.w, self.idx.astype(np.intp)
         held = np.empty((min(step, int((ends - self.off[:-1]).max())), k))
         for r, a, z in zip(range(self.m), self.off.tolist(), ends.tolist()):
-            for i in range(a, z, step):
-                j = min(z, i + step)
-                out[r] += w[i:j] @ np.take(top, at[i:j], axis=0, out=held[:j - i], mode="clip")
+            if a < z <= a + step:
+                np.dot(w[a:z], top.take(at[a:z], 0, held[:z - a], "clip"), out[r])
+            else:
+                for i in range(a, z, step):
+                    j = min(z, i + step)
+                    out[r] += w[i:j] @ top.take(at[i:j], 0, held[:j - i], "clip")
         for e, c, v in self._rare(np.flatnonzero(~low), rare, width, k):
             out += np.bincount(row[e] * k + c, v * w[e], self.m * k).reshape(self.m, k)
         return out

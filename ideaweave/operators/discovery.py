@@ -171,13 +171,15 @@ def cluster_prompts(assign: DataFrame, ideas: DataFrame, cfg: PipelineConfig = D
     keep = [c for c, n in sizes.items() if n >= 3]
     a = assign.where(F.col("cluster_id").isin(keep)).select("idea_id", "cluster_id")
     hashes = member_hashes(a, cfg.max_hash_members)
-    lines = a.join(ideas.select("idea_id", item_line(chars=PATTERNS_DESCRIPTION_CHARS).alias("line")), "idea_id")
     per = cfg.max_prompt_ideas
-    if per is not None and any(sizes[c] > per for c in keep):
-        lines = rank_within(lines, "cluster_id", ["idea_id"]).withColumn(
-            "part", F.floor((F.col("rank") - 1) / per).cast("int"))
+    if per is not None and any(sizes[c] > per for c in keep):  # ids are ranked, not texts
+        a = rank_within(a, "cluster_id", ["idea_id"]).select(
+            "idea_id", "cluster_id", F.floor((F.col("rank") - 1) / per).cast("int").alias("part"))
     else:
-        lines = lines.withColumn("part", F.lit(0))
+        a = a.withColumn("part", F.lit(0))
+    lines = ideas.select("idea_id", item_line(chars=PATTERNS_DESCRIPTION_CHARS).alias("line"))
+    # below the checked bound the texts are exchanged once, to meet in their part
+    lines = lines.join(F.broadcast(a) if sum(sizes[c] for c in keep) <= cfg.broadcast_max_rows else a, "idea_id")
     g = lines.groupBy("cluster_id", "part").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idea_id", "line"))), lambda x: x["line"]),
                      "\n").alias("text"))
@@ -265,10 +267,11 @@ class StoredReplies:
         self.replies = replies
 
     def respond(self, prompts: DataFrame, model: str, stage: str, prompt_version: str) -> DataFrame:
-        asked = prompts.select("group_hash", "prompt")
-        got = self.replies(asked).select("group_hash", "prompt", "text", "input_tokens", "output_tokens")
+        asked, key = prompts.select("group_hash", "prompt"), F.sha2("prompt", 256).alias("key")
+        got = self.replies(asked).select("group_hash", key, "text", "input_tokens", "output_tokens")
         found = F.col("text").isNotNull()
-        return asked.join(got, ["group_hash", "prompt"], "left").select(
+        # a prompt is told by its hash: prompts hold all texts of their group
+        return asked.select("group_hash", key).join(got, ["group_hash", "key"], "left").select(
             "group_hash", F.lit(prompt_version).alias("prompt_version"), F.lit(model).alias("model"), F.lit(stage).alias("stage"),
             F.trim("text").alias("text"), F.coalesce("input_tokens", F.lit(0)).cast("bigint").alias("input_tokens"),
             F.coalesce("output_tokens", F.lit(0)).cast("bigint").alias("output_tokens"),

@@ -317,8 +317,9 @@ def run(ideas: DataFrame, responder: Callable, cfg: PipelineConfig = DEFAULT_CON
     began = time.monotonic()
     pattern_responder = pattern_responder or responder
     loadable = ingest.loadable(ideas)
-    total = report.require_min_ideas(loadable, 3) and loadable.count()
+    report.require_min_ideas(loadable, 3)
     s1 = stage1(loadable, cfg, embedder, store, force)
+    total = s1.vectors.n_docs if isinstance(s1.vectors, tf.Vectors) else loadable.count()
     s2 = stage2(s1, cfg)
     members = cut_lineage(s2.members)
     constellations, r3, h3 = stage3(members, loadable, responder, cfg, store, force)

@@ -100,3 +100,29 @@ def test_stored_replies_equal_the_stand_in_and_miss_plainly(spark):
     some = disc.StoredReplies(lambda p: td.stored_replies(p.where("group_hash <> 'h2'")))
     bad = disc.respond(prompts, some, "m", "s", "v", "sys").where("status <> 'ok'").collect()
     assert [(r["group_hash"], r["text"], r["error"]) for r in bad] == [("h2", None, "no stored reply")]
+
+
+def test_theme_prompts_exchange_their_texts_once(spark):
+    """Ids are ranked, not texts; a stored reply is found by the hash of its prompt."""
+    import re
+
+    from ideaweave.config import DEFAULT_CONFIG
+    from ideaweave.sources import testdata as td
+    from .conftest import SF001
+    ideas = td.ideas(spark, SF001)
+    assign = ideas.selectExpr("idea_id", "0 AS cluster_id")
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as on large tables
+    try:
+        prompts = disc.cluster_prompts(assign, ideas, DEFAULT_CONFIG.replace(max_prompt_ideas=40))
+        assert "Exchange hashpartitioning(idea_id" not in plan_of(prompts)
+        replies = disc.respond(prompts, disc.StoredReplies(td.stored_replies), "m", "patterns", "v", "s")
+        keys = re.findall(r"hashpartitioning\(group_hash#\w+, (\w+)#", plan_of(replies))
+        assert keys and set(keys) == {"key"}
+        got, rows = prompts.orderBy("part").collect(), replies.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    ids = sorted(r["idea_id"] for r in assign.collect())
+    assert [re.findall(r"\[ID:(-?\d+)\]", r["prompt"])[0] for r in got] == [str(i) for i in ids[::40]]
+    assert len(rows) == len(got) and {r["status"] for r in rows} == {"ok"}
